@@ -60,70 +60,79 @@ def first_of_group(df: DataFrame, keys: Sequence[str], col: str, order: str | No
 
 # ---------------------------------------------------------------- quantiles
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    bins: int = 1024, max_candidates: int = 200_000, max_iter: int = 64) -> dict:
+                    bins: int = 1024, max_candidates: int = 20_000, max_iter: int = 64) -> dict:
     """Exact linear-interpolation quantiles of each column (NumPy's default).
 
     No column is ever gathered in one place: each round is one distributed
     job that histograms, per target rank, the values still in question
     (count, min and max per bin); the bin holding the rank becomes the new
-    interval.  Once an interval holds at most ``max_candidates`` values they
-    are fetched sorted and the rank is read off.  Returns
-    ``{col: [q for q in probs]}`` (None for an all-null column).
+    interval.  Once an interval holds at most ``max_candidates`` values
+    they are fetched (one job for all such targets) and the rank is read
+    off.  Returns ``{col: [q for q in probs]}`` (None for an all-null column).
     """
     cols = list(cols)
     st = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
                 *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                 *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-    # targets: (col index, rank) -> state [lo, hi, below, count, value]
+    # target (col index, rank) -> interval [lo, hi] holding that rank,
+    # ``below`` values smaller than lo, ``count`` values inside
     state = {}
     for i, _ in enumerate(cols):
         n = st[f"n{i}"]
         if not n:
             continue
         for p in probs:
-            h = p * (n - 1)
-            k = int(h)
+            k = int(p * (n - 1))
             for r in {k, min(k + 1, n - 1)}:
                 state.setdefault((i, r), {"lo": float(st[f"lo{i}"]), "hi": float(st[f"hi{i}"]),
                                           "below": 0, "count": n, "value": None})
+
+    def in_interval(i, s):
+        x = F.col(cols[i]).cast("double")
+        return x, (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
+
     for _ in range(max_iter):
+        for s in state.values():
+            if s["value"] is None and s["lo"] == s["hi"]:
+                s["value"] = s["lo"]
         open_t = [(k, s) for k, s in state.items() if s["value"] is None]
         if not open_t:
             break
-        for k, s in open_t:
-            if s["lo"] == s["hi"]:
-                s["value"] = s["lo"]
-        small = [(k, s) for k, s in open_t if s["value"] is None and s["count"] <= max_candidates]
-        big = [(k, s) for k, s in open_t if s["value"] is None and s["count"] > max_candidates]
-        for (i, r), s in small:
-            c = F.col(cols[i]).cast("double")
-            vals = [row[0] for row in df.select(c.alias("v"))
-                    .filter((F.col("v") >= s["lo"]) & (F.col("v") <= s["hi"]))
-                    .orderBy("v").collect()]
-            s["value"] = vals[r - s["below"]]
-        if not big:
-            continue
-        entries = []
-        for tid, ((i, r), s) in enumerate(big):
-            x = F.col(cols[i]).cast("double")
-            width = s["hi"] - s["lo"]
-            b = F.least(F.floor((x - F.lit(s["lo"])) / F.lit(width) * F.lit(bins)), F.lit(bins - 1))
-            entries.append(F.when((x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"])),
-                                  F.struct(F.lit(tid).alias("tid"), b.cast("int").alias("bin"), x.alias("x"))))
-        h = (df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull())
-               .groupBy("e.tid", "e.bin")
-               .agg(F.count(F.lit(1)).alias("c"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
-               .collect())
-        per = {}
-        for row in h:
-            per.setdefault(row["tid"], []).append((row["bin"], row["c"], row["mn"], row["mx"]))
-        for tid, ((i, r), s) in enumerate(big):
-            acc = s["below"]
-            for b, c, mn, mx in sorted(per.get(tid, [])):
-                if r < acc + c:
-                    s.update(lo=mn, hi=mx, below=acc, count=c)
-                    break
-                acc += c
+        small = [(k, s) for k, s in open_t if s["count"] <= max_candidates]
+        big = [(k, s) for k, s in open_t if s["count"] > max_candidates]
+        if small:
+            entries = []
+            for tid, ((i, r), s) in enumerate(small):
+                x, cond = in_interval(i, s)
+                entries.append(F.when(cond, F.struct(F.lit(tid).alias("tid"), x.alias("x"))))
+            got = {}
+            for row in (df.select(F.explode(F.array(*entries)).alias("e"))
+                          .filter(F.col("e").isNotNull()).select("e.tid", "e.x").collect()):
+                got.setdefault(row["tid"], []).append(row["x"])
+            for tid, ((i, r), s) in enumerate(small):
+                s["value"] = sorted(got[tid])[r - s["below"]]
+        if big:
+            entries = []
+            for tid, ((i, r), s) in enumerate(big):
+                x, cond = in_interval(i, s)
+                width = s["hi"] - s["lo"]
+                b = F.least(F.floor((x - F.lit(s["lo"])) / F.lit(width) * F.lit(bins)), F.lit(bins - 1))
+                entries.append(F.when(cond, F.struct(F.lit(tid).alias("tid"), b.cast("int").alias("bin"),
+                                                     x.alias("x"))))
+            h = (df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull())
+                   .groupBy("e.tid", "e.bin")
+                   .agg(F.count(F.lit(1)).alias("c"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
+                   .collect())
+            per = {}
+            for row in h:
+                per.setdefault(row["tid"], []).append((row["bin"], row["c"], row["mn"], row["mx"]))
+            for tid, ((i, r), s) in enumerate(big):
+                acc = s["below"]
+                for b, c, mn, mx in sorted(per.get(tid, [])):
+                    if r < acc + c:
+                        s.update(lo=mn, hi=mx, below=acc, count=c)
+                        break
+                    acc += c
     out = {}
     for i, c in enumerate(cols):
         n = st[f"n{i}"]

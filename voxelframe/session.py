@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     # the reference trains on 8096-row slices; keep Arrow batches that size
     "spark.sql.execution.arrow.maxRecordsPerBatch": "8096",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
