@@ -206,12 +206,24 @@ def confound_residuals(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     return j.select(*[x for x in df.columns if x not in cols], *res)
 
 
-def single_confound_residual(df: DataFrame, keys: Sequence[str], col: str, confound: str) -> DataFrame:
-    """Closed form for one confound: slope = cov/var, intercept from means."""
-    st = df.groupBy(*keys).agg(F.covar_pop(confound, col).alias("_cv"),
-                               F.var_pop(confound).alias("_vr"),
-                               F.avg(confound).alias("_mz"), F.avg(col).alias("_my"))
-    slope = F.when(F.col("_vr") > 0, F.col("_cv") / F.col("_vr")).otherwise(F.lit(0.0))
+def single_confound_residual(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | str,
+                             confound: str) -> DataFrame:
+    """Closed form for one confound: slope = cov/var, intercept from means,
+    all over the rows where both the region value and the confound exist."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    z = F.col(confound)
+    aggs = []
+    for c in cols:
+        y = F.col(c)
+        both = y.isNotNull() & z.isNotNull()
+        zc, yc = F.when(both, z), F.when(both, y)
+        aggs += [F.covar_pop(zc, yc).alias(f"_cv_{c}"), F.var_pop(zc).alias(f"_vr_{c}"),
+                 F.avg(zc).alias(f"_mz_{c}"), F.avg(yc).alias(f"_my_{c}")]
+    st = df.groupBy(*keys).agg(*aggs)
     j = df.join(st, list(keys))
-    fit = F.col("_my") + slope * (F.col(confound) - F.col("_mz"))
-    return j.select(*[x for x in df.columns if x != col], (F.col(col) - fit).alias(col))
+    out = []
+    for c in cols:
+        slope = F.when(F.col(f"_vr_{c}") > 0, F.col(f"_cv_{c}") / F.col(f"_vr_{c}")).otherwise(F.lit(0.0))
+        fit = F.col(f"_my_{c}") + slope * (z - F.col(f"_mz_{c}"))
+        out.append((F.col(c) - fit).alias(c))
+    return j.select(*[x for x in df.columns if x not in cols], *out)

@@ -75,9 +75,9 @@ def series_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     return df.groupBy(*keys).agg(*aggs)
 
 
-def _safe_sd(c: Column) -> Column:
+def _safe_sd(c: Column, min_std: float = 0.0) -> Column:
     # constant series: divide by 1 (leave the centred values, i.e. zeros)
-    return F.when(c.isNull() | (c == 0), F.lit(1.0)).otherwise(c)
+    return F.when(c.isNull() | (c <= F.lit(min_std)), F.lit(1.0)).otherwise(c)
 
 
 def demean(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -88,12 +88,13 @@ def demean(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame
                     *[(F.col(c) - F.col(f"_mu_{c}")).alias(c) for c in cols])
 
 
-def zscore(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """(x - mean) / population std per series; std 0 -> divide by 1."""
+def zscore(df: DataFrame, keys: Sequence[str], cols: Sequence[str], min_std: float = 0.0) -> DataFrame:
+    """(x - mean) / population std per series; std 0 (or at most
+    ``min_std``, for series that are constant up to rounding) -> divide by 1."""
     st = series_stats(df, keys, cols)
     j = df.join(st, list(keys))
     return j.select(*[c for c in df.columns if c not in cols],
-                    *[((F.col(c) - F.col(f"_mu_{c}")) / _safe_sd(F.col(f"_sd_{c}"))).alias(c)
+                    *[((F.col(c) - F.col(f"_mu_{c}")) / _safe_sd(F.col(f"_sd_{c}"), min_std)).alias(c)
                       for c in cols])
 
 
