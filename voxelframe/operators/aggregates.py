@@ -106,29 +106,33 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 x, cond = in_interval(i, s)
                 entries.append(F.when(cond, F.struct(F.lit(tid).alias("tid"), x.alias("x"))))
             got = {}
-            for row in (df.select(F.explode(F.array(*entries)).alias("e"))
-                          .filter(F.col("e").isNotNull()).select("e.tid", "e.x").collect()):
+            arr = F.filter(F.array(*entries), lambda e: e.isNotNull())
+            for row in df.select(F.explode(arr).alias("e")).select("e.tid", "e.x").collect():
                 got.setdefault(row["tid"], []).append(row["x"])
             for tid, ((i, r), s) in enumerate(small):
                 s["value"] = sorted(got[tid])[r - s["below"]]
         if big:
+            # targets sharing a column and an interval share one histogram
+            ivs = {}
+            for (i, r), s in big:
+                ivs.setdefault((i, s["lo"], s["hi"]), len(ivs))
             entries = []
-            for tid, ((i, r), s) in enumerate(big):
-                x, cond = in_interval(i, s)
-                width = s["hi"] - s["lo"]
-                b = F.least(F.floor((x - F.lit(s["lo"])) / F.lit(width) * F.lit(bins)), F.lit(bins - 1))
-                entries.append(F.when(cond, F.struct(F.lit(tid).alias("tid"), b.cast("int").alias("bin"),
+            for (i, lo, hi), iid in ivs.items():
+                x, cond = in_interval(i, {"lo": lo, "hi": hi})
+                b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1))
+                entries.append(F.when(cond, F.struct(F.lit(iid).alias("iid"), b.cast("int").alias("bin"),
                                                      x.alias("x"))))
-            h = (df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull())
-                   .groupBy("e.tid", "e.bin")
+            arr = F.filter(F.array(*entries), lambda e: e.isNotNull())
+            h = (df.select(F.explode(arr).alias("e"))
+                   .groupBy("e.iid", "e.bin")
                    .agg(F.count(F.lit(1)).alias("c"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
                    .collect())
             per = {}
             for row in h:
-                per.setdefault(row["tid"], []).append((row["bin"], row["c"], row["mn"], row["mx"]))
-            for tid, ((i, r), s) in enumerate(big):
+                per.setdefault(row["iid"], []).append((row["bin"], row["c"], row["mn"], row["mx"]))
+            for (i, r), s in big:
                 acc = s["below"]
-                for b, c, mn, mx in sorted(per.get(tid, [])):
+                for b, c, mn, mx in sorted(per.get(ivs[(i, s["lo"], s["hi"])], [])):
                     if r < acc + c:
                         s.update(lo=mn, hi=mx, below=acc, count=c)
                         break

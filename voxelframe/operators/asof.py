@@ -80,14 +80,20 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
 
 
 def asof_cogroup(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
-                 schema: str, bucket: Callable[[Column], Column] | None = None) -> DataFrame:
+                 schema: str, bucket: Callable[[Column], Column] | None = None,
+                 key_buckets: int = 64) -> DataFrame:
     """Same semantics through ``cogroup().applyInPandas`` with
-    ``pandas.merge_asof`` per (key, bucket) group.  Each group's right side
-    is that bucket's rows plus the one carried row from earlier buckets, so
-    no group is larger than a bucket."""
+    ``pandas.merge_asof(by=...)``.
+
+    Groups are (hash bucket of the key, time bucket): many keys share one
+    Python call (few calls), and one key's rows are cut by time (bounded
+    calls).  Each group's right side is that time bucket's rows plus, per
+    key, the one row carried in from earlier buckets.
+    """
     by = list(by)
-    L = left.withColumn("_b", _bucket(on, bucket))
-    R = right.withColumn("_b", _bucket(on, bucket))
+    hb = F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(key_buckets))
+    L = left.withColumn("_b", _bucket(on, bucket)).withColumn("_hb", hb)
+    R = right.withColumn("_b", _bucket(on, bucket)).withColumn("_hb", hb)
     payload = [c for c in right.columns if c not in by and c != on]
 
     # carried-in right row for each (key, bucket) that has left rows
@@ -99,14 +105,15 @@ def asof_cogroup(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
                 .rowsBetween(Window.unboundedPreceding, -1))
     carried = (ku.withColumn("_c", F.last("_r", ignorenulls=True).over(wk))
                  .filter((F.col("_side") == 0) & F.col("_c").isNotNull())
-                 .select(*by, "_b", "_c.*"))
-    R2 = R.select(*by, "_b", on, *payload).unionByName(carried.select(*by, "_b", on, *payload))
+                 .select(*by, "_b", "_c.*").withColumn("_hb", hb))
+    cols = [*by, "_b", "_hb", on, *payload]
+    R2 = R.select(*cols).unionByName(carried.select(*cols))
 
     def merge(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        lp = lp.sort_values(on).drop(columns=["_b"])
+        lp = lp.drop(columns=["_b", "_hb"]).sort_values(on, kind="stable")
         if rp.empty:
             return lp.assign(**{c: None for c in payload})
-        rp = rp.sort_values(on).drop(columns=[c for c in by] + ["_b"])
-        return pd.merge_asof(lp, rp, on=on, direction="backward")
+        rp = rp.drop(columns=["_b", "_hb"]).sort_values(on, kind="stable")
+        return pd.merge_asof(lp, rp, on=on, by=by, direction="backward")
 
-    return L.groupBy(*by, "_b").cogroup(R2.groupBy(*by, "_b")).applyInPandas(merge, schema)
+    return L.groupBy("_hb", "_b").cogroup(R2.groupBy("_hb", "_b")).applyInPandas(merge, schema)
