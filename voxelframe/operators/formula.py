@@ -165,7 +165,8 @@ def fitness_numpy(df: DataFrame, trees: dict, target: str, features: Sequence[st
     import numpy as np
     import pandas as pd
 
-    d = df.select(*features, target, *[c for c in id_cols if c not in features and c != target])
+    needed = list(dict.fromkeys([*features, target]))
+    d = df.select(*needed, *[c for c in id_cols if c not in needed])
     if sample_frac is not None:
         h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols]), F.lit(1_000_000))
         d = d.filter(h < F.lit(int(sample_frac * 1_000_000)))
@@ -186,7 +187,7 @@ def fitness_numpy(df: DataFrame, trees: dict, target: str, features: Sequence[st
         if n:
             yield pd.DataFrame({"formula_id": list(sse), "sse": list(sse.values()), "n": [n] * len(sse)})
 
-    rows = (d.select(*feats, target).mapInPandas(run, "formula_id long, sse double, n long")
+    rows = (d.select(*needed).mapInPandas(run, "formula_id long, sse double, n long")
               .groupBy("formula_id").agg(F.sum("sse").alias("sse"), F.sum("n").alias("n")).collect())
     out = {}
     for r in rows:
