@@ -17,16 +17,34 @@ def region_means(voxels: DataFrame, atlas: DataFrame, keys: Sequence[str], label
     """Mean signal of every labelled region per (scan, time point), wide.
 
     ``voxels`` (scan, voxel, t, value) is joined to the broadcast atlas
-    (voxel -> label, background removed), averaged per (keys, label) with a
-    partial aggregate, then pivoted on the fixed ``labels`` list so the
-    pivot needs no extra pass to discover its values.  Output columns are
+    (voxel -> label, background removed) and reduced by ONE grouped
+    aggregate holding a conditional mean per label from the fixed ``labels``
+    list -- partial aggregation combines the voxels of a (scan, t) map-side,
+    so only one small row per (scan, t) and task is shuffled.  (A pivot
+    would add a second aggregation and exchange.)  Output columns are
     ``names`` (default x0..x{n-1}, positional naming).
     """
     names = list(names or [f"x{i}" for i in range(len(labels))])
     at = atlas.filter(F.col(label_col) != F.lit(background)) if background is not None else atlas
     j = voxels.join(sized_broadcast(at), [c for c in atlas.columns if c in voxels.columns])
-    g = j.groupBy(*keys).pivot(label_col, list(labels)).agg(F.avg(value_col))
-    return g.select(*keys, *[F.col(f"`{lab}`").alias(n) for lab, n in zip(labels, names)])
+    lab = F.col(label_col)
+    return j.groupBy(*keys).agg(*[F.avg(F.when(lab == F.lit(v), F.col(value_col))).alias(n)
+                                  for v, n in zip(labels, names)])
+
+
+def label_table(spark, values: Sequence, key_col: str, label_col: str = "label", first: int = 1) -> DataFrame:
+    """A small label table: the i-th value gets label first + i (0 stays the
+    background).  Built from a bounded list, no job."""
+    return spark.createDataFrame([(v, first + i) for i, v in enumerate(values)],
+                                 f"{key_col} string, {label_col} int")
+
+
+def distinct_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
+    """Sorted distinct values of a low-cardinality column (bounded)."""
+    rows = df.select(col).distinct().limit(max_values + 1).collect()
+    if len(rows) > max_values:
+        raise ValueError(f"{col} has more than {max_values} distinct values")
+    return sorted(r[0] for r in rows)
 
 
 def atlas_labels(atlas: DataFrame, atlas_name: str, name_col: str = "atlas",

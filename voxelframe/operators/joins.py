@@ -23,6 +23,16 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     return F.broadcast(df) if n <= max_rows else df
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """For a derived table (e.g. one row of statistics per series): compute
+    it once (persisted), prove its size, broadcast it when small.  The
+    persisted copy is recomputed from lineage if an executor is lost."""
+    from pyspark import StorageLevel
+    d = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = d.count()
+    return F.broadcast(d) if n <= max_rows else d
+
+
 def label_lookup(df: DataFrame, labels: DataFrame, on: str | Sequence[str],
                  strict: bool = False, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Equi-join each row to its single label row (person -> gender).

@@ -13,7 +13,7 @@ from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -207,9 +207,10 @@ def confound_residuals(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
 
 def single_confound_residual(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | str,
-                             confound: str) -> DataFrame:
+                             confound: str, how: str = "join") -> DataFrame:
     """Closed form for one confound: slope = cov/var, intercept from means,
-    all over the rows where both the region value and the confound exist."""
+    all over the rows where both the region value and the confound exist.
+    ``how`` as in ``windows.with_series_stats``."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     z = F.col(confound)
     aggs = []
@@ -217,10 +218,14 @@ def single_confound_residual(df: DataFrame, keys: Sequence[str], cols: Sequence[
         y = F.col(c)
         both = y.isNotNull() & z.isNotNull()
         zc, yc = F.when(both, z), F.when(both, y)
-        aggs += [F.covar_pop(zc, yc).alias(f"_cv_{c}"), F.var_pop(zc).alias(f"_vr_{c}"),
-                 F.avg(zc).alias(f"_mz_{c}"), F.avg(yc).alias(f"_my_{c}")]
-    st = df.groupBy(*keys).agg(*aggs)
-    j = df.join(st, list(keys))
+        aggs += [(f"_cv_{c}", F.covar_pop(zc, yc)), (f"_vr_{c}", F.var_pop(zc)),
+                 (f"_mz_{c}", F.avg(zc)), (f"_my_{c}", F.avg(yc))]
+    if how == "window":
+        w = Window.partitionBy(*keys)
+        j = df.select("*", *[a.over(w).alias(n) for n, a in aggs])
+    else:
+        from voxelframe.operators.joins import broadcast_if_small
+        j = df.join(broadcast_if_small(df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs])), list(keys))
     out = []
     for c in cols:
         slope = F.when(F.col(f"_vr_{c}") > 0, F.col(f"_cv_{c}") / F.col(f"_vr_{c}")).otherwise(F.lit(0.0))

@@ -60,19 +60,43 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str]
     return out.drop(*["_n_" + c for c in cols])
 
 
-def series_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                 t: str | None = None) -> DataFrame:
-    """One row per series: count, mean and population std of each column
-    (plus the mean/variance of ``t`` and covariance with ``t`` for detrending)."""
+def _stat_exprs(cols: Sequence[str], t: str | None) -> list[tuple[str, Column]]:
     aggs = []
     for c in cols:
-        aggs += [F.avg(c).alias(f"_mu_{c}"), F.stddev_pop(c).alias(f"_sd_{c}")]
+        aggs += [(f"_mu_{c}", F.avg(c)), (f"_sd_{c}", F.stddev_pop(c))]
         if t is not None:
-            aggs += [F.covar_pop(F.col(t).cast("double"), F.col(c)).alias(f"_cv_{c}")]
+            aggs += [(f"_cv_{c}", F.covar_pop(F.col(t).cast("double"), F.col(c)))]
     if t is not None:
-        aggs += [F.avg(F.col(t).cast("double")).alias("_mu_t"),
-                 F.var_pop(F.col(t).cast("double")).alias("_var_t")]
-    return df.groupBy(*keys).agg(*aggs)
+        aggs += [("_mu_t", F.avg(F.col(t).cast("double"))), ("_var_t", F.var_pop(F.col(t).cast("double")))]
+    return aggs
+
+
+def series_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
+                 t: str | None = None) -> DataFrame:
+    """One row per series: mean and population std of each column (plus the
+    mean/variance of ``t`` and covariance with ``t`` for detrending)."""
+    return df.groupBy(*keys).agg(*[e.alias(n) for n, e in _stat_exprs(cols, t)])
+
+
+def with_series_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
+                      t: str | None = None, how: str = "join") -> DataFrame:
+    """Attach per-series statistics to every row.
+
+    ``how="join"``: grouped aggregate (partial aggregation, so a series of
+    any length is combined by many tasks) joined back; the statistics table
+    has one row per series and is broadcast when it is proven small.  The
+    input is read twice but never shuffled -- the form for raw, long,
+    possibly very unequal series.
+    ``how="window"``: window aggregates over ``partitionBy(keys)`` -- one
+    exchange and one read, each series in one task.  The form for series
+    that are bounded (region tables after voxel aggregation: one row per
+    time point).
+    """
+    if how == "window":
+        w = Window.partitionBy(*keys)
+        return df.select("*", *[e.over(w).alias(n) for n, e in _stat_exprs(cols, t)])
+    from voxelframe.operators.joins import broadcast_if_small
+    return df.join(broadcast_if_small(series_stats(df, keys, cols, t)), list(keys))
 
 
 def _safe_sd(c: Column, min_std: float = 0.0) -> Column:
@@ -80,28 +104,26 @@ def _safe_sd(c: Column, min_std: float = 0.0) -> Column:
     return F.when(c.isNull() | (c <= F.lit(min_std)), F.lit(1.0)).otherwise(c)
 
 
-def demean(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def demean(df: DataFrame, keys: Sequence[str], cols: Sequence[str], how: str = "join") -> DataFrame:
     """x - mean(x) per series."""
-    st = series_stats(df, keys, cols)
-    j = df.join(st, list(keys))
+    j = with_series_stats(df, keys, cols, how=how)
     return j.select(*[c for c in df.columns if c not in cols],
                     *[(F.col(c) - F.col(f"_mu_{c}")).alias(c) for c in cols])
 
 
-def zscore(df: DataFrame, keys: Sequence[str], cols: Sequence[str], min_std: float = 0.0) -> DataFrame:
+def zscore(df: DataFrame, keys: Sequence[str], cols: Sequence[str], min_std: float = 0.0,
+           how: str = "join") -> DataFrame:
     """(x - mean) / population std per series; std 0 (or at most
     ``min_std``, for series that are constant up to rounding) -> divide by 1."""
-    st = series_stats(df, keys, cols)
-    j = df.join(st, list(keys))
+    j = with_series_stats(df, keys, cols, how=how)
     return j.select(*[c for c in df.columns if c not in cols],
                     *[((F.col(c) - F.col(f"_mu_{c}")) / _safe_sd(F.col(f"_sd_{c}"), min_std)).alias(c)
                       for c in cols])
 
 
-def detrend(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str]) -> DataFrame:
+def detrend(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str], how: str = "join") -> DataFrame:
     """Remove the least-squares line in ``t`` from each series."""
-    st = series_stats(df, keys, cols, t=t)
-    j = df.join(st, list(keys))
+    j = with_series_stats(df, keys, cols, t=t, how=how)
     tt = F.col(t).cast("double")
 
     def slope(c):

@@ -21,7 +21,11 @@ from voxelframe.operators.aggregates import region_means
 def extract_regions(voxels: DataFrame, atlas: DataFrame, labels: Sequence, keys: Sequence[str] = ("scan_id",),
                     t: str = "t", confounds: DataFrame | None = None, confound_cols: Sequence[str] = (),
                     standardize: bool = True, detrend: bool = False,
-                    session_keys: Sequence[str] = (), min_std: float = 1e-9) -> DataFrame:
+                    session_keys: Sequence[str] = (), min_std: float = 1e-9,
+                    how: str = "window") -> DataFrame:
+    """``how="window"``: after the voxel aggregation a series has one row per
+    time point, so per-scan statistics are window aggregates on one
+    scan-partitioned exchange shared by every cleaning step."""
     keys = list(keys)
     names = [f"x{i}" for i in range(len(labels))]
     wide = region_means(voxels, atlas, [*keys, *session_keys, t], "label", "value", labels, names)
@@ -29,14 +33,14 @@ def extract_regions(voxels: DataFrame, atlas: DataFrame, labels: Sequence, keys:
     if confounds is not None and confound_cols:
         wide = wide.join(confounds, [*keys, t])
         if len(confound_cols) == 1:
-            wide = linear.single_confound_residual(wide, series_keys, names, confound_cols[0])
+            wide = linear.single_confound_residual(wide, series_keys, names, confound_cols[0], how=how)
         else:
             wide = linear.confound_residuals(wide, series_keys, names, list(confound_cols))
         wide = wide.drop(*confound_cols)
     if detrend:
-        wide = windows.detrend(wide, series_keys, t, names)
+        wide = windows.detrend(wide, series_keys, t, names, how=how)
     if standardize:
-        wide = windows.zscore(wide, series_keys, names, min_std=min_std)
+        wide = windows.zscore(wide, series_keys, names, min_std=min_std, how=how)
     return wide
 
 

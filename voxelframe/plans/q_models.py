@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 
 from voxelframe.functions.numeric import r6, sql_r6
 from voxelframe.operators import formula, linear, metrics, net, trees
-from voxelframe.operators.aggregates import atlas_labels
 from voxelframe.operators.joins import label_lookup, route
 from voxelframe.operators.split import hash_split
 from voxelframe.plans.extract import extract_regions, quarantine
 from voxelframe.plans.registry import query
-from voxelframe.plans.stand_ins import ATLAS, MEN_SEGMENT, REGION_COLS, SERIES_SQL, series
+from voxelframe.plans.stand_ins import MEN_SEGMENT, REGION_COLS, SERIES_SQL, series
 from voxelframe.session import table_path
 from voxelframe.sources import files
 from voxelframe.tables import table
@@ -49,11 +48,11 @@ def extract_regions_q(spark, sf_dir):
     """Voxels -> region means -> confound regression -> z-score per scan.
     (scan = user, voxel = event, region = event type, t = day, confound =
     the day's mean of the event property k)."""
+    from voxelframe.operators.aggregates import distinct_values, label_table
     ev = table(spark, sf_dir, "events")
-    types = ev.select("event_type").distinct()
-    from pyspark.sql import Window
-    atlas = types.withColumn("label", F.dense_rank().over(Window.orderBy("event_type")).cast("int"))
-    labels = atlas_labels(atlas.withColumn("atlas", F.lit(ATLAS)), ATLAS)
+    types = distinct_values(ev, "event_type")          # bounded label list
+    atlas = label_table(spark, types, "event_type")
+    labels = list(range(1, len(types) + 1))
     v = ev.select("user_id", "event_type", "value", "props",
                   F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).alias("t"))
     conf = v.groupBy("user_id", "t").agg(

@@ -248,13 +248,6 @@ def poly_features(spark, sf_dir):
 EVENT_TYPES_SQL = "SELECT DISTINCT event_type FROM events ORDER BY 1"
 
 
-def _atlas(spark, sf_dir):
-    """Label table derived from the data: event types numbered 1.. in
-    sorted order (0 stays the background label)."""
-    types = table(spark, sf_dir, "events").select("event_type").distinct()
-    return types.withColumn("label", F.dense_rank().over(Window.orderBy("event_type")).cast("int"))
-
-
 def region_mean_pivot_sql(types):
     cols = ", ".join(f"{sql_r6(f'avg(value) FILTER (WHERE event_type = {chr(39)}{t}{chr(39)})')} AS x{i}"
                      for i, t in enumerate(types))
@@ -265,13 +258,14 @@ def region_mean_pivot_sql(types):
 @query("region_mean_pivot", region_mean_pivot_sql(["click", "error", "purchase", "signup", "view"]))
 def region_mean_pivot(spark, sf_dir):
     """Voxel rows (scan = user, voxel = event, t = day) joined to the
-    broadcast label table, averaged per region and pivoted to x0..x{n-1}."""
-    from voxelframe.operators.aggregates import atlas_labels
-    atlas = _atlas(spark, sf_dir)
-    labels = atlas_labels(atlas.withColumn("atlas", F.lit(ATLAS)), ATLAS)
-    vox = table(spark, sf_dir, "events").select(
-        "user_id", "event_type", "value",
-        F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).alias("t"))
+    broadcast label table, averaged per region into x0..x{n-1}."""
+    from voxelframe.operators.aggregates import distinct_values, label_table
+    ev = table(spark, sf_dir, "events")
+    types = distinct_values(ev, "event_type")          # bounded label list
+    atlas = label_table(spark, types, "event_type")
+    labels = list(range(1, len(types) + 1))
+    vox = ev.select("user_id", "event_type", "value",
+                    F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).alias("t"))
     wide = region_means(vox, atlas, ["user_id", "t"], "label", "value", labels)
     return wide.select("user_id", "t", *[r6(F.col(f"x{i}")).alias(f"x{i}") for i in range(len(labels))])
 
