@@ -36,10 +36,15 @@ def render(node, dialect: str = "spark") -> str:
     if op in ("sin", "cos"):
         return f"{op}({render(node[1], dialect)})"
     a, b = render(node[1], dialect), render(node[2], dialect)
-    if op in ("div", "/"):
+    if op == "div":
         if dialect == "spark":
             return f"pdiv({a}, {b})"
         return f"(CASE WHEN abs({b}) > {PDIV_EPS} THEN ({a}) / ({b}) ELSE {PDIV_FALLBACK} END)"
+    if op == "/":
+        # plain division of the hand-built trees; by zero -> null
+        if dialect == "spark":
+            return f"try_divide({a}, {b})"
+        return f"(({a}) / NULLIF({b}, 0))"
     return f"({a} {_BIN[op]} {b})"
 
 
@@ -152,6 +157,9 @@ def eval_numpy(node, cols: dict):
         return a - b
     if op in ("mul", "*"):
         return a * b
+    if op == "/":
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(b == 0, np.nan, a / np.where(b == 0, 1.0, b))
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.where(np.abs(b) > PDIV_EPS, a / np.where(b == 0, 1.0, b), PDIV_FALLBACK)
 
@@ -291,3 +299,17 @@ def symbolic_search(df: DataFrame, target: str, features: Sequence[str], populat
             nxt.append(child)
         pop = nxt
     return best[2], best[1], history
+
+
+FORMULA_SCHEMA = "formula_id bigint, region string, expr string, length int"
+
+
+def formula_rows(spark, found: dict) -> DataFrame:
+    """{formula_id: (region, tree)} -> formula table rows."""
+    return spark.createDataFrame([(int(i), r, render(t), int(length(t))) for i, (r, t) in found.items()],
+                                 FORMULA_SCHEMA)
+
+
+def save_formulas(rows: DataFrame, path: str) -> None:
+    """Append found formulas to the formula table (Parquet)."""
+    rows.write.mode("append").parquet(path)

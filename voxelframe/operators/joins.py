@@ -84,3 +84,13 @@ def skip_done(work: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFram
 def align_on_time(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("scan_id", "t")) -> DataFrame:
     """Attach per-time-point rows (confounds) to a region table."""
     return left.join(right, list(keys), "inner")
+
+
+def first_n_per_key(df: DataFrame, key: str, order: Sequence[str], n: int | None) -> DataFrame:
+    """Keep the first ``n`` rows per key in ``order`` (the truncating
+    positional zip of the original work loop); ``None`` keeps all rows."""
+    if n is None:
+        return df
+    from pyspark.sql import Window
+    w = Window.partitionBy(key).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")

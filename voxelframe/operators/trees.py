@@ -37,3 +37,12 @@ def importance_table(spark: SparkSession, model, feats: Sequence[str], region: s
     rows = [(region, f, float(v)) for f, v in zip(feats, imp)]
     return (spark.createDataFrame(rows, "region string, feature string, importance double")
                  .orderBy(F.desc("importance"), "feature").limit(top))
+
+
+def save_model(model, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str):
+    from pyspark.ml.regression import GBTRegressionModel
+    return GBTRegressionModel.load(path)

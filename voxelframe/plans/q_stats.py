@@ -344,3 +344,13 @@ def grid_fanout(spark, sf_dir):
     and its own data rows (the lines of that part)."""
     from voxelframe.plans.fanout import grid_runs
     return grid_runs(spark, sf_dir)
+
+
+@query("hv_confounds")
+def hv_confounds(spark, sf_dir):
+    """Top-5 time courses of the most variable voxels per scan (scan =
+    label group, voxel = position, time = vector id)."""
+    from voxelframe.operators.confounds import high_variance_confounds
+    long = _emb_long(spark, sf_dir).select("label", "pos", F.col("vec_id").alias("t"), "v")
+    c = high_variance_confounds(long, ["label"], "pos", "t", "v", n_confounds=5, percentile=2.0)
+    return c.select("label", "t", *[r6(F.col(f"c{i}")).alias(f"c{i}") for i in range(5)])

@@ -137,3 +137,15 @@ def route_sink(df: DataFrame, target: str, out: str, key: str, t: str = "t", **k
         keyed.put(rows, out)
     else:
         raise ValueError(f"unknown target {target!r}")
+
+
+def random_frame(spark: SparkSession, n: int, cols: Sequence[str] = ("0", "1", "2"), seed: int = 0) -> DataFrame:
+    """``n`` rows of uniform [0, 1) doubles, one seeded stream per column."""
+    return spark.range(n).select(*[F.rand(seed + i).alias(c) for i, c in enumerate(cols)])
+
+
+def extend_struct(c: Column, **fields) -> Column:
+    """Add or replace fields of a struct column."""
+    for k, v in fields.items():
+        c = c.withField(k, v)
+    return c
