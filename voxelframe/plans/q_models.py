@@ -229,5 +229,9 @@ def random_formula_fitness(spark, sf_dir):
     from voxelframe.functions.numeric import register_sql_functions
     register_sql_functions(spark)
     row = li.agg(*[F.avg((F.expr(r["expr"]) - F.col("l_tax")) ** 2).alias(f"m{r['formula_id']}") for r in fs]).first()
-    rows = [(r["formula_id"], r["expr"], r["length"], float(row[f"m{r['formula_id']}"])) for r in fs]
+    def val(v):
+        return None if v is None else float(v)
+
+    # a formula whose every row divides by zero has no error value (null)
+    rows = [(r["formula_id"], r["expr"], r["length"], val(row[f"m{r['formula_id']}"])) for r in fs]
     return spark.createDataFrame(rows, "formula_id long, expr string, length int, mse double")
