@@ -78,7 +78,8 @@ def first_of_group(df: DataFrame, keys: Sequence[str], col: str, order: str | No
 
 # ---------------------------------------------------------------- quantiles
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    bins: int = 1024, max_candidates: int = 20_000, max_iter: int = 64) -> dict:
+                    bins: int = 1024, max_candidates: int = 20_000, max_iter: int = 64,
+                    bounds: dict | None = None) -> dict:
     """Exact linear-interpolation quantiles of each column (NumPy's default).
 
     No column is ever gathered in one place: each round is one distributed
@@ -89,9 +90,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     off.  Returns ``{col: [q for q in probs]}`` (None for an all-null column).
     """
     cols = list(cols)
-    st = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-                *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-                *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    if bounds is not None:  # {col: (count, min, max)} already known
+        st = {}
+        for i, c in enumerate(cols):
+            st[f"n{i}"], st[f"lo{i}"], st[f"hi{i}"] = bounds[c]
+    else:
+        st = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                    *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+                    *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
     # target (col index, rank) -> interval [lo, hi] holding that rank,
     # ``below`` values smaller than lo, ``count`` values inside
     state = {}
@@ -174,24 +180,25 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column, one row per
-    column (the shape of a transposed pandas ``describe``)."""
+    column (the shape of a transposed pandas ``describe``).  One aggregate
+    pass for the moments and bounds, then the exact quartiles."""
     spark = df.sparkSession
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
     base = df.agg(*[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"),
                              F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
                              F.max(c).cast("double").alias("max")).alias(f"s{i}")
-                    for i, c in enumerate(cols)])
-    qrows = spark.createDataFrame(
-        [(c, *(float(v) if v is not None else None for v in q[c])) for c in cols],
-        "column string, q25 double, q50 double, q75 double")
-    stacked = base.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"s{i}.*")) for i, c in enumerate(cols)])).alias("d")
-    ).select("d.*")
+                    for i, c in enumerate(cols)]).first()
+    stats = {c: base[f"s{i}"] for i, c in enumerate(cols)}
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75],
+                        bounds={c: (s["count"], s["min"], s["max"]) for c, s in stats.items()})
+    rows = []
+    for c in cols:
+        s = stats[c]
+        rows.append((c, int(s["count"]), s["mean"], s["std"], s["min"], *q[c], s["max"]))
+    out = spark.createDataFrame(rows, "column string, count bigint, mean double, std double, min double, "
+                                      "q25 double, q50 double, q75 double, max double")
     r = lambda c: F.round(F.col(c), digits) + F.lit(0.0)
-    return stacked.join(F.broadcast(qrows), "column").select(
-        "column", F.col("count").cast("bigint").alias("count"), r("mean").alias("mean"),
-        r("std").alias("std"), r("min").alias("min"), r("q25").alias("q25"), r("q50").alias("q50"),
-        r("q75").alias("q75"), r("max").alias("max"))
+    return out.select("column", "count", *[r(c).alias(c) for c in
+                                           ("mean", "std", "min", "q25", "q50", "q75", "max")])
 
 
 def high_variance_features(long: DataFrame, keys: Sequence[str], feature: str, value: str,

@@ -251,8 +251,11 @@ def symbolic_search(df: DataFrame, target: str, features: Sequence[str], populat
     mse, generation history [(generation, best_fitness, best_mse)]).
     """
     import random as _r
+    from pyspark import StorageLevel
     rng = _r.Random(seed)
     functions = list(functions)
+    # every generation reads the same rows: keep them cached for the search
+    df = df.select(*dict.fromkeys([*features, target, *id_cols])).persist(StorageLevel.MEMORY_AND_DISK)
     pop = [_random_program(rng, rng.randint(*init_depth), features, const_range, functions)
            for _ in range(population)]
     history = []
@@ -273,7 +276,7 @@ def symbolic_search(df: DataFrame, target: str, features: Sequence[str], populat
             return min(cand, key=lambda s: s[0])[2]
 
         nxt = []
-        for _ in range(population):
+        for _ in range(population):  # variation on the driver: trees only
             parent = pick()
             u = rng.random()
             if u < p_crossover:
@@ -298,6 +301,7 @@ def symbolic_search(df: DataFrame, target: str, features: Sequence[str], populat
                 child = parent
             nxt.append(child)
         pop = nxt
+    df.unpersist()
     return best[2], best[1], history
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from voxelframe.functions import json_cells, paths
 from voxelframe.functions.numeric import r6, sql_r6
 from voxelframe.functions.regions import first_missing, pairwise_products
-from voxelframe.operators.aggregates import distinct_sorted_int, first_of_group, region_means
+from voxelframe.operators.aggregates import distinct_sorted_int, region_means
 from voxelframe.operators.asof import asof_join
 from voxelframe.operators.joins import expand_worklist, label_lookup, route, skip_done
 from voxelframe.operators.ordinal import add_ordinal, numeric_split
@@ -28,10 +28,10 @@ def cohort_route(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     j = label_lookup(o, c, "o_custkey")
-    routed = j.withColumn("cohort", route(F.col("c_mktsegment"), MEN_SEGMENT, "men", "women"))
-    men = routed.filter(F.col("cohort") == "men")
-    women = routed.filter(F.col("cohort") != "men")
-    return men.unionByName(women).drop("c_mktsegment")
+    # both cohorts in one frame, told apart by a column: the concatenation
+    # of the two routed lists without reading the input twice
+    return j.withColumn("cohort", route(F.col("c_mktsegment"), MEN_SEGMENT, "men", "women")) \
+            .drop("c_mktsegment")
 
 
 @query("unmatched_labels", """
@@ -96,10 +96,8 @@ SELECT o_custkey, min(o_orderkey) AS first_order, arg_min(o_orderstatus, o_order
 FROM orders GROUP BY o_custkey""")
 def group_first(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    a = first_of_group(o, ["o_custkey"], "o_orderkey").withColumnRenamed("o_orderkey", "first_order")
-    b = first_of_group(o, ["o_custkey"], "o_orderstatus", order="o_orderkey") \
-        .withColumnRenamed("o_orderstatus", "first_status")
-    return a.join(b, "o_custkey")
+    return o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_order"),
+                                      F.min_by("o_orderstatus", "o_orderkey").alias("first_status"))
 
 
 @query("first_row", """
