@@ -109,3 +109,33 @@ def test_plain_division(spark):
     register_sql_functions(spark)
     t = ("/", 1.0, ("-", 2.0, 2.0))
     assert spark.range(1).select(F.expr(formula.render(t)).alias("v")).first()["v"] is None
+
+
+def test_run_extraction_end_to_end(spark, tmp_path):
+    from voxelframe.plans.extract import run_extraction
+    rng = np.random.default_rng(12)
+    wl = tmp_path / "worklist.csv"
+    pd.DataFrame({"path": [f"/data/{p}_{s}_LR.zip" for p in (100, 101) for s in (1, 2)],
+                  "people_number": [100, 100, 101, 101]}).to_csv(wl, index=False)
+    scans = [f"{p}_{s}_LR" for p in (100, 101) for s in (1, 2)]
+    rows = [(sc, v, t, float(rng.normal())) for sc in scans for v in range(30) for t in range(25)]
+    spark.createDataFrame(rows, "scan_id string, voxel_id bigint, t int, value double") \
+        .write.parquet(str(tmp_path / "vox"))
+    spark.createDataFrame([("harvard_oxford", v, v % 4) for v in range(30)], "atlas string, voxel_id bigint, label int") \
+        .write.parquet(str(tmp_path / "atlas"))
+    conf = [(sc, t, *map(float, rng.normal(size=5))) for sc in scans for t in range(25)]
+    spark.createDataFrame(conf, "scan_id string, t int, c0 double, c1 double, c2 double, c3 double, c4 double") \
+        .write.parquet(str(tmp_path / "conf"))
+    out = str(tmp_path / "regions")
+    s = run_extraction(spark, str(wl), str(tmp_path / "vox"), str(tmp_path / "atlas"), "harvard_oxford", out,
+                       confounds_path=str(tmp_path / "conf"), max_per_person=1)
+    got = {r["scan_id"]: r["n_timepoints"] for r in s.collect()}
+    assert got == {"100_1_LR": 25, "101_1_LR": 25}
+    back = spark.read.option("header", True).csv(out)
+    assert sorted(back.columns) == ["scan_id", "x0", "x1", "x2"]
+    # a second run into the same folder skips the scans already written
+    s2 = run_extraction(spark, str(wl), str(tmp_path / "vox"), str(tmp_path / "atlas"), "harvard_oxford", out)
+    assert sorted(r["scan_id"] for r in s2.collect()) == ["100_2_LR", "101_2_LR"]
+    assert spark.read.option("header", True).csv(out).select("scan_id").distinct().count() == 4
+    with pytest.raises(OSError):
+        run_extraction(spark, str(wl), str(tmp_path / "vox"), str(tmp_path / "atlas"), "other", out)

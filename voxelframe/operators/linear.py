@@ -88,6 +88,38 @@ def gram(df: DataFrame, vec: str, dim: int, center: np.ndarray | None = None) ->
     return n, g
 
 
+def gram_by(df: DataFrame, key: str, vec: str, dim: int, max_groups: int = 10_000) -> dict:
+    """{key value: (n, uncentred d x d cross products)} for every group, one
+    pass: each Arrow batch adds ``X.T @ X`` per group; only the d x d
+    matrices are summed across the cluster.  Use on centred / standardised
+    columns."""
+    iu, ju = np.triu_indices(dim)
+
+    def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = {}
+        for pdf in it:
+            for k, g in pdf.groupby(key):
+                x = np.stack(g[vec].to_numpy()).astype(np.float64)
+                a = acc.setdefault(k, [np.zeros((dim, dim)), 0])
+                a[0] += x.T @ x
+                a[1] += len(g)
+        for k, (g, n) in acc.items():
+            yield pd.DataFrame({"k": [k] * len(iu), "i": iu.astype(np.int32), "j": ju.astype(np.int32),
+                                "s": g[iu, ju], "n": np.full(len(iu), n, dtype=np.int64)})
+
+    ktype = df.schema[key].dataType.simpleString()
+    rows = (df.select(key, vec).mapInPandas(partial, f"k {ktype}, i int, j int, s double, n long")
+              .groupBy("k", "i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+              .limit(max_groups * dim * dim + 1).collect())
+    out = {}
+    for r in rows:
+        g = out.setdefault(r["k"], [np.zeros((dim, dim)), 0])
+        g[0][r["i"], r["j"]] = r["s"]
+        g[0][r["j"], r["i"]] = r["s"]
+        g[1] = r["n"]
+    return {k: (n, g) for k, (g, n) in out.items()}
+
+
 def covariance_from_gram(n: int, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     cov = g / n
     sd = np.sqrt(np.diag(cov))

@@ -54,3 +54,44 @@ def quarantine(stats: DataFrame, checks: dict) -> tuple[DataFrame, DataFrame]:
     s = stats.withColumn("error", err).withColumn(
         "status", F.when(F.col("error").isNull(), F.lit("ok")).otherwise(F.lit("error")))
     return s.filter(F.col("status") == "ok"), s.filter(F.col("status") == "error")
+
+
+def run_extraction(spark, worklist_path: str, voxel_path: str, atlas_path: str, atlas_name: str,
+                   out: str, target: str = "hdd", confounds_path: str | None = None,
+                   skip_existing: bool = True, standardize: bool = True, detrend: bool = False,
+                   max_per_person: int | None = None) -> DataFrame:
+    """The extraction job end to end.
+
+    work-list (path, person) -> scan ids from the paths -> optionally drop
+    scans already written -> their voxel rows (semi join) -> atlas labels
+    (unknown atlas fails first) -> region series (confounds optional) ->
+    sink ('hdd' per-scan CSV files, 'base' keyed table).  Returns the
+    summary (scan_id, person, n_timepoints) of what was written.
+    """
+    import os
+
+    from voxelframe.functions import paths
+    from voxelframe.operators.aggregates import atlas_labels
+    from voxelframe.operators.joins import first_n_per_key, skip_done, sized_broadcast
+    from voxelframe.sources import files, voxel
+
+    work = files.read_worklist(spark, worklist_path).withColumn(
+        "scan_id", paths.strip_extension(paths.last_part(F.col("path"))))
+    work = first_n_per_key(work, "person", ["path"], max_per_person)
+    if skip_existing and target == "hdd" and os.path.exists(out):
+        done = spark.read.option("header", True).csv(out).select("scan_id").distinct()
+        work = skip_done(work, done, ["scan_id"])
+    atlas = voxel.read_atlas(spark, atlas_path, atlas_name)
+    labels = atlas_labels(atlas, atlas_name)
+    vox = voxel.read_voxels(spark, voxel_path).join(
+        sized_broadcast(work.select("scan_id")), "scan_id", "left_semi")
+    conf = cols = None
+    if confounds_path is not None:
+        conf = spark.read.schema(voxel.CONFOUND_SCHEMA).parquet(confounds_path)
+        cols = [c for c in conf.columns if c not in ("scan_id", "t")]
+    wide = extract_regions(vox, atlas.select("voxel_id", "label"), labels, ["scan_id"], "t",
+                           confounds=conf, confound_cols=cols or (), standardize=standardize,
+                           detrend=detrend)
+    files.route_sink(wide, target, out, "scan_id")
+    return (wide.groupBy("scan_id").agg(F.count(F.lit(1)).alias("n_timepoints"))
+                .join(work.select("scan_id", "person"), "scan_id"))

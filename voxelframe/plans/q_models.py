@@ -235,3 +235,22 @@ def random_formula_fitness(spark, sf_dir):
     # a formula whose every row divides by zero has no error value (null)
     rows = [(r["formula_id"], r["expr"], r["length"], val(row[f"m{r['formula_id']}"])) for r in fs]
     return spark.createDataFrame(rows, "formula_id long, expr string, length int, mse double")
+
+
+@query("cohort_region_scores")
+def cohort_region_scores(spark, sf_dir):
+    """The modelling job on a region table: scan = supplier, time = ship
+    order, regions = the four numeric columns, person label = the
+    supplier's nation (nations 0-11 -> men), linear models for every region
+    per cohort, scores rounded half even to 4 digits."""
+    from voxelframe.operators.ordinal import add_ordinal, day_split
+    from voxelframe.plans.modelling import cohort_scores, prepare
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber",
+                                                 *REGION_COLS)
+    reg = add_ordinal(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], "t",
+                      split_by=day_split("l_shipdate"))
+    sup = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"),
+        F.when(F.col("s_nationkey") < 12, "M").otherwise("F").alias("gender"))
+    d = prepare(reg, sup, "l_suppkey", "t", REGION_COLS, "l_suppkey", "gender", "M")
+    return cohort_scores(d, REGION_COLS, method="ols", digits=4)

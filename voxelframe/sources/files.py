@@ -110,10 +110,12 @@ def write_per_scan(df: DataFrame, out: str, key: str, t: str = "t", fmt: str = "
     """One file per scan, rows in time order, no index column.
 
     Rows are hash-partitioned by the scan key so each scan is written by
-    exactly one task (one file per scan directory), sorted by ``t``.
+    exactly one task (one file per scan directory), sorted by ``t``.  Only
+    the scans being written are replaced (dynamic partition overwrite), so
+    a retried or incremental run never removes other scans.
     """
     w = (df.repartition(key).sortWithinPartitions(key, t).drop(t)
-           .write.mode(mode).partitionBy(key))
+           .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(key))
     if fmt == "csv":
         w.option("header", True).csv(out)
     else:
