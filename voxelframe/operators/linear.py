@@ -13,7 +13,7 @@ from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -88,27 +88,32 @@ def gram(df: DataFrame, vec: str, dim: int, center: np.ndarray | None = None) ->
     return n, g
 
 
-def gram_by(df: DataFrame, key: str, vec: str, dim: int, max_groups: int = 10_000) -> dict:
-    """{key value: (n, uncentred d x d cross products)} for every group, one
-    pass: each Arrow batch adds ``X.T @ X`` per group; only the d x d
-    matrices are summed across the cluster.  Use on centred / standardised
-    columns."""
+def gram_by(df: DataFrame, key: str, cols: Sequence[str], max_groups: int = 10_000) -> dict:
+    """{key value: (n, uncentred d x d cross products of ``cols``)} for every
+    group in one pass: each Arrow batch adds ``X.T @ X`` per group (columns
+    arrive as contiguous double vectors); only the d x d matrices are summed
+    across the cluster.  Use on centred / standardised columns."""
+    cols = list(cols)
+    dim = len(cols)
     iu, ju = np.triu_indices(dim)
 
     def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc = {}
         for pdf in it:
-            for k, g in pdf.groupby(key):
-                x = np.stack(g[vec].to_numpy()).astype(np.float64)
+            keys = pdf[key].to_numpy()
+            x_all = pdf[cols].to_numpy(dtype=np.float64)
+            for k in pd.unique(keys):
+                x = x_all[keys == k]
                 a = acc.setdefault(k, [np.zeros((dim, dim)), 0])
                 a[0] += x.T @ x
-                a[1] += len(g)
+                a[1] += len(x)
         for k, (g, n) in acc.items():
             yield pd.DataFrame({"k": [k] * len(iu), "i": iu.astype(np.int32), "j": ju.astype(np.int32),
                                 "s": g[iu, ju], "n": np.full(len(iu), n, dtype=np.int64)})
 
     ktype = df.schema[key].dataType.simpleString()
-    rows = (df.select(key, vec).mapInPandas(partial, f"k {ktype}, i int, j int, s double, n long")
+    rows = (df.select(key, *[F.col(c).cast("double") for c in cols])
+              .mapInPandas(partial, f"k {ktype}, i int, j int, s double, n long")
               .groupBy("k", "i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
               .limit(max_groups * dim * dim + 1).collect())
     out = {}

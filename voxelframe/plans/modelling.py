@@ -61,7 +61,7 @@ def cohort_scores(d: DataFrame, cols: Sequence[str], method: str = "ols", alpha:
             "cohort string, " + ", ".join([f"m_{c} double" for c in cols] + [f"s_{c} double" for c in cols]))
         z = d.join(F.broadcast(stats), "cohort").select(
             "cohort", "split", *[((F.col(c) - F.col(f"m_{c}")) / F.col(f"s_{c}")).alias(c) for c in cols])
-        grams = linear.gram_by(z.filter(tr).select("cohort", F.array(*cols).alias("v")), "cohort", "v", len(cols))
+        grams = linear.gram_by(z.filter(tr), "cohort", cols)
         weights = {}
         for k, (n, g) in grams.items():
             cov = g / max(n, 1)       # standardised train rows have mean 0

@@ -243,12 +243,12 @@ def cohort_region_scores(spark, sf_dir):
     order, regions = the four numeric columns, person label = the
     supplier's nation (nations 0-11 -> men), linear models for every region
     per cohort, scores rounded half even to 4 digits."""
-    from voxelframe.operators.ordinal import add_ordinal, day_split
+    from voxelframe.operators.ordinal import add_ordinal, month_split
     from voxelframe.plans.modelling import cohort_scores, prepare
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber",
                                                  *REGION_COLS)
     reg = add_ordinal(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], "t",
-                      split_by=day_split("l_shipdate"))
+                      split_by=month_split("l_shipdate"))
     sup = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"),
         F.when(F.col("s_nationkey") < 12, "M").otherwise("F").alias("gender"))

@@ -12,7 +12,7 @@ from voxelframe.functions.regions import first_missing, pairwise_products
 from voxelframe.operators.aggregates import distinct_sorted_int, region_means
 from voxelframe.operators.asof import asof_join
 from voxelframe.operators.joins import expand_worklist, label_lookup, route, skip_done
-from voxelframe.operators.ordinal import add_ordinal, numeric_split
+from voxelframe.operators.ordinal import add_ordinal
 from voxelframe.plans.registry import query
 from voxelframe.plans.stand_ins import (ATLAS, DATASET, MEN_SEGMENT, REGION_COLS, ROW_KEY_PREFIX,
                                         SERIES_SQL, series)

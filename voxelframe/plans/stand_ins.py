@@ -12,7 +12,6 @@ keyed rows = orders with row key 'HCP_' || o_custkey, version o_orderkey
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from voxelframe.operators.ordinal import add_ordinal, day_split
 from voxelframe.tables import table

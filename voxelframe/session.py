@@ -23,6 +23,29 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, input_bytes: int, partition_bytes: int = 256 << 20,
+                 broadcast_bytes: int = 64 << 20) -> dict:
+    """Settings sized for a cluster run (pass as ``extra`` to build_session
+    or to spark-submit).
+
+    Scan splits and shuffle partitions of ~``partition_bytes`` keep every
+    task's working set well inside executor memory (window and aggregate
+    operators spill beyond that); AQE coalesces small shuffle partitions
+    and splits skewed ones larger than the same size.  E.g. 100 TB on
+    8,000 cores -> 409,600 shuffle partitions before coalescing.
+    """
+    import math
+    parts = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "voxelframe", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
