@@ -139,3 +139,25 @@ def test_run_extraction_end_to_end(spark, tmp_path):
     assert spark.read.option("header", True).csv(out).select("scan_id").distinct().count() == 4
     with pytest.raises(OSError):
         run_extraction(spark, str(wl), str(tmp_path / "vox"), str(tmp_path / "atlas"), "other", out)
+
+
+def test_tournament_select(spark):
+    fit = spark.createDataFrame([(i, float((i * 7) % 11)) for i in range(50)], "formula_id long, fitness double")
+    w = formula.tournament_select(fit, n_slots=200, k=5, seed=1).toPandas()
+    assert len(w) == 200 and w["slot"].nunique() == 200
+    # winners are better than the average contestant
+    assert w["fitness"].mean() < 5.0 * 0.8
+    w2 = formula.tournament_select(fit.repartition(7), n_slots=200, k=5, seed=1).toPandas()
+    assert w.sort_values("slot")["formula_id"].tolist() == w2.sort_values("slot")["formula_id"].tolist()
+    one = formula.tournament_select(fit, n_slots=30, k=50, seed=2).toPandas()
+    assert one["fitness"].max() <= 1.0
+
+
+def test_label_lookup_strict(spark):
+    from voxelframe.operators.joins import label_lookup, unmatched
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "person long, v string")
+    labels = spark.createDataFrame([(1, "M"), (2, "F")], "person long, gender string")
+    assert label_lookup(rows, labels, "person").count() == 2
+    assert [r["person"] for r in unmatched(rows, labels, "person").collect()] == [3]
+    with pytest.raises(KeyError):
+        label_lookup(rows, labels, "person", strict=True)

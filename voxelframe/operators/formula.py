@@ -317,3 +317,28 @@ def formula_rows(spark, found: dict) -> DataFrame:
 def save_formulas(rows: DataFrame, path: str) -> None:
     """Append found formulas to the formula table (Parquet)."""
     rows.write.mode("append").parquet(path)
+
+
+def tournament_select(fit: DataFrame, n_slots: int, k: int, seed: int = 0,
+                      id_col: str = "formula_id", score: str = "fitness") -> DataFrame:
+    """Tournament selection as a Spark job: each of ``n_slots`` slots draws
+    ``k`` contestants by a seeded hash of (slot, draw) and keeps the fittest.
+
+    Contestants are addressed by their dense position in the population,
+    so the draw is one equi-join, and the fan-out is exactly n_slots * k
+    rows -- never all pairs.
+    """
+    spark = fit.sparkSession
+    from pyspark.sql import Window
+
+    from voxelframe.operators.ordinal import add_ordinal, numeric_split
+    n = fit.count()
+    # dense positions, numbered per id range (no single-task global window)
+    pos = add_ordinal(fit, [], [id_col], "_pos", split_by=numeric_split(id_col, 100_000))
+    draws = (spark.range(n_slots).withColumnRenamed("id", "slot")
+                  .withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+                  .withColumn("_pos", F.pmod(F.xxhash64(F.lit(seed), F.col("slot"), F.col("draw")), F.lit(n))))
+    j = draws.join(pos, "_pos")
+    w = Window.partitionBy("slot").orderBy(F.col(score), F.col(id_col))
+    return (j.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
+             .select("slot", id_col, score))

@@ -354,3 +354,12 @@ def hv_confounds(spark, sf_dir):
     long = _emb_long(spark, sf_dir).select("label", "pos", F.col("vec_id").alias("t"), "v")
     c = high_variance_confounds(long, ["label"], "pos", "t", "v", n_confounds=5, percentile=2.0)
     return c.select("label", "t", *[r6(F.col(f"c{i}")).alias(f"c{i}") for i in range(5)])
+
+
+@query("tournament_winners")
+def tournament_winners(spark, sf_dir):
+    """One round of tournament selection (8 slots, 3 contestants each) over
+    the fitness of the formula table on lineitem."""
+    fit = formula.fitness(table(spark, sf_dir, "lineitem"), {i: t for i, (_, t) in FORMULAS.items()},
+                          {i: y for i, (y, _) in FORMULAS.items()}, parsimony=PARSIMONY)
+    return formula.tournament_select(fit, n_slots=8, k=3, seed=0)
