@@ -64,3 +64,19 @@ def test_exact_quantiles(spark):
         for c in "abcd":
             want = np.nanpercentile(pdf[c].to_numpy(), [p * 100 for p in probs])
             np.testing.assert_allclose(got[c], want, rtol=0, atol=1e-12)
+
+
+def test_nan_is_missing(spark):
+    from voxelframe.operators.aggregates import describe
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    r = describe(df, ["x"]).first()
+    assert r["count"] == 2 and r["mean"] == 2.0 and r["q50"] == 2.0 and r["max"] == 3.0
+
+
+def test_asof_name_clash(spark):
+    l = spark.createDataFrame([(1, 1, 1.0)], "k long, time long, v double")
+    r = spark.createDataFrame([(1, 0, 2.0)], "k long, time long, v double")
+    with pytest.raises(ValueError):
+        asof_join(l, r, ["k"], "time")
+    got = asof_join(l, r, ["k"], "time", right_prefix="r_").first()
+    assert got["r_v"] == 2.0 and got["r_time"] == 0

@@ -76,6 +76,16 @@ def first_of_group(df: DataFrame, keys: Sequence[str], col: str, order: str | No
     return df.groupBy(*keys).agg(agg.alias(col))
 
 
+def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """NaN -> null for floating columns (Spark counts and averages NaN,
+    pandas skips it)."""
+    types = dict(df.dtypes)
+    for c in cols:
+        if types.get(c) in ("double", "float"):
+            df = df.withColumn(c, F.nanvl(F.col(c), F.lit(None).cast(types[c])))
+    return df
+
+
 # ---------------------------------------------------------------- quantiles
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     bins: int = 1024, max_candidates: int = 20_000, max_iter: int = 64,
@@ -90,6 +100,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     off.  Returns ``{col: [q for q in probs]}`` (None for an all-null column).
     """
     cols = list(cols)
+    df = nan_to_null(df, cols)
     if bounds is not None:  # {col: (count, min, max)} already known
         st = {}
         for i, c in enumerate(cols):
@@ -183,6 +194,7 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     column (the shape of a transposed pandas ``describe``).  One aggregate
     pass for the moments and bounds, then the exact quartiles."""
     spark = df.sparkSession
+    df = nan_to_null(df, cols)
     base = df.agg(*[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"),
                              F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
                              F.max(c).cast("double").alias("max")).alias(f"s{i}")

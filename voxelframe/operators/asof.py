@@ -46,6 +46,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
     out_names = {c: right_prefix + c for c in payload}
     rt_name = right_prefix + on if right_prefix else None
     lcols = left.columns
+    clash = set(lcols) & (set(out_names.values()) | ({rt_name} if rt_name else set()))
+    if clash:
+        raise ValueError(f"right columns {sorted(clash)} clash with left columns; set right_prefix")
 
     rstruct = F.struct(F.col(on).alias("_rt"), *[F.col(c).alias(out_names[c]) for c in payload])
     L = left.withColumn("_b", _bucket(on, bucket)).withColumn("_side", F.lit(1))
