@@ -94,6 +94,11 @@ def asof_cogroup(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
     key, the one row carried in from earlier buckets.
     """
     by = list(by)
+    # fresh attributes on each side: when both sides come from one scan they
+    # share attribute ids, and the cogrouped Python runner must not mistake
+    # the right side's key/time columns for the left's
+    left = left.select(*[F.col(c).alias(c) for c in left.columns])
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
     hb = F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(key_buckets))
     L = left.withColumn("_b", _bucket(on, bucket)).withColumn("_hb", hb)
     R = right.withColumn("_b", _bucket(on, bucket)).withColumn("_hb", hb)
