@@ -161,3 +161,36 @@ def test_label_lookup_strict(spark):
     assert [r["person"] for r in unmatched(rows, labels, "person").collect()] == [3]
     with pytest.raises(KeyError):
         label_lookup(rows, labels, "person", strict=True)
+
+
+def test_exact_size_split(spark):
+    import math
+    from voxelframe.operators.split import exact_size_split
+    for n in (1, 10, 997, 5000):
+        df = spark.range(n).repartition(7)
+        s = exact_size_split(df, ["id"], 0.3, seed=4).toPandas()
+        assert (s["split"] == "test").sum() == math.ceil(0.3 * n)
+    a = exact_size_split(spark.range(997), ["id"], 0.3, seed=4).toPandas().sort_values("id")
+    b = exact_size_split(spark.range(997).repartition(3), ["id"], 0.3, seed=4).toPandas().sort_values("id")
+    assert list(a["split"]) == list(b["split"])
+
+
+def test_csv_headers_in_any_order(spark, tmp_path):
+    d = tmp_path / "roi"
+    d.mkdir()
+    pd.DataFrame({"x0": [1.0, 2.0], "x1": [10.0, 20.0]}).to_csv(d / "100_1.csv", index=False)
+    pd.DataFrame({"x1": [30.0, 40.0, 50.0], "x0": [3.0, 4.0, 5.0]}).to_csv(d / "101_1.csv", index=False)
+    df = files.read_region_csvs_any_order(spark, str(d)).toPandas().sort_values(["person", "t"])
+    assert list(df["x0"]) == [1.0, 2.0, 3.0, 4.0, 5.0]
+    assert list(df["x1"]) == [10.0, 20.0, 30.0, 40.0, 50.0]
+    assert list(df["t"]) == [0, 1, 0, 1, 2]
+
+
+def test_trees_all_regions(spark):
+    df = spark.range(300).select(F.rand(1).alias("a"), F.rand(2).alias("b")) \
+        .withColumn("c", F.col("a") + F.col("b")) \
+        .withColumn("split", F.when(F.rand(3) < 0.3, "test").otherwise("train"))
+    imp, sc = trees.fit_all_regions(df, ["a", "b", "c"], max_iter=3, split_col="split")
+    assert imp.count() == 6 and sc.count() == 6
+    c = {r["split"]: r["r2"] for r in sc.filter(F.col("region") == "c").collect()}
+    assert c["train"] > 0.5

@@ -179,8 +179,10 @@ def fitness_numpy(df: DataFrame, trees: dict, target: str, features: Sequence[st
         h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols]), F.lit(1_000_000))
         d = d.filter(h < F.lit(int(sample_frac * 1_000_000)))
     feats = list(features)
+    bc = df.sparkSession.sparkContext.broadcast(trees)   # the population, once per executor
 
     def run(it):
+        trees = bc.value
         sse = {fid: 0.0 for fid in trees}
         n = 0
         for pdf in it:
@@ -197,6 +199,7 @@ def fitness_numpy(df: DataFrame, trees: dict, target: str, features: Sequence[st
 
     rows = (d.select(*needed).mapInPandas(run, "formula_id long, sse double, n long")
               .groupBy("formula_id").agg(F.sum("sse").alias("sse"), F.sum("n").alias("n")).collect())
+    bc.unpersist()
     out = {}
     for r in rows:
         mse = r["sse"] / r["n"] if r["n"] else float("inf")

@@ -137,8 +137,10 @@ def score(df: DataFrame, cols: Sequence[str], nets: dict, split_col: str | None
     """Metrics of every region's net, one pass, per split (if given)."""
     cols = list(cols)
     sel = cols + ([split_col] if split_col else [])
+    bc = df.sparkSession.sparkContext.broadcast(nets)   # shipped once per executor
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        nets = bc.value
         acc = {}
         for pdf in it:
             if len(pdf) == 0:
@@ -177,10 +179,12 @@ def train(df: DataFrame, cols: Sequence[str], nets: dict, steps: int, lr: float
     state = {r: {"p": flatten(l), "m": 0.0, "v": 0.0} for r, l in nets.items()}
     history = []
     gschema = "region string, g array<double>, " + METRIC_SCHEMA.split(", ", 1)[1]
+    sc = df.sparkSession.sparkContext
     for step in range(1, steps + 1):
-        cur = {r: unflatten(s["p"], d_in) for r, s in state.items()}
+        bc = sc.broadcast({r: unflatten(s["p"], d_in) for r, s in state.items()})
 
-        def run(it: Iterator[pd.DataFrame], cur=cur) -> Iterator[pd.DataFrame]:
+        def run(it: Iterator[pd.DataFrame], bc=bc) -> Iterator[pd.DataFrame]:
+            cur = bc.value
             gacc, macc = {}, {}
             for pdf in it:
                 if len(pdf) == 0:
@@ -220,6 +224,7 @@ def train(df: DataFrame, cols: Sequence[str], nets: dict, steps: int, lr: float
 
         res = (df.select(*cols, split_col).mapInPandas(run, gschema)
                  .groupBy("region", "split").applyInPandas(add, gschema).collect())
+        bc.unpersist()
         met = {}
         for r in res:
             met[(r["region"], r["split"])] = r

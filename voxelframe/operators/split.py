@@ -39,3 +39,34 @@ def split_by_key(df: DataFrame, key: str, test_frac: float = 0.3, seed: int = 0,
 
 def minibatch_id(t: Column, batch_size: int) -> Column:
     return F.floor(t / F.lit(batch_size)).cast("bigint")
+
+
+def exact_size_split(df: DataFrame, id_cols: Sequence[str], test_frac: float = 0.3, seed: int = 0,
+                     name: str = "split") -> DataFrame:
+    """Seeded split with exactly ceil(test_frac * n) test rows.
+
+    Rows are ranked by a 52-bit hash of their identity (exact in double);
+    the hash value at rank k is found with the distributed exact-quantile
+    search, rows below it are 'test', and only the rows tied at that value
+    (hash collisions, a handful) are ordered by a second hash to fill the
+    remaining places.
+    """
+    import math
+
+    from voxelframe.operators.aggregates import exact_quantiles
+    ids = [F.col(c) for c in id_cols]
+    d = df.withColumn("_h", F.pmod(F.xxhash64(F.lit(seed), *ids), F.lit(1 << 52)).cast("double")) \
+          .withColumn("_h2", F.xxhash64(F.lit(seed + 1), *ids))
+    n = d.count()
+    k = math.ceil(test_frac * n)
+    if k == 0:
+        return d.withColumn(name, F.lit("train")).drop("_h", "_h2")
+    if k >= n:
+        return d.withColumn(name, F.lit("test")).drop("_h", "_h2")
+    thr = exact_quantiles(d, ["_h"], [(k - 1) / (n - 1)])["_h"][0]
+    below = d.filter(F.col("_h") < F.lit(thr)).count()
+    need = k - below
+    tied = (d.filter(F.col("_h") == F.lit(thr)).select("_h2").orderBy("_h2").limit(need).collect())
+    cut2 = tied[-1]["_h2"]
+    is_test = (F.col("_h") < F.lit(thr)) | ((F.col("_h") == F.lit(thr)) & (F.col("_h2") <= F.lit(cut2)))
+    return d.withColumn(name, F.when(is_test, F.lit("test")).otherwise(F.lit("train"))).drop("_h", "_h2")

@@ -46,3 +46,32 @@ def save_model(model, path: str) -> None:
 def load_model(path: str):
     from pyspark.ml.regression import GBTRegressionModel
     return GBTRegressionModel.load(path)
+
+
+def fit_all_regions(df: DataFrame, cols: Sequence[str], max_iter: int = 500, split_col: str | None = None,
+                    **kw):
+    """Boosted trees for every region from all the others.
+
+    The input is cached once and read by every fit (tree training itself is
+    iterative inside Spark ML).  Returns (importance rows, score rows
+    (region, split, n, r2, mae)) as DataFrames.
+    """
+    from pyspark import StorageLevel
+
+    from voxelframe.operators.metrics import regression_metrics
+    spark = df.sparkSession
+    keep = list(cols) + ([split_col] if split_col else [])
+    d = df.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    imps, scores = [], []
+    try:
+        for target in cols:
+            train = d.filter(F.col(split_col) == "train") if split_col else d
+            model, feats, va = fit_region(train, cols, target, max_iter=max_iter, **kw)
+            imps += [(target, f, float(v)) for f, v in zip(feats, model.featureImportances.toArray())]
+            pred = predict(model, va, d)
+            m = regression_metrics(pred, [split_col] if split_col else [], target, "_pred").collect()
+            scores += [(target, r[split_col] if split_col else "all", int(r["n"]), r["r2"], r["mae"]) for r in m]
+    finally:
+        d.unpersist()
+    return (spark.createDataFrame(imps, "region string, feature string, importance double"),
+            spark.createDataFrame(scores, "region string, split string, n bigint, r2 double, mae double"))

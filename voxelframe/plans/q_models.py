@@ -254,3 +254,11 @@ def cohort_region_scores(spark, sf_dir):
         F.when(F.col("s_nationkey") < 12, "M").otherwise("F").alias("gender"))
     d = prepare(reg, sup, "l_suppkey", "t", REGION_COLS, "l_suppkey", "gender", "M")
     return cohort_scores(d, REGION_COLS, method="ols", digits=4)
+
+
+@query("exact_split")
+def exact_split(spark, sf_dir):
+    """Seeded split with exactly ceil(0.3 n) test rows (hash-ranked)."""
+    from voxelframe.operators.split import exact_size_split
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return exact_size_split(li, ["l_orderkey", "l_linenumber"], 0.3, seed=0)

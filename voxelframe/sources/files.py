@@ -27,7 +27,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LABELS_SCHEMA).option("header", True).csv(path)
 
 
-def read_region_csvs(spark: SparkSession, path: str, schema: str | None = None,
+def read_region_csvs(spark: SparkSession, path, schema: str | None = None,
                      t: str = "t") -> DataFrame:
     """All per-scan region CSVs under ``path`` with their provenance.
 
@@ -54,6 +54,34 @@ def read_region_csvs(spark: SparkSession, path: str, schema: str | None = None,
               .drop("_blk", "_mid"))
 
 
+def read_region_csvs_any_order(spark: SparkSession, path: str, max_files: int = 1_000_000,
+                               t: str = "t") -> DataFrame:
+    """Per-scan CSVs whose headers may list the regions in different orders.
+
+    The first line of every file is found with Spark (one row per file, a
+    bounded list), files are grouped by header, each group is read with
+    its own column order and the groups are concatenated by name -- so a
+    file with header ``x1,x0`` is never bound by position.
+    """
+    lines = (spark.read.text(path)
+                  .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                          F.monotonically_increasing_id().alias("m"), "value"))
+    heads = (lines.filter(F.col("b") == 0)
+                  .groupBy("f").agg(F.min_by("value", "m").alias("header"))
+                  .limit(max_files + 1).collect())
+    if len(heads) > max_files:
+        raise ValueError("too many files")
+    groups: dict = {}
+    for r in heads:
+        groups.setdefault(r["header"], []).append(r["f"])
+    out = None
+    for header, fs in groups.items():
+        schema = ", ".join(f"`{c.strip()}` double" for c in header.split(","))
+        part = read_region_csvs(spark, fs, schema=schema, t=t)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def count_files(spark: SparkSession, pattern: str) -> int:
     """Number of files matching a glob; only the path column is read."""
     return spark.read.format("binaryFile").load(pattern).select("path").count()
