@@ -194,3 +194,23 @@ def test_trees_all_regions(spark):
     assert imp.count() == 6 and sc.count() == 6
     c = {r["split"]: r["r2"] for r in sc.filter(F.col("region") == "c").collect()}
     assert c["train"] > 0.5
+
+
+def test_exact_size_split_many_sizes(spark):
+    import math
+    from voxelframe.operators.split import exact_size_split
+    for n in (2, 3, 7, 101, 1234, 3333):
+        s = exact_size_split(spark.range(n), ["id"], 0.37, seed=n).toPandas()
+        assert (s["split"] == "test").sum() == math.ceil(0.37 * n), n
+
+
+def test_values_at_ranks(spark):
+    from voxelframe.operators.aggregates import values_at_ranks
+    rng = np.random.default_rng(13)
+    x = np.round(rng.normal(size=5000), 2)   # many ties
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    ranks = [0, 1, 17, 2499, 2500, 4998, 4999]
+    got = values_at_ranks(df, {"x": ranks}, bins=16, max_candidates=40)
+    srt = np.sort(x)
+    for r in ranks:
+        assert got[("x", r)] == srt[r]

@@ -87,73 +87,65 @@ def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- quantiles
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    bins: int = 1024, max_candidates: int = 20_000, max_iter: int = 64,
-                    bounds: dict | None = None) -> dict:
-    """Exact linear-interpolation quantiles of each column (NumPy's default).
+def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 1024, max_candidates: int = 20_000,
+                    max_iter: int = 64, bounds: dict | None = None) -> dict:
+    """Exact values at 0-based ranks of numeric columns, nulls/NaN skipped.
 
+    ``wanted`` is {column: [rank, ...]}; returns {(column, rank): value}.
     No column is ever gathered in one place: each round is one distributed
     job that histograms, per target rank, the values still in question
     (count, min and max per bin); the bin holding the rank becomes the new
     interval.  Once an interval holds at most ``max_candidates`` values
     they are fetched (one job for all such targets) and the rank is read
-    off.  Returns ``{col: [q for q in probs]}`` (None for an all-null column).
+    off.  ``bounds`` {column: (count, min, max)} skips the first pass.
     """
-    cols = list(cols)
+    cols = list(wanted)
     df = nan_to_null(df, cols)
-    if bounds is not None:  # {col: (count, min, max)} already known
-        st = {}
-        for i, c in enumerate(cols):
-            st[f"n{i}"], st[f"lo{i}"], st[f"hi{i}"] = bounds[c]
-    else:
+    if bounds is None:
         st = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
                     *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                     *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-    # target (col index, rank) -> interval [lo, hi] holding that rank,
-    # ``below`` values smaller than lo, ``count`` values inside
+        bounds = {c: (st[f"n{i}"], st[f"lo{i}"], st[f"hi{i}"]) for i, c in enumerate(cols)}
     state = {}
-    for i, _ in enumerate(cols):
-        n = st[f"n{i}"]
-        if not n:
-            continue
-        for p in probs:
-            k = int(p * (n - 1))
-            for r in {k, min(k + 1, n - 1)}:
-                state.setdefault((i, r), {"lo": float(st[f"lo{i}"]), "hi": float(st[f"hi{i}"]),
-                                          "below": 0, "count": n, "value": None})
+    for i, c in enumerate(cols):
+        n, lo, hi = bounds[c]
+        for r in wanted[c]:
+            if not n or r < 0 or r >= n:
+                raise ValueError(f"rank {r} outside 0..{n - 1} for {c}")
+            state[(i, r)] = {"lo": float(lo), "hi": float(hi), "below": 0, "count": n, "value": None}
 
-    def in_interval(i, s):
+    def in_interval(i, lo, hi):
         x = F.col(cols[i]).cast("double")
-        return x, (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
+        return x, (x >= F.lit(lo)) & (x <= F.lit(hi))
 
     for _ in range(max_iter):
-        for s in state.values():
-            if s["value"] is None and s["lo"] == s["hi"]:
-                s["value"] = s["lo"]
-        open_t = [(k, s) for k, s in state.items() if s["value"] is None]
+        for s_ in state.values():
+            if s_["value"] is None and s_["lo"] == s_["hi"]:
+                s_["value"] = s_["lo"]
+        open_t = [(k, s_) for k, s_ in state.items() if s_["value"] is None]
         if not open_t:
             break
-        small = [(k, s) for k, s in open_t if s["count"] <= max_candidates]
-        big = [(k, s) for k, s in open_t if s["count"] > max_candidates]
+        small = [(k, s_) for k, s_ in open_t if s_["count"] <= max_candidates]
+        big = [(k, s_) for k, s_ in open_t if s_["count"] > max_candidates]
         if small:
             entries = []
-            for tid, ((i, r), s) in enumerate(small):
-                x, cond = in_interval(i, s)
+            for tid, ((i, r), s_) in enumerate(small):
+                x, cond = in_interval(i, s_["lo"], s_["hi"])
                 entries.append(F.when(cond, F.struct(F.lit(tid).alias("tid"), x.alias("x"))))
             got = {}
             arr = F.filter(F.array(*entries), lambda e: e.isNotNull())
             for row in df.select(F.explode(arr).alias("e")).select("e.tid", "e.x").collect():
                 got.setdefault(row["tid"], []).append(row["x"])
-            for tid, ((i, r), s) in enumerate(small):
-                s["value"] = sorted(got[tid])[r - s["below"]]
+            for tid, ((i, r), s_) in enumerate(small):
+                s_["value"] = sorted(got[tid])[r - s_["below"]]
         if big:
             # targets sharing a column and an interval share one histogram
             ivs = {}
-            for (i, r), s in big:
-                ivs.setdefault((i, s["lo"], s["hi"]), len(ivs))
+            for (i, r), s_ in big:
+                ivs.setdefault((i, s_["lo"], s_["hi"]), len(ivs))
             entries = []
             for (i, lo, hi), iid in ivs.items():
-                x, cond = in_interval(i, {"lo": lo, "hi": hi})
+                x, cond = in_interval(i, lo, hi)
                 b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1))
                 entries.append(F.when(cond, F.struct(F.lit(iid).alias("iid"), b.cast("int").alias("bin"),
                                                      x.alias("x"))))
@@ -165,16 +157,43 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             per = {}
             for row in h:
                 per.setdefault(row["iid"], []).append((row["bin"], row["c"], row["mn"], row["mx"]))
-            for (i, r), s in big:
-                acc = s["below"]
-                for b, c, mn, mx in sorted(per.get(ivs[(i, s["lo"], s["hi"])], [])):
+            for (i, r), s_ in big:
+                acc = s_["below"]
+                for b, c, mn, mx in sorted(per.get(ivs[(i, s_["lo"], s_["hi"])], [])):
                     if r < acc + c:
-                        s.update(lo=mn, hi=mx, below=acc, count=c)
+                        s_.update(lo=mn, hi=mx, below=acc, count=c)
                         break
                     acc += c
+    return {(cols[i], r): s_["value"] for (i, r), s_ in state.items()}
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    bins: int = 1024, max_candidates: int = 20_000, max_iter: int = 64,
+                    bounds: dict | None = None) -> dict:
+    """Exact linear-interpolation quantiles of each column (NumPy's default):
+    the values at ranks floor(p (n-1)) and the next one, interpolated.
+    Returns ``{col: [q for q in probs]}`` (None for an all-null column)."""
+    cols = list(cols)
+    df = nan_to_null(df, cols)
+    if bounds is None:
+        st = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                    *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+                    *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+        bounds = {c: (st[f"n{i}"], st[f"lo{i}"], st[f"hi{i}"]) for i, c in enumerate(cols)}
+    wanted = {}
+    for c in cols:
+        n = bounds[c][0]
+        if n:
+            ks = set()
+            for p in probs:
+                k = int(p * (n - 1))
+                ks |= {k, min(k + 1, n - 1)}
+            wanted[c] = sorted(ks)
+    vals = values_at_ranks(df, wanted, bins, max_candidates, max_iter,
+                           {c: bounds[c] for c in wanted}) if wanted else {}
     out = {}
-    for i, c in enumerate(cols):
-        n = st[f"n{i}"]
+    for c in cols:
+        n = bounds[c][0]
         res = []
         for p in probs:
             if not n:
@@ -182,8 +201,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 continue
             h = p * (n - 1)
             k = int(h)
-            a = state[(i, k)]["value"]
-            b = state[(i, min(k + 1, n - 1))]["value"]
+            a = vals[(c, k)]
+            b = vals[(c, min(k + 1, n - 1))]
             res.append(a + (b - a) * (h - k))
         out[c] = res
     return out

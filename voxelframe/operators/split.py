@@ -53,7 +53,7 @@ def exact_size_split(df: DataFrame, id_cols: Sequence[str], test_frac: float = 0
     """
     import math
 
-    from voxelframe.operators.aggregates import exact_quantiles
+    from voxelframe.operators.aggregates import values_at_ranks
     ids = [F.col(c) for c in id_cols]
     d = df.withColumn("_h", F.pmod(F.xxhash64(F.lit(seed), *ids), F.lit(1 << 52)).cast("double")) \
           .withColumn("_h2", F.xxhash64(F.lit(seed + 1), *ids))
@@ -63,7 +63,7 @@ def exact_size_split(df: DataFrame, id_cols: Sequence[str], test_frac: float = 0
         return d.withColumn(name, F.lit("train")).drop("_h", "_h2")
     if k >= n:
         return d.withColumn(name, F.lit("test")).drop("_h", "_h2")
-    thr = exact_quantiles(d, ["_h"], [(k - 1) / (n - 1)])["_h"][0]
+    thr = values_at_ranks(d, {"_h": [k - 1]})[("_h", k - 1)]
     below = d.filter(F.col("_h") < F.lit(thr)).count()
     need = k - below
     tied = (d.filter(F.col("_h") == F.lit(thr)).select("_h2").orderBy("_h2").limit(need).collect())
