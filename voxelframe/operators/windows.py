@@ -26,6 +26,8 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str]
     values in its frame (a rolling mean followed by dropping incomplete rows).
     ``block``: when set, the series is processed in blocks of ``block``
     positions, each carrying ``window - 1`` halo rows from the block before.
+    The block split needs ``t`` to be the contiguous ordinal 0..n-1 (as
+    produced by ``add_ordinal``); without ``block`` any ordering column works.
     """
     keys = list(keys)
     lag = window - 1
