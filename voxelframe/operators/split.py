@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 
 def sequential_split(df: DataFrame, keys: Sequence[str], t: str, train_frac: float = 0.7,
-                     name: str = "split") -> DataFrame:
+                     name: str = "split", counts: DataFrame | None = None) -> DataFrame:
     """First ``int(train_frac * n)`` time points of each series are 'train'.
 
-    n per series comes from a grouped count joined back (not a window over
-    the whole series), so long series do not land in one task.
+    n per series comes from a grouped count (partial aggregation) joined
+    back with a size-proven broadcast -- not a window over the whole series
+    -- so long series do not land in one task.  ``counts`` (keys, ``_n``)
+    may be given when it is cheaper to count the source than ``df``.
     """
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    from voxelframe.operators.joins import broadcast_if_small
+    n = counts if counts is not None else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    n = broadcast_if_small(n)
     cut = F.floor(F.lit(train_frac) * F.col("_n"))
     return (df.join(n, list(keys))
               .withColumn(name, F.when(F.col(t) < cut, F.lit("train")).otherwise(F.lit("test")))

@@ -103,7 +103,9 @@ WITH o AS ({SERIES_SQL}), c AS (SELECT *, count(*) OVER (PARTITION BY user_id) A
 SELECT user_id, t, CASE WHEN t < floor(0.7 * n) THEN 'train' ELSE 'test' END AS split FROM c""")
 def seq_split(spark, sf_dir):
     s = series(spark, sf_dir, cols=("event_id", "ts", "user_id"))
-    return sequential_split(s, ["user_id"], "t", 0.7).select("user_id", "t", "split")
+    # series lengths straight from the source rows (no need for t)
+    n = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    return sequential_split(s, ["user_id"], "t", 0.7, counts=n).select("user_id", "t", "split")
 
 
 @query("time_mask", f"""

@@ -212,12 +212,12 @@ r AS (SELECT user_id, t, value FROM o),
 j AS (SELECT r.user_id, r.t, r.value, c.c0 FROM r JOIN c USING (user_id, t))
 SELECT user_id, t, {sql_r6("value - (avg(value) OVER (PARTITION BY user_id) + coalesce(regr_slope(value, c0) OVER (PARTITION BY user_id), 0) * (c0 - avg(c0) OVER (PARTITION BY user_id)))")} AS resid FROM j""")
 def one_confound_residual(spark, sf_dir):
-    """Region signal with one confound regressed out per scan; the confound
-    series is a separate table aligned on (scan, t)."""
+    """Region signal with one confound regressed out per scan.  Here the
+    confound is a property of the same time point, so it is read with the
+    series (no alignment join; ``extract_regions`` aligns a separate
+    confound table on (scan, t))."""
     s = series(spark, sf_dir, cols=("event_id", "ts", "user_id", "value", "props"))
-    conf = s.select("user_id", "t", F.get_json_object("props", "$.k").cast("double").alias("c0"))
-    reg = s.select("user_id", "t", "value")
-    j = reg.join(conf, ["user_id", "t"])
+    j = s.select("user_id", "t", "value", F.get_json_object("props", "$.k").cast("double").alias("c0"))
     r = linear.single_confound_residual(j, ["user_id"], "value", "c0")
     return r.select("user_id", "t", r6(F.col("value")).alias("resid"))
 
