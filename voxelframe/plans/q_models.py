@@ -214,9 +214,16 @@ def gp_search(spark, sf_dir):
         d, "l_tax", feats, population=40, generations=3, tournament=5, init_depth=(2, 4),
         const_range=(-1.0, 1.0), parsimony=0.0005, max_samples=0.9, seed=0,
         id_cols=["l_orderkey", "l_linenumber"])
+    # the found program scored on train and test rows (one aggregate)
+    from voxelframe.functions.numeric import register_sql_functions
+    register_sql_functions(spark)
+    full = region_matrix(spark, sf_dir).withColumn("_p", F.expr(formula.render(best)))
+    sc = {r["split"]: r for r in metrics.regression_metrics(full, ["split"], "l_tax", "_p").collect()}
     return spark.createDataFrame(
-        [("l_tax", formula.render(best), float(mse), int(formula.length(best)), len(hist))],
-        "region string, program string, mse double, length int, generations int")
+        [("l_tax", formula.render(best), float(mse), int(formula.length(best)), len(hist),
+          sc["train"]["r2"], sc["test"]["r2"], sc["train"]["mae"], sc["test"]["mae"])],
+        "region string, program string, mse double, length int, generations int, "
+        "r2_train double, r2_test double, mae_train double, mae_test double")
 
 
 @query("random_formula_fitness")
@@ -262,3 +269,38 @@ def exact_split(spark, sf_dir):
     from voxelframe.operators.split import exact_size_split
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     return exact_size_split(li, ["l_orderkey", "l_linenumber"], 0.3, seed=0)
+
+
+@query("gbt_score_matrix")
+def gbt_score_matrix(spark, sf_dir):
+    """Boosted trees for every region from the others (cached input, few
+    iterations), scored per split: [r2_train, r2_test, mae_train, mae_test]
+    rounded half even to 2 digits."""
+    d = region_matrix(spark, sf_dir)
+    _, sc = trees.fit_all_regions(d, REGION_COLS, max_iter=3, split_col="split")
+    wide = sc.groupBy("region").pivot("split", ["train", "test"]).agg(F.first("r2").alias("r2"),
+                                                                       F.first("mae").alias("mae"))
+    return wide.select("region", *[F.bround(F.col(f"{s}_{m}"), 2).alias(f"{m}_{s}")
+                                   for m in ("r2", "mae") for s in ("train", "test")])
+
+
+FLAG_R2 = 0.0
+
+
+@query("cross_cohort_nets")
+def cross_cohort_nets(spark, sf_dir):
+    """Nets trained on one cohort (a few steps), saved to the weights table,
+    loaded back by (cohort, region), scored on the other cohort; R² with
+    swapped arguments to 4 digits and the regions flagged below 0."""
+    d = region_matrix(spark, sf_dir, with_cohort=True).select(*REGION_COLS, "split", "cohort")
+    men = d.filter(F.col("cohort") == "men").persist()
+    try:
+        nets, _ = net.train(men, REGION_COLS, _init_nets(0), steps=2, lr=1e-2)
+    finally:
+        men.unpersist()
+    path = table_path(spark, f"net_weights_{uuid.uuid4().hex}")
+    net.weights_table(spark, nets, "men").write.mode("overwrite").parquet(path)
+    loaded = net.nets_from_table(spark.read.parquet(path), "men")
+    m = net.score(d.filter(F.col("cohort") == "women"), REGION_COLS, loaded)
+    return m.select("region", "n", F.bround(F.col("r2_swapped"), 4).alias("r2"),
+                    (F.col("r2_swapped") < F.lit(FLAG_R2)).alias("flagged"))
