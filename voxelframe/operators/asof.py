@@ -84,16 +84,21 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
 
 def asof_cogroup(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
                  schema: str, bucket: Callable[[Column], Column] | None = None,
-                 key_buckets: int = 64) -> DataFrame:
+                 key_buckets: int | None = None) -> DataFrame:
     """Same semantics through ``cogroup().applyInPandas`` with
     ``pandas.merge_asof(by=...)``.
 
     Groups are (hash bucket of the key, time bucket): many keys share one
     Python call (few calls), and one key's rows are cut by time (bounded
     calls).  Each group's right side is that time bucket's rows plus, per
-    key, the one row carried in from earlier buckets.
+    key, the one row carried in from earlier buckets.  ``key_buckets``
+    defaults to the session's shuffle partition count, which is sized to
+    the data (``session.cluster_conf``), so a group holds about one
+    partition's share of one time bucket.
     """
     by = list(by)
+    if key_buckets is None:
+        key_buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # fresh attributes on each side: when both sides come from one scan they
     # share attribute ids, and the cogrouped Python runner must not mistake
     # the right side's key/time columns for the left's

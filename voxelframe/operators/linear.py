@@ -230,8 +230,10 @@ def confound_residuals(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
         return pd.DataFrame(rows, columns=[*keys, *[f"b_{c}_{i}" for c in cols for i in range(q)]])
 
     # one row per scan: group by a hash bucket of the key so every Python
-    # call sees a bounded batch of scans
-    coef = (sums.withColumn("_g", F.pmod(F.xxhash64(*keys), F.lit(4096)))
+    # call sees a bounded batch of scans (buckets grow with the cluster's
+    # shuffle partition count)
+    nb = max(4096, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    coef = (sums.withColumn("_g", F.pmod(F.xxhash64(*keys), F.lit(nb)))
                 .groupBy("_g").applyInPandas(lambda p: solve(p.drop(columns=["_g"])), coef_schema))
     j = df.join(coef, keys)
     res = []
