@@ -72,3 +72,21 @@ def test_rolling_window_is_blocked(spark):
 def test_label_lookup_broadcasts_small_side(spark):
     p = plan(Q["cohort_route"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_broadcast_bound(spark):
+    from pyspark.sql import functions as F
+    from voxelframe.operators.joins import max_broadcast_rows, sized_broadcast
+    small = spark.range(10).withColumn("s", F.lit("x"))
+    assert max_broadcast_rows(small) > 100_000
+    big = spark.range(50)
+    left = spark.range(1000)
+    p_small = plan(left.join(sized_broadcast(big, max_rows=100), "id"))
+    assert "BroadcastHashJoin" in p_small
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p_big = plan(left.join(sized_broadcast(big, max_rows=10), "id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" not in p_big

@@ -7,34 +7,51 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we will broadcast without further thought.  The check counts
-# at most ``max_rows + 1`` rows, so it costs little even on a large input.
+# Budget for one broadcast side.  The row bound is derived from it and an
+# estimate of the row width; the check counts at most ``max_rows + 1`` rows,
+# so it costs little even on a large input.
+BROADCAST_MAX_BYTES = 64 << 20
 BROADCAST_MAX_ROWS = 2_000_000
 
+_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
+          "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after proving the side has at most ``max_rows`` rows.
+
+def row_bytes(df: DataFrame) -> int:
+    """Rough in-memory width of a row (strings and nested types 32 bytes)."""
+    return 16 + sum(_WIDTH.get(t, 32) for _, t in df.dtypes)
+
+
+def max_broadcast_rows(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> int:
+    return max(1, min(BROADCAST_MAX_ROWS, max_bytes // row_bytes(df)))
+
+
+def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast hint only after proving the side is small: at most
+    ``max_rows`` rows (default: the byte budget / estimated row width).
 
     Beyond the bound the plain frame is returned: Spark then plans a
     shuffle join, and AQE can still switch to broadcast from measured sizes
     or split skewed partitions.
     """
+    max_rows = max_rows or max_broadcast_rows(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """For a derived table (e.g. one row of statistics per series): compute
     it once (persisted), prove its size, broadcast it when small.  The
     persisted copy is recomputed from lineage if an executor is lost."""
     from pyspark import StorageLevel
+    max_rows = max_rows or max_broadcast_rows(df)
     d = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = d.count()
     return F.broadcast(d) if n <= max_rows else d
 
 
 def label_lookup(df: DataFrame, labels: DataFrame, on: str | Sequence[str],
-                 strict: bool = False, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 strict: bool = False, max_rows: int | None = None) -> DataFrame:
     """Equi-join each row to its single label row (person -> gender).
 
     Rows whose key has no label are dropped (inner join).  ``strict=True``
