@@ -41,11 +41,12 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """For a derived table (e.g. one row of statistics per series): compute
-    it once (persisted), prove its size, broadcast it when small.  The
-    persisted copy is recomputed from lineage if an executor is lost."""
-    from pyspark import StorageLevel
+    it once into the shared checkpoint folder (``session.materialize``),
+    prove its size, broadcast it when small.  The join then reads the
+    checkpoint, never the source again."""
+    from voxelframe.session import materialize
     max_rows = max_rows or max_broadcast_rows(df)
-    d = df.persist(StorageLevel.MEMORY_AND_DISK)
+    d = materialize(df)
     n = d.count()
     return F.broadcast(d) if n <= max_rows else d
 

@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "8096",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once the DataFrame that owns them is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -129,6 +131,21 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a (small, derived) table once and keep it on reliable
+    storage: persist, checkpoint into the shared checkpoint folder (the
+    write reads the persisted copy, so nothing is computed twice), then
+    release the executor memory.  A lost executor costs a re-read of the
+    checkpoint files, not a recomputation."""
+    from pyspark import StorageLevel
+    checkpoint_dir(df.sparkSession)
+    d = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return d.checkpoint(eager=True)
+    finally:
+        d.unpersist()
+
+
 def table_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written stage table."""
     return os.path.join(checkpoint_dir(spark), "tables", name)
