@@ -141,7 +141,48 @@ def lasso_all(spark, sf_dir):
         "region", "feature", r6(F.col("weight")).alias("weight"))
 
 
-@query("linear_fanout")
+def _linear_fanout_sql():
+    """DuckDB twin of ``linear_fanout``: train statistics, standardised rows,
+    train covariances, 3x3 normal equations per target by Cramer's rule."""
+    cols = REGION_COLS
+    tr = f"l_shipdate < TIMESTAMP '{TRAIN_BEFORE}'"
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
+    zcols = ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END AS {c}" for c in cols)
+    g = ", ".join([f"avg({c}) AS mu_{c}" for c in cols] +
+                  [f"covar_pop({a}, {b}) AS v_{a}__{b}" for a in cols for b in cols])
+
+    def v(a, b):
+        return f"v_{a}__{b}"
+
+    def det3(m):
+        (a, b, c), (d, e, f), (gg, h, i) = m
+        return f"(({a})*(({e})*({i})-({f})*({h})) - ({b})*(({d})*({i})-({f})*({gg})) + ({c})*(({d})*({h})-({e})*({gg})))"
+
+    parts = []
+    for k in cols:
+        o = [c for c in cols if c != k]
+        a = [[v(r, c) for c in o] for r in o]
+        rhs = [v(r, k) for r in o]
+        den = det3(a)
+        ws = []
+        for i in range(3):
+            m = [row[:] for row in a]
+            for r in range(3):
+                m[r][i] = rhs[r]
+            ws.append(f"({det3(m)}) / ({den})")
+        pred = f"mu_{k} + " + " + ".join(f"({w}) * ({c} - mu_{c})" for w, c in zip(ws, o))
+        sse = f"sum(({k} - ({pred})) * ({k} - ({pred})))"
+        sst = f"(var_pop({k}) * count(*))"
+        r2 = f"(CASE WHEN {sst} > 0 THEN 1 - {sse} / {sst} WHEN {sse} = 0 THEN 1.0 ELSE 0.0 END)"
+        parts.append(f"SELECT '{k}' AS region, split, count(*) AS n, {sql_r6(r2)} AS r2, "
+                     f"{sql_r6(f'avg(({k} - ({pred})) * ({k} - ({pred})))')} AS mse, "
+                     f"{sql_r6(f'avg(abs({k} - ({pred})))')} AS mae FROM z, g GROUP BY split")
+    return (f"WITH s AS (SELECT {stats} FROM lineitem WHERE {tr}), "
+            f"z AS (SELECT CASE WHEN {tr} THEN 'train' ELSE 'test' END AS split, {zcols} FROM lineitem, s), "
+            f"g AS (SELECT {g} FROM z WHERE split = 'train') " + " UNION ALL ".join(parts))
+
+
+@query("linear_fanout", _linear_fanout_sql())
 def linear_fanout(spark, sf_dir):
     """Every region predicted from the others (least squares from the train
     Gram), scored per split -- one pass for all targets."""
