@@ -92,3 +92,12 @@ def test_splits(spark):
     b = hash_split(df.repartition(13), ["id"], 0.3, seed=0).toPandas().set_index("id")["split"]
     assert (a.sort_index() == b.sort_index()).all()
     assert 0.2 < (a == "test").mean() < 0.4
+
+
+def test_sequential_split_after_rolling(spark):
+    # positions count from the first kept row, as slicing the smoothed frame does
+    df = spark.range(100).select(F.lit(1).alias("k"), F.col("id").alias("t"), (F.col("id") * 1.0).alias("x"))
+    r = windows.rolling_mean(df, ["k"], "t", ["x"], 10, True)
+    s = sequential_split(r, ["k"], "t", 0.7).toPandas().sort_values("t")
+    assert len(s) == 91 and (s["split"] == "train").sum() == int(0.7 * 91)
+    assert list(s["split"][: int(0.7 * 91)]) == ["train"] * int(0.7 * 91)

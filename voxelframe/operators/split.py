@@ -10,20 +10,27 @@ from pyspark.sql import functions as F
 
 def sequential_split(df: DataFrame, keys: Sequence[str], t: str, train_frac: float = 0.7,
                      name: str = "split", counts: DataFrame | None = None) -> DataFrame:
-    """First ``int(train_frac * n)`` time points of each series are 'train'.
-
-    n per series comes from a grouped count (partial aggregation) joined
-    back with a size-proven broadcast -- not a window over the whole series
-    -- so long series do not land in one task.  ``counts`` (keys, ``_n``)
-    may be given when it is cheaper to count the source than ``df``.
+    """First ``int(train_frac * n)`` rows of each series (by position among
+    its remaining rows) are 'train'.
+
+    Positions count from the series' first ``t`` -- after a rolling mean
+    has dropped the incomplete rows, the first kept row is position 0.
+    n and the first t per series come from a grouped aggregate (partial
+    aggregation) joined back with a size-proven broadcast -- not a window
+    over the whole series -- so long series do not land in one task.
+    ``counts`` (keys, ``_n`` and optionally ``_t0``) may be given when it is
+    cheaper to count the source than ``df``.
     """
     from voxelframe.operators.joins import broadcast_if_small
-    n = counts if counts is not None else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    n = broadcast_if_small(n)
+    if counts is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_t0"))
+    elif "_t0" not in counts.columns:
+        counts = counts.withColumn("_t0", F.lit(0).cast("bigint"))
+    n = broadcast_if_small(counts)
     cut = F.floor(F.lit(train_frac) * F.col("_n"))
     return (df.join(n, list(keys))
-              .withColumn(name, F.when(F.col(t) < cut, F.lit("train")).otherwise(F.lit("test")))
-              .drop("_n"))
+              .withColumn(name, F.when(F.col(t) - F.col("_t0") < cut, F.lit("train")).otherwise(F.lit("test")))
+              .drop("_n", "_t0"))
 
 
 def hash_split(df: DataFrame, id_cols: Sequence[str], test_frac: float = 0.3, seed: int = 0,
