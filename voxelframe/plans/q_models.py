@@ -285,7 +285,62 @@ def random_formula_fitness(spark, sf_dir):
     return spark.createDataFrame(rows, "formula_id long, expr string, length int, mse double")
 
 
-@query("cohort_region_scores")
+def _det3_sql(m):
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"(({a})*(({e})*({i})-({f})*({h})) - ({b})*(({d})*({i})-({f})*({g})) + ({c})*(({d})*({h})-({e})*({g})))"
+
+
+def _ols3_sql(cols, k, v):
+    """Least-squares weights of target k from the three other columns, by
+    Cramer's rule on the covariance names ``v(a, b)``; returns the
+    prediction expression sum_j w_j * col_j."""
+    o = [c for c in cols if c != k]
+    a = [[v(r, c) for c in o] for r in o]
+    rhs = [v(r, k) for r in o]
+    den = _det3_sql(a)
+    terms = []
+    for i in range(3):
+        m = [row[:] for row in a]
+        for r in range(3):
+            m[r][i] = rhs[r]
+        terms.append(f"(({_det3_sql(m)}) / ({den})) * {o[i]}")
+    return " + ".join(terms)
+
+
+def _cohort_scores_sql():
+    cols = REGION_COLS
+    w = "(PARTITION BY l_suppkey ORDER BY t ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
+    roll = ", ".join([f"avg({c}) OVER {w} AS {c}" for c in cols] + [f"count({c}) OVER {w} AS n_{c}" for c in cols])
+    full = " AND ".join(f"n_{c} = 10" for c in cols)
+    stats = ", ".join([f"avg({c}) AS m_{c}" for c in cols] +
+                      [f"CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}"
+                       for c in cols])
+    z = ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in cols)
+    g = ", ".join(f"sum({a} * {b}) / count(*) AS v_{a}__{b}" for a in cols for b in cols)
+    parts = []
+    for k in cols:
+        pred = _ols3_sql(cols, k, lambda a, b: f"v_{a}__{b}")
+        e = f"({k} - ({pred}))"
+        sse, sst = f"sum({e} * {e})", f"(var_pop({k}) * count({k}))"
+        r2 = f"(CASE WHEN {sst} > 0 THEN 1 - {sse} / {sst} WHEN {sse} = 0 THEN 1.0 ELSE 0.0 END)"
+        parts.append(f"SELECT cohort, '{k}' AS region, split, count(*) AS n, round_even({r2}, 4) AS r2, "
+                     f"round_even(avg({e} * {e}), 4) AS mse, round_even(avg(abs({e})), 4) AS mae "
+                     f"FROM z JOIN g USING (cohort) GROUP BY cohort, split")
+    return f"""WITH o AS (SELECT l_suppkey, {', '.join(cols)},
+    row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1 AS t FROM lineitem),
+r AS (SELECT l_suppkey, t, {roll} FROM o),
+f AS (SELECT l_suppkey, t, {', '.join(cols)} FROM r WHERE {full}),
+j AS (SELECT f.*, CASE WHEN s_nationkey < 12 THEN 'men' ELSE 'women' END AS cohort
+      FROM f JOIN supplier ON s_suppkey = f.l_suppkey),
+sp AS (SELECT j.*, CASE WHEN t - min(t) OVER (PARTITION BY l_suppkey)
+          < floor(CAST(0.7 AS DOUBLE) * count(*) OVER (PARTITION BY l_suppkey)) THEN 'train' ELSE 'test' END AS split FROM j),
+st AS (SELECT cohort, {stats} FROM sp WHERE split = 'train' GROUP BY cohort),
+z AS (SELECT sp.cohort, sp.split, {z} FROM sp JOIN st USING (cohort)),
+g AS (SELECT cohort, {g} FROM z WHERE split = 'train' GROUP BY cohort)
+""" + " UNION ALL ".join(parts)
+
+
+@query("cohort_region_scores", _cohort_scores_sql())
 def cohort_region_scores(spark, sf_dir):
     """The modelling job on a region table: scan = supplier, time = ship
     order, regions = the four numeric columns, person label = the

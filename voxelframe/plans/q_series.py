@@ -100,7 +100,7 @@ def zscore_by_session(spark, sf_dir):
 
 @query("seq_split", f"""
 WITH o AS ({SERIES_SQL}), c AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM o)
-SELECT user_id, t, CASE WHEN t < floor(0.7 * n) THEN 'train' ELSE 'test' END AS split FROM c""")
+SELECT user_id, t, CASE WHEN t < floor(CAST(0.7 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS split FROM c""")
 def seq_split(spark, sf_dir):
     s = series(spark, sf_dir, cols=("event_id", "ts", "user_id"))
     # series lengths straight from the source rows (no need for t)
