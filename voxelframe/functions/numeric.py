@@ -47,11 +47,6 @@ def half_even(c: Column, digits: int) -> Column:
     return F.bround(c, digits)
 
 
-def trunc_fraction(frac: float, n: Column) -> Column:
-    """int(frac * n) for n >= 0."""
-    return F.floor(F.lit(frac) * n).cast("bigint")
-
-
 def uniform_constant(seed: int, low: float = -2.0, high: float = 2.0, digits: int = 2) -> Column:
     """A seeded uniform constant per row, rounded half-even."""
     return F.bround(F.rand(seed) * F.lit(high - low) + F.lit(low), digits)

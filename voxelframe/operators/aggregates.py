@@ -70,12 +70,6 @@ def distinct_sorted_int(df: DataFrame, col: str, name: str | None = None) -> Dat
     return df.select(F.col(col).cast("bigint").alias(name)).distinct().orderBy(name)
 
 
-def first_of_group(df: DataFrame, keys: Sequence[str], col: str, order: str | None = None) -> DataFrame:
-    """First value of a group: the minimum, or the value at the smallest ``order``."""
-    agg = F.min(col) if order is None else F.min_by(col, order)
-    return df.groupBy(*keys).agg(agg.alias(col))
-
-
 def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NaN -> null for floating columns (Spark counts and averages NaN,
     pandas skips it)."""

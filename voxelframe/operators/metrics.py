@@ -43,7 +43,8 @@ def score_matrix(df: DataFrame, keys: Sequence[str], split: str, y: str, p: str,
     m = regression_metrics(df, [*keys, split], y, p)
     wide = m.groupBy(*keys).pivot(split, ["train", "test"]).agg(
         F.first("r2").alias("r2"), F.first("mae").alias("mae"))
-    return wide.select(*keys, *[F.bround(F.col(f"{s}_{m}"), digits).alias(f"{m}_{s}")
+    from voxelframe.functions.numeric import half_even
+    return wide.select(*keys, *[half_even(F.col(f"{s}_{m}"), digits).alias(f"{m}_{s}")
                                 for m in ("r2", "mae") for s in ("train", "test")])
 
 

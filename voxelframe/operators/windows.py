@@ -133,11 +133,4 @@ def detrend(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str], how
 
     return j.select(*[c for c in df.columns if c not in cols],
                     *[(F.col(c) - (F.col(f"_mu_{c}") + slope(c) * (tt - F.col("_mu_t")))).alias(c)
-                      for c in cols])
-
-
-def group_mean_column(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
-    """Whole-group mean attached to every row (a window over the entire
-    partition, computed as aggregate + join so long groups spread out)."""
-    m = df.groupBy(*keys).agg(F.avg(col).alias(name))
-    return df.join(m, list(keys))
+                      for c in cols])
\ No newline at end of file

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.operators import linear, windows
 from voxelframe.operators.aggregates import region_means
+from voxelframe.operators.joins import align_on_time
 
 
 def extract_regions(voxels: DataFrame, atlas: DataFrame, labels: Sequence, keys: Sequence[str] = ("scan_id",),
@@ -31,7 +32,7 @@ def extract_regions(voxels: DataFrame, atlas: DataFrame, labels: Sequence, keys:
     wide = region_means(voxels, atlas, [*keys, *session_keys, t], "label", "value", labels, names)
     series_keys = [*keys, *session_keys]
     if confounds is not None and confound_cols:
-        wide = wide.join(confounds, [*keys, t])
+        wide = align_on_time(wide, confounds, [*keys, t])
         if len(confound_cols) == 1:
             wide = linear.single_confound_residual(wide, series_keys, names, confound_cols[0], how=how)
         else:

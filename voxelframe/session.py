@@ -125,16 +125,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used by iterative jobs (formula search, net training) so that a lost
-    executor re-reads the checkpoint instead of replaying every step.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a (small, derived) table once and keep it on reliable
     storage: persist, checkpoint into the shared checkpoint folder (the
