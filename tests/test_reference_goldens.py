@@ -125,7 +125,7 @@ def test_hand_built_trees(spark):
 
 
 def test_worklist_and_labels(spark, tmp_path):
-    """Work-list and label files of the shapes the pipeline reads: 56
+    """Work-list and label files of the shapes the extraction reads: 56
     persons (32 M, 24 F, last line without newline) and work-lists of 8, 4,
     140 (70 ids x 2) and 10 rows."""
     from voxelframe.sources import files

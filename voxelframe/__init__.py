@@ -8,7 +8,7 @@ Sub-packages:
   operators  - relational and modelling operators (ordinals, rolling windows,
                as-of join, region means, metrics, Gram/linear fits, trees,
                feed-forward nets, formula search, pandas-UDF surface)
-  plans      - composed pipelines and the registered query catalogue
+  plans      - composed jobs and the registered query catalogue
   streaming  - incremental extraction over a growing directory of voxel files
 """
 
