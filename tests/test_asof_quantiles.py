@@ -80,3 +80,22 @@ def test_asof_name_clash(spark):
         asof_join(l, r, ["k"], "time")
     got = asof_join(l, r, ["k"], "time", right_prefix="r_").first()
     assert got["r_v"] == 2.0 and got["r_time"] == 0
+
+
+def test_asof_auto_buckets(spark, sides):
+    import voxelframe.operators.asof as A
+    left, right, want = sides
+    old = A.AUTO_BUCKET_ROWS
+    A.AUTO_BUCKET_ROWS = 50          # force many buckets for the hot key
+    try:
+        got = asof_join(spark.createDataFrame(left), spark.createDataFrame(right), ["k"], "time",
+                        bucket="auto").toPandas().set_index("lid").sort_index()
+        cg = asof_cogroup(spark.createDataFrame(left), spark.createDataFrame(right), ["k"], "time",
+                          "k long, time long, lv double, lid long, rv double", bucket="auto",
+                          key_buckets=3).toPandas().set_index("lid").sort_index()
+    finally:
+        A.AUTO_BUCKET_ROWS = old
+    for g in (got, cg):
+        np.testing.assert_array_equal(g["rv"].isna().values, want["rv"].isna().values)
+        m = ~want["rv"].isna()
+        np.testing.assert_allclose(g.loc[m, "rv"].values, want.loc[m, "rv"].values)

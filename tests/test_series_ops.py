@@ -111,3 +111,20 @@ def test_split_by_key_and_minibatches(spark):
     assert 5 <= s.groupby("person")["split"].first().eq("test").sum() <= 25
     mb = df.select(minibatch_id(F.col("t"), 8096).alias("b"), minibatch_id(F.col("t"), 1000).alias("c")).toPandas()
     assert set(mb["b"]) == {0} and set(mb["c"]) == {0, 1, 2}
+
+
+def test_adaptive_time_ordinal(spark):
+    from voxelframe.operators.ordinal import adaptive_time_buckets, add_time_ordinal
+    rng = np.random.default_rng(21)
+    n = 4000
+    pdf = pd.DataFrame({"k": np.where(rng.random(n) < 0.6, 0, rng.integers(1, 5, n)),
+                        "ts": pd.to_datetime("2024-01-01") + pd.to_timedelta(rng.integers(0, 10**9, n), unit="ms"),
+                        "id": np.arange(n)})
+    df = spark.createDataFrame(pdf).repartition(5)
+    got = add_time_ordinal(df, ["k"], "ts", ["id"], "t", target_rows=100).toPandas().set_index("id")
+    want = pdf.sort_values(["ts", "id"]).groupby("k").cumcount()
+    assert (got.loc[want.index, "t"].values == want.values).all()
+    b = adaptive_time_buckets(df, ["k"], "ts", 100, "b").toPandas()
+    hot = b[b.k == 0].groupby("b").size()
+    assert len(hot) >= 20 and hot.max() < 400          # ~2400 rows cut into ~24 buckets
+    assert b[b.k == 1].groupby("b").size().shape[0] >= 3

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from voxelframe.operators import udfs, windows  # noqa: E402
 from voxelframe.operators.asof import asof_join  # noqa: E402
-from voxelframe.operators.ordinal import add_ordinal, day_split  # noqa: E402
+from voxelframe.operators.ordinal import add_ordinal, add_time_ordinal, day_split  # noqa: E402
 from voxelframe.session import build_session  # noqa: E402
 
 
@@ -58,8 +58,10 @@ def main():
 
     plain = add_ordinal(base, ["user_id"], ["ts", "event_id"], "t")
     split = add_ordinal(base, ["user_id"], ["ts", "event_id"], "t", split_by=day_split("ts"))
+    adaptive = add_time_ordinal(base, ["user_id"], "ts", ["event_id"], "t", target_rows=10_000)
     report("ordinal, one window per key", plain)
     report("ordinal, split by day", split)
+    report("ordinal, adaptive buckets (10k rows)", adaptive)
     s = split.select("user_id", "t", "value").persist()
     s.count()
     report("rolling mean, one window per key", windows.rolling_mean(s, ["user_id"], "t", ["value"], 10, True, None))
@@ -68,6 +70,9 @@ def main():
     right = base.filter(F.col("event_type") == "click").select("user_id", "ts", F.col("value").alias("cv"))
     report("as-of join, one bucket per key", asof_join(left, right, ["user_id"], "ts"))
     report("as-of join, day buckets", asof_join(left, right, ["user_id"], "ts", bucket=lambda c: F.to_date(c)))
+    import voxelframe.operators.asof as asof_mod
+    asof_mod.AUTO_BUCKET_ROWS = 10_000
+    report("as-of join, adaptive buckets (10k)", asof_join(left, right, ["user_id"], "ts", bucket="auto"))
     g = base.select("event_id", "user_id", F.col("value").alias("v"))
     schema = "event_id long, user_id long, v double"
     report("grouped map, no split", udfs.grouped_subtract_mean(g, ["user_id"], ["event_id"], schema,

@@ -31,13 +31,31 @@ def _bucket(on: str, bucket: Callable[[Column], Column] | None) -> Column:
     return bucket(F.col(on)) if bucket is not None else F.lit(0)
 
 
+AUTO_BUCKET_ROWS = 1_000_000
+
+
+def _with_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, bucket,
+                  target_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Attach the time bucket ``_b`` to both sides.  ``bucket="auto"``
+    sizes per-key buckets from both sides' row counts and time spans so a
+    (key, bucket) holds about ``target_rows`` rows."""
+    if bucket == "auto":
+        from voxelframe.operators.ordinal import adaptive_time_buckets
+        target_rows = target_rows or AUTO_BUCKET_ROWS
+        both = left.select(*by, on).unionByName(right.select(*by, on))
+        return (adaptive_time_buckets(left, by, on, target_rows, "_b", stats_from=both),
+                adaptive_time_buckets(right, by, on, target_rows, "_b", stats_from=both))
+    return left.withColumn("_b", _bucket(on, bucket)), right.withColumn("_b", _bucket(on, bucket))
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
               bucket: Callable[[Column], Column] | None = None,
               right_prefix: str = "") -> DataFrame:
     """Left rows with the payload columns of the matched right row.
 
     ``bucket`` maps the time column to a bucket id that is monotone in time
-    (e.g. ``lambda c: F.to_date(c)``); None means one bucket per key.
+    (e.g. ``lambda c: F.to_date(c)``); ``"auto"`` sizes per-key buckets from
+    the data (about a million rows each); None means one bucket per key.
     Right payload columns are renamed with ``right_prefix``; the right time
     is returned as ``right_prefix + on`` when a prefix is given.
     """
@@ -51,9 +69,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
         raise ValueError(f"right columns {sorted(clash)} clash with left columns; set right_prefix")
 
     rstruct = F.struct(F.col(on).alias("_rt"), *[F.col(c).alias(out_names[c]) for c in payload])
-    L = left.withColumn("_b", _bucket(on, bucket)).withColumn("_side", F.lit(1))
-    R = (right.withColumn("_b", _bucket(on, bucket)).withColumn("_side", F.lit(0))
-              .select(*by, on, "_b", "_side", rstruct.alias("_r")))
+    L, R = _with_buckets(left, right, by, on, bucket)
+    L = L.withColumn("_side", F.lit(1))
+    R = R.withColumn("_side", F.lit(0)).select(*by, on, "_b", "_side", rstruct.alias("_r"))
 
     # (1) within bucket; right rows sort before left rows at equal time (<=)
     u = L.withColumn("_r", F.lit(None).cast(R.schema["_r"].dataType)).unionByName(
@@ -105,8 +123,9 @@ def asof_cogroup(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
     left = left.select(*[F.col(c).alias(c) for c in left.columns])
     right = right.select(*[F.col(c).alias(c) for c in right.columns])
     hb = F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(key_buckets))
-    L = left.withColumn("_b", _bucket(on, bucket)).withColumn("_hb", hb)
-    R = right.withColumn("_b", _bucket(on, bucket)).withColumn("_hb", hb)
+    L, R = _with_buckets(left, right, by, on, bucket)
+    L = L.withColumn("_hb", hb)
+    R = R.withColumn("_hb", hb)
     payload = [c for c in right.columns if c not in by and c != on]
 
     # carried-in right row for each (key, bucket) that has left rows

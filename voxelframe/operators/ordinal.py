@@ -63,3 +63,46 @@ def month_split(ts_col: str) -> Column:
 def numeric_split(c: str, width: int) -> Column:
     """Fixed-width buckets of a numeric ordering column; monotone in ``c``."""
     return F.floor(F.col(c) / F.lit(width))
+
+
+def adaptive_time_buckets(df: DataFrame, keys: Sequence[str], ts_col: str, target_rows: int = 1_000_000,
+                          name: str = "_bucket", stats_from: DataFrame | None = None) -> DataFrame:
+    """Add ``name``: a per-key time bucket sized so that a bucket holds
+    about ``target_rows`` rows of its key (for evenly spread times).
+
+    From each key's row count and time span (one small aggregate, joined
+    back with a size-proven broadcast) the key gets a bucket width of
+    span / ceil(count / target_rows); a key with few rows has one bucket,
+    a key with a third of all rows gets thousands.  Buckets are monotone in
+    time within a key, so they can split ordinals, windows and as-of joins.
+    ``stats_from`` (with the same key and time columns) sizes the buckets
+    from another frame, e.g. both sides of a join.
+    """
+    from voxelframe.operators.joins import broadcast_if_small
+    keys = list(keys)
+
+    def as_number(frame):
+        # timestamps in microseconds; numeric time columns as they are
+        if dict(frame.dtypes)[ts_col].startswith("timestamp"):
+            return F.unix_micros(F.col(ts_col).cast("timestamp"))
+        return F.col(ts_col).cast("bigint")
+
+    us = as_number(df)
+    src = stats_from if stats_from is not None else df
+    st = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"),
+                                F.min(as_number(src)).alias("_t0"),
+                                F.max(as_number(src)).alias("_t1"))
+    nb = F.ceil(F.col("_c") / F.lit(target_rows))
+    width = F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1)) / nb))
+    st = broadcast_if_small(st.select(*keys, "_t0", width.cast("bigint").alias("_w")))
+    return (df.join(st, keys, "left")
+              .withColumn(name, F.floor((us - F.col("_t0")) / F.col("_w")).cast("bigint"))
+              .drop("_t0", "_w"))
+
+
+def add_time_ordinal(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
+                     name: str = "t", target_rows: int = 1_000_000) -> DataFrame:
+    """``add_ordinal`` ordered by (ts, tiebreak...) and split by adaptive
+    per-key time buckets (see ``adaptive_time_buckets``)."""
+    d = adaptive_time_buckets(df, keys, ts_col, target_rows, "_tb")
+    return add_ordinal(d, keys, [ts_col, *tiebreak], name, split_by=F.col("_tb")).drop("_tb")

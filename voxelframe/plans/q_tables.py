@@ -287,7 +287,7 @@ def _asof_sides(spark, sf_dir):
 def asof_last_event(spark, sf_dir):
     """Each purchase with the user's latest click at or before it."""
     left, right = _asof_sides(spark, sf_dir)
-    return asof_join(left, right, ["user_id"], "ts", bucket=lambda c: F.to_date(c), right_prefix="click_")
+    return asof_join(left, right, ["user_id"], "ts", bucket="auto", right_prefix="click_")
 
 
 # ------------------------------------------------------------- positions, names

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxelframe.operators.ordinal import add_ordinal, day_split
+from voxelframe.operators.ordinal import add_time_ordinal
 from voxelframe.tables import table
 
 # Fixed values of the stand-in mapping.
@@ -23,6 +23,9 @@ DATASET = "HCP"
 ATLAS = "harvard_oxford"
 REGION_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
+# rows per time bucket when numbering a series (one task's share)
+SERIES_BUCKET_ROWS = 1_000_000
+
 # SQL twin of ``series``: same ordinal rule
 SERIES_SQL = ("SELECT event_id, ts, user_id, event_type, value, props, "
               "row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS t FROM events")
@@ -31,8 +34,9 @@ SERIES_SQL = ("SELECT event_id, ts, user_id, event_type, value, props, "
 def series(spark: SparkSession, sf_dir: str, cols=("event_id", "ts", "user_id", "event_type", "value")) -> DataFrame:
     """events as region series with the ordinal ``t``.
 
-    Numbering is split by day so one very long series is numbered by many
-    tasks (each day separately, shifted by the counts of earlier days).
+    Numbering is split by per-user time buckets of about a million rows
+    (``add_time_ordinal``), so one very long series is numbered by many
+    tasks, each bucket shifted by the counts of the earlier ones.
     """
     ev = table(spark, sf_dir, "events").select(*cols)
-    return add_ordinal(ev, ["user_id"], ["ts", "event_id"], "t", split_by=day_split("ts"))
+    return add_time_ordinal(ev, ["user_id"], "ts", ["event_id"], "t", target_rows=SERIES_BUCKET_ROWS)
