@@ -214,3 +214,27 @@ def test_values_at_ranks(spark):
     srt = np.sort(x)
     for r in ranks:
         assert got[("x", r)] == srt[r]
+
+
+def test_command_line_jobs(spark, tmp_path):
+    from voxelframe.__main__ import run
+    rng = np.random.default_rng(17)
+    rows = []
+    for scan, person in (("a1", 1), ("a2", 1), ("b1", 2), ("c1", 3)):
+        latent = rng.normal(size=60)
+        for t in range(60):
+            rows.append((scan, person, t, *[float(latent[t] * (i + 1) + rng.normal()) for i in range(4)]))
+    regions = spark.createDataFrame(rows, "scan_id string, person long, t long, x0 double, x1 double, x2 double, x3 double")
+    rp = str(tmp_path / "regions")
+    regions.write.parquet(rp)
+    lab = tmp_path / "labels.csv"
+    lab.write_text("person,gender\n1,M\n2,F\n3,M\n")
+    out = str(tmp_path / "scores")
+    run(["models", "--regions", rp, "--labels", str(lab), "--out", out], spark=spark)
+    sc = spark.read.parquet(out).toPandas()
+    assert set(sc["cohort"]) == {"men", "women"} and set(sc["region"]) == {"x0", "x1", "x2", "x3"}
+    assert (sc[(sc.cohort == "men") & (sc.split == "train")]["r2"] > 0.5).all()
+    fo = str(tmp_path / "formulas")
+    run(["formulas", "--regions", rp, "--target", "x3", "--out", fo, "--population", "20",
+         "--generations", "2", "--tournament", "3"], spark=spark)
+    assert spark.read.parquet(fo).count() == 1
