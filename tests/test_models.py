@@ -248,3 +248,31 @@ def test_incremental_stream(spark, tmp_path):
     res = spark.read.parquet(out)
     assert sorted(r[0] for r in res.select("scan_id").distinct().collect()) == ["a", "b", "c"]
     assert res.count() == 3 * 40
+
+
+def test_regression_metrics_semantics(spark):
+    from voxelframe.operators import metrics as M
+    rng = np.random.default_rng(23)
+    y = rng.normal(size=200)
+    p = y + rng.normal(scale=0.3, size=200)
+    rows = [("noisy", float(a), float(b)) for a, b in zip(y, p)]
+    rows += [("exact", float(a), float(a)) for a in y[:20]]
+    rows += [("const_exact", 2.0, 2.0)] * 5 + [("const_miss", 2.0, 2.5)] * 5
+    df = spark.createDataFrame(rows, "g string, y double, p double")
+    got = {r["g"]: r for r in M.regression_metrics(df, ["g"], "y", "p").collect()}
+    sw = {r["g"]: r for r in M.regression_metrics(df, ["g"], "y", "p", denominator="prediction").collect()}
+
+    def r2(a, b):
+        sse, sst = ((a - b) ** 2).sum(), ((a - a.mean()) ** 2).sum()
+        return 1 - sse / sst if sst > 0 else (1.0 if sse == 0 else 0.0)
+
+    assert got["noisy"]["r2"] == pytest.approx(r2(y, p))
+    assert sw["noisy"]["r2"] == pytest.approx(r2(p, y))          # arguments swapped
+    assert got["noisy"]["mse"] == pytest.approx(np.mean((y - p) ** 2))
+    assert got["noisy"]["mae"] == pytest.approx(np.mean(np.abs(y - p)))
+    assert got["exact"]["r2"] == 1.0
+    assert got["const_exact"]["r2"] == 1.0 and got["const_miss"]["r2"] == 0.0
+    sm = M.score_matrix(df.filter(F.col("g") == "noisy").withColumn(
+        "split", F.when(F.rand(1) < 0.3, "test").otherwise("train")), ["g"], "split", "y", "p").first()
+    assert set(sm.asDict()) == {"g", "r2_train", "r2_test", "mae_train", "mae_test"}
+    assert sm["r2_train"] == round(sm["r2_train"], 2)
