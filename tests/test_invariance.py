@@ -9,7 +9,8 @@ from conftest import SF_SMALL
 
 NAMES = ["rolling_mean_full", "cohort_rolling_mean", "asof_last_event", "udf_cogroup_asof", "extract_regions",
          "json_roundtrip", "csv_roundtrip", "seq_split", "row_by_position", "name_counter", "describe_table",
-         "udf_grouped_map", "missing_region", "keyed_delete"]
+         "udf_grouped_map", "missing_region", "keyed_delete", "linear_fanout", "cohort_region_scores",
+         "region_mean_pivot", "exact_split", "hash_split"]
 
 
 def _rows(df):

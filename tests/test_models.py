@@ -276,3 +276,22 @@ def test_regression_metrics_semantics(spark):
         "split", F.when(F.rand(1) < 0.3, "test").otherwise("train")), ["g"], "split", "y", "p").first()
     assert set(sm.asDict()) == {"g", "r2_train", "r2_test", "mae_train", "mae_test"}
     assert sm["r2_train"] == round(sm["r2_train"], 2)
+
+
+def test_stream_scan_split_over_batches(spark, tmp_path):
+    from voxelframe.streaming.incremental import start_incremental_extract
+    src = tmp_path / "vox"
+    out = str(tmp_path / "regions")
+    atlas = spark.createDataFrame([(v, 1 + v % 3) for v in range(60)], "voxel_id bigint, label int")
+    vox = _voxels(spark, ("a", "b"))
+    # scan a arrives in two halves (by time), in two different runs
+    vox.filter((F.col("scan_id") == "a") & (F.col("t") < 20)).coalesce(1).write.parquet(str(src / "a1"))
+    vox.filter(F.col("scan_id") == "b").coalesce(1).write.parquet(str(src / "b1"))
+    name = f"split{os.getpid()}_{abs(hash(str(tmp_path)))}"
+    start_incremental_extract(spark, str(src / "*"), atlas, [1, 2, 3], out, name=name).awaitTermination(120)
+    vox.filter((F.col("scan_id") == "a") & (F.col("t") >= 20)).coalesce(1).write.parquet(str(src / "a2"))
+    start_incremental_extract(spark, str(src / "*"), atlas, [1, 2, 3], out, name=name).awaitTermination(120)
+    got = spark.read.parquet(out).toPandas().sort_values(["scan_id", "t"]).reset_index(drop=True)
+    want = extract_regions(vox, atlas, [1, 2, 3]).toPandas().sort_values(["scan_id", "t"]).reset_index(drop=True)
+    assert len(got) == 80
+    np.testing.assert_allclose(got[["x0", "x1", "x2"]].to_numpy(), want[["x0", "x1", "x2"]].to_numpy(), atol=1e-12)
