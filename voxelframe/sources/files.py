@@ -87,8 +87,9 @@ def count_files(spark: SparkSession, pattern: str) -> int:
     return spark.read.format("binaryFile").load(pattern).select("path").count()
 
 
-# fixed pattern of the archives' member layout
-MEMBER_PATTERN = "{person}/MNINonLinear/Results/rfMRI_{rest}_{direction}/rfMRI_{rest}_{direction}.nii.gz"
+# Fixed value: member layout of a resting-state run inside a person's
+# archive (person, rest session, direction, rest session, direction).
+REST_RUN_MEMBER = "%s/MNINonLinear/Results/rfMRI_%s_%s/rfMRI_%s_%s.nii.gz"
 
 
 def list_archive_members(spark: SparkSession, pattern: str) -> DataFrame:
@@ -125,8 +126,7 @@ def rest_run_members(listing: DataFrame, directions: Sequence[str] = ("LR", "RL"
     rest = paths.part(name, "_", 4)
     cond = None
     for d in directions:
-        prefix = F.format_string("%s/MNINonLinear/Results/rfMRI_%s_%s/rfMRI_%s_%s.nii.gz",
-                                 person.cast("string"), rest, F.lit(d), rest, F.lit(d))
+        prefix = F.format_string(REST_RUN_MEMBER, person.cast("string"), rest, F.lit(d), rest, F.lit(d))
         e = F.col("member").startswith(prefix)
         cond = e if cond is None else (cond | e)
     return (listing.filter(F.col("status") == "ok").withColumn("person", person)
