@@ -119,6 +119,9 @@ def test_archive_listing(spark, tmp_path):
     listing = files.list_archive_members(spark, str(base / "*.zip"))
     st = {r["status"]: r["count"] for r in listing.groupBy("status").count().collect()}
     assert st == {"ok": 5, "error": 1}
+    by_content = files.list_archive_members(spark, str(base / "*.zip"), read_content=True)
+    assert sorted(map(tuple, by_content.select("member", "status").collect()), key=str) == \
+        sorted(map(tuple, listing.select("member", "status").collect()), key=str)
     keep = files.rest_run_members(listing).select("person", "rest", "member").collect()
     assert sorted((r["person"], r["rest"]) for r in keep) == [(100307, "REST1"), (100307, "REST1"), (100408, "REST2")]
 

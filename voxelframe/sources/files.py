@@ -92,21 +92,33 @@ def count_files(spark: SparkSession, pattern: str) -> int:
 REST_RUN_MEMBER = "%s/MNINonLinear/Results/rfMRI_%s_%s/rfMRI_%s_%s.nii.gz"
 
 
-def list_archive_members(spark: SparkSession, pattern: str) -> DataFrame:
+def list_archive_members(spark: SparkSession, pattern: str, read_content: bool = False) -> DataFrame:
     """(archive, member, size, status, error) for every zip under ``pattern``.
 
-    Each archive is opened inside a task (``mapInPandas`` over binaryFile
-    rows); a corrupt archive yields one row with status 'error' instead of
-    failing the job.
+    Each archive is listed inside a task (``mapInPandas`` over the
+    ``binaryFile`` listing); a corrupt archive yields one row with status
+    'error' instead of failing the job.  By default only the path is read
+    from the listing and the task opens the archive on the shared file
+    system, which reads just the zip directory -- archives can be GBs.
+    ``read_content=True`` ships the archive bytes instead (for stores the
+    executors cannot open as files).
     """
-    files = spark.read.format("binaryFile").load(pattern).select("path", "content")
+    files = spark.read.format("binaryFile").load(pattern)
+    files = files.select("path", "content") if read_content else files.select("path")
+
+    def open_zip(p, content):
+        if content is not None:
+            return zipfile.ZipFile(io.BytesIO(content))
+        local = p[len("file:"):] if p.startswith("file:") else p
+        return zipfile.ZipFile(local)
 
     def members(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             rows = []
-            for p, content in zip(pdf["path"], pdf["content"]):
+            contents = pdf["content"] if "content" in pdf else [None] * len(pdf)
+            for p, content in zip(pdf["path"], contents):
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    with open_zip(p, content) as z:
                         for info in z.infolist():
                             rows.append((p, info.filename, int(info.file_size), "ok", None))
                 except Exception as e:  # noqa: BLE001 - reported per archive
