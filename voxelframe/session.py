@@ -95,7 +95,15 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    fd, path = tempfile.mkstemp(prefix="voxelframe-", suffix=".zip")
+    # the zip goes to the shared checkpoint folder when it is a mounted
+    # path; for remote stores the driver's own temp folder serves
+    # (addPyFile copies it to the executors either way)
+    shared = checkpoint_dir(spark)
+    shared = shared[len("file:"):] if shared.startswith("file:") else shared
+    where = os.path.join(shared, "pyfiles") if "://" not in shared else None
+    if where:
+        os.makedirs(where, exist_ok=True)
+    fd, path = tempfile.mkstemp(prefix="voxelframe-", suffix=".zip", dir=where)
     os.close(fd)
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for base, dirs, files in os.walk(pkg):
