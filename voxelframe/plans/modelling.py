@@ -22,11 +22,19 @@ from voxelframe.operators.split import hash_split, sequential_split
 def prepare(regions: DataFrame, labels: DataFrame, scan: str, t: str, cols: Sequence[str],
             person: str, label_col: str, first_label: str, names=("men", "women"),
             window: int = 10, block: int | None = 65536, split: str = "sequential",
-            test_frac: float = 0.3) -> DataFrame:
-    """Smoothed, labelled, split region rows."""
+            test_frac: float = 0.3, checkpoint: bool = True) -> DataFrame:
+    """Smoothed, labelled, split region rows.
+
+    With ``checkpoint`` the smoothed, labelled rows are written once to the
+    shared checkpoint folder: the split's per-series counts and the model
+    passes then read them instead of recomputing ordinals and windows, and
+    a lost executor costs a re-read rather than the whole lineage."""
+    from voxelframe.session import materialize
     r = windows.rolling_mean(regions, [scan], t, list(cols), window=window, full_only=True, block=block)
     r = label_lookup(r, labels, person).withColumn(
         "cohort", route(F.col(label_col), first_label, names[0], names[1]))
+    if checkpoint:
+        r = materialize(r)
     if split == "sequential":
         return sequential_split(r, [scan], t, 1.0 - test_frac)
     if split == "person":
@@ -65,17 +73,20 @@ def cohort_scores(d: DataFrame, cols: Sequence[str], method: str = "ols", alpha:
         for k, (n, g) in grams.items():
             cov = g / max(n, 1)       # standardised train rows have mean 0
             weights[k] = linear.lasso_all_targets(cov, alpha) if method == "lasso" else linear.ols_all_targets(cov)
-        preds = []
-        for t_idx, tcol in enumerate(cols):
-            e = None
-            for k, w in weights.items():
-                ek = F.lit(0.0)
-                for j, cj in enumerate(cols):
-                    if w[t_idx, j] != 0.0:
-                        ek = ek + F.lit(float(w[t_idx, j])) * F.col(cj)
-                e = F.when(F.col("cohort") == k, ek) if e is None else e.when(F.col("cohort") == k, ek)
-            preds.append(e.alias("p_" + tcol))
-        p = z.select("*", *preds)
+        # one weight vector per (cohort, target) as a table: the plan's size
+        # does not grow with the number of cohorts, and the table holds at
+        # most max_cohorts rows of d x d doubles (checked above)
+        wt = spark.createDataFrame(
+            [(k, *[[float(v) for v in w[i]] for i in range(len(cols))]) for k, w in weights.items()],
+            "cohort string, " + ", ".join(f"w_{c} array<double>" for c in cols))
+        x = F.array(*[F.col(c) for c in cols])
+
+        def dot(w):
+            # zero weights (the target itself, Lasso zeros) contribute nothing
+            terms = F.zip_with(w, x, lambda a, b: F.when(a == 0.0, F.lit(0.0)).otherwise(a * b))
+            return F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
+        p = z.join(F.broadcast(wt), "cohort", "left").select(
+            "cohort", "split", *cols, *[dot(F.col("w_" + c)).alias("p_" + c) for c in cols])
         aggs = [F.struct(*metrics.metric_columns(k, "p_" + k)).alias("m_" + k) for k in cols]
         rows = p.groupBy("cohort", "split").agg(*aggs).collect()
     finally:
