@@ -237,4 +237,6 @@ def high_variance_features(long: DataFrame, keys: Sequence[str], feature: str, v
     """
     v = long.groupBy(*keys, feature).agg(F.var_pop(value).alias("var"))
     thr = v.groupBy(*keys).agg(F.percentile("var", 1.0 - percentile / 100.0).alias("_thr"))
-    return v.join(thr, list(keys)).filter(F.col("var") > F.col("_thr")).drop("_thr")
+    from voxelframe.operators.joins import broadcast_if_small
+    # one threshold per group, joined back without moving a big group's rows
+    return v.join(broadcast_if_small(thr), list(keys)).filter(F.col("var") > F.col("_thr")).drop("_thr")

@@ -235,7 +235,11 @@ def confound_residuals(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     nb = max(4096, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     coef = (sums.withColumn("_g", F.pmod(F.xxhash64(*keys), F.lit(nb)))
                 .groupBy("_g").applyInPandas(lambda p: solve(p.drop(columns=["_g"])), coef_schema))
-    j = df.join(coef, keys)
+    # one row per scan, joined back with a size-proven broadcast so a hot
+    # scan's rows stay where they are (beyond the bound: shuffle join, with
+    # AQE splitting skewed partitions)
+    from voxelframe.operators.joins import broadcast_if_small
+    j = df.join(broadcast_if_small(coef), keys)
     res = []
     for c in cols:
         fit = F.col(f"b_{c}_0")

@@ -59,7 +59,8 @@ def udf_mean_window(spark, sf_dir):
     """The group mean as a column on every row (an unbounded window)."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     m = udfs.salted_mean(ev, ["user_id"], "value", ["event_id"])
-    return ev.join(m, "user_id").select("event_id", "user_id", "value",
+    from voxelframe.operators.joins import broadcast_if_small
+    return ev.join(broadcast_if_small(m), "user_id").select("event_id", "user_id", "value",
                                         r6(F.col("mean_v"), 8).alias("mean_v"))
 
 
