@@ -80,8 +80,15 @@ def run_extraction(spark, worklist_path: str, voxel_path: str, atlas_path: str,
         "scan_id", paths.strip_extension(paths.last_part(F.col("path"))))
     work = first_n_per_key(work, "person", ["path"], max_per_person)
     if skip_existing and target == "hdd" and os.path.exists(out):
-        done = spark.read.option("header", True).csv(out).select("scan_id").distinct()
-        work = skip_done(work, done, ["scan_id"])
+        # scans already written, from the per-scan folder names only (the
+        # listing's partition column; no file content is read)
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(out)
+        if "scan_id" in listing.columns:
+            work = skip_done(work, listing.select("scan_id").distinct(), ["scan_id"])
+    # the work list (one row per scan) is fixed here: nothing downstream may
+    # depend on the output folder this job is about to write into
+    from voxelframe.session import materialize
+    work = materialize(work)
     atlas = voxel.read_atlas(spark, atlas_path, atlas_name)
     labels = atlas_labels(atlas, atlas_name)
     vox = voxel.read_voxels(spark, voxel_path).join(
@@ -93,6 +100,14 @@ def run_extraction(spark, worklist_path: str, voxel_path: str, atlas_path: str,
     wide = extract_regions(vox, atlas.select("voxel_id", "label"), labels, ["scan_id"], "t",
                            confounds=conf, confound_cols=cols or (), standardize=standardize,
                            detrend=detrend)
-    files.route_sink(wide, target, out, "scan_id")
-    return (wide.groupBy("scan_id").agg(F.count(F.lit(1)).alias("n_timepoints"))
-                .join(work.select("scan_id", "person"), "scan_id"))
+    # the region rows are kept for the write and the summary, so the voxels
+    # are read and averaged once; the summary (one row per scan) is
+    # checkpointed before the rows are released
+    from pyspark import StorageLevel
+    wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        files.route_sink(wide, target, out, "scan_id")
+        return materialize(wide.groupBy("scan_id").agg(F.count(F.lit(1)).alias("n_timepoints"))
+                               .join(work.select("scan_id", "person"), "scan_id"))
+    finally:
+        wide.unpersist()
