@@ -115,6 +115,11 @@ def time_mask(spark, sf_dir):
     """Keep a subset of time points given by a mask table: drop the first
     five volumes and every time index that carries a large error event."""
     s = series(spark, sf_dir, cols=("event_id", "ts", "user_id", "event_type", "value"))
-    bad = s.filter((F.col("event_type") == "error") & (F.col("value") > 45)).select("t").distinct()
+    from voxelframe.operators.joins import broadcast_if_small
+    # the mask has at most one row per time index (bounded by the longest
+    # series): computed once, broadcast when proven small, so the series
+    # rows are not shuffled by t
+    bad = broadcast_if_small(
+        s.filter((F.col("event_type") == "error") & (F.col("value") > 45)).select("t").distinct())
     return (s.filter(F.col("t") >= 5).join(bad, "t", "left_anti")
              .select("user_id", "t", "value"))
