@@ -40,10 +40,12 @@ def add_ordinal(df: DataFrame, keys: Sequence[str], order_by: Sequence, name: st
     offsets = counts.select(*keys, "_split",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     w = Window.partitionBy(*keys, "_split").orderBy(*order)
-    from voxelframe.operators.joins import sized_broadcast
-    # the offsets table (keys x splits) is broadcast only when proven small;
-    # the hint also keeps the planner from broadcasting the data side
-    return (d.join(sized_broadcast(offsets), [*keys, "_split"])
+    from voxelframe.operators.joins import broadcast_if_small
+    # the offsets table (keys x splits) is computed once into the checkpoint
+    # folder (its size check and the join read that copy, so the source is
+    # not aggregated twice) and broadcast only when proven small; the hint
+    # also keeps the planner from broadcasting the data side
+    return (d.join(broadcast_if_small(offsets), [*keys, "_split"])
              .withColumn(name, (F.row_number().over(w) - 1 + F.col("_off")).cast("bigint"))
              .drop("_split", "_off"))
 
