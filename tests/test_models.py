@@ -295,3 +295,43 @@ def test_stream_scan_split_over_batches(spark, tmp_path):
     want = extract_regions(vox, atlas, [1, 2, 3]).toPandas().sort_values(["scan_id", "t"]).reset_index(drop=True)
     assert len(got) == 80
     np.testing.assert_allclose(got[["x0", "x1", "x2"]].to_numpy(), want[["x0", "x1", "x2"]].to_numpy(), atol=1e-12)
+
+
+@pytest.mark.parametrize("method", ["ols", "lasso"])
+def test_cohort_scores_many_cohorts(spark, method):
+    """Weights-table scoring with three cohorts against NumPy: scaler on
+    train rows, fits from the train Gram, metrics per cohort and split."""
+    from voxelframe.plans.modelling import cohort_scores
+    rng = np.random.default_rng(31)
+    cols = ["x0", "x1", "x2", "x3"]
+    parts = []
+    for ci, coh in enumerate(["a", "b", "c"]):
+        n = 300 + 50 * ci
+        lat = rng.normal(size=n)
+        x = np.stack([lat * (j + 1 + ci) * 0.4 + rng.normal(size=n) for j in range(4)], axis=1)
+        pdf = pd.DataFrame(x, columns=cols)
+        pdf["cohort"] = coh
+        pdf["split"] = np.where(np.arange(n) < int(0.7 * n), "train", "test")
+        parts.append(pdf)
+    pdf = pd.concat(parts, ignore_index=True)
+    df = spark.createDataFrame(pdf).repartition(5)
+    got = cohort_scores(df, cols, method=method, alpha=0.01).toPandas()
+    assert len(got) == 3 * 4 * 2
+    for coh, g in pdf.groupby("cohort"):
+        tr = g[g.split == "train"]
+        mu, sd = tr[cols].mean().to_numpy(), tr[cols].std(ddof=0).to_numpy()
+        z = (g[cols].to_numpy() - mu) / sd
+        ztr = z[(g.split == "train").to_numpy()]
+        cov = ztr.T @ ztr / len(ztr)
+        w = linear.lasso_all_targets(cov, 0.01) if method == "lasso" else linear.ols_all_targets(cov)
+        for k, c in enumerate(cols):
+            p = z @ w[k]
+            for s in ("train", "test"):
+                m = (g.split == s).to_numpy()
+                e = z[m, k] - p[m]
+                row = got[(got.cohort == coh) & (got.region == c) & (got.split == s)].iloc[0]
+                assert row["n"] == m.sum()
+                assert row["mse"] == pytest.approx(np.mean(e * e), rel=1e-9, abs=1e-12)
+                assert row["mae"] == pytest.approx(np.mean(np.abs(e)), rel=1e-9, abs=1e-12)
+                sst = np.var(z[m, k]) * m.sum()
+                assert row["r2"] == pytest.approx(1 - np.sum(e * e) / sst, rel=1e-9, abs=1e-12)
