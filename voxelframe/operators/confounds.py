@@ -1,25 +1,31 @@
-"""High-variance confounds: per scan, the top singular vectors (time
+"""High-variance confounds: per scan, the top left singular vectors (time
 courses) of the most variable voxels.
 
 1. variance of every voxel over time (partial aggregate per scan, voxel);
 2. per scan, voxels above the (100 - percentile)-th percentile of those
    variances (exact percentile over one value per voxel);
-3. the selected series, detrended (mean and linear trend removed);
-4. per scan, the selected voxels' time vectors -> T x T Gram matrix ->
-   eigenvectors of the largest eigenvalues = left singular vectors.
+3. the selected series, detrended (mean and linear trend removed), laid
+   out as one row per (scan, time point) holding the selected voxels'
+   values in voxel order;
+4. per scan, C = sum over time points of x x^T (selected voxels squared),
+   summed from Arrow batches across the cluster; eigenvectors v and
+   eigenvalues s^2 of C in one small Python call per scan;
+5. every time point's confounds u_k = x . v_k / s_k (= the left singular
+   vectors of the time x voxel matrix), as array expressions on the rows.
 
-Step 4 runs in ``applyInPandas`` with one group per scan; its input is
-bounded by the acquisition (selected voxels x time points), never by the
-size of the data set.  Signs of singular vectors are arbitrary.
+Nothing passes a scan's time series through one task: the per-scan work
+is bounded by the number of selected voxels, however many time points a
+scan has.  Signs of singular vectors are arbitrary; components beyond the
+rank of a scan's matrix are null.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelframe.operators import windows
@@ -30,30 +36,69 @@ def high_variance_confounds(voxels: DataFrame, keys: Sequence[str] = ("scan_id",
                             t: str = "t", value: str = "value", n_confounds: int = 5,
                             percentile: float = 2.0, detrend: bool = True) -> DataFrame:
     """(keys..., t, c0..c{n-1}) confound time courses per scan."""
+    from voxelframe.operators.joins import broadcast_if_small
+    from voxelframe.session import materialize
     keys = list(keys)
     sel = high_variance_features(voxels, keys, voxel, value, percentile).select(*keys, voxel)
-    v = voxels.join(sel, [*keys, voxel], "left_semi")
+    # position of each selected voxel in its scan's vector, and the vector
+    # length (one row per selected voxel: bounded by the voxel grid)
+    sel = broadcast_if_small(sel.select(
+        *keys, voxel,
+        (F.row_number().over(Window.partitionBy(*keys).orderBy(voxel)) - 1).alias("_i"),
+        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_d")))
+    v = voxels.join(sel.select(*keys, voxel), [*keys, voxel], "left_semi")
     if detrend:
         v = windows.detrend(v, [*keys, voxel], t, [value])
-    vec = (v.groupBy(*keys, voxel)
-             .agg(F.array_sort(F.collect_list(F.struct(F.col(t).alias("t"), F.col(value).alias("v"))))
-                  .alias("_s")))
-    vec = vec.select(*keys, voxel, F.col("_s.t").alias("_t"), F.col("_s.v").alias("_v"))
+    rows = (v.join(sel, [*keys, voxel])
+             .groupBy(*keys, t)
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("_i").alias("i"),
+                                                       F.col(value).cast("double").alias("v")))).alias("_s"),
+                  F.first("_d").alias("_d"))
+             .select(*keys, t, "_d", F.col("_s.v").alias("_x")))
+    rows = materialize(rows)        # read by the Gram pass and the projection
+
     key_types = {f.name: f.dataType.simpleString() for f in voxels.schema.fields}
-    schema = ", ".join([f"`{k}` {key_types[k]}" for k in keys] + [f"{t} {key_types[t]}"] +
-                       [f"c{i} double" for i in range(n_confounds)])
-
-    def svd(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.asarray(pdf["_t"].iloc[0])
-        x = np.stack([np.asarray(a, dtype=np.float64) for a in pdf["_v"]], axis=1)  # T x voxels
-        g = x @ x.T
-        w, u = np.linalg.eigh(g)
-        order = np.argsort(w)[::-1][:n_confounds]
-        u = u[:, order]
-        out = pd.DataFrame({k: [pdf[k].iloc[0]] * len(times) for k in keys})
-        out[t] = times
-        for i in range(n_confounds):
-            out[f"c{i}"] = u[:, i] if i < u.shape[1] else np.nan
-        return out
-
-    return vec.groupBy(*keys).applyInPandas(svd, schema)
+    kschema = [f"`{k}` {key_types[k]}" for k in keys]
+
+    def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = {}
+        for pdf in it:
+            for kv, g in pdf.groupby(keys, sort=False):
+                kv = kv if isinstance(kv, tuple) else (kv,)
+                d = int(g["_d"].iloc[0])
+                if (g["_x"].map(len) != d).any():
+                    raise ValueError(f"scan {kv}: a selected voxel has no value at some time point")
+                x = np.stack(g["_x"].to_numpy()).astype(np.float64)
+                a = acc.setdefault(kv, np.zeros((d, d)))
+                a += x.T @ x
+        for kv, c in acc.items():
+            iu, ju = np.triu_indices(c.shape[0])
+            out = pd.DataFrame({k: [kv[n]] * len(iu) for n, k in enumerate(keys)})
+            out["i"], out["j"], out["s"] = iu.astype(np.int32), ju.astype(np.int32), c[iu, ju]
+            yield out
+
+    gram = (rows.mapInPandas(partial, ", ".join(kschema + ["i int", "j int", "s double"]))
+                .groupBy(*keys, "i", "j").agg(F.sum("s").alias("s")))
+
+    def eig(pdf: pd.DataFrame) -> pd.DataFrame:
+        d = int(max(pdf["i"].max(), pdf["j"].max())) + 1
+        c = np.zeros((d, d))
+        c[pdf["i"], pdf["j"]] = pdf["s"]
+        c[pdf["j"], pdf["i"]] = pdf["s"]
+        w, vec = np.linalg.eigh(c)
+        order = np.argsort(w)[::-1]
+        top = max(float(w[order[0]]), 0.0)
+        out = {k: [pdf[k].iloc[0]] for k in keys}
+        for n in range(n_confounds):
+            ok = n < d and w[order[n]] > top * 1e-12 and w[order[n]] > 0
+            # v_k / s_k, so that x . (v_k / s_k) is the k-th left singular vector
+            out[f"p{n}"] = [list(vec[:, order[n]] / np.sqrt(w[order[n]])) if ok else None]
+        return pd.DataFrame(out)
+
+    proj = broadcast_if_small(gram.groupBy(*keys).applyInPandas(
+        eig, ", ".join(kschema + [f"p{n} array<double>" for n in range(n_confounds)])))
+
+    def dot(p):
+        return F.aggregate(F.zip_with(p, F.col("_x"), lambda a, b: a * b), F.lit(0.0), lambda acc, e: acc + e)
+    return (rows.join(proj, keys, "left")
+                .select(*keys, t, *[dot(F.col(f"p{n}")).alias(f"c{n}") for n in range(n_confounds)]))
