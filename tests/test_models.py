@@ -335,3 +335,15 @@ def test_cohort_scores_many_cohorts(spark, method):
                 assert row["mae"] == pytest.approx(np.mean(np.abs(e)), rel=1e-9, abs=1e-12)
                 sst = np.var(z[m, k]) * m.sum()
                 assert row["r2"] == pytest.approx(1 - np.sum(e * e) / sst, rel=1e-9, abs=1e-12)
+
+
+def test_centred_gram_one_pass(spark):
+    """Shifted one-pass covariance equals NumPy's, also when the mean is
+    a million times the spread."""
+    rng = np.random.default_rng(41)
+    x = 1e6 + rng.normal(size=(3000, 6)) @ rng.normal(size=(6, 6))
+    df = spark.createDataFrame([(list(map(float, r)),) for r in x], "v array<double>").repartition(7)
+    n, mu, m2 = linear.centred_gram(df, "v", 6, shift=x[0])
+    assert n == 3000
+    np.testing.assert_allclose(mu, x.mean(axis=0), rtol=1e-13)
+    np.testing.assert_allclose(m2 / n, np.cov(x, rowvar=False, bias=True), rtol=1e-9, atol=1e-9)

@@ -88,6 +88,53 @@ def gram(df: DataFrame, vec: str, dim: int, center: np.ndarray | None = None) ->
     return n, g
 
 
+def centred_gram(df: DataFrame, vec: str, dim: int, shift: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """n, the mean and the centred d x d cross products of a vector column
+    in one pass.
+
+    Each Arrow batch adds ``(X - K).T @ (X - K)`` and the column sums of
+    ``X - K`` for a fixed shift ``K`` (any row of the data, e.g. the first);
+    then ``M2 = G - n d d^T`` with ``d`` the mean of ``X - K``.  With ``K``
+    a sample of the data, ``X - K`` is on the scale of the spread rather
+    than the mean, so the subtraction loses no precision to speak of.
+    """
+    k = np.asarray(shift, dtype=np.float64)
+    iu, ju = np.triu_indices(dim)
+
+    def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        g = np.zeros((dim, dim))
+        sm = np.zeros(dim)
+        n = 0
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            x = np.stack(pdf[vec].to_numpy()).astype(np.float64) - k
+            g += x.T @ x
+            sm += x.sum(axis=0)
+            n += len(pdf)
+        if n:
+            # the sums travel as row i = -1
+            yield pd.DataFrame({"i": np.concatenate([iu, np.full(dim, -1)]).astype(np.int32),
+                                "j": np.concatenate([ju, np.arange(dim)]).astype(np.int32),
+                                "s": np.concatenate([g[iu, ju], sm]),
+                                "n": np.full(len(iu) + dim, n, dtype=np.int64)})
+
+    agg = (df.select(vec).mapInPandas(partial, "i int, j int, s double, n long")
+             .groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect())
+    g = np.zeros((dim, dim))
+    sm = np.zeros(dim)
+    n = 0
+    for r in agg:
+        if r["i"] < 0:
+            sm[r["j"]] = r["s"]
+        else:
+            g[r["i"], r["j"]] = r["s"]
+            g[r["j"], r["i"]] = r["s"]
+        n = r["n"]
+    d = sm / max(n, 1)
+    return n, k + d, g - n * np.outer(d, d)
+
+
 def gram_by(df: DataFrame, key: str, cols: Sequence[str], max_groups: int = 10_000) -> dict:
     """{key value: (n, uncentred d x d cross products of ``cols``)} for every
     group in one pass: each Arrow batch adds ``X.T @ X`` per group (columns

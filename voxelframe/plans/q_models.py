@@ -121,9 +121,10 @@ def region_matrix(spark, sf_dir, with_cohort: bool = False):
 def _train_gram(d):
     tr = d.filter(F.col("split") == "train").select(F.array(*[F.col(c) for c in REGION_COLS]).alias("v"))
     k = len(REGION_COLS)
-    mu = linear.vector_means(tr, "v", k)
-    n, g = linear.gram(tr, "v", k, center=mu)
-    cov, _ = linear.covariance_from_gram(n, g)
+    # one pass: Gram and sums shifted by a training row
+    shift = np.asarray(tr.first()["v"], dtype=np.float64)
+    n, mu, m2 = linear.centred_gram(tr, "v", k, shift=shift)
+    cov, _ = linear.covariance_from_gram(n, m2)
     return mu, cov
 
 

@@ -193,12 +193,12 @@ _EMB_LONG = ("SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 A
 SELECT a.pos AS i, b.pos AS j, {sql_r6('covar_pop(a.v, b.v)', 8)} AS cov, {sql_r6('corr(a.v, b.v)')} AS corr
 FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.pos < b.pos GROUP BY a.pos, b.pos""")
 def embedding_corr(spark, sf_dir):
-    """Covariance / correlation of all 64 dimensions from one centred Gram pass."""
+    """Covariance / correlation of all 64 dimensions from one shifted Gram pass."""
     emb = table(spark, sf_dir, "embeddings").select("embedding")
-    dim = len(emb.first()["embedding"])
-    mu = linear.vector_means(emb, "embedding", dim)
-    n, g = linear.gram(emb, "embedding", dim, center=mu)
-    cov, corr = linear.covariance_from_gram(n, g)
+    first = np.asarray(emb.first()["embedding"], dtype=np.float64)   # dimension and shift
+    dim = len(first)
+    n, _, m2 = linear.centred_gram(emb, "embedding", dim, shift=first)
+    cov, corr = linear.covariance_from_gram(n, m2)
     iu, ju = np.triu_indices(dim, k=1)
     rows = [(int(i), int(j), float(cov[i, j]), float(corr[i, j])) for i, j in zip(iu, ju)]
     df = spark.createDataFrame(rows, "i int, j int, cov double, corr double")
