@@ -34,11 +34,21 @@ def region_means(voxels: DataFrame, atlas: DataFrame, keys: Sequence[str], label
 
 def label_table(spark, values: Sequence, key_col: str, label_col: str = "label", first: int = 1) -> DataFrame:
     """A small label table: the i-th value gets label first + i (0 stays the
-    background).  Built from a bounded list, no job."""
+    background).  Built from a bounded list, no job.  Up to ``INLINE_ROWS``
+    entries the rows are literals in the plan (JVM only, no Python worker);
+    longer lists are shipped as data so the plan stays small."""
+    if 0 < len(values) <= INLINE_ROWS:
+        rows = [F.struct(F.lit(None if v is None else str(v)).cast("string").alias(key_col),
+                         F.lit(first + i).cast("int").alias(label_col)) for i, v in enumerate(values)]
+        return spark.range(1).select(F.inline(F.array(*rows)))
     return spark.createDataFrame([(v, first + i) for i, v in enumerate(values)],
                                  f"{key_col} string, {label_col} int")
 
 
+# longest list written into a plan as literals
+INLINE_ROWS = 1000
+
+
 def distinct_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
     """Sorted distinct values of a low-cardinality column (bounded)."""
     rows = df.select(col).distinct().limit(max_values + 1).collect()
