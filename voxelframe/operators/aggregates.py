@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelframe.operators.joins import sized_broadcast
+from voxelframe.tables import small_table
 
 
 def region_means(voxels: DataFrame, atlas: DataFrame, keys: Sequence[str], label_col: str,
@@ -229,7 +230,7 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     for c in cols:
         s = stats[c]
         rows.append((c, int(s["count"]), s["mean"], s["std"], s["min"], *q[c], s["max"]))
-    out = spark.createDataFrame(rows, "column string, count bigint, mean double, std double, min double, "
+    out = small_table(spark, rows, "column string, count bigint, mean double, std double, min double, "
                                       "q25 double, q50 double, q75 double, max double")
     r = lambda c: F.round(F.col(c), digits) + F.lit(0.0)
     return out.select("column", "count", *[r(c).alias(c) for c in

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelframe.functions.numeric import PDIV_EPS, PDIV_FALLBACK, register_sql_functions
+from voxelframe.tables import small_table
 
 # The binary operators of the reference's random trees and the
 # function sets of the symbolic search.
@@ -77,7 +78,7 @@ def fitness(df: DataFrame, formulas: dict, targets: dict, parsimony: float = 0.0
         aggs.append(F.avg(e * e).alias(f"m{fid}"))
     row = d.agg(F.count(F.lit(1)).alias("n"), *aggs)
     spark = df.sparkSession
-    meta = spark.createDataFrame(
+    meta = small_table(spark,
         [(int(fid), targets[fid], int(length(f))) for fid, f in formulas.items()],
         "formula_id bigint, region string, length int")
     stacked = row.select("n", F.explode(F.array(*[
@@ -313,7 +314,7 @@ FORMULA_SCHEMA = "formula_id bigint, region string, expr string, length int"
 
 def formula_rows(spark, found: dict) -> DataFrame:
     """{formula_id: (region, tree)} -> formula table rows."""
-    return spark.createDataFrame([(int(i), r, render(t), int(length(t))) for i, (r, t) in found.items()],
+    return small_table(spark, [(int(i), r, render(t), int(length(t))) for i, (r, t) in found.items()],
                                  FORMULA_SCHEMA)
 
 

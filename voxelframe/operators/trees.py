@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from voxelframe.tables import small_table
 
 # Fixed values of the reference's boosted-tree configuration that Spark has:
 # depth 4, learning rate 0.08, row subsample 0.95, seed 0.
@@ -35,7 +36,7 @@ def importance_table(spark: SparkSession, model, feats: Sequence[str], region: s
     """(region, feature, importance) for the ``top`` most important features."""
     imp = model.featureImportances.toArray()
     rows = [(region, f, float(v)) for f, v in zip(feats, imp)]
-    return (spark.createDataFrame(rows, "region string, feature string, importance double")
+    return (small_table(spark, rows, "region string, feature string, importance double")
                  .orderBy(F.desc("importance"), "feature").limit(top))
 
 
@@ -73,5 +74,5 @@ def fit_all_regions(df: DataFrame, cols: Sequence[str], max_iter: int = 500, spl
             scores += [(target, r[split_col] if split_col else "all", int(r["n"]), r["r2"], r["mae"]) for r in m]
     finally:
         d.unpersist()
-    return (spark.createDataFrame(imps, "region string, feature string, importance double"),
-            spark.createDataFrame(scores, "region string, split string, n bigint, r2 double, mae double"))
+    return (small_table(spark, imps, "region string, feature string, importance double"),
+            small_table(spark, scores, "region string, split string, n bigint, r2 double, mae double"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from voxelframe.operators import linear, metrics, windows
 from voxelframe.operators.joins import label_lookup, route
 from voxelframe.operators.split import hash_split, sequential_split
+from voxelframe.tables import small_table
 
 
 def prepare(regions: DataFrame, labels: DataFrame, scan: str, t: str, cols: Sequence[str],
@@ -62,7 +63,7 @@ def cohort_scores(d: DataFrame, cols: Sequence[str], method: str = "ols", alpha:
                 .limit(max_cohorts + 1).collect())
         if len(st) > max_cohorts:
             raise ValueError("too many cohorts")
-        stats = spark.createDataFrame(
+        stats = small_table(spark,
             [(r["cohort"], *[r[f"m_{c}"] for c in cols],
               *[(1.0 if not r[f"s_{c}"] else r[f"s_{c}"]) for c in cols]) for r in st],
             "cohort string, " + ", ".join([f"m_{c} double" for c in cols] + [f"s_{c} double" for c in cols]))
@@ -74,9 +75,10 @@ def cohort_scores(d: DataFrame, cols: Sequence[str], method: str = "ols", alpha:
             cov = g / max(n, 1)       # standardised train rows have mean 0
             weights[k] = linear.lasso_all_targets(cov, alpha) if method == "lasso" else linear.ols_all_targets(cov)
         # one weight vector per (cohort, target) as a table: the plan's size
-        # does not grow with the number of cohorts, and the table holds at
-        # most max_cohorts rows of d x d doubles (checked above)
-        wt = spark.createDataFrame(
+        # does not grow with the number of cohorts (beyond small_table's
+        # literal bound the rows are shipped as data), and the table holds
+        # at most max_cohorts rows of d x d doubles (checked above)
+        wt = small_table(spark,
             [(k, *[[float(v) for v in w[i]] for i in range(len(cols))]) for k, w in weights.items()],
             "cohort string, " + ", ".join(f"w_{c} array<double>" for c in cols))
         x = F.array(*[F.col(c) for c in cols])
@@ -99,5 +101,5 @@ def cohort_scores(d: DataFrame, cols: Sequence[str], method: str = "ols", alpha:
             if digits is not None:
                 vals = [None if v is None else float(round(v, digits)) for v in vals]
             out.append((r["cohort"], k, r["split"], int(m["n"]), *vals))
-    return spark.createDataFrame(out, "cohort string, region string, split string, n bigint, "
+    return small_table(spark, out, "cohort string, region string, split string, n bigint, "
                                       "r2 double, mse double, mae double")
\ No newline at end of file

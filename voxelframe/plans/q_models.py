@@ -18,7 +18,7 @@ from voxelframe.plans.registry import query
 from voxelframe.plans.stand_ins import MEN_SEGMENT, REGION_COLS, SERIES_SQL, series
 from voxelframe.session import table_path
 from voxelframe.sources import files
-from voxelframe.tables import table
+from voxelframe.tables import table, small_table
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -138,7 +138,7 @@ def lasso_all(spark, sf_dir):
     w = linear.lasso_all_targets(cov, LASSO_ALPHA)
     rows = [(REGION_COLS[k], REGION_COLS[j], float(w[k, j]))
             for k in range(len(REGION_COLS)) for j in range(len(REGION_COLS)) if j != k]
-    return spark.createDataFrame(rows, "region string, feature string, weight double").select(
+    return small_table(spark, rows, "region string, feature string, weight double").select(
         "region", "feature", r6(F.col("weight")).alias("weight"))
 
 
@@ -242,7 +242,7 @@ def net_train(spark, sf_dir):
         _, hist = net.train(d, REGION_COLS, _init_nets(0), steps=NET_STEPS, lr=1e-2)
     finally:
         d.unpersist()
-    return spark.createDataFrame(
+    return small_table(spark,
         hist, "region string, epoch int, r2_train double, r2_test double, mse_train double, mse_test double")
 
 
@@ -261,7 +261,7 @@ def gp_search(spark, sf_dir):
     register_sql_functions(spark)
     full = region_matrix(spark, sf_dir).withColumn("_p", F.expr(formula.render(best)))
     sc = {r["split"]: r for r in metrics.regression_metrics(full, ["split"], "l_tax", "_p").collect()}
-    return spark.createDataFrame(
+    return small_table(spark,
         [("l_tax", formula.render(best), float(mse), int(formula.length(best)), len(hist),
           sc["train"]["r2"], sc["test"]["r2"], sc["train"]["mae"], sc["test"]["mae"])],
         "region string, program string, mse double, length int, generations int, "
@@ -283,7 +283,7 @@ def random_formula_fitness(spark, sf_dir):
 
     # a formula whose every row divides by zero has no error value (null)
     rows = [(r["formula_id"], r["expr"], r["length"], val(row[f"m{r['formula_id']}"])) for r in fs]
-    return spark.createDataFrame(rows, "formula_id long, expr string, length int, mse double")
+    return small_table(spark, rows, "formula_id long, expr string, length int, mse double")
 
 
 def _det3_sql(m):

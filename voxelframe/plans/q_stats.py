@@ -10,7 +10,7 @@ from voxelframe.functions.numeric import r6, sql_r6
 from voxelframe.operators import aggregates, formula, linear, metrics, smooth
 from voxelframe.plans.registry import query
 from voxelframe.plans.stand_ins import MEN_SEGMENT, REGION_COLS, SERIES_SQL, series
-from voxelframe.tables import table
+from voxelframe.tables import table, small_table
 
 TRAIN_BEFORE = "1999-01-01"
 
@@ -201,7 +201,7 @@ def embedding_corr(spark, sf_dir):
     cov, corr = linear.covariance_from_gram(n, m2)
     iu, ju = np.triu_indices(dim, k=1)
     rows = [(int(i), int(j), float(cov[i, j]), float(corr[i, j])) for i, j in zip(iu, ju)]
-    df = spark.createDataFrame(rows, "i int, j int, cov double, corr double")
+    df = small_table(spark, rows, "i int, j int, cov double, corr double")
     return df.select("i", "j", r6(F.col("cov"), 8).alias("cov"), r6(F.col("corr")).alias("corr"))
 
 
