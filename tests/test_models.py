@@ -347,3 +347,23 @@ def test_centred_gram_one_pass(spark):
     assert n == 3000
     np.testing.assert_allclose(mu, x.mean(axis=0), rtol=1e-13)
     np.testing.assert_allclose(m2 / n, np.cov(x, rowvar=False, bias=True), rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("native", [True, False])
+def test_gram_by_both_paths(spark, monkeypatch, native):
+    """Grouped Gram per key: native aggregate and Arrow-batch path agree
+    with NumPy."""
+    if not native:
+        monkeypatch.setattr(linear, "NATIVE_GRAM_MAX_DIM", 0)
+    rng = np.random.default_rng(43)
+    x = rng.normal(size=(900, 5))
+    keys = np.array(["a", "b", "c"])[rng.integers(0, 3, size=900)]
+    pdf = pd.DataFrame(x, columns=[f"x{i}" for i in range(5)])
+    pdf["k"] = keys
+    got = linear.gram_by(spark.createDataFrame(pdf).repartition(4), "k", [f"x{i}" for i in range(5)])
+    assert set(got) == {"a", "b", "c"}
+    for k in "abc":
+        xs = x[keys == k]
+        n, g = got[k]
+        assert n == len(xs)
+        np.testing.assert_allclose(g, xs.T @ xs, rtol=1e-12, atol=1e-9)

@@ -135,14 +135,38 @@ def centred_gram(df: DataFrame, vec: str, dim: int, shift: np.ndarray) -> tuple[
     return n, k + d, g - n * np.outer(d, d)
 
 
+# up to this many columns a grouped Gram is a native aggregate; wider
+# matrices are summed from per-batch BLAS products in Arrow batches
+NATIVE_GRAM_MAX_DIM = 16
+
+
 def gram_by(df: DataFrame, key: str, cols: Sequence[str], max_groups: int = 10_000) -> dict:
     """{key value: (n, uncentred d x d cross products of ``cols``)} for every
-    group in one pass: each Arrow batch adds ``X.T @ X`` per group (columns
-    arrive as contiguous double vectors); only the d x d matrices are summed
-    across the cluster.  Use on centred / standardised columns."""
+    group in one pass.  Up to ``NATIVE_GRAM_MAX_DIM`` columns the products
+    are sums in one native aggregate; wider, each Arrow batch adds
+    ``X.T @ X`` per group (columns arrive as contiguous double vectors) and
+    only the d x d matrices are summed across the cluster.  Use on centred /
+    standardised, non-null columns."""
     cols = list(cols)
     dim = len(cols)
     iu, ju = np.triu_indices(dim)
+    if dim <= NATIVE_GRAM_MAX_DIM:
+        # few columns: d(d+1)/2 sums of products in one native aggregate
+        # (partial aggregation, codegen; no Python)
+        x = [F.col(c).cast("double") for c in cols]
+        rows = (df.groupBy(F.col(key).alias("k"))
+                  .agg(F.count(F.lit(1)).alias("n"),
+                       *[F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i, j in zip(iu, ju)])
+                  .limit(max_groups + 1).collect())
+        if len(rows) > max_groups:
+            raise ValueError("too many groups for a grouped Gram")
+        out = {}
+        for r in rows:
+            g = np.zeros((dim, dim))
+            for i, j in zip(iu, ju):
+                g[i, j] = g[j, i] = r[f"g{i}_{j}"]
+            out[r["k"]] = (r["n"], g)
+        return out
 
     def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc = {}

@@ -74,21 +74,25 @@ def cohort_scores(d: DataFrame, cols: Sequence[str], method: str = "ols", alpha:
         for k, (n, g) in grams.items():
             cov = g / max(n, 1)       # standardised train rows have mean 0
             weights[k] = linear.lasso_all_targets(cov, alpha) if method == "lasso" else linear.ols_all_targets(cov)
-        # one weight vector per (cohort, target) as a table: the plan's size
-        # does not grow with the number of cohorts (beyond small_table's
-        # literal bound the rows are shipped as data), and the table holds
-        # at most max_cohorts rows of d x d doubles (checked above)
+        # the weights as a table with one row per cohort and one scalar
+        # column per (target, feature): the prediction is plain column
+        # arithmetic (whole-stage codegen) whose size is d x d whatever the
+        # number of cohorts (beyond small_table's literal bound the rows are
+        # shipped as data); at most max_cohorts rows (checked above)
+        d_ = len(cols)
         wt = small_table(spark,
-            [(k, *[[float(v) for v in w[i]] for i in range(len(cols))]) for k, w in weights.items()],
-            "cohort string, " + ", ".join(f"w_{c} array<double>" for c in cols))
-        x = F.array(*[F.col(c) for c in cols])
+            [(k, *[float(w[i, j]) for i in range(d_) for j in range(d_)]) for k, w in weights.items()],
+            "cohort string, " + ", ".join(f"w_{i}_{j} double" for i in range(d_) for j in range(d_)))
 
-        def dot(w):
-            # zero weights (the target itself, Lasso zeros) contribute nothing
-            terms = F.zip_with(w, x, lambda a, b: F.when(a == 0.0, F.lit(0.0)).otherwise(a * b))
-            return F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
+        def predict(i):
+            e = F.lit(0.0)
+            for j, cj in enumerate(cols):
+                w = F.col(f"w_{i}_{j}")
+                # zero weights (the target itself, Lasso zeros) contribute nothing
+                e = e + F.when(w == 0.0, F.lit(0.0)).otherwise(w * F.col(cj))
+            return e
         p = z.join(F.broadcast(wt), "cohort", "left").select(
-            "cohort", "split", *cols, *[dot(F.col("w_" + c)).alias("p_" + c) for c in cols])
+            "cohort", "split", *cols, *[predict(i).alias("p_" + c) for i, c in enumerate(cols)])
         aggs = [F.struct(*metrics.metric_columns(k, "p_" + k)).alias("m_" + k) for k in cols]
         rows = p.groupBy("cohort", "split").agg(*aggs).collect()
     finally:
