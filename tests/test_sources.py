@@ -132,3 +132,27 @@ def test_atlas_lookup(spark, tmp_path):
     assert voxel.read_atlas(spark, p, "harvard_oxford").count() == 20
     with pytest.raises(OSError):
         voxel.read_atlas(spark, p, "no_such_atlas")
+
+
+def test_small_table_literal_and_shipped_paths(spark, monkeypatch):
+    """Bounded driver results: literals in the plan and shipped rows give
+    the same table (types, nulls, NaN, arrays, NumPy scalars)."""
+    import math
+
+    import numpy as np
+
+    from voxelframe import tables
+    rows = [("a", 1, 2.5, [1.0, 2.0], None), ("b", np.int64(2), np.float64("nan"), [], "x"),
+            (None, 3, None, None, "y")]
+    schema = "k string, n bigint, v double, w array<double>, s string"
+    lit = tables.small_table(spark, rows, schema)
+    monkeypatch.setattr(tables, "INLINE_ROWS", 0)
+    shipped = tables.small_table(spark, [(r[0], int(r[1]), None if r[2] is None else float(r[2]), r[3], r[4])
+                                         for r in rows], schema)
+    assert lit.schema.simpleString() == shipped.schema.simpleString()
+    assert "Generate" in lit._jdf.queryExecution().executedPlan().toString()
+
+    def norm(df):
+        return sorted([tuple("nan" if isinstance(v, float) and math.isnan(v) else v for v in r)
+                       for r in df.collect()], key=str)
+    assert norm(lit) == norm(shipped)
