@@ -10,70 +10,69 @@ from voxelframe.operators.asof import asof_cogroup, asof_join
 
 
 
-def _ints(spark):
-    return spark.createDataFrame(pd.DataFrame({"x": [1, 2, 3]}))
+# fixed values: inputs and results of the published examples
+INTEGERS = [1, 2, 3]
+SQUARES, SUCCESSORS = [1, 4, 9], [2, 3, 4]
+GROUPED = [(1, 1.0), (1, 2.0), (2, 3.0), (2, 5.0), (2, 10.0)]
+MEAN, GROUP_MEANS = 4.2, {1: 1.5, 2: 6.0}
+CENTRED = [-3.0, -1.0, -0.5, 0.5, 4.0]
+PEOPLE, ADULTS_OF_ONE = [(1, 21), (2, 30)], [(1, 21)]
 
 
-def _grouped(spark):
-    return spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0), (2, 5.0), (2, 10.0)], ("id", "v"))
+def _numbers(spark):
+    return spark.createDataFrame([(i,) for i in INTEGERS], "x bigint")
 
 
-def test_multiply(spark):
-    got = [r[0] for r in _ints(spark).select(udfs.multiply(F.col("x"), F.col("x"))).collect()]
-    assert got == [1, 4, 9]
-    assert list(udfs.multiply_func(pd.Series([1, 2, 3]), pd.Series([1, 2, 3]))) == [1, 4, 9]
+def _rows(spark):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(GROUPED)], "rid bigint, id bigint, v double")
 
 
-def test_plus_one(spark):
-    assert [r[0] for r in _ints(spark).select(udfs.plus_one("x")).collect()] == [2, 3, 4]
+COLUMN_CASES = {
+    "batches": (lambda: udfs.column_operation(lambda a, b: a * b, "long")("x", "x"), SQUARES),
+    "stream of one": (lambda: udfs.stream_operation(lambda s, v: v + s, "long", lambda: 1)("x"), SUCCESSORS),
+    "stream of two": (lambda: udfs.stream_operation(lambda _, a, b: a * b, "long")("x", "x"), SQUARES),
+}
 
 
-def test_multiply_two_cols(spark):
-    assert [r[0] for r in _ints(spark).select(udfs.multiply_two_cols("x", "x")).collect()] == [1, 4, 9]
+@pytest.mark.parametrize("case", COLUMN_CASES)
+def test_column_operations(spark, case):
+    make, want = COLUMN_CASES[case]
+    assert [r[0] for r in _numbers(spark).select(make()).collect()] == want
 
 
-def test_struct_udf(spark):
-    df = spark.createDataFrame([[1, "a string", ("a nested string",)]],
-                               "long_col long, string_col string, struct_col struct<col1:string>")
-    out = df.select(udfs.struct_func("long_col", "string_col", "struct_col").alias("r"))
-    assert [f.name for f in out.schema["r"].dataType.fields] == ["col1", "col2"]
-    r = out.first()["r"]
-    assert r["col1"] == "a nested string" and r["col2"] == 1 + len("a string")
+def test_struct_operation(spark):
+    df = spark.sql("SELECT 1L AS n, 'a string' AS word, named_struct('col1', 'a nested string') AS s")
+    add = udfs.struct_operation({"col2": lambda _, n, word: n + word.str.len()}, "col1 string, col2 long")
+    assert df.select(add("s", "n", "word").alias("r")).select("r.*").collect() == [("a nested string", 9)]
 
 
-def test_means(spark):
-    df = _grouped(spark)
-    assert df.select(udfs.mean_udf(df["v"])).first()[0] == pytest.approx(4.2)
-    g = {r["id"]: r[1] for r in df.groupby("id").agg(udfs.mean_udf(df["v"])).collect()}
-    assert g == {1: pytest.approx(1.5), 2: pytest.approx(6.0)}
-    w = Window.partitionBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    wm = sorted((r["id"], r["v"], r["mean_v"]) for r in
-                df.withColumn("mean_v", udfs.mean_udf(df["v"]).over(w)).collect())
-    assert [m for _, _, m in wm] == pytest.approx([1.5, 1.5, 6.0, 6.0, 6.0])
-    # the scale-safe form gives the same numbers, with forced splitting
-    s = {r["id"]: r["mean_v"] for r in
-         udfs.salted_mean(df.withColumn("rid", F.monotonically_increasing_id()), ["id"], "v", ["rid"],
-                          max_group_rows=1).collect()}
-    assert s == {1: pytest.approx(1.5), 2: pytest.approx(6.0)}
-    g1 = udfs.salted_mean(df.withColumn("rid", F.monotonically_increasing_id()), [], "v", ["rid"],
-                          max_group_rows=2).first()["mean_v"]
-    assert g1 == pytest.approx(4.2)
+AGGREGATES = {
+    "one group": (lambda df, m: df.select(m("v").alias("m")), lambda r: None),
+    "grouped": (lambda df, m: df.groupBy("id").agg(m("v").alias("m")), lambda r: r["id"]),
+    "window": (lambda df, m: df.select("id", m("v").over(Window.partitionBy("id")).alias("m")), lambda r: r["id"]),
+    "merged": (lambda df, m: udfs.mean_by(df, ["id"], "v", ["rid"], "m", max_group_rows=1), lambda r: r["id"]),
+    "merged, one group": (lambda df, m: udfs.mean_by(df, [], "v", ["rid"], "m", max_group_rows=2), lambda r: None),
+}
 
 
-def test_subtract_mean(spark):
-    df = _grouped(spark)
-    got = df.groupby("id").applyInPandas(udfs.subtract_mean, schema="id long, v double").collect()
-    assert sorted(r["v"] for r in got) == pytest.approx(sorted([-0.5, 0.5, -3.0, -1.0, 4.0]))
-    d2 = df.withColumn("rid", F.monotonically_increasing_id())
-    for legacy in (False, True):
-        got = udfs.grouped_subtract_mean(d2, ["id"], ["rid"], "id long, v double, rid long",
-                                         legacy=legacy, max_group_rows=1).collect()
-        assert sorted(r["v"] for r in got) == pytest.approx(sorted([-0.5, 0.5, -3.0, -1.0, 4.0]))
+@pytest.mark.parametrize("case", AGGREGATES)
+def test_means(spark, case):
+    run, key = AGGREGATES[case]
+    for r in run(_rows(spark), udfs.aggregate_operation(lambda v: v.mean(), "double")).collect():
+        assert r["m"] == pytest.approx((GROUP_MEANS | {None: MEAN})[key(r)])
 
 
-def test_map_filter(spark):
-    df = spark.createDataFrame([(1, 21), (2, 30)], ("id", "age"))
-    assert [tuple(r) for r in udfs.filter_rows(df, "id", 1).collect()] == [(1, 21)]
+@pytest.mark.parametrize("legacy", [False, True])
+@pytest.mark.parametrize("max_rows", [1, 100])
+def test_map_groups(spark, legacy, max_rows):
+    got = udfs.map_groups(_rows(spark), ["id"], ["rid"], lambda d: d.assign(v=d["v"] - d["centre"]),
+                          "id long, v double", legacy, max_rows, centre=F.avg("v"))
+    assert sorted(r["v"] for r in got.collect()) == pytest.approx(CENTRED)
+
+
+def test_map_batches(spark):
+    df = spark.createDataFrame(PEOPLE, "id bigint, age bigint")
+    assert [tuple(r) for r in udfs.map_batches(df, lambda d: d[d["id"] == 1]).collect()] == ADULTS_OF_ONE
 
 
 def test_asof_reference_example(spark):
