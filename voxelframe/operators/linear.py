@@ -9,10 +9,11 @@ that d x d matrix on the driver (d = number of regions, e.g. 48).
 
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from typing import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,44 +49,22 @@ def covariance_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ).select("p.*")
 
 
-def vector_means(df: DataFrame, vec: str, dim: int) -> np.ndarray:
-    """Column means of an array<float|double> column (d values)."""
-    row = df.agg(*[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(dim)]).first()
-    return np.array([row[f"m{i}"] for i in range(dim)], dtype=np.float64)
+def _flat_vectors(batch, dim: int) -> np.ndarray:
+    """The rows of an Arrow array column as one matrix, without a Python list
+    per row; every vector must have ``dim`` non-null components."""
+    col = batch.column(0)
+    lengths = np.diff(col.offsets.to_numpy())
+    if col.null_count or (lengths != dim).any() or col.flatten().null_count:
+        raise ValueError(f"vectors must have {dim} non-null components")
+    return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(col), dim)
 
 
 def gram(df: DataFrame, vec: str, dim: int, center: np.ndarray | None = None) -> tuple[int, np.ndarray]:
     """n and the (centred) d x d cross-product matrix of a vector column.
-
-    Each Arrow batch contributes ``Xc.T @ Xc``; the upper triangles are
-    summed by (i, j) across the cluster.  Only the d x d result reaches the
-    driver.
-    """
-    mu = np.zeros(dim) if center is None else np.asarray(center, dtype=np.float64)
-    iu, ju = np.triu_indices(dim)
-
-    def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = np.zeros((dim, dim))
-        n = 0
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf[vec].to_numpy()).astype(np.float64) - mu
-            g += x.T @ x
-            n += len(pdf)
-        if n:
-            yield pd.DataFrame({"i": iu.astype(np.int32), "j": ju.astype(np.int32),
-                                "s": g[iu, ju], "n": np.full(len(iu), n, dtype=np.int64)})
-
-    agg = (df.select(vec).mapInPandas(partial, "i int, j int, s double, n long")
-             .groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect())
-    g = np.zeros((dim, dim))
-    n = 0
-    for r in agg:
-        g[r["i"], r["j"]] = r["s"]
-        g[r["j"], r["i"]] = r["s"]
-        n = r["n"]
-    return n, g
+    Only the d x d result reaches the driver."""
+    n, mean, m2 = centred_gram(df, vec, dim, np.zeros(dim) if center is None else center)
+    d = mean - (0 if center is None else np.asarray(center, dtype=np.float64))
+    return n, m2 + n * np.outer(d, d)
 
 
 def centred_gram(df: DataFrame, vec: str, dim: int, shift: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
@@ -101,25 +80,24 @@ def centred_gram(df: DataFrame, vec: str, dim: int, shift: np.ndarray) -> tuple[
     k = np.asarray(shift, dtype=np.float64)
     iu, ju = np.triu_indices(dim)
 
-    def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches):
         g = np.zeros((dim, dim))
         sm = np.zeros(dim)
         n = 0
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf[vec].to_numpy()).astype(np.float64) - k
-            g += x.T @ x
-            sm += x.sum(axis=0)
-            n += len(pdf)
+        for b in batches:
+            if b.num_rows:
+                x = _flat_vectors(b, dim) - k
+                g += x.T @ x
+                sm += x.sum(axis=0)
+                n += len(x)
         if n:
             # the sums travel as row i = -1
-            yield pd.DataFrame({"i": np.concatenate([iu, np.full(dim, -1)]).astype(np.int32),
-                                "j": np.concatenate([ju, np.arange(dim)]).astype(np.int32),
-                                "s": np.concatenate([g[iu, ju], sm]),
-                                "n": np.full(len(iu) + dim, n, dtype=np.int64)})
+            yield pa.RecordBatch.from_pydict({
+                "i": np.concatenate([iu, np.full(dim, -1)]).astype(np.int32),
+                "j": np.concatenate([ju, np.arange(dim)]).astype(np.int32),
+                "s": np.concatenate([g[iu, ju], sm]), "n": np.full(len(iu) + dim, n, dtype=np.int64)})
 
-    agg = (df.select(vec).mapInPandas(partial, "i int, j int, s double, n long")
+    agg = (df.select(vec).mapInArrow(partial, "i int, j int, s double, n long")
              .groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect())
     g = np.zeros((dim, dim))
     sm = np.zeros(dim)
@@ -142,58 +120,50 @@ NATIVE_GRAM_MAX_DIM = 16
 
 def gram_by(df: DataFrame, key: str, cols: Sequence[str], max_groups: int = 10_000) -> dict:
     """{key value: (n, uncentred d x d cross products of ``cols``)} for every
-    group in one pass.  Up to ``NATIVE_GRAM_MAX_DIM`` columns the products
-    are sums in one native aggregate; wider, each Arrow batch adds
-    ``X.T @ X`` per group (columns arrive as contiguous double vectors) and
-    only the d x d matrices are summed across the cluster.  Use on centred /
-    standardised, non-null columns."""
+    group in one pass, over the complete rows: a row with a null in any of
+    ``cols`` is left out of ``n`` and of every product, whatever the width.
+    More than ``max_groups`` groups raise.
+
+    Up to ``NATIVE_GRAM_MAX_DIM`` columns the products are sums in one native
+    aggregate; wider, each partition adds ``X.T @ X`` per group and only the
+    d x d matrices are summed across the cluster."""
     cols = list(cols)
     dim = len(cols)
     iu, ju = np.triu_indices(dim)
+    cells = len(iu)
+    whole = df.select(F.col(key).alias("k"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    whole = whole.dropna(subset=[f"x{i}" for i in range(dim)])
     if dim <= NATIVE_GRAM_MAX_DIM:
-        # few columns: d(d+1)/2 sums of products in one native aggregate
-        # (partial aggregation, codegen; no Python)
-        x = [F.col(c).cast("double") for c in cols]
-        rows = (df.groupBy(F.col(key).alias("k"))
-                  .agg(F.count(F.lit(1)).alias("n"),
-                       *[F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i, j in zip(iu, ju)])
-                  .limit(max_groups + 1).collect())
-        if len(rows) > max_groups:
-            raise ValueError("too many groups for a grouped Gram")
-        out = {}
-        for r in rows:
-            g = np.zeros((dim, dim))
-            for i, j in zip(iu, ju):
-                g[i, j] = g[j, i] = r[f"g{i}_{j}"]
-            out[r["k"]] = (r["n"], g)
-        return out
-
-    def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc = {}
-        for pdf in it:
-            keys = pdf[key].to_numpy()
-            x_all = pdf[cols].to_numpy(dtype=np.float64)
-            for k in pd.unique(keys):
-                x = x_all[keys == k]
-                a = acc.setdefault(k, [np.zeros((dim, dim)), 0])
-                a[0] += x.T @ x
-                a[1] += len(x)
-        for k, (g, n) in acc.items():
-            yield pd.DataFrame({"k": [k] * len(iu), "i": iu.astype(np.int32), "j": ju.astype(np.int32),
-                                "s": g[iu, ju], "n": np.full(len(iu), n, dtype=np.int64)})
-
-    ktype = df.schema[key].dataType.simpleString()
-    rows = (df.select(key, *[F.col(c).cast("double") for c in cols])
-              .mapInPandas(partial, f"k {ktype}, i int, j int, s double, n long")
-              .groupBy("k", "i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-              .limit(max_groups * dim * dim + 1).collect())
+        x = [F.col(f"x{i}") for i in range(dim)]
+        sums = whole.groupBy("k").agg(F.count(F.lit(1)).alias("n"),
+                                      F.array(*[F.sum(x[i] * x[j]) for i, j in zip(iu, ju)]).alias("s"))
+    else:
+        def partial(batches):
+            acc: dict = {}
+            for pdf in batches:
+                x_all = pdf.iloc[:, 1:].to_numpy(dtype=np.float64)
+                for k, at in pdf.groupby("k", dropna=False).indices.items():
+                    a = acc.setdefault(None if pd.isna(k) else k, [np.zeros((dim, dim)), 0])
+                    a[0] += x_all[at].T @ x_all[at]
+                    a[1] += len(at)
+            if acc:
+                yield pd.DataFrame([(k, n, i, g[iu[i], ju[i]]) for k, (g, n) in acc.items() for i in range(cells)],
+                                   columns=["k", "n", "cell", "s"])
+        ktype = df.schema[key].dataType.simpleString()
+        parts = whole.mapInPandas(partial, f"k {ktype}, n long, cell int, s double")
+        by_cell = parts.groupBy("k", "cell").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+        # d(d+1)/2 merged cells per group
+        sums = by_cell.groupBy("k").agg(F.max("n").alias("n"), F.transform(
+            F.array_sort(F.collect_list(F.struct("cell", "s"))), lambda c: c["s"]).alias("s"))
+    rows = sums.limit(max_groups + 1).collect()
+    if len(rows) > max_groups:
+        raise ValueError(f"more than {max_groups} groups for a grouped Gram")
     out = {}
     for r in rows:
-        g = out.setdefault(r["k"], [np.zeros((dim, dim)), 0])
-        g[0][r["i"], r["j"]] = r["s"]
-        g[0][r["j"], r["i"]] = r["s"]
-        g[1] = r["n"]
-    return {k: (n, g) for k, (g, n) in out.items()}
+        g = np.zeros((dim, dim))
+        g[iu, ju] = g[ju, iu] = r["s"]
+        out[r["k"]] = (r["n"], g)
+    return out
 
 
 def covariance_from_gram(n: int, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -267,55 +237,71 @@ def confound_residuals(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
                        confounds: Sequence[str]) -> DataFrame:
     """Residual of each region on the confounds (with intercept), per scan.
 
-    Per scan, the sufficient statistics (sums of confound products and of
-    confound x region products) are one grouped aggregate; the small normal
-    equations are solved per scan in ``applyInPandas`` over those sums (one
-    row per scan, never the raw series); the residual is a projection after
-    joining the coefficients back.
+    Each region is fitted over its own complete rows, those where the region
+    and all confounds exist; other rows have a null residual.  Values are
+    centred by their means over the scan first.  Per scan and region the
+    sums of confound products are added up from Arrow batches (one matrix
+    product for all regions) and merged by a native aggregate; the small
+    normal equations of many scans are solved together, and the residual is
+    a projection after the coefficients are joined back.  No task holds a
+    scan's series.
     """
-    keys = list(keys)
-    zs = ["_one", *confounds]
-    d = df.withColumn("_one", F.lit(1.0))
-    aggs = [F.sum(F.col(a) * F.col(b)).alias(f"zz_{i}_{j}") for i, a in enumerate(zs)
-            for j, b in enumerate(zs) if j >= i]
-    aggs += [F.sum(F.col(a) * F.col(c)).alias(f"zy_{i}_{c}") for i, a in enumerate(zs) for c in cols]
-    sums = d.groupBy(*keys).agg(*aggs)
-    q = len(zs)
-    coef_schema = ", ".join([f"`{k}` {sums.schema[k].dataType.simpleString()}" for k in keys] +
-                            [f"b_{c}_{i} double" for c in cols for i in range(q)])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            a = np.zeros((q, q))
-            for i in range(q):
-                for j in range(i, q):
-                    a[i, j] = a[j, i] = r[f"zz_{i}_{j}"]
-            out = {k: r[k] for k in keys}
-            for c in cols:
-                rhs = np.array([r[f"zy_{i}_{c}"] for i in range(q)])
-                b = np.linalg.lstsq(a, rhs, rcond=None)[0]
-                for i in range(q):
-                    out[f"b_{c}_{i}"] = float(b[i])
-            rows.append(out)
-        return pd.DataFrame(rows, columns=[*keys, *[f"b_{c}_{i}" for c in cols for i in range(q)]])
-
-    # one row per scan: group by a hash bucket of the key so every Python
-    # call sees a bounded batch of scans (buckets grow with the cluster's
-    # shuffle partition count)
-    nb = max(4096, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    coef = (sums.withColumn("_g", F.pmod(F.xxhash64(*keys), F.lit(nb)))
-                .groupBy("_g").applyInPandas(lambda p: solve(p.drop(columns=["_g"])), coef_schema))
-    # one row per scan, joined back with a size-proven broadcast so a hot
-    # scan's rows stay where they are (beyond the bound: shuffle join, with
-    # AQE splitting skewed partitions)
     from voxelframe.operators.joins import broadcast_if_small
-    j = df.join(broadcast_if_small(coef), keys)
+    keys, cols, confounds = list(keys), list(cols), list(confounds)
+    q, m = len(confounds) + 1, len(cols)
+    iu, ju = np.triu_indices(q)
+    width = len(iu) + q
+    means = broadcast_if_small(df.groupBy(*keys).agg(
+        *[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"_m{i}") for i, c in enumerate([*confounds, *cols])]))
+    d = df.join(means, keys)
+    centred = [(F.col(c) - F.col(f"_m{i}")).cast("double").alias(f"_x{i}") for i, c in enumerate([*confounds, *cols])]
+    key_types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def partial(batches):
+        for pdf in batches:
+            x = pdf.iloc[:, len(keys):].to_numpy(dtype=np.float64)
+            z = np.column_stack([np.ones(len(x)), x[:, :q - 1]])
+            sound = ~np.isnan(z).any(axis=1)
+            y = x[:, q - 1:]
+            there = (~np.isnan(y) & sound[:, None]).astype(np.float64)
+            y, z = np.where(there > 0, y, 0.0), np.where(sound[:, None], z, 0.0)
+            zz = z[:, iu] * z[:, ju]
+            for k, at in pdf.groupby(keys, dropna=False, sort=False).indices.items():
+                k = k if isinstance(k, tuple) else (k,)
+                out = pd.DataFrame({n: [v] * m for n, v in zip(keys, k)})
+                out["region"] = np.arange(m, dtype=np.int32)
+                sums = np.hstack([there[at].T @ zz[at], y[at].T @ z[at]])
+                for i in range(width):
+                    out[f"s{i}"] = sums[:, i]
+                yield out
+
+    parts = d.select(*keys, *centred).mapInPandas(
+        partial, f"{key_types}, region int, " + ", ".join(f"s{i} double" for i in range(width)))
+    sums = parts.groupBy(*keys, "region").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(width)])
+
+    def solve(batches):
+        for pdf in batches:
+            s = pdf[[f"s{i}" for i in range(width)]].to_numpy()
+            a = np.zeros((len(s), q, q))
+            a[:, iu, ju] = a[:, ju, iu] = s[:, :len(iu)]
+            # unit diagonal, so confounds of any scale meet one rank tolerance
+            scale = np.sqrt(np.einsum("nii->ni", a))
+            scale[scale == 0] = 1.0
+            inverse = np.linalg.pinv(a / scale[:, :, None] / scale[:, None, :], rcond=1e-12, hermitian=True)
+            b = np.einsum("nij,nj->ni", inverse, s[:, len(iu):] / scale) / scale
+            yield pdf[[*keys, "region"]].assign(b=list(b))
+
+    solved = sums.mapInPandas(solve, f"{key_types}, region int, b array<double>")
+    # one row per scan: the coefficients of its regions in order
+    coef = broadcast_if_small(solved.groupBy(*keys).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("region", "b"))), lambda r: r["b"]).alias("_b")))
+    j = d.join(coef, keys)
     res = []
-    for c in cols:
-        fit = F.col(f"b_{c}_0")
-        for i, z in enumerate(confounds, start=1):
-            fit = fit + F.col(f"b_{c}_{i}") * F.col(z)
+    for i, c in enumerate(cols):
+        b = F.col("_b")[i]
+        fit = F.col(f"_m{q - 1 + i}") + b[0]
+        for n, z in enumerate(confounds):
+            fit = fit + b[n + 1] * (F.col(z) - F.col(f"_m{n}"))
         res.append((F.col(c) - fit).alias(c))
     return j.select(*[x for x in df.columns if x not in cols], *res)
 
