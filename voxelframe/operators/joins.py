@@ -18,25 +18,47 @@ _WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float
 
 
 def row_bytes(df: DataFrame) -> int:
-    """Rough in-memory width of a row (strings and nested types 32 bytes)."""
+    """Width of a row as far as the types tell; see ``measured_bytes``."""
     return 16 + sum(_WIDTH.get(t, 32) for _, t in df.dtypes)
 
 
+def measured_bytes(df: DataFrame) -> Column:
+    """Total in-memory bytes of the rows as an aggregate: fixed widths from
+    the types, strings and nested values by their own length."""
+    size = F.lit(row_bytes(df.select(*[c for c, t in df.dtypes if t in _WIDTH])))
+    for c, t in df.dtypes:
+        if t in _WIDTH:
+            continue
+        text = F.col(c) if t in ("string", "binary") else F.to_json(F.struct(F.col(c)))
+        # a JSON digit is at least half a byte of a number
+        size = size + F.lit(16) + 2 * F.coalesce(F.octet_length(text), F.lit(0))
+    return F.coalesce(F.sum(size), F.lit(0))
+
+
+def _fits(df: DataFrame, max_rows: int | None) -> bool:
+    """Whether at most ``max_rows`` rows (default: what the types allow) make
+    up at most ``BROADCAST_MAX_BYTES``; counts no more rows than that."""
+    bound = max_rows or max_broadcast_rows(df)
+    few = df.limit(bound + 1)
+    if all(t in _WIDTH for _, t in df.dtypes):
+        return few.count() <= bound
+    n, size = few.agg(F.count(F.lit(1)), measured_bytes(few)).first()
+    return n <= bound and size <= BROADCAST_MAX_BYTES
+
+
 def max_broadcast_rows(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> int:
     return max(1, min(BROADCAST_MAX_ROWS, max_bytes // row_bytes(df)))
 
 
 def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint only after proving the side is small: at most
-    ``max_rows`` rows (default: the byte budget / estimated row width).
+    ``max_rows`` rows and ``BROADCAST_MAX_BYTES`` measured bytes.
 
     Beyond the bound the plain frame is returned: Spark then plans a
     shuffle join, and AQE can still switch to broadcast from measured sizes
     or split skewed partitions.
     """
-    max_rows = max_rows or max_broadcast_rows(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if _fits(df, max_rows) else df
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -45,10 +67,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     prove its size, broadcast it when small.  The join then reads the
     checkpoint, never the source again."""
     from voxelframe.session import materialize
-    max_rows = max_rows or max_broadcast_rows(df)
     d = materialize(df)
-    n = d.count()
-    return F.broadcast(d) if n <= max_rows else d
+    return F.broadcast(d) if _fits(d, max_rows) else d
 
 
 def label_lookup(df: DataFrame, labels: DataFrame, on: str | Sequence[str],
@@ -100,8 +120,17 @@ def skip_done(work: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def align_on_time(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("scan_id", "t")) -> DataFrame:
-    """Attach per-time-point rows (confounds) to a region table."""
-    return left.join(right, list(keys), "inner")
+    """Attach per-time-point rows (confounds) to a region table.  Every
+    region row stays: a time point without a confound row has null
+    confounds, and so a null residual, which ``time_gaps`` counts."""
+    return left.join(right, list(keys), "left")
+
+
+def time_gaps(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("scan_id", "t")) -> DataFrame:
+    """Per scan (all keys but the last): time points without a row in ``right``."""
+    scan = list(keys)[:-1]
+    return (left.join(right.select(*keys).distinct(), list(keys), "left_anti")
+                .groupBy(*scan).agg(F.count(F.lit(1)).alias("missing")))
 
 
 def first_n_per_key(df: DataFrame, key: str, order: Sequence[str], n: int | None) -> DataFrame:

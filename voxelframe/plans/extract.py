@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.operators import linear, windows
 from voxelframe.operators.aggregates import region_means
-from voxelframe.operators.joins import align_on_time
+from voxelframe.operators.joins import align_on_time, time_gaps
 
 
 def extract_regions(voxels: DataFrame, atlas: DataFrame, labels: Sequence, keys: Sequence[str] = ("scan_id",),
@@ -57,6 +57,34 @@ def quarantine(stats: DataFrame, checks: dict) -> tuple[DataFrame, DataFrame]:
     return s.filter(F.col("status") == "ok"), s.filter(F.col("status") == "error")
 
 
+def scan_status(work: DataFrame, regions: DataFrame, confounds: DataFrame | None = None,
+                key: str = "scan_id", t: str = "t") -> tuple[DataFrame, DataFrame]:
+    """(good, quarantined): one row for every scan of the work list, with
+    n_timepoints, n_gaps (time points without a confound row), status and
+    error.  A scan without voxel rows or with gaps is quarantined."""
+    points = regions.groupBy(key).agg(F.count(F.lit(1)).alias("n_timepoints"))
+    stats = work.join(points, key, "left").withColumn("n_timepoints", F.coalesce("n_timepoints", F.lit(0)))
+    if confounds is None:
+        stats = stats.withColumn("n_gaps", F.lit(0).cast("bigint"))
+    else:
+        gaps = time_gaps(regions, confounds, [key, t]).withColumnRenamed("missing", "n_gaps")
+        stats = stats.join(gaps, key, "left").withColumn("n_gaps", F.coalesce("n_gaps", F.lit(0)))
+    return quarantine(stats, {"no voxel rows": F.col("n_timepoints") == 0,
+                              "time points without confounds": F.col("n_gaps") > 0})
+
+
+def _written(spark, out: str, target: str, atlas_name: str):
+    """Scans already in the output, or None; names only, no content is read."""
+    from voxelframe.sources import files, keyed
+    if not files.path_exists(spark, out):
+        return None
+    if target == "base":
+        rows = keyed.scan(spark, out, files.DATASET, atlas_name)
+        return rows.select(F.expr(f"substring(row_key, {len(files.KEY_PREFIX) + 1})").alias("scan_id")).distinct()
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(out)
+    return listing.select("scan_id").distinct() if "scan_id" in listing.columns else None
+
+
 def run_extraction(spark, worklist_path: str, voxel_path: str, atlas_path: str, atlas_name: str,
                    out: str, target: str = "hdd", confounds_path: str | None = None,
                    skip_existing: bool = True, standardize: bool = True, detrend: bool = False,
@@ -66,29 +94,28 @@ def run_extraction(spark, worklist_path: str, voxel_path: str, atlas_path: str,
     work-list (path, person) -> scan ids from the paths -> optionally drop
     scans already written -> their voxel rows (semi join) -> atlas labels
     (unknown atlas fails first) -> region series (confounds optional) ->
-    sink ('hdd' per-scan CSV files, 'base' keyed table).  Returns the
-    summary (scan_id, person, n_timepoints) of what was written.
+    sink ('hdd' per-scan CSV files, 'base' keyed table).  Returns a row for
+    every scan of the work list that was not skipped: scan_id, person,
+    n_timepoints, n_gaps, status, error.  Scans with an error are not
+    written; the others are.
     """
-    import os
+    from pyspark import StorageLevel
 
     from voxelframe.functions import paths
     from voxelframe.operators.aggregates import atlas_labels
-    from voxelframe.operators.joins import first_n_per_key, skip_done, sized_broadcast
+    from voxelframe.operators.joins import first_n_per_key, sized_broadcast, skip_done
+    from voxelframe.session import materialize
     from voxelframe.sources import files, voxel
 
     work = files.read_worklist(spark, worklist_path).withColumn(
         "scan_id", paths.strip_extension(paths.last_part(F.col("path"))))
     work = first_n_per_key(work, "person", ["path"], max_per_person)
-    if skip_existing and target == "hdd" and os.path.exists(out):
-        # scans already written, from the per-scan folder names only (the
-        # listing's partition column; no file content is read)
-        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(out)
-        if "scan_id" in listing.columns:
-            work = skip_done(work, listing.select("scan_id").distinct(), ["scan_id"])
+    done = _written(spark, out, target, atlas_name) if skip_existing else None
+    if done is not None:
+        work = skip_done(work, done, ["scan_id"])
     # the work list (one row per scan) is fixed here: nothing downstream may
     # depend on the output folder this job is about to write into
-    from voxelframe.session import materialize
-    work = materialize(work)
+    work = materialize(work.select("scan_id", "person").dropDuplicates(["scan_id"]))
     atlas = voxel.read_atlas(spark, atlas_path, atlas_name)
     labels = atlas_labels(atlas, atlas_name)
     vox = voxel.read_voxels(spark, voxel_path).join(
@@ -100,14 +127,16 @@ def run_extraction(spark, worklist_path: str, voxel_path: str, atlas_path: str,
     wide = extract_regions(vox, atlas.select("voxel_id", "label"), labels, ["scan_id"], "t",
                            confounds=conf, confound_cols=cols or (), standardize=standardize,
                            detrend=detrend)
-    # the region rows are kept for the write and the summary, so the voxels
-    # are read and averaged once; the summary (one row per scan) is
+    # the region rows are kept for the status and the write, so the voxels
+    # are read and averaged once; the status (one row per scan) is
     # checkpointed before the rows are released
-    from pyspark import StorageLevel
     wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        files.route_sink(wide, target, out, "scan_id")
-        return materialize(wide.groupBy("scan_id").agg(F.count(F.lit(1)).alias("n_timepoints"))
-                               .join(work.select("scan_id", "person"), "scan_id"))
+        good, bad = scan_status(work, wide, conf)
+        status = materialize(good.unionByName(bad))
+        keep = status.filter(F.col("status") == "ok").select("scan_id", "person")
+        files.route_sink(wide.join(sized_broadcast(keep), "scan_id"), target, out, "scan_id", person="person",
+                         atlas=atlas_name)
+        return status
     finally:
         wide.unpersist()

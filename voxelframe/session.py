@@ -119,13 +119,16 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is configured (a
-    local test run) is a private scratch folder created and registered.
+    The cluster's setting always wins.  Only a local run without a setting
+    gets a private scratch folder; on a cluster, where executors could not
+    see it, a missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="voxelframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -149,5 +152,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def table_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for a written stage table."""
-    return os.path.join(checkpoint_dir(spark), "tables", name)
+    """A path under the shared checkpoint folder for a written stage table;
+    it is removed when the driver's JVM ends."""
+    path = os.path.join(checkpoint_dir(spark), "tables", name)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path

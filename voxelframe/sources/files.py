@@ -44,14 +44,20 @@ def read_region_csvs(spark: SparkSession, path, schema: str | None = None,
     else:
         r = r.option("inferSchema", True)
     df = r.csv(path)
+    # a block's rows lie in one scan partition, in file order: number them
+    # there, then shift by the rows of the file's earlier blocks
     df = (df.withColumn("_file_path", F.col("_metadata.file_path"))
             .withColumn("_blk", F.col("_metadata.file_block_start"))
             .withColumn("_mid", F.monotonically_increasing_id()))
-    w = Window.partitionBy("_file_path").orderBy("_blk", "_mid")
-    return (df.withColumn(t, (F.row_number().over(w) - 1).cast("bigint"))
+    w = Window.partitionBy("_file_path", "_blk").orderBy("_mid")
+    ahead = Window.partitionBy("_file_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    before = (df.groupBy("_file_path", "_blk").agg(F.count(F.lit(1)).alias("_n"))
+                .select("_file_path", "_blk", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")))
+    return (df.withColumn("_k", F.row_number().over(w) - 1).join(before, ["_file_path", "_blk"])
+              .withColumn(t, (F.col("_before") + F.col("_k")).cast("bigint"))
               .withColumn("file", paths.last_part(F.col("_file_path")))
               .withColumn("person", paths.int_part(paths.last_part(F.col("_file_path")), "_", 1))
-              .drop("_blk", "_mid"))
+              .drop("_blk", "_mid", "_k", "_before"))
 
 
 def read_region_csvs_any_order(spark: SparkSession, path: str, max_files: int = 1_000_000,
@@ -82,6 +88,12 @@ def read_region_csvs_any_order(spark: SparkSession, path: str, max_files: int =
     return out
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the store that Spark reads it from."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def count_files(spark: SparkSession, pattern: str) -> int:
     """Number of files matching a glob; only the path column is read."""
     return spark.read.format("binaryFile").load(pattern).select("path").count()
@@ -104,13 +116,16 @@ def list_archive_members(spark: SparkSession, pattern: str, read_content: bool =
     executors cannot open as files).
     """
     files = spark.read.format("binaryFile").load(pattern)
-    files = files.select("path", "content") if read_content else files.select("path")
+    return archive_members(files.select("path", "content") if read_content else files.select("path"))
+
 
+def archive_members(archives: DataFrame) -> DataFrame:
+    """(archive, member, size, status, error) for archives given as rows
+    (path, content), or (path) alone to open them on a mounted store."""
     def open_zip(p, content):
         if content is not None:
             return zipfile.ZipFile(io.BytesIO(content))
-        local = p[len("file:"):] if p.startswith("file:") else p
-        return zipfile.ZipFile(local)
+        return zipfile.ZipFile(p[len("file:"):] if p.startswith("file:") else p)
 
     def members(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -119,13 +134,12 @@ def list_archive_members(spark: SparkSession, pattern: str, read_content: bool =
             for p, content in zip(pdf["path"], contents):
                 try:
                     with open_zip(p, content) as z:
-                        for info in z.infolist():
-                            rows.append((p, info.filename, int(info.file_size), "ok", None))
+                        rows += [(p, i.filename, int(i.file_size), "ok", None) for i in z.infolist()]
                 except Exception as e:  # noqa: BLE001 - reported per archive
                     rows.append((p, None, None, "error", f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["archive", "member", "size", "status", "error"])
 
-    return files.mapInPandas(members, "archive string, member string, size long, status string, error string")
+    return archives.mapInPandas(members, "archive string, member string, size long, status string, error string")
 
 
 def rest_run_members(listing: DataFrame, directions: Sequence[str] = ("LR", "RL")) -> DataFrame:
@@ -145,6 +159,10 @@ def rest_run_members(listing: DataFrame, directions: Sequence[str] = ("LR", "RL"
                    .withColumn("rest", rest).filter(cond))
 
 
+# time points of a scan that one task writes to Parquet
+PARQUET_BLOCK = 1_000_000
+
+
 def write_per_scan(df: DataFrame, out: str, key: str, t: str = "t", fmt: str = "csv",
                    mode: str = "overwrite") -> None:
     """One file per scan, rows in time order, no index column.
@@ -152,30 +170,50 @@ def write_per_scan(df: DataFrame, out: str, key: str, t: str = "t", fmt: str = "
     Rows are hash-partitioned by the scan key so each scan is written by
     exactly one task (one file per scan directory), sorted by ``t``.  Only
     the scans being written are replaced (dynamic partition overwrite), so
-    a retried or incremental run never removes other scans.
+    a retried or incremental run never removes other scans.  One file per
+    scan means one writer task per scan: that is the CSV contract.  Parquet
+    output keeps ``t`` (its rows have no order of their own) and is spread
+    over blocks of ``PARQUET_BLOCK`` time points, so a long scan has several
+    writers.
     """
-    w = (df.repartition(key).sortWithinPartitions(key, t).drop(t)
-           .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(key))
+    if fmt == "csv":
+        d = df.repartition(key).sortWithinPartitions(key, t).drop(t)
+    else:
+        d = df.repartition(F.col(key), F.floor(F.col(t) / F.lit(PARQUET_BLOCK))).sortWithinPartitions(key, t)
+    w = (d.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(key))
     if fmt == "csv":
         w.option("header", True).csv(out)
     else:
         w.parquet(out)
 
 
-def route_sink(df: DataFrame, target: str, out: str, key: str, t: str = "t", **keyed_args) -> None:
-    """Write regions to files (``hdd``) or to the keyed table (``base``)."""
+# fixed values of the keyed sink
+KEY_PREFIX = "HCP_"
+DATASET = "HCP"
+ATLAS = "harvard_oxford"
+
+
+def route_sink(df: DataFrame, target: str, out: str, key: str, t: str = "t", person: str | None = None,
+               dataset: str = DATASET, atlas: str = ATLAS, version: int | None = None) -> None:
+    """Write regions to files (``hdd``) or to the keyed table (``base``).
+
+    The keyed row of a scan has the key prefix plus the scan's name, the
+    number in column ``person`` (default: the number the scan's name starts
+    with), the given atlas, and a version that rises from run to run
+    (default: the clock in microseconds); long series are several chunks of
+    the same key."""
     if target == "hdd":
-        write_per_scan(df, out, key, t)
+        write_per_scan(df.drop(person) if person else df, out, key, t)
     elif target == "base":
+        import time
         from voxelframe.functions.json_cells import to_cells
         from voxelframe.sources import keyed
-        cols = [c for c in df.columns if c not in (key, t)]
-        cells = to_cells(df, [key], t, cols)
-        rows = keyed.make_rows(cells, F.concat(F.lit("HCP_"), F.col(key).cast("string"),
-                                               F.lit("_"), F.col("chunk").cast("string")),
-                               F.col(key), F.lit(keyed_args.get("dataset", "HCP")),
-                               F.lit(keyed_args.get("atlas", "harvard_oxford")), F.col("roi"),
-                               F.lit(keyed_args.get("version", 0)))
+        cols = [c for c in df.columns if c not in (key, t, person)]
+        cells = to_cells(df, [key, person] if person else [key], t, cols)
+        who = F.col(person) if person else paths.int_part(F.col(key).cast("string"), "_", 1)
+        rows = keyed.make_rows(cells, F.concat(F.lit(KEY_PREFIX), F.col(key).cast("string")), who,
+                               F.lit(dataset), F.lit(atlas), F.col("roi"),
+                               F.lit(int(time.time() * 1e6) if version is None else version), chunk=F.col("chunk"))
         keyed.put(rows, out)
     else:
         raise ValueError(f"unknown target {target!r}")

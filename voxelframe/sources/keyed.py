@@ -3,7 +3,9 @@ re-expressed as an append-only Parquet table plus a read view).
 
 Writes append ``(row_key, data, metadata, version)`` rows; a put is
 idempotent because the read view keeps, per key, the row with the largest
-version (a retried append writes an identical row).  Deletes append
+version (a retried append writes an identical row).  A value too long
+for one cell is put as several rows of the same key and version that
+differ in ``chunk``.  Deletes append
 tombstones ``(row_key, version)``: a key is hidden when its newest put is
 not newer than its newest tombstone.
 
@@ -23,7 +25,7 @@ from voxelframe.operators.joins import sized_broadcast
 
 KEYED_SCHEMA = ("row_key string, dataset string, atlas string, "
                 "data struct<person:string,dataset:string,atlas:string,roi:string>, "
-                "metadata map<string,string>, version bigint")
+                "metadata map<string,string>, version bigint, chunk bigint")
 TOMBSTONE_SCHEMA = "row_key string, version bigint"
 
 
@@ -33,7 +35,8 @@ def create_table(spark: SparkSession, path: str) -> None:
 
 
 def make_rows(df: DataFrame, row_key: Column, person: Column, dataset: Column, atlas: Column,
-              roi: Column, version: Column, metadata: Column | None = None) -> DataFrame:
+              roi: Column, version: Column, metadata: Column | None = None,
+              chunk: Column | None = None) -> DataFrame:
     """Shape any frame into keyed-table rows."""
     md = metadata if metadata is not None else F.create_map().cast("map<string,string>")
     return df.select(
@@ -43,7 +46,8 @@ def make_rows(df: DataFrame, row_key: Column, person: Column, dataset: Column, a
         F.struct(person.cast("string").alias("person"), dataset.cast("string").alias("dataset"),
                  atlas.cast("string").alias("atlas"), roi.cast("string").alias("roi")).alias("data"),
         md.alias("metadata"),
-        version.cast("bigint").alias("version"))
+        version.cast("bigint").alias("version"),
+        (F.lit(0) if chunk is None else chunk).cast("bigint").alias("chunk"))
 
 
 def put(rows: DataFrame, path: str) -> None:
@@ -74,11 +78,14 @@ def latest(rows: DataFrame, tombstones: DataFrame | None = None) -> DataFrame:
     ``max_by`` is a partial aggregate, so a key with very many versions is
     combined map-side rather than gathered into one task.
     """
-    payload = [c for c in rows.columns if c not in ("row_key", "version")]
-    newest = rows.groupBy("row_key").agg(
+    payload = [c for c in rows.columns if c not in ("row_key", "version", "chunk")]
+    newest = rows.groupBy("row_key", F.coalesce("chunk", F.lit(0)).alias("chunk")).agg(
         F.max_by(F.struct(*payload), F.col("version")).alias("_p"),
         F.max("version").alias("version"))
-    view = newest.select("row_key", "_p.*", "version")
+    # a newer put may have fewer chunks: those of older versions are gone
+    last = newest.groupBy("row_key").agg(F.max("version").alias("_v"))
+    view = (newest.join(last, "row_key").filter(F.col("version") == F.col("_v"))
+                  .select("row_key", "_p.*", "version", "chunk"))
     if tombstones is None:
         return view
     dead = tombstones.groupBy("row_key").agg(F.max("version").alias("_dv"))
