@@ -4,33 +4,78 @@ courses) of the most variable voxels.
 1. variance of every voxel over time (partial aggregate per scan, voxel);
 2. per scan, voxels above the (100 - percentile)-th percentile of those
    variances (exact percentile over one value per voxel);
-3. the selected series, detrended (mean and linear trend removed), laid
-   out as one row per (scan, time point) holding the selected voxels'
-   values in voxel order;
-4. per scan, C = sum over time points of x x^T (selected voxels squared),
-   summed from Arrow batches across the cluster; eigenvectors v and
-   eigenvalues s^2 of C in one small Python call per scan;
-5. every time point's confounds u_k = x . v_k / s_k (= the left singular
-   vectors of the time x voxel matrix), as array expressions on the rows.
-
-Nothing passes a scan's time series through one task: the per-scan work
-is bounded by the number of selected voxels, however many time points a
-scan has.  Signs of singular vectors are arbitrary; components beyond the
-rank of a scan's matrix are null.
+3. the selected series, detrended (mean and linear trend removed);
+4. the Gram matrix of each scan's time x voxel matrix on its smaller side:
+   time x time when scans have fewer time points than selected voxels,
+   voxel x voxel otherwise.  Products are added one scan at a time from
+   Arrow batches and merged by a native sum per cell;
+5. eigenvectors per scan.  On the time side they are the confounds; on the
+   voxel side every time point's confounds are u_k = x . v_k / s_k.
+
+A task holds one matrix of the smaller side, at most ``MAX_SIDE`` squared
+(a scan larger on both sides raises); nothing passes a scan's series
+through one task.  Signs of singular vectors are arbitrary; components
+beyond the rank of a scan's matrix are null.
 """
 
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from functools import partial
+from typing import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelframe.operators import windows
 from voxelframe.operators.aggregates import high_variance_features
 
+MAX_SIDE = 2048
+
+
+def _gram_cells(batches, keys: list):
+    """Rows (keys..., n, x array) sorted by key -> upper cells of the sum of
+    x x^T per key; one matrix at a time."""
+    now, total = None, None
+
+    def cells():
+        iu, ju = np.triu_indices(len(total))
+        out = pd.DataFrame({k: [v] * len(iu) for k, v in zip(keys, now)})
+        return out.assign(i=iu.astype(np.int32), j=ju.astype(np.int32), s=total[iu, ju])
+    for pdf in batches:
+        for k, rows in pdf.groupby(keys, sort=False):
+            k = k if isinstance(k, tuple) else (k,)
+            n = int(rows["n"].iloc[0])
+            if (rows["x"].map(len) != n).any():
+                raise ValueError(f"scan {k}: a selected voxel has no value at some time point")
+            x = np.stack(rows["x"].to_numpy()).astype(np.float64)
+            if k != now:
+                if now is not None:
+                    yield cells()
+                now, total = k, np.zeros((n, n))
+            total += x.T @ x
+    if now is not None:
+        yield cells()
+
+
+def _top_vectors(pdf: pd.DataFrame, keys: list, n_confounds: int, on_time: bool) -> pd.DataFrame:
+    """A scan's matrix rows (i, cells of j >= i) -> its eigenvectors; on the
+    voxel side divided by the singular value."""
+    n = len(pdf)
+    c = np.zeros((n, n))
+    for i, row in zip(pdf["i"], pdf["row"]):
+        c[i, i:] = c[i:, i] = row
+    w, vec = np.linalg.eigh(c)
+    order = np.argsort(w)[::-1]
+    top = max(float(w[order[0]]), 0.0)
+    out = {k: [pdf[k].iloc[0]] for k in keys}
+    for m in range(n_confounds):
+        ok = m < n and w[order[m]] > top * 1e-12 and w[order[m]] > 0
+        scale = 1.0 if on_time else np.sqrt(w[order[m]]) if ok else 1.0
+        out[f"p{m}"] = [list(vec[:, order[m]] / scale) if ok else None]
+    return pd.DataFrame(out)
+
 
 def high_variance_confounds(voxels: DataFrame, keys: Sequence[str] = ("scan_id",), voxel: str = "voxel_id",
                             t: str = "t", value: str = "value", n_confounds: int = 5,
@@ -39,66 +84,44 @@ def high_variance_confounds(voxels: DataFrame, keys: Sequence[str] = ("scan_id",
     from voxelframe.operators.joins import broadcast_if_small
     from voxelframe.session import materialize
     keys = list(keys)
-    sel = high_variance_features(voxels, keys, voxel, value, percentile).select(*keys, voxel)
-    # position of each selected voxel in its scan's vector, and the vector
-    # length (one row per selected voxel: bounded by the voxel grid)
-    sel = broadcast_if_small(sel.select(
-        *keys, voxel,
-        (F.row_number().over(Window.partitionBy(*keys).orderBy(voxel)) - 1).alias("_i"),
-        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_d")))
-    v = voxels.join(sel.select(*keys, voxel), [*keys, voxel], "left_semi")
+    sel = broadcast_if_small(high_variance_features(voxels, keys, voxel, value, percentile).select(*keys, voxel))
+    v = voxels.join(sel, [*keys, voxel], "left_semi")
     if detrend:
         v = windows.detrend(v, [*keys, voxel], t, [value])
-    rows = (v.join(sel, [*keys, voxel])
-             .groupBy(*keys, t)
-             .agg(F.array_sort(F.collect_list(F.struct(F.col("_i").alias("i"),
-                                                       F.col(value).cast("double").alias("v")))).alias("_s"),
-                  F.first("_d").alias("_d"))
-             .select(*keys, t, "_d", F.col("_s.v").alias("_x")))
+    v = materialize(v.select(*keys, voxel, t, F.col(value).cast("double").alias("_v")))
+    sides = v.groupBy(*keys).agg(F.countDistinct(t).alias("n_t"), F.countDistinct(voxel).alias("n_v"))
+    sides = materialize(sides)
+    n_t, n_v = sides.agg(F.max("n_t"), F.max("n_v")).first()
+    on_time = bool(n_t and n_t < n_v)
+    if n_t and min(n_t, n_v) > MAX_SIDE:
+        raise ValueError(f"a scan has over {MAX_SIDE} time points and selected voxels")
+    # a row per voxel holding its series, or per time point holding its voxels
+    along, across, size = (t, voxel, "n_t") if on_time else (voxel, t, "n_v")
+    rows = (v.groupBy(*keys, across)
+             .agg(F.array_sort(F.collect_list(F.struct(F.col(along).alias("i"), F.col("_v").alias("v")))).alias("_s"))
+             .select(*keys, across, F.col("_s.v").alias("x")))
+    rows = rows.join(broadcast_if_small(sides.select(*keys, F.col(size).cast("int").alias("n"))), keys)
     rows = materialize(rows)        # read by the Gram pass and the projection
 
-    key_types = {f.name: f.dataType.simpleString() for f in voxels.schema.fields}
-    kschema = [f"`{k}` {key_types[k]}" for k in keys]
-
-    def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc = {}
-        for pdf in it:
-            for kv, g in pdf.groupby(keys, sort=False):
-                kv = kv if isinstance(kv, tuple) else (kv,)
-                d = int(g["_d"].iloc[0])
-                if (g["_x"].map(len) != d).any():
-                    raise ValueError(f"scan {kv}: a selected voxel has no value at some time point")
-                x = np.stack(g["_x"].to_numpy()).astype(np.float64)
-                a = acc.setdefault(kv, np.zeros((d, d)))
-                a += x.T @ x
-        for kv, c in acc.items():
-            iu, ju = np.triu_indices(c.shape[0])
-            out = pd.DataFrame({k: [kv[n]] * len(iu) for n, k in enumerate(keys)})
-            out["i"], out["j"], out["s"] = iu.astype(np.int32), ju.astype(np.int32), c[iu, ju]
-            yield out
-
-    gram = (rows.mapInPandas(partial, ", ".join(kschema + ["i int", "j int", "s double"]))
-                .groupBy(*keys, "i", "j").agg(F.sum("s").alias("s")))
-
-    def eig(pdf: pd.DataFrame) -> pd.DataFrame:
-        d = int(max(pdf["i"].max(), pdf["j"].max())) + 1
-        c = np.zeros((d, d))
-        c[pdf["i"], pdf["j"]] = pdf["s"]
-        c[pdf["j"], pdf["i"]] = pdf["s"]
-        w, vec = np.linalg.eigh(c)
-        order = np.argsort(w)[::-1]
-        top = max(float(w[order[0]]), 0.0)
-        out = {k: [pdf[k].iloc[0]] for k in keys}
-        for n in range(n_confounds):
-            ok = n < d and w[order[n]] > top * 1e-12 and w[order[n]] > 0
-            # v_k / s_k, so that x . (v_k / s_k) is the k-th left singular vector
-            out[f"p{n}"] = [list(vec[:, order[n]] / np.sqrt(w[order[n]])) if ok else None]
-        return pd.DataFrame(out)
-
-    proj = broadcast_if_small(gram.groupBy(*keys).applyInPandas(
-        eig, ", ".join(kschema + [f"p{n} array<double>" for n in range(n_confounds)])))
+    kinds = [f"`{k}` {voxels.schema[k].dataType.simpleString()}" for k in keys]
+    cells = (rows.select(*keys, "n", "x").sortWithinPartitions(*keys)
+                 .mapInPandas(partial(_gram_cells, keys=keys), ", ".join([*kinds, "i int", "j int", "s double"]))
+                 .groupBy(*keys, "i", "j").agg(F.sum("s").alias("s")))
+    matrix = cells.groupBy(*keys, "i").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("j", "s"))), lambda c: c["s"]).alias("row"))
+    names = [f"p{m}" for m in range(n_confounds)]
+
+    def solve(pdf):
+        return _top_vectors(pdf, keys, n_confounds, on_time)
+    vectors = matrix.groupBy(*keys).applyInPandas(solve, ", ".join(kinds + [f"{p} array<double>" for p in names]))
+    if on_time:
+        times = v.groupBy(*keys).agg(F.array_sort(F.collect_set(t)).alias("_t"))
+        return (vectors.join(times, keys)
+                .select(*keys, F.posexplode("_t").alias("_i", t), *names)
+                .select(*keys, t, *[F.when(F.col(p).isNotNull(), F.get(F.col(p), F.col("_i"))).alias(f"c{m}")
+                                    for m, p in enumerate(names)]))
 
     def dot(p):
-        return F.aggregate(F.zip_with(p, F.col("_x"), lambda a, b: a * b), F.lit(0.0), lambda acc, e: acc + e)
-    return (rows.join(proj, keys, "left")
-                .select(*keys, t, *[dot(F.col(f"p{n}")).alias(f"c{n}") for n in range(n_confounds)]))
+        return F.aggregate(F.zip_with(p, F.col("x"), lambda a, b: a * b), F.lit(0.0), lambda acc, e: acc + e)
+    return (rows.join(broadcast_if_small(vectors), keys, "left")
+                .select(*keys, t, *[dot(F.col(p)).alias(f"c{m}") for m, p in enumerate(names)]))

@@ -1,16 +1,21 @@
 """Feed-forward nets for every target region, scored and trained as Spark
 jobs.
 
-Architecture per target: (d-1) -> 100 -> 50 -> 25 -> 1 with Softplus,
-Softplus, Tanh.  Weights live in a small table (cohort, region, layer,
-rows, cols, w, b); its size depends on the architecture and region count,
-never on the data, so it is shipped to the tasks with the function.
+Architecture per target: (d-1) -> hidden layers -> 1 with Softplus on all
+hidden layers but the last, which has Tanh.  Weights live in a small table
+(cohort, region, layer, rows, cols, w, b); its size depends on the
+architecture and region count, never on the data, so it is shipped to the
+tasks with the function.
 
 Scoring: each Arrow batch is pushed through all nets at once and only
-per-target metric sums leave the task.  Training: one Spark job per step
-computes, per partition, the summed gradients of all nets; a grouped
-pandas aggregate adds the per-partition vectors (at most one row per
-partition and target), and Adam updates the weights on the driver.
+per-target metric sums leave the task, relative to a row of the data so that
+no precision is lost on unscaled regions.
+
+Training: one Spark job per epoch.  Every partition takes its rows in slices
+of ``batch_rows`` and makes one Adam update per slice on its own copy of the
+nets; the copies are then averaged, weighted by rows, in two levels of groups
+(no call receives more than the square root of the partitions).  Training
+stops when the error no longer falls.
 """
 
 from __future__ import annotations
@@ -22,8 +27,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# fixed values: hidden sizes, learning rate and slice of the published nets
 HIDDEN = (100, 50, 25)
-ACTS = ("softplus", "softplus", "tanh")
+LEARNING_RATE = 1e-2
+BATCH_ROWS = 8096
 WEIGHTS_SCHEMA = "cohort string, region string, layer int, rows int, cols int, w array<double>, b array<double>"
 
 
@@ -35,9 +42,9 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-z))
 
 
-def init_net(rng: np.random.Generator, d_in: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def init_net(rng: np.random.Generator, d_in: int, hidden: Sequence[int] = HIDDEN) -> list[tuple[np.ndarray, np.ndarray]]:
     """Uniform(-1/sqrt(fan_in), 1/sqrt(fan_in)) init, weights (out, in)."""
-    sizes = (d_in, *HIDDEN, 1)
+    sizes = (d_in, *hidden, 1)
     layers = []
     for a, b in zip(sizes[:-1], sizes[1:]):
         k = 1.0 / np.sqrt(a)
@@ -46,32 +53,25 @@ def init_net(rng: np.random.Generator, d_in: int) -> list[tuple[np.ndarray, np.n
 
 
 def forward(layers, x):
-    hs = [x]
-    zs = []
-    h = x
+    """Activations and pre-activations of every layer."""
+    hs, zs = [x], []
     for i, (w, b) in enumerate(layers):
-        z = h @ w.T + b
+        z = hs[-1] @ w.T + b
         zs.append(z)
-        if i < len(ACTS):
-            h = _softplus(z) if ACTS[i] == "softplus" else np.tanh(z)
-        else:
-            h = z
-        hs.append(h)
+        hidden = len(layers) - 1
+        hs.append(z if i == hidden else np.tanh(z) if i == hidden - 1 else _softplus(z))
     return hs, zs
 
 
 def backward(layers, hs, zs, y):
     """Gradients of sum((out - y)^2) w.r.t. every weight and bias."""
-    out = hs[-1][:, 0]
-    d = (2.0 * (out - y))[:, None]
+    d = (2.0 * (hs[-1][:, 0] - y))[:, None]
     grads = [None] * len(layers)
     for i in range(len(layers) - 1, -1, -1):
-        w, _ = layers[i]
         grads[i] = (d.T @ hs[i], d.sum(axis=0))
         if i > 0:
-            dh = d @ w
-            a = ACTS[i - 1]
-            d = dh * (_sigmoid(zs[i - 1]) if a == "softplus" else (1.0 - hs[i] ** 2))
+            slope = (1.0 - hs[i] ** 2) if i == len(layers) - 1 else _sigmoid(zs[i - 1])
+            d = (d @ layers[i][0]) * slope
     return grads
 
 
@@ -79,8 +79,8 @@ def flatten(layers) -> np.ndarray:
     return np.concatenate([np.concatenate([w.ravel(), b.ravel()]) for w, b in layers])
 
 
-def unflatten(vec: np.ndarray, d_in: int):
-    sizes = (d_in, *HIDDEN, 1)
+def unflatten(vec: np.ndarray, d_in: int, hidden: Sequence[int] = HIDDEN):
+    sizes = (d_in, *hidden, 1)
     out, k = [], 0
     for a, b in zip(sizes[:-1], sizes[1:]):
         w = vec[k:k + a * b].reshape(b, a)
@@ -110,17 +110,24 @@ def nets_from_table(weights: DataFrame, cohort: str, max_rows: int = 10_000) ->
     return nets
 
 
-def _metric_sums(y, p):
-    e = y - p
-    return {"n": float(len(y)), "sy": y.sum(), "syy": (y * y).sum(), "sp": p.sum(), "spp": (p * p).sum(),
-            "see": (e * e).sum(), "sae": np.abs(e).sum()}
+METRICS = ("n", "sy", "syy", "sp", "spp", "see", "sae")
+METRIC_SCHEMA = "region string, split string, " + ", ".join(f"{m} double" for m in METRICS)
 
 
-METRIC_SCHEMA = "region string, split string, n double, sy double, syy double, sp double, spp double, see double, sae double"
+def _metric_sums(y, p, shift: float) -> np.ndarray:
+    e, y, p = y - p, y - shift, p - shift
+    return np.array([len(y), y.sum(), y @ y, p.sum(), p @ p, e @ e, np.abs(e).sum()])
+
+
+def _shift(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    """A row of the data: sums of squares relative to it lose no precision."""
+    row = df.select(*cols).dropna().first()
+    return np.zeros(len(cols)) if row is None else np.array([float(v) for v in row])
 
 
 def metrics_from_sums(s: DataFrame) -> DataFrame:
-    """r2 (target denominator), r2 with swapped arguments, mse, mae."""
+    """r2 (target denominator), r2 with swapped arguments, mse, mae from sums
+    relative to one shift per region."""
     n = F.col("n")
     sst_y = F.col("syy") - F.col("sy") * F.col("sy") / n
     sst_p = F.col("spp") - F.col("sp") * F.col("sp") / n
@@ -138,114 +145,127 @@ def score(df: DataFrame, cols: Sequence[str], nets: dict, split_col: str | None
     cols = list(cols)
     sel = cols + ([split_col] if split_col else [])
     bc = df.sparkSession.sparkContext.broadcast(nets)   # shipped once per executor
+    shift = _shift(df, cols)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        nets = bc.value
-        acc = {}
+        acc: dict = {}
         for pdf in it:
-            if len(pdf) == 0:
-                continue
             x_all = pdf[cols].to_numpy(dtype=np.float64)
-            splits = pdf[split_col].to_numpy() if split_col else np.array(["all"] * len(pdf))
+            splits = pdf[split_col].astype(str).to_numpy() if split_col else np.array(["all"] * len(pdf))
             for k, region in enumerate(cols):
-                if region not in nets:
+                if region not in bc.value or not len(pdf):
                     continue
-                x = np.delete(x_all, k, axis=1)
-                p = forward(nets[region], x)[0][-1][:, 0]
+                p = forward(bc.value[region], np.delete(x_all, k, axis=1))[0][-1][:, 0]
                 for s in np.unique(splits):
                     m = splits == s
-                    cur = _metric_sums(x_all[m, k], p[m])
-                    key = (region, str(s))
-                    acc[key] = {a: acc.get(key, {}).get(a, 0.0) + v for a, v in cur.items()}
-        if acc:
-            yield pd.DataFrame([{"region": r, "split": s, **v} for (r, s), v in acc.items()])
+                    acc[(region, s)] = acc.get((region, s), 0.0) + _metric_sums(x_all[m, k], p[m], shift[k])
+        yield pd.DataFrame([(*k, *v) for k, v in acc.items()], columns=["region", "split", *METRICS])
 
     sums = df.select(*sel).mapInPandas(run, METRIC_SCHEMA).groupBy("region", "split").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sy", "syy", "sp", "spp", "see", "sae")])
+        *[F.sum(c).alias(c) for c in METRICS])
     return metrics_from_sums(sums)
 
 
-def train(df: DataFrame, cols: Sequence[str], nets: dict, steps: int, lr: float = 1e-2,
-          split_col: str = "split", betas=(0.9, 0.999), eps: float = 1e-8):
-    """Full-batch Adam on the MSE of every region's net, data-parallel.
+class _Adam:
+    """Adam on one flat weight vector."""
+
+    def __init__(self, vector, lr, betas=(0.9, 0.999), eps=1e-8):
+        self.p, self.lr, self.betas, self.eps = vector, lr, betas, eps
+        self.m, self.v, self.step = np.zeros_like(vector), np.zeros_like(vector), 0
+
+    def update(self, g) -> None:
+        a, b = self.betas
+        self.step += 1
+        self.m, self.v = a * self.m + (1 - a) * g, b * self.v + (1 - b) * g * g
+        self.p = self.p - self.lr * (self.m / (1 - a ** self.step)) / (
+            np.sqrt(self.v / (1 - b ** self.step)) + self.eps)
+
+
+def _epoch(batches, nets, cols, split_col, shift, lr, batch_rows):
+    """One partition's share of an epoch: metric sums with the nets as they
+    came, then an update per slice of train rows on the partition's copy."""
+    sums: dict = {}
+    copies, rows = {}, 0
+    hidden = {r: tuple(len(b) for _, b in layers[:-1]) for r, layers in nets.items()}
+    for pdf in batches:
+        x_all = pdf[cols].to_numpy(dtype=np.float64)
+        train = (pdf[split_col] == "train").to_numpy()
+        rows += int(train.sum())
+        for k, region in enumerate(cols):
+            if region not in nets or not len(pdf):
+                continue
+            x, y = np.delete(x_all, k, axis=1), x_all[:, k]
+            p = forward(nets[region], x)[0][-1][:, 0]
+            for s, m in (("train", train), ("test", ~train)):
+                if m.any():
+                    sums[(region, s)] = sums.get((region, s), 0.0) + _metric_sums(y[m], p[m], shift[k])
+            adam = copies.setdefault(region, _Adam(flatten(nets[region]), lr))
+            xt, yt = x[train], y[train]
+            for at in range(0, len(xt), batch_rows):
+                some, want = xt[at:at + batch_rows], yt[at:at + batch_rows]
+                layers = unflatten(adam.p, len(cols) - 1, hidden[region])
+                adam.update(flatten(backward(layers, *forward(layers, some), want)) / len(some))
+    out = [(r, s, *v, (copies[r].p * rows).tolist() if s == "train" and rows else None, float(rows))
+           for (r, s), v in sums.items()]
+    yield pd.DataFrame(out, columns=["region", "split", *METRICS, "g", "w"])
+
+
+def _add(pdf: pd.DataFrame) -> pd.DataFrame:
+    vectors = [np.asarray(g) for g in pdf["g"] if g is not None]
+    out = {"region": pdf["region"].iloc[0], "split": pdf["split"].iloc[0], **{m: float(pdf[m].sum()) for m in METRICS},
+           "g": np.sum(vectors, axis=0).tolist() if vectors else None,
+           "w": float(pdf["w"][pdf["g"].notna()].sum())}
+    return pd.DataFrame([out])
+
+
+def train(df: DataFrame, cols: Sequence[str], nets: dict, max_epochs: int, lr: float = LEARNING_RATE,
+          split_col: str = "split", batch_rows: int = BATCH_ROWS, tol: float = 0.0, patience: int = 3):
+    """Mini-batch Adam on the MSE of every region's net, data-parallel.
 
     Returns (nets, history rows [(region, epoch, r2_train, r2_test,
     mse_train, mse_test)]) with R² computed with swapped arguments as the
-    reference's training loop does.  ``df`` should be cached by the caller.
-    """
+    published training loop does; epoch e is measured before its updates.
+    Stops after ``max_epochs``, or once no region's train error has fallen
+    by the share ``tol`` for ``patience`` epochs; of every region the nets
+    with the least train error are returned.  ``df`` should be cached by the caller."""
     cols = list(cols)
-    d_in = len(cols) - 1
-    n_train = df.filter(F.col(split_col) == "train").count()
-    state = {r: {"p": flatten(l), "m": 0.0, "v": 0.0} for r, l in nets.items()}
-    history = []
-    gschema = "region string, g array<double>, " + METRIC_SCHEMA.split(", ", 1)[1]
+    hidden = {r: tuple(len(b) for _, b in layers[:-1]) for r, layers in nets.items()}
     sc = df.sparkSession.sparkContext
-    for step in range(1, steps + 1):
-        bc = sc.broadcast({r: unflatten(s["p"], d_in) for r, s in state.items()})
-
-        def run(it: Iterator[pd.DataFrame], bc=bc) -> Iterator[pd.DataFrame]:
-            cur = bc.value
-            gacc, macc = {}, {}
-            for pdf in it:
-                if len(pdf) == 0:
-                    continue
-                x_all = pdf[cols].to_numpy(dtype=np.float64)
-                tr = (pdf[split_col] == "train").to_numpy()
-                for k, region in enumerate(cols):
-                    if region not in cur:
-                        continue
-                    layers = cur[region]
-                    x = np.delete(x_all, k, axis=1)
-                    y = x_all[:, k]
-                    hs, zs = forward(layers, x)
-                    p = hs[-1][:, 0]
-                    if tr.any():
-                        g = flatten(backward(layers, [h[tr] for h in hs], [z[tr] for z in zs], y[tr]))
-                        gacc[region] = gacc.get(region, 0.0) + g
-                    for s, m in (("train", tr), ("test", ~tr)):
-                        if m.any():
-                            c = _metric_sums(y[m], p[m])
-                            key = (region, s)
-                            macc[key] = {a: macc.get(key, {}).get(a, 0.0) + v for a, v in c.items()}
-            rows = []
-            for (region, s), v in macc.items():
-                g = gacc.get(region) if s == "train" else None
-                rows.append({"region": region, "g": None if g is None else g.tolist(), "split": s, **v})
-            if rows:
-                yield pd.DataFrame(rows)
-
-        def add(pdf: pd.DataFrame) -> pd.DataFrame:
-            gs = [np.asarray(g) for g in pdf["g"] if g is not None]
-            out = {"region": pdf["region"].iloc[0], "split": pdf["split"].iloc[0],
-                   "g": (np.sum(gs, axis=0).tolist() if gs else None)}
-            for c in ("n", "sy", "syy", "sp", "spp", "see", "sae"):
-                out[c] = float(pdf[c].sum())
-            return pd.DataFrame([out])
-
-        res = (df.select(*cols, split_col).mapInPandas(run, gschema)
-                 .groupBy("region", "split").applyInPandas(add, gschema).collect())
-        bc.unpersist()
-        met = {}
-        for r in res:
-            met[(r["region"], r["split"])] = r
-            if r["split"] == "train" and r["g"] is not None:
-                s = state[r["region"]]
-                g = np.asarray(r["g"]) / max(n_train, 1)
-                s["m"] = betas[0] * s["m"] + (1 - betas[0]) * g
-                s["v"] = betas[1] * s["v"] + (1 - betas[1]) * g * g
-                mh = s["m"] / (1 - betas[0] ** step)
-                vh = s["v"] / (1 - betas[1] ** step)
-                s["p"] = s["p"] - lr * mh / (np.sqrt(vh) + eps)
-        for region in state:
-            vals = []
+    shift = _shift(df, cols)
+    schema = METRIC_SCHEMA + ", g array<double>, w double"
+    data = df.select(*cols, split_col)
+    # groups of the first level
+    spread = max(1, int(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5))
+    history, best, stale, least = [], dict(nets), 0, {}
+    for epoch in range(max_epochs):
+        sent = sc.broadcast(nets)
+
+        def run(it, sent=sent):
+            return _epoch(it, sent.value, cols, split_col, shift, lr, batch_rows)
+        parts = data.mapInPandas(run, schema)
+        level = parts.groupBy("region", "split", F.pmod(F.spark_partition_id(), F.lit(spread))).applyInPandas(_add, schema)
+        rows = {(r["region"], r["split"]): r for r in level.groupBy("region", "split").applyInPandas(_add, schema).collect()}
+        sent.unpersist()
+        errors = {}
+        for region in nets:
+            vals = {}
             for sp in ("train", "test"):
-                r = met.get((region, sp))
+                r = rows.get((region, sp))
                 if r is None:
-                    vals += [None, None]
+                    vals[sp] = (None, None)
                     continue
-                n = r["n"]
-                sst = r["spp"] - r["sp"] ** 2 / n
+                sst = r["spp"] - r["sp"] ** 2 / r["n"]
                 r2 = 1 - r["see"] / sst if sst > 0 else (1.0 if r["see"] == 0 else 0.0)
-                vals += [float(r2), float(r["see"] / n)]
-            history.append((region, step - 1, vals[0], vals[2], vals[1], vals[3]))
-    return {r: unflatten(s["p"], d_in) for r, s in state.items()}, history
+                vals[sp] = (float(r2), float(r["see"] / r["n"]))
+            history.append((region, epoch, vals["train"][0], vals["test"][0], vals["train"][1], vals["test"][1]))
+            errors[region] = vals["train"][1]
+        fell = [r for r, e in errors.items() if e is not None and (r not in least or e < least[r] * (1 - tol))]
+        for r, e in errors.items():
+            if e is not None and e <= least.get(r, np.inf):
+                least[r], best[r] = e, nets[r]
+        stale = 0 if fell else stale + 1
+        if stale >= patience:
+            break
+        nets = {r: unflatten(np.asarray(rows[(r, "train")]["g"]) / rows[(r, "train")]["w"], len(cols) - 1, hidden[r])
+                if (r, "train") in rows else layers for r, layers in nets.items()}
+    return best, history

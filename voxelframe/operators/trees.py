@@ -9,20 +9,35 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from voxelframe.functions.numeric import DRAW_BITS, draw
 from voxelframe.tables import small_table
 
 # Fixed values of the reference's boosted-tree configuration that Spark has:
 # depth 4, learning rate 0.08, row subsample 0.95, seed 0.
 GBT_DEFAULTS = {"maxDepth": 4, "stepSize": 0.08, "subsamplingRate": 0.95, "seed": 0}
+MAX_ITER = 500
+
+# boosting ends early once an iteration improves the error on held-out rows
+# by less than this share
+HELD_OUT, MIN_GAIN = 0.2, 0.01
+
 
+def fit_region(df: DataFrame, cols: Sequence[str], target: str, max_iter: int = MAX_ITER,
+               id_cols: Sequence[str] = (), min_gain: float = MIN_GAIN, **kw):
+    """Fit one region from all the others; returns (model, feature names).
 
-def fit_region(df: DataFrame, cols: Sequence[str], target: str, max_iter: int = 500, **kw):
-    """Fit one region from all the others; returns (model, feature names)."""
+    With ``id_cols`` a seeded share of the rows is held out and boosting ends
+    when their error stops falling; without, all ``max_iter`` trees are built."""
     feats = [c for c in cols if c != target]
     va = VectorAssembler(inputCols=feats, outputCol="_features")
     params = {**GBT_DEFAULTS, **kw}
     gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="_pred",
                        maxIter=max_iter, **params)
+    if id_cols:
+        test = draw(params["seed"], *[F.col(c) for c in id_cols]) < int(HELD_OUT * (1 << DRAW_BITS))
+        df = df.withColumn("_held", test)
+        gbt = gbt.setValidationIndicatorCol("_held").setValidationTol(min_gain)
     model = gbt.fit(va.transform(df))
     return model, feats, va
 
@@ -49,8 +64,8 @@ def load_model(path: str):
     return GBTRegressionModel.load(path)
 
 
-def fit_all_regions(df: DataFrame, cols: Sequence[str], max_iter: int = 500, split_col: str | None = None,
-                    **kw):
+def fit_all_regions(df: DataFrame, cols: Sequence[str], max_iter: int = MAX_ITER, split_col: str | None = None,
+                    id_cols: Sequence[str] = (), **kw):
     """Boosted trees for every region from all the others.
 
     The input is cached once and read by every fit (tree training itself is
@@ -61,13 +76,13 @@ def fit_all_regions(df: DataFrame, cols: Sequence[str], max_iter: int = 500, spl
 
     from voxelframe.operators.metrics import regression_metrics
     spark = df.sparkSession
-    keep = list(cols) + ([split_col] if split_col else [])
+    keep = list(dict.fromkeys([*cols, *([split_col] if split_col else []), *id_cols]))
     d = df.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     imps, scores = [], []
     try:
         for target in cols:
             train = d.filter(F.col(split_col) == "train") if split_col else d
-            model, feats, va = fit_region(train, cols, target, max_iter=max_iter, **kw)
+            model, feats, va = fit_region(train, cols, target, max_iter=max_iter, id_cols=id_cols, **kw)
             imps += [(target, f, float(v)) for f, v in zip(feats, model.featureImportances.toArray())]
             pred = predict(model, va, d)
             m = regression_metrics(pred, [split_col] if split_col else [], target, "_pred").collect()
