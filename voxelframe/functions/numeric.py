@@ -47,11 +47,26 @@ def half_even(c: Column, digits: int) -> Column:
     return F.bround(c, digits)
 
 
-def uniform_constant(seed: int, low: float = -2.0, high: float = 2.0, digits: int = 2) -> Column:
-    """A seeded uniform constant per row, rounded half-even."""
-    return F.bround(F.rand(seed) * F.lit(high - low) + F.lit(low), digits)
+DRAW_BITS = 52
 
 
-def random_int(seed: int, low: int, high: int) -> Column:
-    """A seeded integer uniform in [low, high] per row."""
-    return (F.floor(F.rand(seed) * F.lit(high - low + 1)) + F.lit(low)).cast("bigint")
+def draw(seed: int, *ids: Column) -> Column:
+    """A 52-bit integer drawn from the seed and the identity columns (MD5 of
+    their text): the same in every engine, partitioning and run."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[i.cast("string") for i in ids])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("bigint")
+
+
+def sql_draw(seed: int, *ids: str) -> str:
+    text = ", ".join([f"'{seed}'", *[f"CAST({i} AS VARCHAR)" for i in ids]])
+    return f"CAST('0x' || substr(md5(concat_ws(':', {text})), 1, {DRAW_BITS // 4}) AS BIGINT)"
+
+
+def uniform_constant(seed: int, *ids: Column, low: float = -2.0, high: float = 2.0, digits: int = 2) -> Column:
+    """A seeded uniform constant per row identity, rounded half-even."""
+    return F.bround(draw(seed, *ids) / F.lit(float(1 << DRAW_BITS)) * F.lit(high - low) + F.lit(low), digits)
+
+
+def random_int(seed: int, *ids: Column, low: int, high: int) -> Column:
+    """A seeded integer in [low, high] per row identity."""
+    return F.pmod(draw(seed, *ids), F.lit(high - low + 1)) + F.lit(low)

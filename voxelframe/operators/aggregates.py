@@ -51,8 +51,9 @@ INLINE_ROWS = 1000
 
 
 def distinct_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
-    """Sorted distinct values of a low-cardinality column (bounded)."""
-    rows = df.select(col).distinct().limit(max_values + 1).collect()
+    """Sorted distinct non-null values of a low-cardinality column; more than
+    ``max_values`` raise."""
+    rows = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(max_values + 1).collect()
     if len(rows) > max_values:
         raise ValueError(f"{col} has more than {max_values} distinct values")
     return sorted(r[0] for r in rows)
@@ -100,11 +101,15 @@ def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 1024, max_candidate
     No column is ever gathered in one place: each round is one distributed
     job that histograms, per target rank, the values still in question
     (count, min and max per bin); the bin holding the rank becomes the new
-    interval.  Once an interval holds at most ``max_candidates`` values
-    they are fetched (one job for all such targets) and the rank is read
-    off.  ``bounds`` {column: (count, min, max)} skips the first pass.
+    interval.  Once an interval holds few values they are fetched (one job
+    for all such targets; targets that share an interval share its values,
+    and all intervals together hold at most ``max_candidates``) and the rank
+    is read off.  Values are compared as doubles: integers beyond 2^53
+    raise, and so does a rank not found after ``max_iter`` rounds.
+    ``bounds`` {column: (count, min, max)} skips the first pass.
     """
     cols = list(wanted)
+    per_interval = max(64, max_candidates // max(1, sum(map(len, wanted.values()))))
     df = nan_to_null(df, cols)
     if bounds is None:
         st = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
@@ -117,6 +122,8 @@ def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 1024, max_candidate
         for r in wanted[c]:
             if not n or r < 0 or r >= n:
                 raise ValueError(f"rank {r} outside 0..{n - 1} for {c}")
+            if df.schema[c].dataType.typeName() == "long" and max(abs(lo), abs(hi)) > 1 << 53:
+                raise ValueError(f"{c} holds integers that a double cannot tell apart")
             state[(i, r)] = {"lo": float(lo), "hi": float(hi), "below": 0, "count": n, "value": None}
 
     def in_interval(i, lo, hi):
@@ -130,19 +137,22 @@ def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 1024, max_candidate
         open_t = [(k, s_) for k, s_ in state.items() if s_["value"] is None]
         if not open_t:
             break
-        small = [(k, s_) for k, s_ in open_t if s_["count"] <= max_candidates]
-        big = [(k, s_) for k, s_ in open_t if s_["count"] > max_candidates]
+        small = [(k, s_) for k, s_ in open_t if s_["count"] <= per_interval]
+        big = [(k, s_) for k, s_ in open_t if s_["count"] > per_interval]
         if small:
+            spans = {}
+            for (i, r), s_ in small:
+                spans.setdefault((i, s_["lo"], s_["hi"]), len(spans))
             entries = []
-            for tid, ((i, r), s_) in enumerate(small):
-                x, cond = in_interval(i, s_["lo"], s_["hi"])
-                entries.append(F.when(cond, F.struct(F.lit(tid).alias("tid"), x.alias("x"))))
+            for (i, lo, hi), sid in spans.items():
+                x, cond = in_interval(i, lo, hi)
+                entries.append(F.when(cond, F.struct(F.lit(sid).alias("sid"), x.alias("x"))))
             got = {}
             arr = F.filter(F.array(*entries), lambda e: e.isNotNull())
-            for row in df.select(F.explode(arr).alias("e")).select("e.tid", "e.x").collect():
-                got.setdefault(row["tid"], []).append(row["x"])
-            for tid, ((i, r), s_) in enumerate(small):
-                s_["value"] = sorted(got[tid])[r - s_["below"]]
+            for row in df.select(F.explode(arr).alias("e")).select("e.sid", "e.x").orderBy("x").collect():
+                got.setdefault(row["sid"], []).append(row["x"])
+            for (i, r), s_ in small:
+                s_["value"] = got[spans[(i, s_["lo"], s_["hi"])]][r - s_["below"]]
         if big:
             # targets sharing a column and an interval share one histogram
             ivs = {}
@@ -169,6 +179,8 @@ def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 1024, max_candidate
                         s_.update(lo=mn, hi=mx, below=acc, count=c)
                         break
                     acc += c
+    if any(s_["value"] is None for s_ in state.values()):
+        raise RuntimeError(f"ranks not found after {max_iter} rounds")
     return {(cols[i], r): s_["value"] for (i, r), s_ in state.items()}
 
 

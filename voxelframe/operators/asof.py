@@ -40,11 +40,10 @@ def _with_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
     sizes per-key buckets from both sides' row counts and time spans so a
     (key, bucket) holds about ``target_rows`` rows."""
     if bucket == "auto":
-        from voxelframe.operators.ordinal import adaptive_time_buckets
-        target_rows = target_rows or AUTO_BUCKET_ROWS
+        from voxelframe.operators.ordinal import time_bucket_widths, time_buckets
         both = left.select(*by, on).unionByName(right.select(*by, on))
-        return (adaptive_time_buckets(left, by, on, target_rows, "_b", stats_from=both),
-                adaptive_time_buckets(right, by, on, target_rows, "_b", stats_from=both))
+        widths = time_bucket_widths(both, by, on, target_rows or AUTO_BUCKET_ROWS)     # one table for both sides
+        return time_buckets(left, widths, by, on, "_b"), time_buckets(right, widths, by, on, "_b")
     return left.withColumn("_b", _bucket(on, bucket)), right.withColumn("_b", _bucket(on, bucket))
 
 

@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelframe.functions.numeric import PDIV_EPS, PDIV_FALLBACK, register_sql_functions
+from voxelframe.functions.numeric import PDIV_EPS, PDIV_FALLBACK, draw, register_sql_functions
 from voxelframe.tables import small_table
 
 # The binary operators of the reference's random trees and the
@@ -107,6 +107,13 @@ def random_tree(rng: random.Random, depth: int, leaves: Sequence | None = None):
     return (op, random_tree(rng, depth - 1, leaves), random_tree(rng, depth - 1, leaves))
 
 
+def seeded_tree(i: int, min_depth: int, max_depth: int, seed: int = 0, leaves: Sequence | None = None):
+    """(depth, tree) of the i-th random formula."""
+    rng = random.Random(seed * 1_000_003 + i)
+    depth = rng.randint(min_depth, max_depth)
+    return depth, random_tree(rng, depth, leaves)
+
+
 def random_formulas(spark, n: int, min_depth: int, max_depth: int, seed: int = 0,
                     leaves: Sequence | None = None) -> DataFrame:
     """``n`` random trees as rows (formula_id, depth, expr, length).
@@ -120,9 +127,7 @@ def random_formulas(spark, n: int, min_depth: int, max_depth: int, seed: int = 0
         for pdf in it:
             rows = []
             for i in pdf["id"]:
-                rng = random.Random(seed * 1_000_003 + int(i))
-                depth = rng.randint(min_depth, max_depth)
-                t = random_tree(rng, depth, leaves)
+                depth, t = seeded_tree(int(i), min_depth, max_depth, seed, leaves)
                 rows.append((int(i), depth, render(t), length(t)))
             yield pd.DataFrame(rows, columns=["formula_id", "depth", "expr", "length"])
 
@@ -262,6 +267,16 @@ def symbolic_search(df: DataFrame, target: str, features: Sequence[str], populat
     df = df.select(*dict.fromkeys([*features, target, *id_cols])).persist(StorageLevel.MEMORY_AND_DISK)
     pop = [_random_program(rng, rng.randint(*init_depth), features, const_range, functions)
            for _ in range(population)]
+    try:
+        return _search(df, pop, rng, target, features, generations, tournament, stopping, const_range, p_crossover,
+                       p_subtree, p_hoist, p_point, functions, parsimony, max_samples, seed, id_cols)
+    finally:
+        df.unpersist()
+
+
+def _search(df, pop, rng, target, features, generations, tournament, stopping, const_range, p_crossover,
+            p_subtree, p_hoist, p_point, functions, parsimony, max_samples, seed, id_cols):
+    population = len(pop)
     history = []
     best = None
     for gen in range(generations):
@@ -305,7 +320,6 @@ def symbolic_search(df: DataFrame, target: str, features: Sequence[str], populat
                 child = parent
             nxt.append(child)
         pop = nxt
-    df.unpersist()
     return best[2], best[1], history
 
 
@@ -326,7 +340,7 @@ def save_formulas(rows: DataFrame, path: str) -> None:
 def tournament_select(fit: DataFrame, n_slots: int, k: int, seed: int = 0,
                       id_col: str = "formula_id", score: str = "fitness") -> DataFrame:
     """Tournament selection as a Spark job: each of ``n_slots`` slots draws
-    ``k`` contestants by a seeded hash of (slot, draw) and keeps the fittest.
+    ``k`` contestants by a seeded draw of (slot, draw) and keeps the fittest.
 
     Contestants are addressed by their dense position in the population,
     so the draw is one equi-join, and the fan-out is exactly n_slots * k
@@ -341,7 +355,7 @@ def tournament_select(fit: DataFrame, n_slots: int, k: int, seed: int = 0,
     pos = add_ordinal(fit, [], [id_col], "_pos", split_by=numeric_split(id_col, 100_000))
     draws = (spark.range(n_slots).withColumnRenamed("id", "slot")
                   .withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-                  .withColumn("_pos", F.pmod(F.xxhash64(F.lit(seed), F.col("slot"), F.col("draw")), F.lit(n))))
+                  .withColumn("_pos", F.pmod(draw(seed, F.col("slot"), F.col("draw")), F.lit(n))))
     j = draws.join(pos, "_pos")
     w = Window.partitionBy("slot").orderBy(F.col(score), F.col(id_col))
     return (j.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)

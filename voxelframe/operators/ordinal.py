@@ -67,44 +67,71 @@ def numeric_split(c: str, width: int) -> Column:
     return F.floor(F.col(c) / F.lit(width))
 
 
-def adaptive_time_buckets(df: DataFrame, keys: Sequence[str], ts_col: str, target_rows: int = 1_000_000,
-                          name: str = "_bucket", stats_from: DataFrame | None = None) -> DataFrame:
-    """Add ``name``: a per-key time bucket sized so that a bucket holds
-    about ``target_rows`` rows of its key (for evenly spread times).
-
-    From each key's row count and time span (one small aggregate, joined
-    back with a size-proven broadcast) the key gets a bucket width of
-    span / ceil(count / target_rows); a key with few rows has one bucket,
-    a key with a third of all rows gets thousands.  Buckets are monotone in
-    time within a key, so they can split ordinals, windows and as-of joins.
-    ``stats_from`` (with the same key and time columns) sizes the buckets
-    from another frame, e.g. both sides of a join.
-    """
+def prefix_sum(df: DataFrame, keys: Sequence[str], order_by: str, value: Column, name: str, width: int = 65_536) -> DataFrame:
+    """Add the sum of ``value`` over the earlier rows of each key in the order
+    of the integer column ``order_by``.  Sums run inside ranges of ``width``
+    order values and are shifted by the ranges before, so a hot key is spread
+    over its ranges."""
+    d = df.withColumn("_v", value).withColumn("_range", numeric_split(order_by, width))
+    ranges = d.groupBy(*keys, "_range").agg(F.sum("_v").alias("_s"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(*keys, "_range", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*keys, "_range").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
+    return (d.withColumn("_in", F.coalesce(F.sum("_v").over(inside), F.lit(0))).join(ranges, [*keys, "_range"])
+             .withColumn(name, F.col("_in") + F.col("_off")).drop("_v", "_range", "_in", "_off"))
+
+
+def _as_number(frame: DataFrame, ts_col: str) -> Column:
+    """Timestamps in microseconds; numeric time columns as they are."""
+    if dict(frame.dtypes)[ts_col].startswith("timestamp"):
+        return F.unix_micros(F.col(ts_col).cast("timestamp"))
+    return F.col(ts_col).cast("bigint")
+
+
+def time_bucket_widths(df: DataFrame, keys: Sequence[str], ts_col: str, target_rows: int = 1_000_000) -> DataFrame:
+    """(keys, _t0, _w): per key a first time and a bucket width of span /
+    ceil(count / target_rows), one small aggregate, computed once."""
     from voxelframe.operators.joins import broadcast_if_small
-    keys = list(keys)
-
-    def as_number(frame):
-        # timestamps in microseconds; numeric time columns as they are
-        if dict(frame.dtypes)[ts_col].startswith("timestamp"):
-            return F.unix_micros(F.col(ts_col).cast("timestamp"))
-        return F.col(ts_col).cast("bigint")
-
-    us = as_number(df)
-    src = stats_from if stats_from is not None else df
-    st = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"),
-                                F.min(as_number(src)).alias("_t0"),
-                                F.max(as_number(src)).alias("_t1"))
+    x = _as_number(df, ts_col)
+    st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), F.min(x).alias("_t0"), F.max(x).alias("_t1"))
     nb = F.ceil(F.col("_c") / F.lit(target_rows))
     width = F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1)) / nb))
-    st = broadcast_if_small(st.select(*keys, "_t0", width.cast("bigint").alias("_w")))
-    return (df.join(st, keys, "left")
-              .withColumn(name, F.floor((us - F.col("_t0")) / F.col("_w")).cast("bigint"))
+    return broadcast_if_small(st.select(*keys, "_t0", width.cast("bigint").alias("_w")))
+
+
+def time_buckets(df: DataFrame, widths: DataFrame, keys: Sequence[str], ts_col: str, name: str = "_bucket") -> DataFrame:
+    """Add the bucket of each row's time by its key's width; monotone in time
+    within a key, so buckets can split as-of joins.  Evenly spread times give
+    about ``target_rows`` rows per bucket."""
+    return (df.join(widths, list(keys), "left")
+              .withColumn(name, F.floor((_as_number(df, ts_col) - F.col("_t0")) / F.col("_w")).cast("bigint"))
               .drop("_t0", "_w"))
 
 
 def add_time_ordinal(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
-                     name: str = "t", target_rows: int = 1_000_000) -> DataFrame:
-    """``add_ordinal`` ordered by (ts, tiebreak...) and split by adaptive
-    per-key time buckets (see ``adaptive_time_buckets``)."""
-    d = adaptive_time_buckets(df, keys, ts_col, target_rows, "_tb")
-    return add_ordinal(d, keys, [ts_col, *tiebreak], name, split_by=F.col("_tb")).drop("_tb")
+                     name: str = "t") -> DataFrame:
+    """Add the position of each row within its key by (ts, tiebreak...).
+
+    Rows are range-partitioned by (keys, ts, tiebreak): Spark cuts at sampled
+    quantiles, so partitions are even whatever the key sizes, bursts or equal
+    timestamps.  The sorted rows are written once as Parquet with their place
+    in the partition; a run of a key in a partition starts where the key's
+    earlier runs end (one small row per run).  One shuffle of the data, no
+    window over it, and later readers share the written rows."""
+    import uuid
+
+    from voxelframe.operators.joins import broadcast_if_small
+    from voxelframe.session import table_path
+    spark = df.sparkSession
+    keys, order = list(keys), [*keys, ts_col, *tiebreak]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+           .withColumn("_at", F.monotonically_increasing_id()))
+    path = table_path(spark, f"ordinal_{uuid.uuid4().hex}")
+    d.write.parquet(path)
+    d = spark.read.schema(d.schema).parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    runs = d.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(*keys, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    return (d.join(broadcast_if_small(runs), [*keys, "_part"])
+             .withColumn(name, (F.col("_at") + F.col("_off")).cast("bigint")).drop("_at", "_part", "_off"))

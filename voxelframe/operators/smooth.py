@@ -46,15 +46,40 @@ def smooth_array(df: DataFrame, vec: str, kernel: Sequence[tuple[int, float]], n
     return df.withColumn(name, F.transform(arr, one))
 
 
+def _smooth(df: DataFrame, keys: Sequence[str], axes: Sequence[str], value: str, kernel, name: str) -> DataFrame:
+    """``kernel`` rows are (offset per axis..., weight); every row sends its
+    weighted value to the voxels around it, itself (offset 0) included."""
+    zero = [tuple(k[:-1]) == (0,) * len(axes) for k in kernel]
+    if sum(zero) != 1:
+        raise ValueError("the kernel must hold offset zero once")
+    ks = F.array(*[F.struct(*[F.lit(o).alias(f"o{i}") for i, o in enumerate(k[:-1])], F.lit(float(k[-1])).alias("w"),
+                            F.lit(z).alias("z")) for k, z in zip(kernel, zero)])
+    there = F.col(value).isNotNull()
+    sent = (df.select(*keys, *axes, F.col(value).alias("_v"), there.alias("_e"), F.explode(ks).alias("k"))
+              .select(*keys, *[(F.col(a) - F.col(f"k.o{i}")).alias(a) for i, a in enumerate(axes)],
+                      (F.col("k.w") * F.col("_v")).alias("_wv"), F.when(F.col("_e"), F.col("k.w")).alias("_w"),
+                      F.col("k.z").alias("_own")))
+    # the row sent with offset zero marks a voxel that exists
+    agg = sent.groupBy(*keys, *axes).agg(F.sum("_wv").alias("_num"), F.sum("_w").alias("_den"), F.max("_own").alias("_own"))
+    return agg.filter("_own").select(*keys, *axes, (F.col("_num") / F.col("_den")).alias(name))
+
+
 def smooth_long(df: DataFrame, keys: Sequence[str], pos: str, value: str,
                 kernel: Sequence[tuple[int, float]], name: str) -> DataFrame:
     """1-D neighbourhood along ``pos`` inside each ``keys`` group.  Positions
     that exist receive a value; contributions come only from existing rows."""
-    ks = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(w).alias("w")) for o, w in kernel])
-    sent = (df.select(*keys, pos, value, F.explode(ks).alias("k"))
-              .select(*keys, (F.col(pos) - F.col("k.o")).alias(pos),
-                      (F.col("k.w") * F.col(value)).alias("_wv"), F.col("k.w").alias("_w")))
-    agg = sent.groupBy(*keys, pos).agg(F.sum("_wv").alias("_num"), F.sum("_w").alias("_den"))
-    # only targets that are real voxels
-    return (agg.join(df.select(*keys, pos), [*keys, pos], "left_semi")
-               .select(*keys, pos, (F.col("_num") / F.col("_den")).alias(name)))
+    return _smooth(df, keys, [pos], value, kernel, name)
+
+
+def gaussian_kernel_3d(fwhm: float, radius: int) -> list[tuple[int, int, int, float]]:
+    """(dx, dy, dz, weight) within a cube of ``radius`` voxels: the product of
+    one Gaussian per axis."""
+    line = gaussian_kernel(fwhm, radius)
+    return [(a, b, c, u * v * w) for a, u in line for b, v in line for c, w in line]
+
+
+def smooth_volume(df: DataFrame, keys: Sequence[str], value: str, kernel, name: str,
+                  axes: Sequence[str] = ("x", "y", "z")) -> DataFrame:
+    """Neighbourhood smoothing of volumes: voxel rows (keys..., x, y, z,
+    value) with weights renormalised where neighbours are missing."""
+    return _smooth(df, keys, list(axes), value, kernel, name)

@@ -7,6 +7,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxelframe.functions.numeric import DRAW_BITS, draw
+
 
 def sequential_split(df: DataFrame, keys: Sequence[str], t: str, train_frac: float = 0.7,
                      name: str = "split", counts: DataFrame | None = None) -> DataFrame:
@@ -37,8 +39,8 @@ def hash_split(df: DataFrame, id_cols: Sequence[str], test_frac: float = 0.3, se
                name: str = "split") -> DataFrame:
     """Seeded random split that does not depend on partitioning: the row's
     identity is hashed, so re-running or repartitioning keeps each row's side."""
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols]), F.lit(1_000_000))
-    return df.withColumn(name, F.when(h < F.lit(int(test_frac * 1_000_000)), F.lit("test"))
+    h = draw(seed, *[F.col(c) for c in id_cols])
+    return df.withColumn(name, F.when(h < F.lit(int(test_frac * (1 << DRAW_BITS))), F.lit("test"))
                                 .otherwise(F.lit("train")))
 
 
@@ -56,18 +58,17 @@ def exact_size_split(df: DataFrame, id_cols: Sequence[str], test_frac: float = 0
                      name: str = "split") -> DataFrame:
     """Seeded split with exactly ceil(test_frac * n) test rows.
 
-    Rows are ranked by a 52-bit hash of their identity (exact in double);
-    the hash value at rank k is found with the distributed exact-quantile
+    Rows are ranked by a 52-bit draw of their identity (exact in double);
+    the draw at rank k is found with the distributed exact-quantile
     search, rows below it are 'test', and only the rows tied at that value
-    (hash collisions, a handful) are ordered by a second hash to fill the
-    remaining places.
+    (a handful) are ordered by a second draw to fill the remaining places.
+    Repeated identities may share both draws; they go to one side together.
     """
     import math
 
     from voxelframe.operators.aggregates import values_at_ranks
     ids = [F.col(c) for c in id_cols]
-    d = df.withColumn("_h", F.pmod(F.xxhash64(F.lit(seed), *ids), F.lit(1 << 52)).cast("double")) \
-          .withColumn("_h2", F.xxhash64(F.lit(seed + 1), *ids))
+    d = df.withColumn("_h", draw(seed, *ids).cast("double")).withColumn("_h2", draw(seed + 1, *ids))
     n = d.count()
     k = math.ceil(test_frac * n)
     if k == 0:

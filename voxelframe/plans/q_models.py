@@ -9,7 +9,7 @@ import uuid
 import numpy as np
 from pyspark.sql import functions as F
 
-from voxelframe.functions.numeric import r6, sql_r6
+from voxelframe.functions.numeric import DRAW_BITS, r6, sql_draw, sql_r6
 from voxelframe.operators import formula, linear, metrics, net, trees
 from voxelframe.operators.joins import label_lookup, route
 from voxelframe.operators.split import hash_split
@@ -91,7 +91,9 @@ def csv_roundtrip(spark, sf_dir):
     return back.select("user_id", "t", "value")
 
 
-@query("hash_split")
+@query("hash_split", f"""SELECT l_orderkey, l_linenumber,
+  CASE WHEN {sql_draw(0, 'l_orderkey', 'l_linenumber')} < {int(0.3 * (1 << DRAW_BITS))} THEN 'test' ELSE 'train' END AS split
+FROM lineitem""")
 def hash_split_q(spark, sf_dir):
     """Seeded 70/30 split that does not depend on partitioning."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
@@ -119,19 +121,46 @@ def region_matrix(spark, sf_dir, with_cohort: bool = False):
 
 
 def _train_gram(d):
-    tr = d.filter(F.col("split") == "train").select(F.array(*[F.col(c) for c in REGION_COLS]).alias("v"))
+    """Means and population covariances of the train rows: one native
+    aggregate of stable co-moments."""
     k = len(REGION_COLS)
-    # one pass: Gram and sums shifted by a training row
-    shift = np.asarray(tr.first()["v"], dtype=np.float64)
-    n, mu, m2 = linear.centred_gram(tr, "v", k, shift=shift)
-    cov, _ = linear.covariance_from_gram(n, m2)
-    return mu, cov
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    row = d.filter(F.col("split") == "train").agg(
+        *[F.avg(c) for c in REGION_COLS], *[F.covar_pop(REGION_COLS[i], REGION_COLS[j]) for i, j in pairs]).first()
+    cov = np.zeros((k, k))
+    for (i, j), v in zip(pairs, row[k:]):
+        cov[i, j] = cov[j, i] = v
+    return np.array(row[:k]), cov
 
 
 LASSO_ALPHA = 0.001
 
 
-@query("lasso_all")
+def _lasso_sql(cycles: int = 500):
+    """Coordinate descent on the train covariances, one recursion per cycle."""
+    cols = REGION_COLS
+    tr = f"l_shipdate < TIMESTAMP '{TRAIN_BEFORE}'"
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
+    z = ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END AS {c}" for c in cols)
+    cov = ", ".join(f"covar_pop({a}, {b}) AS v_{a}__{b}" for a in cols for b in cols)
+    walks, rows = [], []
+    for n, k in enumerate(cols):
+        a, b, c = (x for x in cols if x != k)
+
+        def step(i, one, two):
+            r = f"(v_{i}__{k} - v_{i}__{one[0]} * {one[1]} - v_{i}__{two[0]} * {two[1]})"
+            return f"sign({r}) * greatest(abs({r}) - {LASSO_ALPHA}, 0) / v_{i}__{i}"
+        walks.append(f"""w{n}(i, b1, b2, b3) AS (SELECT 0, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE UNION ALL
+  SELECT i + 1, n1, n2, {step(c, (a, 'n1'), (b, 'n2'))} FROM (SELECT *, {step(b, (a, 'n1'), (c, 'b3'))} AS n2 FROM (
+    SELECT *, {step(a, (b, 'b2'), (c, 'b3'))} AS n1 FROM w{n}, g WHERE i < {cycles})))""")
+        rows += [f"SELECT '{k}' AS region, '{x}' AS feature, {sql_r6(f'b{j}')} AS weight FROM w{n} WHERE i = {cycles}"
+                 for j, x in enumerate((a, b, c), 1)]
+    return (f"WITH RECURSIVE s AS (SELECT {stats} FROM lineitem WHERE {tr}), "
+            f"z AS (SELECT {z} FROM lineitem, s WHERE {tr}), g AS MATERIALIZED (SELECT {cov} FROM z), "
+            + ", ".join(walks) + " " + " UNION ALL ".join(rows))
+
+
+@query("lasso_all", _lasso_sql())
 def lasso_all(spark, sf_dir):
     """Lasso weights of every region from all the others, from one Gram pass."""
     _, cov = _train_gram(region_matrix(spark, sf_dir))
@@ -200,27 +229,61 @@ def linear_fanout(spark, sf_dir):
                        r6(F.col("m.mse")).alias("mse"), r6(F.col("m.mae")).alias("mae"))
 
 
-GBT_ITER = 5
+ROW = ["l_orderkey", "l_linenumber"]
 
 
 @query("gbt_region")
 def gbt_region(spark, sf_dir):
-    """Boosted trees for one region; top-50 feature importance table."""
-    li = table(spark, sf_dir, "lineitem").select(*REGION_COLS)
-    model, feats, _ = trees.fit_region(li, REGION_COLS, "l_extendedprice", max_iter=GBT_ITER)
+    """Boosted trees for one region, as many as lower the error on held-out
+    rows; top-50 feature importance table."""
+    li = table(spark, sf_dir, "lineitem").select(*REGION_COLS, *ROW).persist()
+    try:
+        model, feats, _ = trees.fit_region(li, REGION_COLS, "l_extendedprice", id_cols=ROW)
+    finally:
+        li.unpersist()
     return trees.importance_table(spark, model, feats, "l_extendedprice", top=50)
 
 
-def _init_nets(seed: int = 0):
+def _init_nets(seed: int = 0, hidden=net.HIDDEN):
     rng = np.random.default_rng(seed)
-    return {c: net.init_net(rng, len(REGION_COLS) - 1) for c in REGION_COLS}
+    return {c: net.init_net(rng, len(REGION_COLS) - 1, hidden) for c in REGION_COLS}
+
 
+# nets small enough to be written out as SQL for the comparison
+SQL_HIDDEN = (4, 3, 2)
 
-@query("net_score")
+
+def _net_score_sql():
+    cols = REGION_COLS
+    tr = f"l_shipdate < TIMESTAMP '{TRAIN_BEFORE}'"
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
+    z = ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END AS {c}" for c in cols)
+    parts = []
+    for k, layers in _init_nets(0, SQL_HIDDEN).items():
+        names = [c for c in cols if c != k]
+        source = "z"
+        for i, (w, b) in enumerate(layers):
+            new = []
+            for row, bias in zip(w, b):
+                e = " + ".join([f"{float(bias)!r}::DOUBLE", *[f"{float(v)!r}::DOUBLE * {n}" for v, n in zip(row, names)]])
+                if i < len(layers) - 2:
+                    e = f"CASE WHEN {e} > 20 THEN {e} ELSE ln(1 + exp(least({e}, 20))) END"
+                new.append(f"tanh({e})" if i == len(layers) - 2 else e)
+            names = [f"h{i}_{j}" for j in range(len(new))]
+            source = f"(SELECT *, {', '.join(f'{e} AS {n}' for e, n in zip(new, names))} FROM {source})"
+        p = names[0]
+        parts.append(f"SELECT '{k}' AS region, count(*) AS n, round_even(1 - sum(({k} - {p}) ** 2) / (var_pop({p}) * count(*)), 4) AS r2, "
+                     f"{sql_r6(f'avg(({k} - {p}) ** 2)')} AS mse FROM {source}")
+    return (f"WITH s AS (SELECT {stats} FROM lineitem WHERE {tr}), "
+            f"z AS (SELECT {z} FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey, s "
+            f"WHERE c_mktsegment <> '{MEN_SEGMENT}') " + " UNION ALL ".join(parts))
+
+
+@query("net_score", _net_score_sql())
 def net_score(spark, sf_dir):
     """Nets saved for one cohort, loaded back by (cohort, region), scored on
     the other cohort: R² with swapped arguments, 4 digits (half even)."""
-    wt = net.weights_table(spark, _init_nets(0), "men")
+    wt = net.weights_table(spark, _init_nets(0, SQL_HIDDEN), "men")
     path = table_path(spark, f"net_weights_{uuid.uuid4().hex}")
     wt.write.mode("overwrite").parquet(path)
     nets = net.nets_from_table(spark.read.parquet(path), "men")
@@ -230,16 +293,17 @@ def net_score(spark, sf_dir):
                     r6(F.col("mse")).alias("mse"))
 
 
-NET_STEPS = 3
+# training ends once no net's train error falls by 2 % in three epochs
+NET_RULE = {"max_epochs": 10_000, "tol": 0.02, "patience": 3}
 
 
 @query("net_train")
 def net_train(spark, sf_dir):
-    """A few data-parallel Adam steps of every region's net; the metric
-    history per epoch."""
+    """Every region's net trained in slices until its error stops falling;
+    the metric history per epoch."""
     d = region_matrix(spark, sf_dir).select(*REGION_COLS, "split").persist()
     try:
-        _, hist = net.train(d, REGION_COLS, _init_nets(0), steps=NET_STEPS, lr=1e-2)
+        _, hist = net.train(d, REGION_COLS, _init_nets(0), **NET_RULE)
     finally:
         d.unpersist()
     return small_table(spark,
@@ -268,21 +332,36 @@ def gp_search(spark, sf_dir):
         "r2_train double, r2_test double, mae_train double, mae_test double")
 
 
-@query("random_formula_fitness")
+RANDOM_FORMULAS, MIN_DEPTH, MAX_DEPTH = 50, 2, 4
+_LEAVES = [c for c in REGION_COLS if c != "l_tax"]
+
+
+def _eight_digits(v):
+    """Errors span many magnitudes: compare nine significant digits."""
+    return None if v is None or not np.isfinite(v) else float(f"{v:.8e}")
+
+
+def _random_formula_sql():
+    parts = []
+    for i in range(RANDOM_FORMULAS):
+        _, t = formula.seeded_tree(i, MIN_DEPTH, MAX_DEPTH, 0, _LEAVES)
+        e = f"({formula.render(t, 'duckdb')} - l_tax)"
+        parts.append(f"SELECT CAST({i} AS BIGINT) AS formula_id, '{formula.render(t)}' AS expr, "
+                     f"CAST({formula.length(t)} AS INTEGER) AS length, CAST(printf('%.8e', avg({e} * {e})) AS DOUBLE) AS mse FROM lineitem")
+    return " UNION ALL ".join(parts)
+
+
+@query("random_formula_fitness", _random_formula_sql())
 def random_formula_fitness(spark, sf_dir):
     """Random complete trees (constants in [-2, 2], 2 decimals, and region
     columns as leaves) scored against l_tax over the whole table."""
-    feats = [c for c in REGION_COLS if c != "l_tax"]
-    fs = formula.random_formulas(spark, 50, 2, 4, seed=0, leaves=feats).collect()
+    fs = formula.random_formulas(spark, RANDOM_FORMULAS, MIN_DEPTH, MAX_DEPTH, seed=0, leaves=_LEAVES).collect()
     li = table(spark, sf_dir, "lineitem")
     from voxelframe.functions.numeric import register_sql_functions
     register_sql_functions(spark)
     row = li.agg(*[F.avg((F.expr(r["expr"]) - F.col("l_tax")) ** 2).alias(f"m{r['formula_id']}") for r in fs]).first()
-    def val(v):
-        return None if v is None else float(v)
-
     # a formula whose every row divides by zero has no error value (null)
-    rows = [(r["formula_id"], r["expr"], r["length"], val(row[f"m{r['formula_id']}"])) for r in fs]
+    rows = [(r["formula_id"], r["expr"], r["length"], _eight_digits(row[f"m{r['formula_id']}"])) for r in fs]
     return small_table(spark, rows, "formula_id long, expr string, length int, mse double")
 
 
@@ -347,12 +426,11 @@ def cohort_region_scores(spark, sf_dir):
     order, regions = the four numeric columns, person label = the
     supplier's nation (nations 0-11 -> men), linear models for every region
     per cohort, scores rounded half even to 4 digits."""
-    from voxelframe.operators.ordinal import add_ordinal, month_split
+    from voxelframe.operators.ordinal import add_time_ordinal
     from voxelframe.plans.modelling import cohort_scores, prepare
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber",
                                                  *REGION_COLS)
-    reg = add_ordinal(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], "t",
-                      split_by=month_split("l_shipdate"))
+    reg = add_time_ordinal(li, ["l_suppkey"], "l_shipdate", ["l_orderkey", "l_linenumber"], "t")
     sup = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"),
         F.when(F.col("s_nationkey") < 12, "M").otherwise("F").alias("gender"))
@@ -360,7 +438,9 @@ def cohort_region_scores(spark, sf_dir):
     return cohort_scores(d, REGION_COLS, method="ols", digits=4)
 
 
-@query("exact_split")
+@query("exact_split", f"""SELECT l_orderkey, l_linenumber, CASE WHEN r <= ceil(0.3 * n) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY {sql_draw(0, 'l_orderkey', 'l_linenumber')}, {sql_draw(1, 'l_orderkey', 'l_linenumber')}) AS r,
+  count(*) OVER () AS n FROM lineitem)""")
 def exact_split(spark, sf_dir):
     """Seeded split with exactly ceil(0.3 n) test rows (hash-ranked)."""
     from voxelframe.operators.split import exact_size_split
@@ -370,11 +450,11 @@ def exact_split(spark, sf_dir):
 
 @query("gbt_score_matrix")
 def gbt_score_matrix(spark, sf_dir):
-    """Boosted trees for every region from the others (cached input, few
-    iterations), scored per split: [r2_train, r2_test, mae_train, mae_test]
+    """Boosted trees for every region from the others (cached input, as many
+    trees as lower the error on held-out rows), scored per split: [r2_train, r2_test, mae_train, mae_test]
     rounded half even to 2 digits."""
     d = region_matrix(spark, sf_dir)
-    _, sc = trees.fit_all_regions(d, REGION_COLS, max_iter=3, split_col="split")
+    _, sc = trees.fit_all_regions(d, REGION_COLS, split_col="split", id_cols=ROW)
     wide = sc.groupBy("region").pivot("split", ["train", "test"]).agg(F.first("r2").alias("r2"),
                                                                        F.first("mae").alias("mae"))
     return wide.select("region", *[F.bround(F.col(f"{s}_{m}"), 2).alias(f"{m}_{s}")
@@ -386,13 +466,13 @@ FLAG_R2 = 0.0
 
 @query("cross_cohort_nets")
 def cross_cohort_nets(spark, sf_dir):
-    """Nets trained on one cohort (a few steps), saved to the weights table,
+    """Nets trained on one cohort, saved to the weights table,
     loaded back by (cohort, region), scored on the other cohort; R² with
     swapped arguments to 4 digits and the regions flagged below 0."""
     d = region_matrix(spark, sf_dir, with_cohort=True).select(*REGION_COLS, "split", "cohort")
     men = d.filter(F.col("cohort") == "men").persist()
     try:
-        nets, _ = net.train(men, REGION_COLS, _init_nets(0), steps=2, lr=1e-2)
+        nets, _ = net.train(men, REGION_COLS, _init_nets(0), **NET_RULE)
     finally:
         men.unpersist()
     path = table_path(spark, f"net_weights_{uuid.uuid4().hex}")

@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from voxelframe.functions.numeric import r6, sql_r6
+from voxelframe.functions.numeric import r6, sql_draw, sql_r6
 from voxelframe.operators import aggregates, formula, linear, metrics, smooth
 from voxelframe.plans.registry import query
 from voxelframe.plans.stand_ins import MEN_SEGMENT, REGION_COLS, SERIES_SQL, series
@@ -222,20 +222,56 @@ def one_confound_residual(spark, sf_dir):
     return r.select("user_id", "t", r6(F.col("value")).alias("resid"))
 
 
-@query("confound_residual_multi")
+def _confound_multi_sql():
+    """Gram-Schmidt over the complete rows: every confound is orthogonalised
+    on the ones before, then the value on each of them."""
+    p = "OVER (PARTITION BY user_id)"
+    zs = ["c0", "c1", "c2", "c3"]
+    steps = [f"""base AS (SELECT user_id, t, CASE WHEN event_id % 7 <> 0 THEN value END AS value,
+    CAST(json_extract(props, '$.k') AS DOUBLE) AS c0, CASE WHEN event_id % 11 <> 3 THEN CAST(hour(ts) AS DOUBLE) END AS c1,
+    minute(ts) / 60.0 AS c2, CAST(dayofweek(ts) + 1 AS DOUBLE) AS c3 FROM ({SERIES_SQL})),
+s0 AS (SELECT user_id, t, {", ".join(f"{c} - avg({c}) {p} AS {c}" for c in ["value", *zs])} FROM base
+  WHERE {" AND ".join(f"{c} IS NOT NULL" for c in ["value", *zs])})"""]
+    for i, z in enumerate(zs):
+        rest = ["value", *zs[i + 1:]]
+        cut = ", ".join(f"{c} - coalesce(sum({c} * {z}) {p} / nullif(sum({z} * {z}) {p}, 0), 0) * {z} AS {c}" for c in rest)
+        steps.append(f"s{i + 1} AS (SELECT user_id, t, {cut} FROM s{i})")
+    return ("WITH " + ",\n".join(steps) + f"""
+SELECT base.user_id, base.t, {sql_r6("s4.value")} AS resid FROM base LEFT JOIN s4 USING (user_id, t)""")
+
+
+@query("confound_residual_multi", _confound_multi_sql())
 def confound_residual_multi(spark, sf_dir):
-    """Residual on four confounds plus intercept per scan (normal equations
-    from per-scan sums, solved per scan)."""
+    """Residual on four confounds plus intercept per scan, over the rows
+    where the value and all confounds exist (some of each are missing)."""
     s = series(spark, sf_dir, cols=("event_id", "ts", "user_id", "value", "props"))
-    d = s.select("user_id", "t", "value",
+    d = s.select("user_id", "t", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"),
                  F.get_json_object("props", "$.k").cast("double").alias("c0"),
-                 F.hour("ts").cast("double").alias("c1"),
+                 F.when(F.col("event_id") % 11 != 3, F.hour("ts").cast("double")).alias("c1"),
                  (F.minute("ts") / 60.0).alias("c2"),
                  F.dayofweek("ts").cast("double").alias("c3"))
     r = linear.confound_residuals(d, ["user_id"], ["value"], ["c0", "c1", "c2", "c3"])
     return r.select("user_id", "t", r6(F.col("value")).alias("resid"))
 
 
+WIDE_COLS = 64
+
+
+@query("gram_by_wide", f"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 17 <> 0)
+SELECT label, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, count(*) AS n, {sql_r6("sum(v[i + 1] * v[j + 1])", 9)} AS g
+FROM e, range({WIDE_COLS}) a(i), range({WIDE_COLS}) b(j) WHERE i <= j GROUP BY ALL""")
+def gram_by_wide(spark, sf_dir):
+    """Cross products of 64 columns per group; rows with a missing value
+    (here every 17th) are left out of all of them."""
+    e = table(spark, sf_dir, "embeddings")
+    cols = [f"x{i}" for i in range(WIDE_COLS)]
+    wide = e.select("label", *[F.when((F.col("vec_id") % 17 != 0) | F.lit(i != 5), F.col("embedding")[i].cast("double"))
+                               .alias(c) for i, c in enumerate(cols)])
+    grams = linear.gram_by(wide, "label", cols)
+    rows = [(k, i, j, n, float(g[i, j])) for k, (n, g) in grams.items() for i in range(WIDE_COLS) for j in range(i, WIDE_COLS)]
+    return small_table(spark, rows, "label int, i int, j int, n bigint, g double").withColumn("g", r6(F.col("g"), 9))
+
+
 # ------------------------------------------------------------- variance, smoothing
 def _emb_long(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
@@ -280,6 +316,26 @@ def neighbour_smooth_long(spark, sf_dir):
     return sm.select("vec_id", "pos", r6(F.col("s")).alias("s"))
 
 
+KERNEL_3D = smooth.gaussian_kernel_3d(fwhm=2.0, radius=1)
+_CUBE = "SELECT vec_id, label, pos % 4 AS x, pos // 4 % 4 AS y, pos // 16 AS z, v FROM e WHERE (pos + vec_id) % 9 <> 0"
+
+
+@query("volume_smooth", f"""WITH e AS ({_EMB_LONG}), c AS ({_CUBE}),
+k(dx, dy, dz, w) AS (VALUES {", ".join(f"({a}, {b}, {c}, {w!r}::DOUBLE)" for a, b, c, w in KERNEL_3D)})
+SELECT a.vec_id, CAST(a.x AS INTEGER) AS x, CAST(a.y AS INTEGER) AS y, CAST(a.z AS INTEGER) AS z,
+  {sql_r6("sum(w * b.v) / sum(w)")} AS s
+FROM c a JOIN k ON true JOIN c b ON b.vec_id = a.vec_id AND b.x = a.x + dx AND b.y = a.y + dy AND b.z = a.z + dz GROUP BY ALL""")
+def volume_smooth(spark, sf_dir):
+    """Each vector as a 4 x 4 x 4 volume with some voxels missing, smoothed
+    with a 3 x 3 x 3 kernel."""
+    p = F.col("pos")
+    vox = _emb_long(spark, sf_dir).filter((p + F.col("vec_id")) % 9 != 0).select(
+        "vec_id", (p % 4).alias("x"), F.floor(p / 4).cast("int") % 4, F.floor(p / 16).cast("int").alias("z"), "v")
+    vox = vox.toDF("vec_id", "x", "y", "z", "v")
+    out = smooth.smooth_volume(vox, ["vec_id"], "v", KERNEL_3D, "s")
+    return out.select("vec_id", "x", "y", "z", r6(F.col("s")).alias("s"))
+
+
 # ------------------------------------------------------------- formulas
 # Fixed formula table over the lineitem region matrix: id -> (target, tree)
 FORMULAS = {
@@ -352,14 +408,24 @@ def hv_confounds(spark, sf_dir):
     label group, voxel = position, time = vector id)."""
     from voxelframe.operators.confounds import high_variance_confounds
     long = _emb_long(spark, sf_dir).select("label", "pos", F.col("vec_id").alias("t"), "v")
-    c = high_variance_confounds(long, ["label"], "pos", "t", "v", n_confounds=5, percentile=2.0)
+    # a tenth of the 64 positions: more than the five components asked for
+    c = high_variance_confounds(long, ["label"], "pos", "t", "v", n_confounds=5, percentile=10.0)
     return c.select("label", "t", *[r6(F.col(f"c{i}")).alias(f"c{i}") for i in range(5)])
 
 
-@query("tournament_winners")
+_SLOTS, _CONTESTANTS = 8, 3
+
+
+@query("tournament_winners", _FIT_SQL + f""", f AS (SELECT formula_id, mse + {PARSIMONY} * length AS fitness FROM m),
+p AS (SELECT *, row_number() OVER (ORDER BY formula_id) - 1 AS pos, count(*) OVER () AS n FROM f),
+d AS (SELECT s AS slot, {sql_draw(0, 's', 'c')} % {len(FORMULAS)} AS pos FROM range({_SLOTS}) a(s), range({_CONTESTANTS}) b(c))
+SELECT slot, formula_id, {sql_r6('fitness', 9)} AS fitness FROM (
+  SELECT slot, formula_id, fitness, row_number() OVER (PARTITION BY slot ORDER BY fitness, formula_id) AS r
+  FROM d JOIN p USING (pos)) WHERE r = 1""")
 def tournament_winners(spark, sf_dir):
     """One round of tournament selection (8 slots, 3 contestants each) over
     the fitness of the formula table on lineitem."""
     fit = formula.fitness(table(spark, sf_dir, "lineitem"), {i: t for i, (_, t) in FORMULAS.items()},
                           {i: y for i, (y, _) in FORMULAS.items()}, parsimony=PARSIMONY)
-    return formula.tournament_select(fit, n_slots=8, k=3, seed=0)
+    won = formula.tournament_select(fit, n_slots=_SLOTS, k=_CONTESTANTS, seed=0)
+    return won.withColumn("fitness", r6(F.col("fitness"), 9))

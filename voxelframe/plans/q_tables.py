@@ -12,7 +12,7 @@ from voxelframe.functions.regions import first_missing, pairwise_products
 from voxelframe.operators.aggregates import distinct_sorted_int, region_means
 from voxelframe.operators.asof import asof_join
 from voxelframe.operators.joins import expand_worklist, label_lookup, route, skip_done
-from voxelframe.operators.ordinal import add_ordinal
+from voxelframe.operators.ordinal import add_ordinal, numeric_split, prefix_sum
 from voxelframe.plans.registry import query
 from voxelframe.plans.stand_ins import (ATLAS, DATASET, MEN_SEGMENT, REGION_COLS, ROW_KEY_PREFIX,
                                         SERIES_SQL, series)
@@ -298,7 +298,9 @@ def row_by_position(spark, sf_dir):
     """Row at a 0-based position of the work-list (ordered by nation, key);
     each order names the position it wants."""
     c = table(spark, sf_dir, "customer").select("c_name", "c_nationkey", "c_custkey")
-    numbered = add_ordinal(c, [], ["c_nationkey", "c_custkey"], "pos", split_by=F.col("c_nationkey"))
+    # numbered per (nation, key range): the ranges grow in number with the table
+    numbered = add_ordinal(c, [], ["c_nationkey", "c_custkey"], "pos",
+                           split_by=F.struct("c_nationkey", numeric_split("c_custkey", 65_536)))
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("pos"))
     return o.join(numbered.select("pos", "c_name"), "pos").select("o_orderkey", "pos", "c_name")
 
@@ -318,8 +320,7 @@ def name_counter(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     per_archive = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("m")).join(o, "l_orderkey")
-    before = Window.partitionBy("o_custkey").orderBy("l_orderkey").rowsBetween(Window.unboundedPreceding, -1)
-    base = per_archive.withColumn("base", F.coalesce(F.sum(F.col("m") + 1).over(before), F.lit(0)))
+    base = prefix_sum(per_archive, ["o_custkey"], "l_orderkey", F.col("m") + 1, "base")
     members = li.withColumn("k", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber")))
     j = members.join(base.select("l_orderkey", "o_custkey", "base"), "l_orderkey")
     return j.select("l_orderkey", "l_linenumber",

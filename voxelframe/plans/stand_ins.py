@@ -23,9 +23,6 @@ DATASET = "HCP"
 ATLAS = "harvard_oxford"
 REGION_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
-# rows per time bucket when numbering a series (one task's share)
-SERIES_BUCKET_ROWS = 1_000_000
-
 # SQL twin of ``series``: same ordinal rule
 SERIES_SQL = ("SELECT event_id, ts, user_id, event_type, value, props, "
               "row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS t FROM events")
@@ -34,9 +31,9 @@ SERIES_SQL = ("SELECT event_id, ts, user_id, event_type, value, props, "
 def series(spark: SparkSession, sf_dir: str, cols=("event_id", "ts", "user_id", "event_type", "value")) -> DataFrame:
     """events as region series with the ordinal ``t``.
 
-    Numbering is split by per-user time buckets of about a million rows
+    Numbering runs on sampled ranges of (user, time, id)
     (``add_time_ordinal``), so one very long series is numbered by many
-    tasks, each bucket shifted by the counts of the earlier ones.
+    tasks, and the numbered rows are written once.
     """
     ev = table(spark, sf_dir, "events").select(*cols)
-    return add_time_ordinal(ev, ["user_id"], "ts", ["event_id"], "t", target_rows=SERIES_BUCKET_ROWS)
+    return add_time_ordinal(ev, ["user_id"], "ts", ["event_id"], "t")
