@@ -27,7 +27,7 @@ def test_gram_and_cov(spark, wide):
     pdf, df = wide
     cols = [f"x{i}" for i in range(5)]
     v = df.select(F.array(*cols).alias("v"))
-    mu = linear.vector_means(v, "v", 5)
+    mu = linear.centred_gram(v, "v", 5, np.zeros(5))[1]
     n, g = linear.gram(v, "v", 5, center=mu)
     cov, corr = linear.covariance_from_gram(n, g)
     x = pdf[cols].to_numpy()
@@ -124,8 +124,8 @@ def test_net_gradients_and_training(spark, wide):
     te = (pdf["rid"] % 4 == 0).to_numpy()
     p = net.forward(nets["x2"], np.delete(xa, 2, axis=1)[te])[0][-1][:, 0]
     assert m[("x2", "test")]["mse"] == pytest.approx(np.mean((xa[te, 2] - p) ** 2))
-    # a few Adam steps lower the training error of every net
-    _, hist = net.train(d, cols, nets, steps=6, lr=1e-2)
+    # training lowers the error of every net
+    _, hist = net.train(d, cols, nets, max_epochs=6)
     d.unpersist()
     h = pd.DataFrame(hist, columns=["region", "epoch", "r2_train", "r2_test", "mse_train", "mse_test"])
     for c in cols:
@@ -176,6 +176,120 @@ def test_random_formulas_and_search(spark, wide):
     assert hist[-1][1] <= hist[0][1] + 1e-12 or min(h[1] for h in hist) <= hist[0][1]
 
 
+def test_net_training_stops_by_its_rule(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 3))
+    pdf = pd.DataFrame(x, columns=["a", "b", "c"])
+    pdf["d"] = 0.8 * pdf.a - 0.5 * pdf.b + 0.1 * rng.normal(size=3000)
+    pdf["split"] = np.where(np.arange(3000) % 4 == 0, "test", "train")
+    d = spark.createDataFrame(pdf).repartition(2).persist()
+    nets = {"d": net.init_net(rng, 3, (8, 6, 4))}
+    found, hist = net.train(d, ["a", "b", "c", "d"], nets, max_epochs=200, batch_rows=128, tol=0.02)
+    assert 3 < len(hist) < 200
+    scores = {r["split"]: r["r2"] for r in net.score(d, ["a", "b", "c", "d"], found, "split").collect()}
+    assert scores["train"] > 0.9 and scores["test"] > 0.9
+    far = d.withColumns({c: F.col(c) + 1e7 for c in "abcd"})           # unscaled regions keep their R²
+    shifted = net.score(far, ["a", "b", "c", "d"], {"d": [(np.zeros((1, 3)), np.array([1e7]))]})
+    assert shifted.first()["r2"] == pytest.approx(1 - np.mean(pdf["d"] ** 2) / np.var(pdf["d"]), abs=1e-6)
+    d.unpersist()
+
+
+def test_gbt_stops_by_its_rule(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(size=(1500, 3)), columns=["a", "b", "c"])
+    pdf["y"] = np.sign(pdf.a) + 0.1 * rng.normal(size=1500)
+    pdf["id"] = np.arange(1500)
+    df = spark.createDataFrame(pdf).persist()
+    model, feats, va = trees.fit_region(df, ["a", "b", "c", "y"], "y", id_cols=["id"], min_gain=0.05, stepSize=0.5)
+    assert 1 <= model.getNumTrees < 30
+    err = trees.predict(model, va, df).agg(F.avg((F.col("_pred") - F.col("y")) ** 2)).first()[0]
+    assert err < 0.1
+    df.unpersist()
+
+
+def test_gram_by_rules(spark):
+    rng = np.random.default_rng(11)
+    for dim in (4, 17):
+        x = rng.normal(size=(400, dim))
+        cols = [f"x{i}" for i in range(dim)]
+        pdf = pd.DataFrame(x, columns=cols)
+        pdf["k"] = np.arange(400) % 50
+        rows = [tuple(None if (i == 3 and j == 0) else v for j, v in enumerate(r)) for i, r in enumerate(pdf.itertuples(index=False))]
+        df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols) + ", k long").repartition(5)
+        with pytest.raises(ValueError):
+            linear.gram_by(df, "k", cols, max_groups=10)
+        got = linear.gram_by(df, "k", cols, max_groups=50)
+        assert len(got) == 50
+        for k, (n, g) in got.items():
+            want = x[[i for i in range(400) if i % 50 == k and i != 3]]     # the row with a null is left out
+            assert n == len(want)
+            np.testing.assert_allclose(g, want.T @ want, atol=1e-9)
+
+
+def test_confound_residuals_with_nulls(spark):
+    rng = np.random.default_rng(12)
+    z = rng.normal(size=(240, 5)) * [1, 100, 1e-3, 1, 5] + [0, 1000, 0, 7, 0]
+    y = rng.normal(size=(240, 3)) + z[:, [0]] * 2
+    hole = rng.random((240, 8)) < 0.1
+    full = np.where(hole, np.nan, np.hstack([z, y]))
+    full[:, 4] = 5.0                                                       # a constant confound
+    rows = [(int(i % 3), i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(full)]
+    cs, ys = [f"c{i}" for i in range(5)], ["x0", "x1", "x2"]
+    df = spark.createDataFrame(rows, "scan int, t int, " + ", ".join(f"{c} double" for c in cs + ys)).repartition(4)
+    got = linear.confound_residuals(df, ["scan"], ys, cs).toPandas().set_index("t")
+    for scan in range(3):
+        at = np.arange(scan, 240, 3)
+        for j, c in enumerate(ys):
+            sound = at[~np.isnan(full[at][:, [0, 1, 2, 3, 4, 5 + j]]).any(axis=1)]
+            a = np.column_stack([np.ones(len(sound)), full[sound, :5]])
+            want = full[sound, 5 + j] - a @ np.linalg.lstsq(a, full[sound, 5 + j], rcond=None)[0]
+            np.testing.assert_allclose(got.loc[sound, c], want, atol=1e-8)
+            assert got.loc[np.setdiff1d(at, sound), c].isna().all()
+
+
+def test_cohort_scores_48_columns(spark):
+    from voxelframe.plans.modelling import cohort_scores
+    rng = np.random.default_rng(13)
+    n, d = 1200, 48
+    x = rng.normal(size=(n, 6)) @ rng.normal(size=(6, d)) + rng.normal(size=(n, d)) * 0.5 + 1000.0
+    cols = [f"x{i}" for i in range(d)]
+    pdf = pd.DataFrame(x, columns=cols)
+    pdf["cohort"] = np.where(np.arange(n) % 3 == 0, "men", "women")
+    pdf["split"] = np.where(np.arange(n) % 5 == 0, "test", "train")
+    got = cohort_scores(spark.createDataFrame(pdf).repartition(4), cols).toPandas().set_index(["cohort", "split", "region"])
+    for cohort in ("men", "women"):
+        own = pdf[pdf.cohort == cohort]
+        tr = own[own.split == "train"][cols].to_numpy()
+        mean, sd = tr.mean(0), tr.std(0)
+        for k in (0, 31):
+            rest = np.delete(np.arange(d), k)
+            w = np.linalg.lstsq(((tr - mean) / sd)[:, rest], ((tr - mean) / sd)[:, k], rcond=None)[0]
+            for split in ("train", "test"):
+                zs = (own[own.split == split][cols].to_numpy() - mean) / sd
+                e = zs[:, k] - zs[:, rest] @ w
+                r = got.loc[(cohort, split, f"x{k}")]
+                assert r["n"] == len(zs)
+                np.testing.assert_allclose([r["r2"], r["mse"], r["mae"]],
+                                           [1 - (e @ e) / (len(e) * zs[:, k].var()), np.mean(e ** 2), np.abs(e).mean()], rtol=1e-6)
+
+
+def test_volume_smoothing(spark):
+    rng = np.random.default_rng(14)
+    vol = rng.normal(size=(4, 3, 5))
+    vol[1, 1, 1] = np.nan
+    rows = [(7, a, b, c, float(vol[a, b, c])) for a in range(4) for b in range(3) for c in range(5) if not np.isnan(vol[a, b, c])]
+    kernel = smooth.gaussian_kernel_3d(2.0, 1)
+    got = smooth.smooth_volume(spark.createDataFrame(rows, "scan int, x int, y int, z int, v double"), ["scan"], "v", kernel, "s")
+    assert got.count() == len(rows)
+    for r in got.collect():
+        num = den = 0.0
+        for a, b, c, w in kernel:
+            p = (r["x"] + a, r["y"] + b, r["z"] + c)
+            if all(0 <= i < m for i, m in zip(p, vol.shape)) and not np.isnan(vol[p]):
+                num, den = num + w * vol[p], den + w
+        assert r["s"] == pytest.approx(num / den)
+
+
 def test_gbt_importance(spark, wide):
     pdf, df = wide
     cols = [f"x{i}" for i in range(5)]

@@ -62,7 +62,7 @@ def test_first_missing_and_long(spark):
 
 
 def test_random_helpers(spark):
-    r = spark.range(2000).select(uniform_constant(1).alias("c"), random_int(2, 3, 5).alias("i")).toPandas()
+    r = spark.range(2000).select(uniform_constant(1, F.col("id")).alias("c"), random_int(2, F.col("id"), low=3, high=5).alias("i")).toPandas()
     assert r["c"].between(-2, 2).all() and (r["c"].round(2) == r["c"]).all()
     assert set(r["i"]) == {3, 4, 5}
     f = files.random_frame(spark, 100, seed=3).toPandas()
@@ -82,7 +82,17 @@ def test_route_sink(spark, tmp_path):
     assert sorted(os.listdir(tmp_path / "hdd"))[:2] == ["_SUCCESS", "scan=0"] or os.path.isdir(tmp_path / "hdd" / "scan=0")
     files.route_sink(df, "base", str(tmp_path / "kt"), "scan")
     view = keyed.latest(keyed.scan(spark, str(tmp_path / "kt"), dataset="HCP"))
-    assert sorted(r["row_key"] for r in view.collect()) == ["HCP_0_0", "HCP_1_0"]
+    assert sorted((r["row_key"], r["chunk"], r["data"]["person"]) for r in view.collect()) == [
+        ("HCP_0", 0, "0"), ("HCP_1", 0, "1")]
+    # a second run has a higher version; fewer chunks replace more
+    named = df.withColumn("person", F.col("scan") + 100)
+    files.route_sink(named, "base", str(tmp_path / "kt"), "scan", person="person", atlas="other")
+    rows = keyed.latest(keyed.scan(spark, str(tmp_path / "kt"))).collect()
+    assert {(r["row_key"], r["data"]["person"], r["data"]["atlas"]) for r in rows} == {
+        ("HCP_0", "100", "other"), ("HCP_1", "101", "other")}
+    long = spark.createDataFrame([("k", 0, "a", 1), ("k", 1, "b", 1), ("k", 0, "c", 2)], "k string, n int, roi string, v int")
+    two = keyed.make_rows(long, F.col("k"), F.lit("1"), F.lit("d"), F.lit("a"), F.col("roi"), F.col("v"), chunk=F.col("n"))
+    assert [r["data"]["roi"] for r in keyed.latest(two).collect()] == ["c"]
     with pytest.raises(ValueError):
         files.route_sink(df, "tape", str(tmp_path / "x"), "scan")
 
@@ -141,6 +151,79 @@ def test_run_extraction_end_to_end(spark, tmp_path):
         run_extraction(spark, str(wl), str(tmp_path / "vox"), str(tmp_path / "atlas"), "other", out)
 
 
+def test_extraction_reports_every_scan(spark, tmp_path):
+    """A scan without voxel rows and one with a missing confound row are
+    reported and not written; the keyed table has the right identities."""
+    from voxelframe.plans.extract import run_extraction
+    wl = tmp_path / "worklist.csv"
+    pd.DataFrame({"path": [f"/data/{p}_1_LR.zip" for p in (100, 101, 102)], "people_number": [1, 2, 3]}).to_csv(wl, index=False)
+    rng = np.random.default_rng(1)
+    rows = [(f"{p}_1_LR", v, t, float(rng.normal())) for p in (100, 101) for v in range(12) for t in range(20)]
+    spark.createDataFrame(rows, "scan_id string, voxel_id bigint, t int, value double").write.parquet(str(tmp_path / "vox"))
+    spark.createDataFrame([("toy", v, v % 3) for v in range(12)], "atlas string, voxel_id bigint, label int") \
+        .write.parquet(str(tmp_path / "atlas"))
+    conf = [(f"{p}_1_LR", t, *map(float, rng.normal(size=5))) for p in (100, 101) for t in range(20) if (p, t) != (101, 4)]
+    spark.createDataFrame(conf, "scan_id string, t int, c0 double, c1 double, c2 double, c3 double, c4 double") \
+        .write.parquet(str(tmp_path / "conf"))
+    out = str(tmp_path / "kt")
+    args = (spark, str(wl), str(tmp_path / "vox"), str(tmp_path / "atlas"), "toy", out)
+    s = run_extraction(*args, target="base", confounds_path=str(tmp_path / "conf"))
+    assert sorted((r["scan_id"], r["n_timepoints"], r["n_gaps"], r["status"], r["error"]) for r in s.collect()) == [
+        ("100_1_LR", 20, 0, "ok", None), ("101_1_LR", 20, 1, "error", "time points without confounds"),
+        ("102_1_LR", 0, 0, "error", "no voxel rows")]
+    got = keyed.latest(keyed.scan(spark, out, atlas="toy")).collect()
+    assert [(r["row_key"], r["data"]["person"], r["chunk"]) for r in got] == [("HCP_100_1_LR", "1", 0)]
+    # written scans are skipped in the keyed table as well
+    again = run_extraction(*args, target="base", confounds_path=str(tmp_path / "conf"))
+    assert sorted(r["scan_id"] for r in again.collect()) == ["101_1_LR", "102_1_LR"]
+
+
+def test_models_need_labels(spark):
+    from voxelframe.plans.modelling import prepare
+    regions = spark.range(60).select((F.col("id") % 3).alias("scan_id"), F.floor(F.col("id") / 3).alias("t"),
+                                     (F.col("id") % 3).alias("person"), F.rand(1).alias("x0"))
+    labels = spark.createDataFrame([(0, "M"), (1, "F")], "person bigint, gender string")
+    with pytest.raises(KeyError):
+        prepare(regions, labels, "scan_id", "t", ["x0"], "person", "gender", "M")
+    loose = prepare(regions, labels, "scan_id", "t", ["x0"], "person", "gender", "M", strict=False)
+    assert {r["cohort"] for r in loose.select("cohort").distinct().collect()} == {"men", "women"}
+
+
+def test_broadcast_size_is_measured(spark):
+    from voxelframe.operators import joins
+    wide = spark.range(200).select("id", F.array_repeat(F.lit(1.5), 4000).alias("v"))
+    assert not joins._fits(wide, None) or joins.BROADCAST_MAX_BYTES > 200 * 4000 * 8
+    old, joins.BROADCAST_MAX_BYTES = joins.BROADCAST_MAX_BYTES, 1 << 20
+    try:
+        assert not joins._fits(wide, None) and joins._fits(wide.select("id"), None)
+    finally:
+        joins.BROADCAST_MAX_BYTES = old
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+    from voxelframe.session import checkpoint_dir
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None),
+                          sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"))
+    with pytest.raises(ValueError):
+        checkpoint_dir(far)
+
+
+def test_high_variance_confounds_on_the_time_side(spark):
+    """More selected voxels than time points: the time x time matrix."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(20, 400)) * rng.uniform(0.5, 3, 400)
+    pdf = pd.DataFrame([("s", v, t, x[t, v]) for v in range(400) for t in range(20)], columns=["scan_id", "voxel_id", "t", "value"])
+    got = high_variance_confounds(spark.createDataFrame(pdf), percentile=20.0).toPandas().sort_values("t")
+    var = x.var(0)
+    sel = x[:, var > np.percentile(var, 80)]
+    tt = np.arange(20) - 9.5
+    sel = sel - sel.mean(0) - np.outer(tt, tt @ sel / (tt @ tt))
+    u = np.linalg.svd(sel, full_matrices=False)[0]
+    for k in range(5):
+        assert abs(got[f"c{k}"].to_numpy() @ u[:, k]) == pytest.approx(1.0, abs=1e-8)
+
+
 def test_tournament_select(spark):
     fit = spark.createDataFrame([(i, float((i * 7) % 11)) for i in range(50)], "formula_id long, fitness double")
     w = formula.tournament_select(fit, n_slots=200, k=5, seed=1).toPandas()

@@ -113,18 +113,36 @@ def test_split_by_key_and_minibatches(spark):
     assert set(mb["b"]) == {0} and set(mb["c"]) == {0, 1, 2}
 
 
-def test_adaptive_time_ordinal(spark):
-    from voxelframe.operators.ordinal import adaptive_time_buckets, add_time_ordinal
+@pytest.mark.parametrize("times", ["even", "bursts", "one instant"])
+def test_time_ordinal_and_buckets(spark, times):
+    from voxelframe.operators.ordinal import add_time_ordinal, time_bucket_widths, time_buckets
     rng = np.random.default_rng(21)
     n = 4000
+    at = {"even": rng.integers(0, 10**9, n), "bursts": np.where(rng.random(n) < 0.9, 5, rng.integers(0, 10**9, n)),
+          "one instant": np.zeros(n, int)}[times]
     pdf = pd.DataFrame({"k": np.where(rng.random(n) < 0.6, 0, rng.integers(1, 5, n)),
-                        "ts": pd.to_datetime("2024-01-01") + pd.to_timedelta(rng.integers(0, 10**9, n), unit="ms"),
-                        "id": np.arange(n)})
+                        "ts": pd.to_datetime("2024-01-01") + pd.to_timedelta(at, unit="ms"), "id": np.arange(n)})
     df = spark.createDataFrame(pdf).repartition(5)
-    got = add_time_ordinal(df, ["k"], "ts", ["id"], "t", target_rows=100).toPandas().set_index("id")
+    numbered = add_time_ordinal(df, ["k"], "ts", ["id"], "t")
+    got = numbered.toPandas().set_index("id")
     want = pdf.sort_values(["ts", "id"]).groupby("k").cumcount()
     assert (got.loc[want.index, "t"].values == want.values).all()
-    b = adaptive_time_buckets(df, ["k"], "ts", 100, "b").toPandas()
-    hot = b[b.k == 0].groupby("b").size()
-    assert len(hot) >= 20 and hot.max() < 400          # ~2400 rows cut into ~24 buckets
-    assert b[b.k == 1].groupby("b").size().shape[0] >= 3
+    # the written rows are spread evenly, whatever the key sizes and times
+    sizes = numbered.select(F.input_file_name().alias("f")).groupBy("f").count().toPandas()["count"]
+    assert sizes.max() < 2.5 * n / 8
+    b = time_buckets(df, time_bucket_widths(df, ["k"], "ts", 100), ["k"], "ts", "b").toPandas()
+    assert (b.sort_values("ts").groupby("k")["b"].apply(lambda v: v.is_monotonic_increasing)).all()
+    if times == "even":
+        hot = b[b.k == 0].groupby("b").size()
+        assert len(hot) >= 20 and hot.max() < 400          # ~2400 rows cut into ~24 buckets
+        assert b[b.k == 1].groupby("b").size().shape[0] >= 3
+
+
+def test_prefix_sum(spark):
+    from voxelframe.operators.ordinal import prefix_sum
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"k": rng.integers(0, 3, 500), "o": rng.permutation(500), "v": rng.integers(0, 9, 500)})
+    got = prefix_sum(spark.createDataFrame(pdf), ["k"], "o", F.col("v"), "s", width=37).toPandas().set_index("o")["s"]
+    ordered = pdf.sort_values("o")
+    want = (ordered.groupby("k")["v"].cumsum() - ordered["v"]).set_axis(ordered["o"])
+    assert (got.loc[want.index] == want).all()
