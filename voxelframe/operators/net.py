@@ -13,7 +13,7 @@ no precision is lost on unscaled regions.
 
 Training: one Spark job per epoch.  Every partition takes its rows in slices
 of ``batch_rows`` and makes one Adam update per slice on its own copy of the
-nets; the copies are then averaged, weighted by rows, in two levels of groups
+nets; the copies (weights and moments) are then averaged by rows, in two levels of groups
 (no call receives more than the square root of the partitions).  Training
 stops when the error no longer falls.
 """
@@ -167,11 +167,14 @@ def score(df: DataFrame, cols: Sequence[str], nets: dict, split_col: str | None
 
 
 class _Adam:
-    """Adam on one flat weight vector."""
+    """Adam on one flat weight vector; weights and moments travel together."""
 
-    def __init__(self, vector, lr, betas=(0.9, 0.999), eps=1e-8):
-        self.p, self.lr, self.betas, self.eps = vector, lr, betas, eps
-        self.m, self.v, self.step = np.zeros_like(vector), np.zeros_like(vector), 0
+    def __init__(self, vector, lr, moments=None, step=0, betas=(0.9, 0.999), eps=1e-8):
+        self.p, self.lr, self.betas, self.eps, self.step = vector, lr, betas, eps, step
+        self.m, self.v = moments if moments is not None else (np.zeros_like(vector), np.zeros_like(vector))
+
+    def state(self) -> np.ndarray:
+        return np.concatenate([self.p, self.m, self.v])
 
     def update(self, g) -> None:
         a, b = self.betas
@@ -181,7 +184,7 @@ class _Adam:
             np.sqrt(self.v / (1 - b ** self.step)) + self.eps)
 
 
-def _epoch(batches, nets, cols, split_col, shift, lr, batch_rows):
+def _epoch(batches, nets, moments, cols, split_col, shift, lr, batch_rows):
     """One partition's share of an epoch: metric sums with the nets as they
     came, then an update per slice of train rows on the partition's copy."""
     sums: dict = {}
@@ -199,22 +202,24 @@ def _epoch(batches, nets, cols, split_col, shift, lr, batch_rows):
             for s, m in (("train", train), ("test", ~train)):
                 if m.any():
                     sums[(region, s)] = sums.get((region, s), 0.0) + _metric_sums(y[m], p[m], shift[k])
-            adam = copies.setdefault(region, _Adam(flatten(nets[region]), lr))
+            if region not in copies:
+                copies[region] = _Adam(flatten(nets[region]), lr, *moments.get(region, ()))
+            adam = copies[region]
             xt, yt = x[train], y[train]
             for at in range(0, len(xt), batch_rows):
                 some, want = xt[at:at + batch_rows], yt[at:at + batch_rows]
                 layers = unflatten(adam.p, len(cols) - 1, hidden[region])
                 adam.update(flatten(backward(layers, *forward(layers, some), want)) / len(some))
-    out = [(r, s, *v, (copies[r].p * rows).tolist() if s == "train" and rows else None, float(rows))
-           for (r, s), v in sums.items()]
-    yield pd.DataFrame(out, columns=["region", "split", *METRICS, "g", "w"])
+    out = [(r, s, *v, (copies[r].state() * rows).tolist() if s == "train" and rows else None, float(rows),
+            float(copies[r].step)) for (r, s), v in sums.items()]
+    yield pd.DataFrame(out, columns=["region", "split", *METRICS, "g", "w", "k"])
 
 
 def _add(pdf: pd.DataFrame) -> pd.DataFrame:
     vectors = [np.asarray(g) for g in pdf["g"] if g is not None]
     out = {"region": pdf["region"].iloc[0], "split": pdf["split"].iloc[0], **{m: float(pdf[m].sum()) for m in METRICS},
            "g": np.sum(vectors, axis=0).tolist() if vectors else None,
-           "w": float(pdf["w"][pdf["g"].notna()].sum())}
+           "w": float(pdf["w"][pdf["g"].notna()].sum()), "k": float(pdf["k"].max())}
     return pd.DataFrame([out])
 
 
@@ -232,16 +237,17 @@ def train(df: DataFrame, cols: Sequence[str], nets: dict, max_epochs: int, lr: f
     hidden = {r: tuple(len(b) for _, b in layers[:-1]) for r, layers in nets.items()}
     sc = df.sparkSession.sparkContext
     shift = _shift(df, cols)
-    schema = METRIC_SCHEMA + ", g array<double>, w double"
+    schema = METRIC_SCHEMA + ", g array<double>, w double, k double"
+    moments: dict = {}
     data = df.select(*cols, split_col)
     # groups of the first level
     spread = max(1, int(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5))
     history, best, stale, least = [], dict(nets), 0, {}
     for epoch in range(max_epochs):
-        sent = sc.broadcast(nets)
+        sent = sc.broadcast((nets, moments))
 
         def run(it, sent=sent):
-            return _epoch(it, sent.value, cols, split_col, shift, lr, batch_rows)
+            return _epoch(it, *sent.value, cols, split_col, shift, lr, batch_rows)
         parts = data.mapInPandas(run, schema)
         level = parts.groupBy("region", "split", F.pmod(F.spark_partition_id(), F.lit(spread))).applyInPandas(_add, schema)
         rows = {(r["region"], r["split"]): r for r in level.groupBy("region", "split").applyInPandas(_add, schema).collect()}
@@ -266,6 +272,12 @@ def train(df: DataFrame, cols: Sequence[str], nets: dict, max_epochs: int, lr: f
         stale = 0 if fell else stale + 1
         if stale >= patience:
             break
-        nets = {r: unflatten(np.asarray(rows[(r, "train")]["g"]) / rows[(r, "train")]["w"], len(cols) - 1, hidden[r])
-                if (r, "train") in rows else layers for r, layers in nets.items()}
+        after = {}
+        for r, layers in nets.items():
+            row = rows.get((r, "train"))
+            if row is not None and row["w"]:
+                p, m, v = np.split(np.asarray(row["g"]) / row["w"], 3)
+                layers, moments[r] = unflatten(p, len(cols) - 1, hidden[r]), ((m, v), int(row["k"]))
+            after[r] = layers
+        nets = after
     return best, history

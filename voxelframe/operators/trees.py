@@ -37,7 +37,7 @@ def fit_region(df: DataFrame, cols: Sequence[str], target: str, max_iter: int =
     if id_cols:
         test = draw(params["seed"], *[F.col(c) for c in id_cols]) < int(HELD_OUT * (1 << DRAW_BITS))
         df = df.withColumn("_held", test)
-        gbt = gbt.setValidationIndicatorCol("_held").setValidationTol(min_gain)
+        gbt = gbt.setParams(validationIndicatorCol="_held", validationTol=min_gain)
     model = gbt.fit(va.transform(df))
     return model, feats, va
 
