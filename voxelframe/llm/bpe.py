@@ -1,10 +1,10 @@
 """Byte-level BPE by corpus-level merge replay.
 
-The distinct pre-tokens of the whole corpus are laid end to end as bytes.  An
-inverted index leads from the rank of an adjacent token pair to its positions;
-ranks are taken in ascending order and each is applied at all its positions,
-updating only the two neighbouring pairs of a merge.  Every document is then
-put together from its words' ids (see ``words``).
+The distinct pre-tokens of a block of the corpus are laid end to end as bytes.
+An inverted index leads from each merge's rank (the token a pair of adjacent
+tokens makes) to the pair's positions; ranks are taken in ascending order and
+each is applied at all its positions, updating only the two neighbouring pairs
+of a merge.  A document's ids are put together from its words' ids.
 """
 
 from __future__ import annotations
@@ -15,13 +15,12 @@ from functools import partial
 from heapq import heappop, heappush
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from voxelframe.llm.common import staged
-from voxelframe.llm.words import BLOCK_CHARS, answer_blocks, distinct_words, word_blocks
+from voxelframe.llm.words import BLOCK_CHARS, in_slices, map_blocks
 
-# words whose positions are indexed together
-REPLAY_WORDS = 50_000
+# words whose positions are indexed together: bounds the index in memory
+REPLAY_WORDS = 100_000
+DOC_BATCH = 512
 MAX_RANKS_BYTES = 64 << 20
 
 
@@ -39,134 +38,173 @@ def load_ranks(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(data)
 
 
-def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
-    """Token ids of each word, as merging the lowest-ranked pair (of equal
-    ones the leftmost) again and again gives them."""
-    token: list[bytes] = []
-    word: list[int] = []
-    for w, text in enumerate(words):
-        token += [text[i:i + 1] for i in range(len(text))]
-        word += [w] * len(text)
-    n = len(token)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    live = bytearray(b"\x01") * n
-    index: dict[int, list[int]] = {}
-    queue: list[int] = []
-    get = ranks.get
-
-    def rank_at(i):
-        j = after[i]
-        return get(token[i] + token[j]) if j < n and word[j] == word[i] else None
-
-    def note(i, r):
-        at = index.get(r)
-        if at is None:
-            index[r] = [i]
-            heappush(queue, r)
-        else:
-            at.append(i)
-
-    for i in range(n):
-        r = rank_at(i)
-        if r is not None:
-            note(i, r)
-
-    def merge(i):
-        """Join position i with the next one; the changed pairs' (rank, position)."""
-        j = after[i]
-        token[i] += token[j]
-        live[j] = 0
-        k = after[i] = after[j]
-        if k < n:
-            before[k] = i
-        h = before[i]
-        if h >= 0 and word[h] == word[i] and (r := get(token[h] + token[i])) is not None:
-            yield r, h
-        if (r := rank_at(i)) is not None:
-            yield r, i
-
-    while queue:
-        rank = heappop(queue)
-        for i in sorted(index.pop(rank)):
-            lower = [(rank, i)]
-            # a merge may form a pair of lower rank: its word takes that one first
-            while lower:
-                r, p = heappop(lower)
-                if not live[p] or rank_at(p) != r:
-                    continue
-                for new in merge(p):
-                    if new[0] <= rank:
-                        heappush(lower, new)
+class Vocabulary:
+    """Ranks as merges: ``merges[left id][right id]`` is the pair's token."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        import numpy as np
+        self.ranks = ranks
+        self.token = {i: t for t, i in ranks.items()}
+        self.size = max(ranks.values()) + 1
+        self.byte = np.array([ranks.get(bytes([c]), -1) for c in range(256)], np.int64)
+        none: dict[int, int] = {}
+        self.merges = [none] * self.size
+        for t, i in ranks.items():
+            for cut in range(1, len(t)):
+                left, right = ranks.get(t[:cut]), ranks.get(t[cut:])
+                if left is not None and right is not None:
+                    if self.merges[left] is none:
+                        self.merges[left] = {}
+                    self.merges[left][right] = i
+        # ranks of the pairs of single bytes
+        self.pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int64)
+
+
+def replay(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
+    """Token ids of each word, as the tokenizer library gives them: a word in
+    the vocabulary is one token; in others the lowest-ranked pair (of equal
+    ones the leftmost) is merged again and again."""
+    import numpy as np
+    merges, ranks = vocabulary.merges, vocabulary.ranks
+    sizes = np.array([0 if w in ranks else len(w) for w in words], np.int64)
+    data = np.frombuffer(b"".join([w for w, n in zip(words, sizes.tolist()) if n]), np.uint8)
+    n = len(data)
+    ends = np.cumsum(sizes)
+    last = np.zeros(n, bool)
+    last[ends[sizes > 0] - 1] = True
+    # neighbours; -1 at a word's ends
+    after = np.where(last, -1, np.arange(1, n + 1)).tolist()
+    before = np.where(np.roll(last, 1), -1, np.arange(-1, n - 1)).tolist() if n else []
+    token = vocabulary.byte[data].tolist()
+    first_rank = np.full(n, -1, np.int64)
+    if n:
+        first_rank[:-1] = np.where(last[:-1], -1, vocabulary.pairs[data[:-1], data[1:]])
+    places = np.argsort(first_rank, kind="stable")
+    places = places[first_rank[places] >= 0]
+    index: list[list[int]] = [[] for _ in range(vocabulary.size)]
+    found, starts = np.unique(first_rank[places], return_index=True)
+    for r, some in zip(found.tolist(), np.split(places, starts[1:])):
+        index[r] = some.tolist()
+
+    # a position merged into its left neighbour gets token -1
+    for rank in range(vocabulary.size):
+        some = index[rank]
+        if not some:
+            continue
+        some.sort()
+        with_new = merges[rank]
+        for i in some:
+            left = token[i]
+            if left < 0:
+                continue
+            j = after[i]
+            if j < 0 or merges[left].get(token[j]) != rank:
+                continue
+            token[i], token[j] = rank, -1
+            k = after[i] = after[j]
+            low = None
+            if k >= 0:
+                before[k] = i
+                new = with_new.get(token[k])
+                if new is not None:
+                    if new > rank:
+                        index[new].append(i)
+                    else:
+                        low = [(new, i)]
+            h = before[i]
+            if h >= 0:
+                new = merges[token[h]].get(rank)
+                if new is not None:
+                    if new > rank:
+                        index[new].append(h)
                     else:
-                        note(new[1], new[0])
-    ids: list[list[int]] = [[] for _ in words]
-    for i in range(n):
-        if live[i]:
-            ids[word[i]].append(ranks[token[i]])
+                        low = [*(low or ()), (new, h)]
+            if low:
+                _lower_first(low, rank, token, after, before, merges, index)
+        index[rank] = ()
+    ids, at = [], 0
+    for w, size in zip(words, sizes.tolist()):
+        if not size:
+            ids.append([ranks[w]] if w else [])
+            continue
+        i, out = at, []
+        while i >= 0:
+            out.append(token[i])
+            i = after[i]
+        ids.append(out)
+        at += size
     return ids
 
 
-def _replay_words(batches, data):
+def _lower_first(queue, rank, token, after, before, merges, index) -> None:
+    """A merge of ``rank`` made pairs of no higher rank: their word takes
+    them, lowest first, before the sweep goes on."""
+    queue.sort()
+    while queue:
+        r, i = heappop(queue)
+        j = after[i] if token[i] >= 0 else -1
+        if j < 0 or merges[token[i]].get(token[j]) != r:
+            continue
+        token[i], token[j] = r, -1
+        k = after[i] = after[j]
+        if k >= 0:
+            before[k] = i
+        for p, q in ((i, k), (before[i], i)):
+            new = merges[token[p]].get(token[q]) if p >= 0 and q >= 0 else None
+            if new is not None:
+                if new > rank:
+                    index[new].append(p)
+                else:
+                    heappush(queue, (new, p))
+
+
+def _encode(block, words, parts, data, full: bool):
+    """Results of a block's documents: digests, or ids and decoded bytes."""
     import numpy as np
     import pyarrow as pa
-    ranks = read_ranks(data.value)
-
-    def out(words):
-        ids = replay([w.encode() for w in words], ranks)
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([np.array(x, "<u4").tobytes() for x in ids])],
-                                          names=["word", "value"])
-    held: list[str] = []
-    for b in batches:
-        held += b.column(0).to_pylist()
-        if len(held) >= REPLAY_WORDS:
-            yield out(held)
-            held = []
-    if held:
-        yield out(held)
-
-
-def _encode(doc_ids, numbered, values, parts, ends, data, full):
-    """Rows of a block: counts and digests, or the ids and decoded bytes."""
-    import numpy as np
-    import pandas as pd
-    text_of = {i: b for b, i in read_ranks_cached(data).items()}
-    ids_of = [np.frombuffer(v, "<u4").tolist() for v in values]
-    listed, decoded, counts, flat = [], [], [], []
-    start = 0
-    for end in ends.tolist():
-        ids = [i for p in parts[start:end].tolist() for i in ids_of[p]]
-        start = end
-        flat.append(ids)
-        counts.append(len(ids))
-        listed.append(",".join(map(str, ids)))
-        decoded.append(b"".join([text_of[i] for i in ids]))
-    counts = np.array(counts, np.int64)
-    out = []
-    for numbers in numbered:
-        at = numbers.tolist()
-        whole = b"".join([decoded[c] for c in at])
-        row = [int(counts[numbers].sum())]
-        if full:
-            row += [[i for c in at for i in flat[c]], whole]
-        else:
-            row += [hashlib.sha256(",".join([listed[c] for c in at]).encode()).hexdigest(),
-                    hashlib.sha256(whole).hexdigest()]
-        out.append(row)
-    names = ["n_tokens", "ids", "decoded"] if full else ["n_tokens", "ids_sha256", "decoded_sha256"]
-    frame = pd.DataFrame(out, columns=names)
-    frame.insert(0, "doc_id", pd.array(doc_ids.astype("Int64"), "Int64"))
-    return frame
-
-
-_RANKS: dict = {}
-
-
-def read_ranks_cached(data) -> dict[bytes, int]:
-    key = hash(data.value)
-    if key not in _RANKS:
-        _RANKS.clear()
-        _RANKS[key] = read_ranks(data.value)
-    return _RANKS[key]
+    vocabulary = vocabulary_of(data)
+    ids_of: list[list[int]] = []
+    for _, some in in_slices(words, REPLAY_WORDS):
+        ids_of += replay([w.encode() for w in some], vocabulary)
+    token = vocabulary.token
+    listed_of = [",".join(map(str, ids)) for ids in ids_of]
+    decoded_of = [b"".join([token[i] for i in ids]) for ids in ids_of]
+    size_of = [len(ids) for ids in ids_of]
+    counts = np.array([sum([size_of[p] for p in c]) for c in parts], np.int64)
+    listed = [",".join([listed_of[p] for p in c]) for c in parts]
+    decoded = [b"".join([decoded_of[p] for p in c]) for c in parts]
+    for at in range(0, len(block.ids), DOC_BATCH):
+        first, second, total = [], [], []
+        for numbers in block.numbered[at:at + DOC_BATCH]:
+            chosen = numbers.tolist()
+            total.append(int(counts[numbers].sum()))
+            whole = b"".join([decoded[c] for c in chosen])
+            if full:
+                first.append([i for c in chosen for p in parts[c] for i in ids_of[p]])
+                second.append(whole)
+            else:
+                first.append(hashlib.sha256(",".join([listed[c] for c in chosen]).encode()).hexdigest())
+                second.append(hashlib.sha256(whole).hexdigest())
+        kinds = [pa.list_(pa.int32()), pa.binary()] if full else [pa.string(), pa.string()]
+        names = ["ids", "decoded"] if full else ["ids_sha256", "decoded_sha256"]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(block.ids[at:at + DOC_BATCH], pa.int64()), pa.array(total, pa.int64()),
+             pa.array(first, kinds[0]), pa.array(second, kinds[1])], names=["doc_id", "n_tokens", *names])
+
+
+_LOADED: dict = {}
+
+
+def _loaded(data, make):
+    """What ``make`` builds from the ranks, once per worker and rank file."""
+    key = (hash(data.value), make)
+    if key not in _LOADED:
+        _LOADED[key] = make(read_ranks(data.value))
+    return _LOADED[key]
+
+
+def vocabulary_of(data) -> Vocabulary:
+    return _loaded(data, Vocabulary)
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, full: bool = False,
@@ -179,8 +217,6 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, full: bool = F
     the digests of no bytes; bytes that are no UTF-8 count as U+FFFD.  Null
     and repeated ids stay as they are.  Other columns are not read."""
     data = load_ranks(docs.sparkSession, ranks_path)
-    blocks = word_blocks(docs, pattern, block_chars, id_col, text_col)
-    values = staged(distinct_words(blocks).mapInArrow(partial(_replay_words, data=data), "word string, value binary"),
-                    "word-ids")
     kinds = "ids array<int>, decoded binary" if full else "ids_sha256 string, decoded_sha256 string"
-    return answer_blocks(blocks, values, partial(_encode, data=data, full=full), f"doc_id bigint, n_tokens bigint, {kinds}")
+    return map_blocks(docs, pattern, partial(_encode, data=data, full=full), f"doc_id bigint, n_tokens bigint, {kinds}",
+                      block_chars, id_col, text_col)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from voxelframe.llm.bpe import load_ranks, read_ranks_cached
+from voxelframe.llm.bpe import load_ranks, read_ranks
 from voxelframe.llm.common import group_slices, shuffle_parts, staged
 
 BUDGET = 1024
@@ -70,11 +70,11 @@ _ENCODERS: dict = {}
 
 def _encoder(data, pattern):
     import tiktoken
-    ranks = read_ranks_cached(data)
-    if id(ranks) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[id(ranks)] = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODERS[id(ranks)].encode_ordinary
+    key = (hash(data.value), pattern)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=read_ranks(data.value),
+                                           special_tokens={})
+    return _ENCODERS[key].encode_ordinary
 
 
 def _measure(batches, data, pattern: str):

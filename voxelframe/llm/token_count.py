@@ -2,8 +2,8 @@
 
 A pre-token's segmentation is the cheapest sequence of vocabulary pieces,
 where a piece of rank r costs the rounded logarithm of its Zipf rank; of equal
-costs the one with fewer pieces counts.  The distinct pre-tokens of the corpus
-are inserted in a trie.  The best cost of a prefix depends on that prefix
+costs the one with fewer pieces counts.  The distinct pre-tokens of a block of
+the corpus are inserted in a trie.  The best cost of a prefix depends on that prefix
 alone, so it is computed once per trie node and shared by every word below;
 a terminal node stores its word's piece count.
 """
@@ -15,13 +15,13 @@ from math import log
 
 from pyspark.sql import DataFrame
 
-from voxelframe.llm.bpe import load_ranks, read_ranks_cached
-from voxelframe.llm.common import staged
-from voxelframe.llm.words import BLOCK_CHARS, answer_blocks, distinct_words, word_blocks
+from voxelframe.llm.bpe import _loaded, load_ranks
+from voxelframe.llm.words import BLOCK_CHARS, in_slices, map_blocks
 
 # costs are integers, so sums are exact and alike everywhere
 COST_UNIT = 1_000_000
-TRIE_WORDS = 50_000
+# words in a trie: bounds it in memory
+TRIE_WORDS = 100_000
 
 
 def unigram_costs(ranks: dict[bytes, int]) -> dict[bytes, int]:
@@ -30,72 +30,62 @@ def unigram_costs(ranks: dict[bytes, int]) -> dict[bytes, int]:
     return {p: round(COST_UNIT * (log(r + 1) + total)) for p, r in ranks.items()}
 
 
-def trie_counts(words: list[bytes], costs: dict[bytes, int], longest: int) -> list[int]:
+# a state is one integer: cost in the high bits, pieces in the low ones
+PIECE_BITS = 24
+
+
+class Costs:
+    """States added by each vocabulary piece, and the longest piece."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.state = {p: (c << PIECE_BITS) + 1 for p, c in unigram_costs(ranks).items()}
+        self.longest = max(map(len, ranks))
+
+
+def trie_counts(words: list[bytes], costs: Costs) -> list[int]:
     """Pieces in the best segmentation of each word."""
-    # node: child bytes -> node, depth, best cost, pieces; the path of the walk holds the prefix
+    get, longest = costs.state.get, costs.longest
+    # node: next byte -> node, and the best state of the node's prefix
     child: list[dict[int, int]] = [{}]
-    cost, pieces = [0], [0]
+    best: list[int] = [0]
     counts = []
     for text in words:
-        path = [0]
-        node = 0
-        for j in range(len(text)):
-            nxt = child[node].get(text[j])
+        node, path = 0, [0]
+        for j, c in enumerate(text, 1):
+            nxt = child[node].get(c)
             if nxt is None:                       # a new prefix: one forward step
-                best = None
-                for i in range(max(0, j + 1 - longest), j + 1):
-                    c = costs.get(text[i:j + 1])
-                    if c is not None:
-                        key = (cost[path[i]] + c, pieces[path[i]] + 1)
-                        if best is None or key < best:
-                            best = key
-                nxt = len(child)
-                child[node][text[j]] = nxt
+                least = None
+                for i in range(max(0, j - longest), j):
+                    add = get(text[i:j])
+                    if add is not None:
+                        state = path[i] + add
+                        if least is None or state < least:
+                            least = state
+                nxt = child[node][c] = len(child)
                 child.append({})
-                cost.append(best[0])
-                pieces.append(best[1])
+                best.append(least)
             node = nxt
-            path.append(node)
-        counts.append(pieces[node])
+            path.append(best[node])
+        counts.append(best[node] & (1 << PIECE_BITS) - 1)
     return counts
 
 
-_COSTS: dict = {}
-
-
-def _count_words(batches, data):
+def _totals(block, words, parts, data):
     import numpy as np
     import pyarrow as pa
-    ranks = read_ranks_cached(data)
-    if id(ranks) not in _COSTS:
-        _COSTS.clear()
-        _COSTS[id(ranks)] = (unigram_costs(ranks), max(map(len, ranks)))
-    costs, longest = _COSTS[id(ranks)]
-
-    def out(words):
-        counts = np.array(trie_counts([w.encode() for w in words], costs, longest), "<u4")
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([c.tobytes() for c in counts])],
-                                          names=["word", "value"])
-    held: list[str] = []
-    for b in batches:
-        held += b.column(0).to_pylist()
-        if len(held) >= TRIE_WORDS:
-            yield out(held)
-            held = []
-    if held:
-        yield out(held)
-
-
-def _totals(doc_ids, numbered, values, parts, ends):
-    import numpy as np
-    import pandas as pd
-    by_word = np.frombuffer(b"".join(values), "<u4").astype(np.int64)
-    sums = np.concatenate([[0], np.cumsum(by_word[parts])])
-    upto = sums[ends.astype(np.int64)]
-    by_chunk = np.diff(upto, prepend=0)
-    frame = pd.DataFrame({"n_tokens": np.array([int(by_chunk[n].sum()) for n in numbered], np.int64)})
-    frame.insert(0, "doc_id", pd.array(doc_ids.astype("Int64"), "Int64"))
-    return frame
+    costs = _loaded(data, Costs)
+    by_word: list[int] = []
+    # words in order share their prefixes' nodes in one slice
+    order = sorted(range(len(words)), key=words.__getitem__)
+    for _, some in in_slices(order, TRIE_WORDS):
+        by_word += trie_counts([words[i].encode() for i in some], costs)
+    count_of = np.empty(len(words), np.int64)
+    count_of[order] = by_word
+    count_list = count_of.tolist()
+    by_chunk = np.array([sum([count_list[p] for p in c]) for c in parts], np.int64)
+    totals = [int(by_chunk[numbers].sum()) for numbers in block.numbered]
+    yield pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), pa.array(totals, pa.int64())],
+                                     names=["doc_id", "n_tokens"])
 
 
 def token_counts(docs: DataFrame, ranks_path: str, pattern: str, block_chars: int = BLOCK_CHARS,
@@ -105,7 +95,5 @@ def token_counts(docs: DataFrame, ranks_path: str, pattern: str, block_chars: in
     stay as they are.  The vocabulary must hold every single byte.  Other
     columns are not read."""
     data = load_ranks(docs.sparkSession, ranks_path)
-    blocks = word_blocks(docs, pattern, block_chars, id_col, text_col)
-    values = staged(distinct_words(blocks).mapInArrow(partial(_count_words, data=data), "word string, value binary"),
-                    "word-counts")
-    return answer_blocks(blocks, values, _totals, "doc_id bigint, n_tokens bigint")
+    return map_blocks(docs, pattern, partial(_totals, data=data), "doc_id bigint, n_tokens bigint", block_chars, id_col,
+                      text_col)

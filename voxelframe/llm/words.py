@@ -1,14 +1,17 @@
-"""Documents as blocks of word numbers with one dictionary per block.
-
-One pass over the texts cuts every text into chunks at white space (a chunk is
-an optional space and a run of other characters, or white space), numbers the
-distinct chunks of a block of documents, and cuts each distinct chunk once
-into the pre-tokens of the tokenizer's pattern.  Chunk borders are always
-pre-token borders, so this equals cutting the whole text.  The pre-tokens of
-all blocks meet in one corpus dictionary, where each distinct one is worked on
-once, and every block gets the results of its own words back.  A block is
-bounded by ``BLOCK_CHARS`` characters (or one text), so the tables a task holds
-are too, whatever the corpus.
+"""Whole texts as numbers into a dictionary of distinct pre-tokens.
+
+A task cuts its documents into blocks of about ``BLOCK_CHARS`` characters.
+Every text is cut into chunks at white space (a chunk is an optional space and
+a run of other characters, or white space), the distinct chunks of the block
+are numbered, and each of them is cut once into the pre-tokens of the
+tokenizer's pattern.  Chunk borders are always pre-token borders, so this
+equals cutting the whole text.  An operator works once on each distinct
+pre-token of a block and puts the documents together from the results.
+
+Blocks need no shuffle: a pre-token that several blocks share is worked on in
+each, which costs less than sending every block's dictionary through a
+corpus-wide one and back (figures in the README).  A block is bounded by its
+characters (or one text), so its tables are too, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -20,9 +23,8 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelframe.llm.common import staged
-
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 32_000_000
+BLOCK_DOCS = 100_000
 # Python's \s also holds these four, which are no white space to the pattern
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
@@ -63,111 +65,62 @@ def chunks(text: str, split: Callable[[str], list[str]]) -> list[str]:
     return split(text) if _SEPARATORS.search(text) else _CHUNK.findall(text)
 
 
-def _narrow(n: int) -> str:
-    return "<u2" if n <= 1 << 16 else "<u4"
+class Numbering(dict):
+    """Numbers its keys from 0 in the order they are first asked for."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
+
 
+class Block:
+    """Documents and the numbered chunks of their texts."""
 
-class _Block:
-    def __init__(self, number: int):
-        self.number, self.size = number, 0
-        self.ids: list = []
-        self.numbered: list[list[int]] = []
-        self.of: dict[str, int] = {}
+    def __init__(self):
+        self.chars, self.ids, self.numbered = 0, [], []
+        self.chunks = Numbering()
 
-    def rows(self, split, pack):
-        """The block's rows: its dictionary, then its documents."""
+    def add(self, doc_id, text: str, split) -> None:
         import numpy as np
-        words: dict[str, int] = {}
-        parts, ends = [], []
-        for chunk in self.of:
-            parts += [words.setdefault(w, len(words)) for w in split(chunk)]
-            ends.append(len(parts))
-        yield (self.number, None, list(words), pack(np.array(parts, "<u4").tobytes()), pack(np.array(ends, "<u4").tobytes()))
-        kind = _narrow(len(self.of))
-        for doc_id, numbers in zip(self.ids, self.numbered):
-            yield (self.number, doc_id, None, pack(np.array(numbers, kind).tobytes()), None)
-
-
-SCHEMA = "block bigint, doc_id bigint, words array<string>, numbers binary, ends binary"
-
-
-def _blocks(batches, pattern: str, block_chars: int):
-    import pyarrow as pa
-    import zstandard
-    from pyspark import TaskContext
-    split, pack = splitter(pattern), zstandard.ZstdCompressor(level=1).compress
-    types = [("block", pa.int64()), ("doc_id", pa.int64()), ("words", pa.list_(pa.string())), ("numbers", pa.binary()),
-             ("ends", pa.binary())]
-    number = TaskContext.get().partitionId() << 32
-
-    def out(block):
-        cols = list(zip(*block.rows(split, pack)))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, types)], names=[n for n, _ in types])
-
-    block = _Block(number)
+        pieces = chunks(text, split)
+        numbers = np.fromiter(map(self.chunks.__getitem__, pieces), np.uint32, len(pieces))
+        self.ids.append(doc_id)
+        self.numbered.append(numbers)
+        self.chars += len(text)
+
+    def words(self, split):
+        """The block's distinct pre-tokens, and per chunk their numbers."""
+        found = Numbering()
+        number = found.__getitem__
+        # letters, with or without the space, are one pre-token
+        parts = [[number(c)] if c.isalpha() or c[0] == " " and c[1:].isalpha() else [number(w) for w in split(c)]
+                 for c in self.chunks]
+        return list(found), parts
+
+
+def _solve(batches, pattern: str, block_chars: int, solve):
+    import gc
+    gc.disable()            # millions of small lists, no cycles
+    split = splitter(pattern)
+    block = Block()
     for b in batches:
         for doc_id, value in zip(b.column(0).to_pylist(), b.column(1)):
-            text = text_of(value.as_py())
-            of, pieces = block.of, chunks(text, split)
-            try:
-                numbers = [of[c] for c in pieces]
-            except KeyError:
-                numbers = [of.setdefault(c, len(of)) for c in pieces]
-            block.ids.append(doc_id)
-            block.numbered.append(numbers)
-            block.size += len(text)
-            if block.size >= block_chars:
-                yield out(block)
-                number += 1
-                block = _Block(number)
+            block.add(doc_id, text_of(value.as_py()), split)
+            if block.chars >= block_chars or len(block.ids) >= BLOCK_DOCS:
+                yield from solve(block, *block.words(split))
+                block = Block()
     if block.ids:
-        yield out(block)
+        yield from solve(block, *block.words(split))
 
 
-def word_blocks(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """The blocks of ``docs``, written to the shared folder: a dictionary row
-    per block (words; numbers and ends of its chunks' words) and a row per
-    document (doc_id, its chunk numbers)."""
+def map_blocks(docs: DataFrame, pattern: str, solve, schema: str, block_chars: int = BLOCK_CHARS,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``solve(block, words, parts)`` -> Arrow batches of ``schema``, for every
+    block of the documents; ``parts[c]`` are the word numbers of chunk c."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return staged(rows.mapInArrow(partial(_blocks, pattern=pattern, block_chars=block_chars), SCHEMA), "word-blocks")
-
-
-def distinct_words(blocks: DataFrame) -> DataFrame:
-    """(word): the corpus dictionary."""
-    return blocks.filter("words is not null").select(F.explode("words").alias("word")).distinct()
-
-
-def _answer(key, docs, entries, answer):
-    """One block: ``answer(values by chunk, documents)`` -> result rows."""
-    import numpy as np
-    import zstandard
-    unpack = zstandard.ZstdDecompressor().decompress
-    book = entries[entries["numbers"].notna()]
-    words = entries[entries["numbers"].isna()].sort_values("pos")
-    parts = np.frombuffer(unpack(book["numbers"].iloc[0]), "<u4")
-    ends = np.frombuffer(unpack(book["ends"].iloc[0]), "<u4")
-    kind = _narrow(len(ends))
-    numbered = [np.frombuffer(unpack(v), kind) for v in docs["numbers"]]
-    return answer(docs["doc_id"], numbered, words["value"].tolist(), parts, ends)
-
-
-def answer_blocks(blocks: DataFrame, values: DataFrame, answer, schema: str) -> DataFrame:
-    """Join the corpus dictionary's results back to the blocks.
-
-    ``values`` has (word, value binary) for every word.  ``answer`` gets a
-    block: doc ids, each document's chunk numbers, the values by word number,
-    and the word numbers of all chunks with their ends; it returns a pandas
-    frame of ``schema``."""
-    books = blocks.filter("words is not null")
-    asked = books.select("block", F.posexplode("words").alias("pos", "word"))
-    known = asked.join(values, "word").select("block", "pos", "value", F.lit(None).cast("binary").alias("numbers"),
-                                              F.lit(None).cast("binary").alias("ends"))
-    entries = known.unionByName(books.select("block", F.lit(-1).alias("pos"), F.lit(None).cast("binary").alias("value"),
-                                             "numbers", "ends"))
-    docs = blocks.filter("words is null").select(F.col("block").alias("of"), "doc_id", "numbers")
-    call = partial(_answer, answer=answer)
-
-    def run(key, left, right):
-        return call(key, left, right)
-    return docs.groupBy("of").cogroup(entries.groupBy("block")).applyInPandas(run, schema)
+    return rows.mapInArrow(partial(_solve, pattern=pattern, block_chars=block_chars, solve=solve), schema)
+
+
+def in_slices(words: list, size: int):
+    """Consecutive slices of a list, each with its start."""
+    return ((at, words[at:at + size]) for at in range(0, len(words), size))
