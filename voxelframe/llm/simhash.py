@@ -200,13 +200,13 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
 
 
 def _fp_udf(shingle: int):
-    import pandas as pd
+    from pyspark.sql.functions import PandasUDFType, pandas_udf
 
-    @F.pandas_udf("bigint")
-    def fp(texts: pd.Series) -> pd.Series:
+    def fp(texts):
         import numpy as np
+        import pandas as pd
         return pd.Series(np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64))
-    return fp
+    return pandas_udf(fp, "bigint", PandasUDFType.SCALAR)
 
 
 def _null_representatives(ids: DataFrame, max_bits: int) -> DataFrame:
