@@ -93,7 +93,7 @@ def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- quantiles
-def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 1024, max_candidates: int = 20_000,
+def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 4096, max_candidates: int = 20_000,
                     max_iter: int = 64, bounds: dict | None = None) -> dict:
     """Exact values at 0-based ranks of numeric columns, nulls/NaN skipped.
 
@@ -185,7 +185,7 @@ def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 1024, max_candidate
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    bins: int = 1024, max_candidates: int = 20_000, max_iter: int = 64,
+                    bins: int = 4096, max_candidates: int = 20_000, max_iter: int = 64,
                     bounds: dict | None = None) -> dict:
     """Exact linear-interpolation quantiles of each column (NumPy's default):
     the values at ranks floor(p (n-1)) and the next one, interpolated.
@@ -228,9 +228,18 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column, one row per
     column (the shape of a transposed pandas ``describe``).  One aggregate
-    pass for the moments and bounds, then the exact quartiles."""
+    pass for the moments and bounds, then the exact quartiles; the columns
+    are kept (memory, then disk) for these passes."""
+    from pyspark import StorageLevel
+    kept = nan_to_null(df.select(*cols), cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _describe(kept, cols, digits)
+    finally:
+        kept.unpersist()
+
+
+def _describe(df: DataFrame, cols: Sequence[str], digits: int) -> DataFrame:
     spark = df.sparkSession
-    df = nan_to_null(df, cols)
     base = df.agg(*[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"),
                              F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
                              F.max(c).cast("double").alias("max")).alias(f"s{i}")

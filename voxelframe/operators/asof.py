@@ -77,7 +77,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
         R, allowMissingColumns=True)
     w = (Window.partitionBy(*by, "_b").orderBy(F.col(on), F.col("_side"))
                .rowsBetween(Window.unboundedPreceding, 0))
-    inb = (u.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
+    inb = (u.repartition(*by, "_b").withColumn("_m", F.last("_r", ignorenulls=True).over(w))
              .filter(F.col("_side") == 1).drop("_r", "_side"))
 
     # (2) last right row per (key, bucket), carried into later buckets

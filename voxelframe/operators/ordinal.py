@@ -45,7 +45,9 @@ def add_ordinal(df: DataFrame, keys: Sequence[str], order_by: Sequence, name: st
     # folder (its size check and the join read that copy, so the source is
     # not aggregated twice) and broadcast only when proven small; the hint
     # also keeps the planner from broadcasting the data side
-    return (d.join(broadcast_if_small(offsets), [*keys, "_split"])
+    # dealt out by (key, split): a partitioning by the key alone would put a
+    # hot key back into one task
+    return (d.repartition(*keys, "_split").join(broadcast_if_small(offsets), [*keys, "_split"])
              .withColumn(name, (F.row_number().over(w) - 1 + F.col("_off")).cast("bigint"))
              .drop("_split", "_off"))
 
@@ -77,7 +79,7 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order_by: str, value: Column,
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(*keys, "_range", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(*keys, "_range").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
-    return (d.withColumn("_in", F.coalesce(F.sum("_v").over(inside), F.lit(0))).join(ranges, [*keys, "_range"])
+    return (d.repartition(*keys, "_range").withColumn("_in", F.coalesce(F.sum("_v").over(inside), F.lit(0))).join(ranges, [*keys, "_range"])
              .withColumn(name, F.col("_in") + F.col("_off")).drop("_v", "_range", "_in", "_off"))
 
 

@@ -43,6 +43,7 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str]
         d = df.withColumn("_blk", F.explode(
             F.when(in_halo, F.array(b, b + 1)).otherwise(F.array(b))))
         part = keys + ["_blk"]
+        d = d.repartition(*part)        # not by the key alone, which may be hot
     w = Window.partitionBy(*part).orderBy(t).rowsBetween(-lag, 0)
     out = d.select(
         *[c for c in d.columns if c not in cols and c != "_blk"],

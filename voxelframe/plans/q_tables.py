@@ -76,7 +76,7 @@ done AS ({_DONE_SQL})
 SELECT person, session, direction FROM w
 WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.person = w.person AND done.session = w.session AND done.direction = w.direction)""")
 def worklist_cross_anti(spark, sf_dir):
-    people = distinct_sorted_int(table(spark, sf_dir, "customer"), "c_custkey", "person")
+    people = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("person")).distinct()
     work = expand_worklist(people, [1, 2], ["LR", "RL"])
     o = table(spark, sf_dir, "orders")
     done = o.select(

@@ -15,10 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # a window / aggregate keyed by (scan, block) must not reuse a
-    # partitioning on scan alone: that would put a hot scan back into one
-    # task and undo every split key
-    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # the reference trains on 8096-row slices; keep Arrow batches that size
     "spark.sql.execution.arrow.maxRecordsPerBatch": "8096",

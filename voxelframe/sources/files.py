@@ -53,7 +53,7 @@ def read_region_csvs(spark: SparkSession, path, schema: str | None = None,
     ahead = Window.partitionBy("_file_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     before = (df.groupBy("_file_path", "_blk").agg(F.count(F.lit(1)).alias("_n"))
                 .select("_file_path", "_blk", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")))
-    return (df.withColumn("_k", F.row_number().over(w) - 1).join(before, ["_file_path", "_blk"])
+    return (df.repartition("_file_path", "_blk").withColumn("_k", F.row_number().over(w) - 1).join(before, ["_file_path", "_blk"])
               .withColumn(t, (F.col("_before") + F.col("_k")).cast("bigint"))
               .withColumn("file", paths.last_part(F.col("_file_path")))
               .withColumn("person", paths.int_part(paths.last_part(F.col("_file_path")), "_", 1))

@@ -17,12 +17,17 @@ import os
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voxelframe.plans.extract import extract_regions
 from voxelframe.session import checkpoint_dir
 from voxelframe.sources.voxel import VOXEL_SCHEMA
 
 
+# changed scans written into the plan as a list; more are a semi join
+MAX_LISTED_SCANS = 1000
+
+
 def start_incremental_extract(spark: SparkSession, voxel_dir: str, atlas: DataFrame, labels: Sequence,
                               out_path: str, name: str = "extract", confounds: DataFrame | None = None,
                               confound_cols: Sequence[str] = (), standardize: bool = True,
@@ -40,8 +45,13 @@ def start_incremental_extract(spark: SparkSession, voxel_dir: str, atlas: DataFr
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         from voxelframe.operators.joins import sized_broadcast
         changed = batch.select("scan_id").distinct()
-        full = (spark.read.schema(VOXEL_SCHEMA).parquet(voxel_dir)
-                     .join(sized_broadcast(changed), "scan_id", "left_semi"))
+        full = spark.read.schema(VOXEL_SCHEMA).parquet(voxel_dir)
+        few = changed.limit(MAX_LISTED_SCANS + 1).collect()
+        if len(few) <= MAX_LISTED_SCANS:
+            # a list prunes the folders of a table partitioned by scan
+            full = full.filter(F.col("scan_id").isin([r["scan_id"] for r in few]))
+        else:
+            full = full.join(sized_broadcast(changed), "scan_id", "left_semi")
         wide = extract_regions(full, atlas, labels, keys=["scan_id"], t="t", confounds=confounds,
                                confound_cols=confound_cols, standardize=standardize)
         (wide.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
