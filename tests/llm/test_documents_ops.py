@@ -133,6 +133,11 @@ def test_near_duplicates_odd_rows(spark):
     assert kept.columns == [*docs.columns, "fp", "component_id"]
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted(
         [(False, i) for i in (1, 4, 7, 8, 9, 10, 11, 12)] + [(True, 0)])      # 6 is a near copy of 4
+    # one id with different texts: only the row that stands for its group stays
+    more = docs.unionByName(spark.createDataFrame([(1, "one", "x", "y", 1), (8, "some other words of its own", "x", "y", 1)], SCHEMA))
+    texts = sorted((r["doc_id"] or 0, r["text"] or "") for r in simhash.drop_near_duplicates(more).collect())
+    assert [t for i, t in texts if i == 1] and len([t for i, t in texts if i in (1, 8)]) == 2
+    assert len(texts) == len({simhash_brute(t) for _, t in texts})
     empty = docs.limit(0)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.drop_near_duplicates(empty).count() == 0
 

@@ -25,7 +25,6 @@ from pyspark.sql import Window as W
 from voxelframe.llm.common import staged
 
 LEVELS = ["domain", "lang", "source"]
-ROOT = "root"
 SLICE_ROWS = 50_000
 MIN_DIGITS = 2
 OTHER_WEIGHT = 1
@@ -82,17 +81,17 @@ def leaf_budgets(leaves: DataFrame, weights: list[dict[tuple, int]], per_mille:
     its positive integer weight among its siblings; paths without an entry
     weigh ``OTHER_WEIGHT``.  The root's budget is ``per_mille`` thousandths of
     all tokens, at most what ``max_epochs`` passes over all leaves hold."""
-    leaves = leaves.withColumn(ROOT, F.lit(0))
-    nodes = leaves.groupBy(ROOT).agg(F.sum("tokens").alias("tokens")).select(ROOT, F.expr(
-        f"cast(least(cast(tokens as decimal(19,0)) * {int(per_mille)} div 1000, tokens * {int(max_epochs)}) as bigint)")
-        .alias("given"))
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0                       # one number
+    given = min(int(total) * int(per_mille) // 1000, int(total) * int(max_epochs))
+    nodes = None
     for depth, level in enumerate(LEVELS):
-        parent, path = [ROOT, *LEVELS[:depth]], LEVELS[:depth + 1]
-        children = (leaves.groupBy(ROOT, *path).agg((F.sum("tokens") * max_epochs).alias("supply"))
+        parent, path = LEVELS[:depth], LEVELS[:depth + 1]
+        children = (leaves.groupBy(*path).agg((F.sum("tokens") * max_epochs).alias("supply"))
                     .withColumn("weight", _weight(path, weights[depth] if depth < len(weights) else {}))
-                    .withColumnRenamed(level, "name").join(nodes, parent))
+                    .withColumnRenamed(level, "name"))
+        children = children.join(nodes, parent) if parent else children.withColumn("given", F.lit(given).cast("bigint"))
         nodes = _split(children, parent).select(*parent, F.col("name").alias(level), F.col("budget").alias("given"))
-    return leaves.join(nodes, [ROOT, *LEVELS]).select(*LEVELS, "tokens", F.col("given").alias("budget"))
+    return leaves.join(nodes, LEVELS).select(*LEVELS, "tokens", F.col("given").alias("budget"))
 
 
 def order_key(seed: int, epoch, id_col) -> Column:

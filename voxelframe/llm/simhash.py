@@ -176,25 +176,30 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
 
     The row with the smallest id stays (ids before null); a group without any
     id keeps one row.  Of repeated rows with that id one stays."""
+    from voxelframe.operators.joins import sized_broadcast
     rows = near_duplicates(docs.select(F.col(id_col), F.col(text_col)), shingle, max_bits, id_col, text_col)
-    # ids tie only in repeated ids; a null id ranks last
-    kept = (rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("n"), F.min("fp").alias("__fp")))
-    kept = staged(kept, "kept")
-    clean = docs.join(kept.filter("n = 1 and __kept is not null").select("__kept"),
-                      F.col(id_col).cast("bigint") == F.col("__kept"), "left_semi")
-    odd = kept.filter("n > 1 or __kept is null")
+    rows = staged(rows, "labelled")
+    chosen = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = staged(rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(chosen).alias("kept")), "ids")
+    key = F.col(id_col).cast("bigint")
+    # ids that stay as they are need no look-up: the others are few, or are shuffled
+    out = ids.filter("doc_id is not null and (n > 1 or not kept)").select(F.col("doc_id").alias("out_id"))
+    clean = docs.filter(key.isNotNull()).join(sized_broadcast(out), key == F.col("out_id"), "left_anti")
+    odd = ids.filter("n > 1 or doc_id is null").select(F.col("doc_id").alias("odd_id"))
     if odd.isEmpty():
         return clean
-    # repeated or missing ids: one row of each by partially aggregated minima
-    again = docs.join(odd.select("__kept"), F.col(id_col).cast("bigint").eqNullSafe(F.col("__kept")), "left_semi")
-    tagged = again.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+    # repeated or missing ids: rows are told apart by fingerprint, and one of
+    # each is chosen by partially aggregated minima
+    again = docs.join(sized_broadcast(odd), key.eqNullSafe(F.col("odd_id")), "left_semi")
+    tagged = again.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), key.alias("row_id"),
                           _fp_udf(shingle)(F.col(text_col).cast("binary")).alias("fp"))
     first = F.min_by("row", F.struct("fp", F.col("row")[text_col])).alias("row")
-    with_id = tagged.filter(F.col("row")[id_col].isNotNull()).groupBy(F.col("row")[id_col]).agg(first).select("row.*")
-    ids = rows.filter("doc_id is null and component_id is null").select("fp").distinct()
-    reps = _null_representatives(ids, max_bits)
-    no_id = (tagged.filter(F.col("row")[id_col].isNull()).join(reps, F.col("fp") == F.col("rep"), "left_semi")
+    best = rows.filter(chosen & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("best_id")).agg(
+        F.min("fp").alias("best_fp"))
+    with_id = (tagged.join(best, (F.col("row_id") == F.col("best_id")) & (F.col("fp") == F.col("best_fp")), "left_semi")
+               .groupBy("row_id").agg(first).select("row.*"))
+    reps = _null_representatives(rows.filter("doc_id is null and component_id is null").select("fp").distinct(), max_bits)
+    no_id = (tagged.filter(F.col("row_id").isNull()).join(reps, F.col("fp") == F.col("rep"), "left_semi")
              .groupBy("fp").agg(first).select("row.*"))
     return clean.unionByName(with_id).unionByName(no_id)
 
