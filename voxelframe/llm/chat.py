@@ -157,10 +157,10 @@ def format_windows(conversations: DataFrame, ranks_path: str, pattern: str, budg
     ahead = W.partitionBy("conv").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select("conv", "part", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("tokens_before"),
                        F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("rows_before"))
+    sums = staged(sums, "token-sums")
     line = rows.join(sums, ["conv", "part"]).select(
         "conv", "role", "text", "n_tokens", (F.col("start") + F.col("tokens_before")).alias("start"),
         (F.col("place") + F.col("rows_before")).alias("place"))
-    line = staged(line, "token-line")
     lead = (F.col("place") == 0) & (F.col("role") == SYSTEM)
     system = line.filter(lead).select("conv", F.col("n_tokens").alias("system_tokens"))
     span = F.greatest(F.lit(MIN_SPAN), F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0)))
