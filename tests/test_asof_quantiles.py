@@ -83,18 +83,13 @@ def test_asof_name_clash(spark):
 
 
 def test_asof_auto_buckets(spark, sides):
-    import voxelframe.operators.asof as A
+    """Ranges of eight partitions cut the hot key several times."""
     left, right, want = sides
-    old = A.AUTO_BUCKET_ROWS
-    A.AUTO_BUCKET_ROWS = 50          # force many buckets for the hot key
-    try:
-        got = asof_join(spark.createDataFrame(left), spark.createDataFrame(right), ["k"], "time",
-                        bucket="auto").toPandas().set_index("lid").sort_index()
-        cg = asof_cogroup(spark.createDataFrame(left), spark.createDataFrame(right), ["k"], "time",
-                          "k long, time long, lv double, lid long, rv double", bucket="auto",
-                          key_buckets=3).toPandas().set_index("lid").sort_index()
-    finally:
-        A.AUTO_BUCKET_ROWS = old
+    got = asof_join(spark.createDataFrame(left), spark.createDataFrame(right), ["k"], "time",
+                    bucket="auto").toPandas().set_index("lid").sort_index()
+    cg = asof_cogroup(spark.createDataFrame(left), spark.createDataFrame(right), ["k"], "time",
+                      "k long, time long, lv double, lid long, rv double",
+                      bucket="auto").toPandas().set_index("lid").sort_index()
     for g in (got, cg):
         np.testing.assert_array_equal(g["rv"].isna().values, want["rv"].isna().values)
         m = ~want["rv"].isna()

@@ -31,7 +31,11 @@ def test_no_cartesian_products(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    p = plan(Q["asof_last_event"](spark, SF_SMALL))
+    from pyspark.sql import functions as F
+    from voxelframe.operators.asof import asof_join
+    from voxelframe.plans.q_tables import _asof_sides
+    # (with ``bucket="auto"`` the sides are read in the job that writes them)
+    p = plan(asof_join(*_asof_sides(spark, SF_SMALL), ["user_id"], "ts", bucket=lambda c: F.to_date(c), right_prefix="click_"))
     assert "EqualTo(event_type,purchase)" in p and "EqualTo(event_type,click)" in p
     # only the needed columns are read (props is never read)
     for m in re.findall(r"ReadSchema: struct<([^>]*)>", p):

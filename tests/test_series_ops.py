@@ -114,8 +114,9 @@ def test_split_by_key_and_minibatches(spark):
 
 
 @pytest.mark.parametrize("times", ["even", "bursts", "one instant"])
-def test_time_ordinal_and_buckets(spark, times):
-    from voxelframe.operators.ordinal import add_time_ordinal, time_bucket_widths, time_buckets
+def test_time_ordinal_and_asof(spark, times):
+    from voxelframe.operators.asof import asof_join
+    from voxelframe.operators.ordinal import add_time_ordinal
     rng = np.random.default_rng(21)
     n = 4000
     at = {"even": rng.integers(0, 10**9, n), "bursts": np.where(rng.random(n) < 0.9, 5, rng.integers(0, 10**9, n)),
@@ -130,12 +131,12 @@ def test_time_ordinal_and_buckets(spark, times):
     # the written rows are spread evenly, whatever the key sizes and times
     sizes = numbered.select(F.input_file_name().alias("f")).groupBy("f").count().toPandas()["count"]
     assert sizes.max() < 2.5 * n / 8
-    b = time_buckets(df, time_bucket_widths(df, ["k"], "ts", 100), ["k"], "ts", "b").toPandas()
-    assert (b.sort_values("ts").groupby("k")["b"].apply(lambda v: v.is_monotonic_increasing)).all()
-    if times == "even":
-        hot = b[b.k == 0].groupby("b").size()
-        assert len(hot) >= 20 and hot.max() < 400          # ~2400 rows cut into ~24 buckets
-        assert b[b.k == 1].groupby("b").size().shape[0] >= 3
+    # the as-of join finds the latest earlier row of the key, over the same ranges
+    left, right = df.filter("id % 3 = 0"), df.filter("id % 3 <> 0").select("k", "ts", F.col("id").alias("rid"))
+    joined = asof_join(left, right, ["k"], "ts", bucket="auto", right_prefix="r_").toPandas()
+    ref = pd.merge_asof(pdf[pdf.id % 3 == 0].sort_values("ts"),
+                        pdf[pdf.id % 3 != 0].sort_values("ts").assign(r_ts=lambda d: d.ts)[["k", "ts", "r_ts"]], on="ts", by="k")
+    assert joined.set_index("id")["r_ts"].sort_index().equals(ref.set_index("id")["r_ts"].sort_index().astype(joined["r_ts"].dtype))
 
 
 def test_prefix_sum(spark):

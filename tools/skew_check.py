@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from voxelframe.operators import udfs, windows  # noqa: E402
 from voxelframe.operators.asof import asof_join  # noqa: E402
-from voxelframe.operators.ordinal import add_ordinal, add_time_ordinal, day_split  # noqa: E402
+from voxelframe.operators.ordinal import add_ordinal, add_time_ordinal, day_split, prefix_sum  # noqa: E402
 from voxelframe.session import build_session  # noqa: E402
+from voxelframe.sources.files import read_region_csvs  # noqa: E402
 
 
 def main():
@@ -70,9 +72,20 @@ def main():
     right = base.filter(F.col("event_type") == "click").select("user_id", "ts", F.col("value").alias("cv"))
     report("as-of join, one bucket per key", asof_join(left, right, ["user_id"], "ts"))
     report("as-of join, day buckets", asof_join(left, right, ["user_id"], "ts", bucket=lambda c: F.to_date(c)))
-    import voxelframe.operators.asof as asof_mod
-    asof_mod.AUTO_BUCKET_ROWS = 10_000
-    report("as-of join, adaptive buckets (10k)", asof_join(left, right, ["user_id"], "ts", bucket="auto"))
+    report("as-of join, sampled ranges", asof_join(left, right, ["user_id"], "ts", bucket="auto"))
+    # nine in ten events of every user at one instant
+    burst = base.withColumn("ts", F.when(F.col("event_id") % 10 != 0, F.lit("2024-01-01").cast("timestamp_ntz")).otherwise(F.col("ts")))
+    report("bursts: ordinal, split by day", add_ordinal(burst, ["user_id"], ["ts", "event_id"], "t", split_by=day_split("ts")))
+    report("bursts: ordinal, sampled ranges", add_time_ordinal(burst, ["user_id"], "ts", ["event_id"], "t"))
+    left = burst.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
+    right = burst.filter(F.col("event_type") == "click").select("user_id", "ts", F.col("value").alias("cv"))
+    report("bursts: as-of join, sampled ranges", asof_join(left, right, ["user_id"], "ts", bucket="auto"))
+    counted = base.select("user_id", "event_id", F.length("event_type").alias("v"))
+    report("prefix sums per (key, id range)", prefix_sum(counted, ["user_id"], "event_id", F.col("v"), "before"))
+    one = tempfile.mkdtemp(prefix="skew-")
+    base.select("value", "user_id").coalesce(1).write.mode("overwrite").option("header", True).csv(one)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2m")
+    report("one large CSV file", read_region_csvs(spark, one, "value double, user_id bigint"))
     g = base.select("event_id", "user_id", F.col("value").alias("v"))
     schema = "event_id long, user_id long, v double"
     for name, rows in (("no split", 10 ** 12), ("50k-row pieces", 50_000)):

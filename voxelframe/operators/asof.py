@@ -31,19 +31,35 @@ def _bucket(on: str, bucket: Callable[[Column], Column] | None) -> Column:
     return bucket(F.col(on)) if bucket is not None else F.lit(0)
 
 
-AUTO_BUCKET_ROWS = 1_000_000
-
-
-def _with_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, bucket,
-                  target_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Attach the time bucket ``_b`` to both sides.  ``bucket="auto"``
-    sizes per-key buckets from both sides' row counts and time spans so a
-    (key, bucket) holds about ``target_rows`` rows."""
+def range_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_b``, the number of a sampled range of (key, time,
+    side, row): Spark cuts the ranges evenly, so hot keys, bursts and equal
+    times are spread, and a key's ranges ascend in time.  Both sides are
+    dealt out together and written once."""
+    import uuid
+
+    from voxelframe.session import table_path
+    spark = left.sparkSession
+
+    def tagged(df, side, own, other, other_type):
+        row = F.struct(*[F.col(c) for c in df.columns])
+        return df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*by, on])], F.lit(side).alias("_side"),
+                         F.xxhash64(row).alias("_tie"), row.alias(own), F.lit(None).cast(other_type).alias(other))
+    both = tagged(left, 1, "_l", "_r", right.schema).unionByName(tagged(right, 0, "_r", "_l", left.schema))
+    order = [*[f"_k{i}" for i in range(len(by) + 1)], "_side", "_tie"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartitionByRange(parts, *order).select("_side", "_l", "_r", F.spark_partition_id().alias("_b"))
+    path = table_path(spark, f"asof_{uuid.uuid4().hex}")
+    both.write.parquet(path)
+    both = spark.read.schema(both.schema).parquet(path)
+    return (both.filter("_side = 1").select(*[F.col("_l")[c].alias(c) for c in left.columns], "_b"),
+            both.filter("_side = 0").select(*[F.col("_r")[c].alias(c) for c in right.columns], "_b"))
+
+
+def _with_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, bucket) -> tuple[DataFrame, DataFrame]:
+    """Attach the time bucket ``_b`` to both sides."""
     if bucket == "auto":
-        from voxelframe.operators.ordinal import time_bucket_widths, time_buckets
-        both = left.select(*by, on).unionByName(right.select(*by, on))
-        widths = time_bucket_widths(both, by, on, target_rows or AUTO_BUCKET_ROWS)     # one table for both sides
-        return time_buckets(left, widths, by, on, "_b"), time_buckets(right, widths, by, on, "_b")
+        return range_buckets(left, right, by, on)
     return left.withColumn("_b", _bucket(on, bucket)), right.withColumn("_b", _bucket(on, bucket))
 
 
@@ -53,8 +69,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
     """Left rows with the payload columns of the matched right row.
 
     ``bucket`` maps the time column to a bucket id that is monotone in time
-    (e.g. ``lambda c: F.to_date(c)``); ``"auto"`` sizes per-key buckets from
-    the data (about a million rows each); None means one bucket per key.
+    (e.g. ``lambda c: F.to_date(c)``); ``"auto"`` cuts even ranges of key and
+    time (``range_buckets``); None means one bucket per key.
     Right payload columns are renamed with ``right_prefix``; the right time
     is returned as ``right_prefix + on`` when a prefix is given.
     """
@@ -121,7 +137,8 @@ def asof_cogroup(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
     # the right side's key/time columns for the left's
     left = left.select(*[F.col(c).alias(c) for c in left.columns])
     right = right.select(*[F.col(c).alias(c) for c in right.columns])
-    hb = F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(key_buckets))
+    # a sampled range is a group of its own
+    hb = F.lit(0) if bucket == "auto" else F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(key_buckets))
     L, R = _with_buckets(left, right, by, on, bucket)
     L = L.withColumn("_hb", hb)
     R = R.withColumn("_hb", hb)

@@ -83,33 +83,6 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order_by: str, value: Column,
              .withColumn(name, F.col("_in") + F.col("_off")).drop("_v", "_range", "_in", "_off"))
 
 
-def _as_number(frame: DataFrame, ts_col: str) -> Column:
-    """Timestamps in microseconds; numeric time columns as they are."""
-    if dict(frame.dtypes)[ts_col].startswith("timestamp"):
-        return F.unix_micros(F.col(ts_col).cast("timestamp"))
-    return F.col(ts_col).cast("bigint")
-
-
-def time_bucket_widths(df: DataFrame, keys: Sequence[str], ts_col: str, target_rows: int = 1_000_000) -> DataFrame:
-    """(keys, _t0, _w): per key a first time and a bucket width of span /
-    ceil(count / target_rows), one small aggregate, computed once."""
-    from voxelframe.operators.joins import broadcast_if_small
-    x = _as_number(df, ts_col)
-    st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), F.min(x).alias("_t0"), F.max(x).alias("_t1"))
-    nb = F.ceil(F.col("_c") / F.lit(target_rows))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + F.lit(1)) / nb))
-    return broadcast_if_small(st.select(*keys, "_t0", width.cast("bigint").alias("_w")))
-
-
-def time_buckets(df: DataFrame, widths: DataFrame, keys: Sequence[str], ts_col: str, name: str = "_bucket") -> DataFrame:
-    """Add the bucket of each row's time by its key's width; monotone in time
-    within a key, so buckets can split as-of joins.  Evenly spread times give
-    about ``target_rows`` rows per bucket."""
-    return (df.join(widths, list(keys), "left")
-              .withColumn(name, F.floor((_as_number(df, ts_col) - F.col("_t0")) / F.col("_w")).cast("bigint"))
-              .drop("_t0", "_w"))
-
-
 def add_time_ordinal(df: DataFrame, keys: Sequence[str], ts_col: str, tiebreak: Sequence[str],
                      name: str = "t") -> DataFrame:
     """Add the position of each row within its key by (ts, tiebreak...).

@@ -100,13 +100,11 @@ def udf_map_filter(spark, sf_dir):
 
 @query("udf_cogroup_asof", _ASOF_SQL)
 def udf_cogroup_asof(spark, sf_dir):
-    """As-of join through cogrouped ``applyInPandas`` + ``merge_asof`` on
-    (user, day) groups with the carried-in click."""
+    """As-of join through cogrouped ``applyInPandas`` + ``merge_asof`` on even
+    ranges of (user, time) with the carried-in click."""
     left, right = _asof_sides(spark, sf_dir)
     right = right.select("user_id", "ts", F.col("event_id").alias("click_event_id"),
                          F.col("value").alias("click_value"), F.col("ts").alias("click_ts"))
     schema = ("event_id long, user_id long, ts timestamp_ntz, value double, "
               "click_event_id long, click_value double, click_ts timestamp_ntz")
-    # one group per (user, week): bounded by a week of one user's events
-    return asof_cogroup(left, right, ["user_id"], "ts", schema,
-                        bucket=lambda c: F.floor(F.unix_date(F.to_date(c)) / 7))
+    return asof_cogroup(left, right, ["user_id"], "ts", schema, bucket="auto")
