@@ -1,20 +1,22 @@
 """Embedding near-duplicates by sorted projection passes.
 
-Each pass gives every vector a key of concatenated random hyperplane bits and
-orders all vectors lexicographically by (label, dimension, key).  A vector is compared
-with its next ``window`` neighbours; links found are united over the passes.
-The order is cut into blocks of consecutive ranks with a halo of ``window``
-rows, so no task holds a label.  Equal vectors are merged before the passes.
-
-Windows are bounded, so in a dense group the passes find the group but not
-every link of it.  A last step compares all vectors inside each component, in
-blocks, and counts the links of each: no partner is cut off.
+Every vector gets, for each pass, a key of concatenated random hyperplane
+bits.  A pass orders all vectors lexicographically by (label, dimension, key)
+and compares each with its next ``window`` neighbours; the order is cut into
+blocks of consecutive ranks with a halo of ``window`` rows, so no task holds a
+label.  A pass carries no vectors: neighbours are compared by the bits of all
+passes together, whose share of differing bits estimates their angle, and
+pairs that may reach the threshold are united over the passes.
+
+Every group found this way is then compared completely on its vectors, tile by
+tile.  Only these comparisons make links, so none is below the threshold, and
+bounded windows cut no partner inside a group.  Equal vectors are merged first.
 """
 
 from __future__ import annotations
 
 from functools import partial
-from math import acos, ceil, log, log2, pi
+from math import acos, ceil, log, log2, pi, sqrt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +46,13 @@ def passes_for(n: int, threshold: float, window: int = WINDOW, miss: float = MIS
     return max(4, ceil(log(miss) / log(1 - min(same, 0.99))))
 
 
+def bits_for(passes: int, threshold: float, sigmas: float = 5.0) -> int:
+    """Differing bits up to which two vectors may reach the threshold: the
+    expectation at the threshold and ``sigmas`` standard deviations."""
+    n, p = passes * BITS, acos(min(1.0, threshold)) / pi
+    return ceil(n * p + sigmas * sqrt(n * p * (1 - p)))
+
+
 def _keys(batches, passes: int, kind: str):
     import numpy as np
     import pyarrow as pa
@@ -60,32 +69,30 @@ def _keys(batches, passes: int, kind: str):
             bits = unit(np.stack([rows[i] for i in at])) @ planes[d] > 0
             out[at] = bits.reshape(len(at), passes, BITS) @ weight
         yield pa.RecordBatch.from_arrays(
-            [*b.columns, pa.array(dims), pa.array(list(out), pa.list_(pa.int64()))],
-            names=["node", "label", "vec", "dim", "keys"])
+            [b.column(0), b.column(1), pa.array(dims), pa.array(list(out), pa.list_(pa.int64()))],
+            names=["node", "label", "dim", "keys"])
 
 
-def _window_links(batches, window: int, threshold: float, kind: str):
+def _window_pairs(batches, window: int, most: int):
+    """Blocks of ranked rows -> a forest of the neighbours within ``most`` bits."""
     import numpy as np
     import pyarrow as pa
     for t in group_slices(batches):
-        block, rank, node, group, home = (t.column(i).to_numpy() for i in range(5))
+        block, rank, node, part, home = (t.column(i).to_numpy() for i in range(5))
+        if not len(block):
+            continue
+        keys = t.column(5).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(block), -1)
         left, right = [], []
-        start = [0, *np.flatnonzero(np.diff(block) | (np.diff(group) != 0)).__add__(1).tolist(), len(block)]
-        for s, e in zip(start, start[1:]):
-            if e - s < 2:
-                continue
-            x = unit(matrix(t.column(5).slice(s, e - s), kind))
-            for step in range(1, min(window, e - s - 1) + 1):
-                i = np.arange(e - s - step)
-                i = i[(rank[s + i + step] - rank[s + i] <= window) & (home[s + i] | home[s + i + step])]
-                i = i[np.einsum("ij,ij->i", x[i], x[i + step]) >= threshold - SLACK]
-                i = i[_cosines(x[i], x[i + step]) >= threshold]
-                left.append(s + i)
-                right.append(s + i + step)
-        if left:
-            low = _forest(np.concatenate(left), np.concatenate(right), len(block))
-            at = np.flatnonzero(low != np.arange(len(block)))
-            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[low[at]])], names=["a", "b"])
+        for step in range(1, window + 1):
+            i = np.arange(max(0, len(block) - step))
+            j = i + step
+            i = i[(block[i] == block[j]) & (part[i] == part[j]) & (rank[j] - rank[i] <= window) & (home[i] | home[j])]
+            i = i[np.bitwise_count(keys[i] ^ keys[i + step]).sum(1) <= most]
+            left.append(i)
+            right.append(i + step)
+        low = _forest(np.concatenate(left), np.concatenate(right), len(block))
+        at = np.flatnonzero(low != np.arange(len(block)))
+        yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[low[at]])], names=["a", "b"])
 
 
 def _cosines(x, y):
@@ -94,14 +101,17 @@ def _cosines(x, y):
     return np.clip((x * y).sum(1), -1, 1)
 
 
-def _tile_counts(batches, threshold: float, kind: str):
-    """Links of each vector inside a tile pair, copies counted by weight."""
+def _tile_links(batches, threshold: float, kind: str):
+    """Tile pairs -> per vector its links there, copies counted by weight, and
+    a forest of the links."""
     import numpy as np
     import pyarrow as pa
     for t in group_slices(batches):
         tile, node, side, copies = (t.column(i).to_numpy() for i in range(4))
         start = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)]
         for s, e in zip(start, start[1:]):
+            if e == s:
+                continue
             x, w, part = unit(matrix(t.column(4).slice(s, e - s), kind)), copies[s:e], side[s:e]
             n = np.zeros(e - s, np.int64)
             one = part[0] == 2
@@ -113,11 +123,13 @@ def _tile_counts(batches, threshold: float, kind: str):
             close[i, j] = _cosines(x[a[i]], x[b[j]]) >= threshold      # at the threshold: one fixed order
             if one:
                 np.fill_diagonal(close, False)
-                n[a] = close @ w[b]
-            else:
-                n[a] = close @ w[b]
+            n[a] = close @ w[b]
+            if not one:
                 n[b] = close.T @ w[a]
-            yield pa.RecordBatch.from_arrays([pa.array(node[s:e]), pa.array(n)], names=["node", "found"])
+            i, j = np.nonzero(close)
+            low = _forest(a[i], b[j], e - s)
+            yield pa.RecordBatch.from_arrays([pa.array(node[s:e]), pa.array(n), pa.array(node[s:e][low])],
+                                             names=["node", "found", "low"])
 
 
 def near_duplicates(table: DataFrame, threshold: float = 0.98, window: int = WINDOW,
@@ -145,11 +157,11 @@ def near_duplicates(table: DataFrame, threshold: float = 0.98, window: int = WIN
         raise RuntimeError("two vectors share a hash; change the seed of their names")
     passes = passes_for(n, threshold, window)
     keyed = nodes.select("node", "label", "vec").mapInArrow(
-        partial(_keys, passes=passes, kind=kind), "node bigint, label string, vec binary, dim int, keys array<bigint>")
-    order = keyed.select(F.posexplode("keys").alias("pass", "key"), "label", "dim", "node", "vec")
+        partial(_keys, passes=passes, kind=kind), "node bigint, label string, dim int, keys array<bigint>")
+    order = keyed.select(F.posexplode("keys").alias("pass", "key"), "label", "dim", "node", "keys")
     order = (order.repartitionByRange(shuffle_parts(spark), "pass", "label", "dim", "key", "node")
              .sortWithinPartitions("pass", "label", "dim", "key", "node")
-             .select(F.xxhash64("pass", "label", "dim").alias("part"), "node", "vec",
+             .select(F.xxhash64("pass", "label", "dim").alias("part"), "node", "keys",
                      F.monotonically_increasing_id().alias("at")))
     order = staged(order, "order")
     pid = F.shiftright("at", 33)
@@ -160,33 +172,35 @@ def near_duplicates(table: DataFrame, threshold: float = 0.98, window: int = WIN
         "rank", F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1))
     home = F.floor(F.col("rank") / BLOCK)
     halo = F.when(F.pmod("rank", F.lit(BLOCK)) >= BLOCK - window, F.array(home, home + 1)).otherwise(F.array(home))
-    blocks = (ranked.select(F.explode(halo).alias("block"), "rank", "node", "part", home.alias("own"), "vec")
-              .select("block", "rank", "node", "part", (F.col("block") == F.col("own")).alias("home"), "vec"))
-    links = (blocks.repartition("block").sortWithinPartitions("block", "rank")
-             .mapInArrow(partial(_window_links, window=window, threshold=threshold, kind=kind), "a bigint, b bigint"))
-    comp = staged(connected_components(links), "vector-components")
-
-    # all pairs inside each component, tile by tile
-    members = nodes.join(comp, "node").select("component", "node", "copies", "vec")
-    size = comp.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    blocks = (ranked.select(F.explode(halo).alias("block"), "rank", "node", "part", home.alias("own"), "keys")
+              .select("block", "rank", "node", "part", (F.col("block") == F.col("own")).alias("home"), "keys"))
+    pairs = (blocks.repartition("block").sortWithinPartitions("block", "rank")
+             .mapInArrow(partial(_window_pairs, window=window, most=bits_for(passes, threshold)), "a bigint, b bigint"))
+    group = staged(connected_components(pairs), "candidate-groups")
+
+    # all pairs inside each candidate group, tile by tile
+    members = nodes.join(group, "node").select(F.col("component").alias("of"), "node", "copies", "vec")
+    size = group.groupBy(F.col("component").alias("of")).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     tile = F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("tiles")).cast("int")
     lo, hi = F.least("tile", "other"), F.greatest("tile", "other")
-    tiles = (members.join(size, "component").withColumn("tile", tile)
+    side = F.when(F.col("tile") == F.col("other"), 2).otherwise((F.col("tile") > F.col("other")).cast("int"))
+    tiles = (members.join(size, "of").withColumn("tile", tile)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-             .select(F.xxhash64("component", lo, hi).alias("pair"), "node",
-                     F.when(F.col("tile") == F.col("other"), 2).otherwise((F.col("tile") > F.col("other")).cast("int"))
-                     .alias("side"), "copies", "vec"))
-    found = (tiles.repartition("pair").sortWithinPartitions("pair")
-             .mapInArrow(partial(_tile_counts, threshold=threshold, kind=kind), "node bigint, found bigint")
-             .groupBy("node").agg(F.sum("found").alias("found")))
-    known = (nodes.join(comp, "node", "left").join(found, "node", "left")
-             .select("label", "vec", "node", "low", "copies", F.coalesce("component", "node").alias("comp"),
+             .select(F.xxhash64("of", lo, hi).alias("pair"), "node", side.alias("side"), "copies", "vec"))
+    linked = staged(tiles.repartition("pair").sortWithinPartitions("pair")
+                    .mapInArrow(partial(_tile_links, threshold=threshold, kind=kind),
+                                "node bigint, found bigint, low bigint"), "links")
+    found = linked.groupBy("node").agg(F.sum("found").alias("found"))
+    comp = connected_components(linked.select("node", "low"))
+    known = (nodes.select("node", "low", "copies").join(comp, "node", "left").join(found, "node", "left")
+             .select("node", "low", "copies", F.coalesce("component", "node").alias("comp"),
                      F.coalesce("found", F.lit(0)).alias("found")))
     known = staged(known, "vector-links")
     best = known.groupBy("comp").agg(F.min("low").alias("component_id"))
-    label = known.join(best, "comp").select("label", "vec", (F.col("found") + F.col("copies") - 1).alias("n_links"),
+    label = known.join(best, "comp").select("node", (F.col("found") + F.col("copies") - 1).alias("n_links"),
                                             "component_id")
-    linked = sound.join(label, ["label", "vec"]).select("vec_id", "n_links", "component_id")
+    named = sound.select("vec_id", F.xxhash64("label", "vec").alias("node"))
+    linked = named.join(label, "node").select("vec_id", "n_links", "component_id")
     alone = rows.filter(F.col("label").isNull() | ~usable(F.col("embedding"))).select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn(
