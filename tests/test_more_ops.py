@@ -65,14 +65,10 @@ def test_random_helpers(spark):
     r = spark.range(2000).select(uniform_constant(1, F.col("id")).alias("c"), random_int(2, F.col("id"), low=3, high=5).alias("i")).toPandas()
     assert r["c"].between(-2, 2).all() and (r["c"].round(2) == r["c"]).all()
     assert set(r["i"]) == {3, 4, 5}
-    f = files.random_frame(spark, 100, seed=3).toPandas()
-    assert f.shape == (100, 3) and f.min().min() >= 0 and f.max().max() < 1
-
-
-def test_struct_extension(spark):
-    df = spark.createDataFrame([(1, ("a",))], "id long, s struct<col1:string>")
-    out = df.select(files.extend_struct(F.col("s"), col2=F.col("id") + 1).alias("s")).first()["s"]
-    assert out["col1"] == "a" and out["col2"] == 2
+    frame = files.random_columns(spark.range(1000), ["id"], ["a", "b"], seed=3).toPandas().set_index("id")
+    again = files.random_columns(spark.range(1000).repartition(7), ["id"], ["a", "b"], seed=3).toPandas().set_index("id")
+    assert frame.equals(again.loc[frame.index]) and frame.min().min() >= 0 and frame.max().max() < 1
+    assert abs(frame["a"].mean() - 0.5) < 0.05 and abs(frame["a"].corr(frame["b"])) < 0.1
 
 
 def test_route_sink(spark, tmp_path):

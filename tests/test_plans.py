@@ -4,8 +4,6 @@ import contextlib
 import io
 import re
 
-import pytest
-
 import __spark_entry__ as se
 from conftest import SF_SMALL
 

@@ -104,13 +104,11 @@ def test_sequential_split_after_rolling(spark):
 
 
 def test_split_by_key_and_minibatches(spark):
-    from voxelframe.operators.split import minibatch_id, split_by_key
+    from voxelframe.operators.split import split_by_key
     df = spark.range(3000).select((F.col("id") % 50).alias("person"), F.col("id").alias("t"))
     s = split_by_key(df, "person", 0.3, seed=2).toPandas()
     assert (s.groupby("person")["split"].nunique() == 1).all()      # a person is on one side only
     assert 5 <= s.groupby("person")["split"].first().eq("test").sum() <= 25
-    mb = df.select(minibatch_id(F.col("t"), 8096).alias("b"), minibatch_id(F.col("t"), 1000).alias("c")).toPandas()
-    assert set(mb["b"]) == {0} and set(mb["c"]) == {0, 1, 2}
 
 
 @pytest.mark.parametrize("times", ["even", "bursts", "one instant"])

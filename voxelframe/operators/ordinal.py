@@ -57,13 +57,6 @@ def day_split(ts_col: str) -> Column:
     return F.datediff(F.to_date(F.col(ts_col)), F.lit("1970-01-01").cast("date"))
 
 
-def month_split(ts_col: str) -> Column:
-    """Whole months since the epoch; monotone in ``ts_col``.  Coarser than
-    days for series that span years (fewer, larger sub-groups)."""
-    c = F.col(ts_col)
-    return (F.year(c) - 1970) * 12 + F.month(c) - 1
-
-
 def numeric_split(c: str, width: int) -> Column:
     """Fixed-width buckets of a numeric ordering column; monotone in ``c``."""
     return F.floor(F.col(c) / F.lit(width))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from voxelframe.operators import linear, windows
 from voxelframe.operators.joins import label_lookup, route, unmatched
-from voxelframe.operators.split import hash_split, sequential_split
+from voxelframe.operators.split import hash_split, sequential_split, split_by_key
 from voxelframe.session import table_path
 from voxelframe.tables import small_table
 
@@ -51,7 +51,7 @@ def prepare(regions: DataFrame, labels: DataFrame, scan: str, t: str, cols: Sequ
     if split == "sequential":
         return sequential_split(r, [scan], t, 1.0 - test_frac)
     if split == "person":
-        return hash_split(r, [person], test_frac)
+        return split_by_key(r, person, test_frac)
     return hash_split(r, [scan, t], test_frac)
 
 

@@ -235,12 +235,15 @@ ROW = ["l_orderkey", "l_linenumber"]
 @query("gbt_region")
 def gbt_region(spark, sf_dir):
     """Boosted trees for one region, as many as lower the error on held-out
-    rows; top-50 feature importance table."""
+    rows, saved and loaded back; top-50 feature importance table."""
     li = table(spark, sf_dir, "lineitem").select(*REGION_COLS, *ROW).persist()
     try:
-        model, feats, _ = trees.fit_region(li, REGION_COLS, "l_extendedprice", id_cols=ROW)
+        fitted, feats, _ = trees.fit_region(li, REGION_COLS, "l_extendedprice", id_cols=ROW)
     finally:
         li.unpersist()
+    path = table_path(spark, f"trees_{uuid.uuid4().hex}")
+    trees.save_model(fitted, path)
+    model = trees.load_model(path)
     return trees.importance_table(spark, model, feats, "l_extendedprice", top=50)
 
 

@@ -50,6 +50,28 @@ def file_count(spark, sf_dir):
     return small_table(spark, [(files.count_files(spark, out + "/*/*.csv"),)], "n_files bigint")
 
 
+@query("csv_any_order", f"SELECT user_id, t, value FROM ({SERIES_SQL})")
+def csv_any_order(spark, sf_dir):
+    """Region CSVs whose headers list their columns in two orders."""
+    s = series(spark, sf_dir, cols=("event_id", "ts", "user_id", "value"))
+    out = _scratch(spark, "any_order")
+    for odd, cols in ((0, ["value", "t"]), (1, ["t", "value"])):
+        part = s.filter(F.col("user_id") % 2 == odd).select("user_id", "t", *[F.col(c).alias(f"{c}_") for c in cols])
+        part = part.withColumnsRenamed({"value_": "value", "t_": "position"})
+        files.write_per_scan(part, out, "user_id", mode="append")
+    back = files.read_region_csvs_any_order(spark, out)
+    user = F.regexp_extract("_file_path", "user_id=([0-9]+)", 1).cast("bigint")
+    # the position written as a column agrees with the place in the file
+    return back.filter(F.col("position") == F.col("t")).select(user.alias("user_id"), "t", "value")
+
+
+@query("random_columns", "SELECT c_custkey, " + ", ".join(
+    f"{sql_draw(7 + i, 'c_custkey')} / CAST({1 << DRAW_BITS} AS DOUBLE) AS r{i}" for i in range(3)) + " FROM customer")
+def random_columns(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    return files.random_columns(c, ["c_custkey"], ["r0", "r1", "r2"], seed=7)
+
+
 _MEMBER_SQL = """WITH o AS (SELECT o_orderkey, o_custkey, o_orderkey % 2 + 1 AS rest FROM orders),
 l AS (SELECT o.*, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN 'LR' WHEN 1 THEN 'RL' ELSE 'XX' END AS dir
   FROM lineitem JOIN o ON l_orderkey = o_orderkey)

@@ -8,10 +8,11 @@ import zipfile
 from typing import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxelframe.functions import paths
+from voxelframe.functions.numeric import DRAW_BITS, draw
 
 WORKLIST_SCHEMA = "path string, people_number bigint"
 LABELS_SCHEMA = "person bigint, gender string"
@@ -44,8 +45,15 @@ def read_region_csvs(spark: SparkSession, path, schema: str | None = None,
     else:
         r = r.option("inferSchema", True)
     df = r.csv(path)
-    # a block's rows lie in one scan partition, in file order: number them
-    # there, then shift by the rows of the file's earlier blocks
+    return (_numbered(df, t).withColumn("file", paths.last_part(F.col("_file_path")))
+              .withColumn("person", paths.int_part(paths.last_part(F.col("_file_path")), "_", 1)))
+
+
+def _numbered(df: DataFrame, t: str) -> DataFrame:
+    """Rows read from files with ``_file_path`` and their position ``t`` in
+    the file.  A block's rows lie in one scan partition, in file order: they
+    are numbered there and shifted by the rows of the file's earlier blocks,
+    so one large file is numbered by many tasks."""
     df = (df.withColumn("_file_path", F.col("_metadata.file_path"))
             .withColumn("_blk", F.col("_metadata.file_block_start"))
             .withColumn("_mid", F.monotonically_increasing_id()))
@@ -53,39 +61,34 @@ def read_region_csvs(spark: SparkSession, path, schema: str | None = None,
     ahead = Window.partitionBy("_file_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     before = (df.groupBy("_file_path", "_blk").agg(F.count(F.lit(1)).alias("_n"))
                 .select("_file_path", "_blk", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")))
-    return (df.repartition("_file_path", "_blk").withColumn("_k", F.row_number().over(w) - 1).join(before, ["_file_path", "_blk"])
+    return (df.repartition("_file_path", "_blk").withColumn("_k", F.row_number().over(w) - 1)
+              .join(before, ["_file_path", "_blk"])
               .withColumn(t, (F.col("_before") + F.col("_k")).cast("bigint"))
-              .withColumn("file", paths.last_part(F.col("_file_path")))
-              .withColumn("person", paths.int_part(paths.last_part(F.col("_file_path")), "_", 1))
               .drop("_blk", "_mid", "_k", "_before"))
 
 
-def read_region_csvs_any_order(spark: SparkSession, path: str, max_files: int = 1_000_000,
-                               t: str = "t") -> DataFrame:
-    """Per-scan CSVs whose headers may list the regions in different orders.
-
-    The first line of every file is found with Spark (one row per file, a
-    bounded list), files are grouped by header, each group is read with
-    its own column order and the groups are concatenated by name -- so a
-    file with header ``x1,x0`` is never bound by position.
-    """
-    lines = (spark.read.text(path)
-                  .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-                          F.monotonically_increasing_id().alias("m"), "value"))
-    heads = (lines.filter(F.col("b") == 0)
-                  .groupBy("f").agg(F.min_by("value", "m").alias("header"))
-                  .limit(max_files + 1).collect())
-    if len(heads) > max_files:
-        raise ValueError("too many files")
-    groups: dict = {}
-    for r in heads:
-        groups.setdefault(r["header"], []).append(r["f"])
-    out = None
-    for header, fs in groups.items():
-        schema = ", ".join(f"`{c.strip()}` double" for c in header.split(","))
-        part = read_region_csvs(spark, fs, schema=schema, t=t)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+def read_region_csvs_any_order(spark: SparkSession, path: str, max_headers: int = 1000, t: str = "t") -> DataFrame:
+    """Per-scan CSVs of numbers whose headers may list the regions in
+    different orders, or lack some of them.
+
+    Every line is matched to its file's header by a join, and each region is
+    taken from the place the header gives it, so a file with header ``x1,x0``
+    is never bound by position.  Only the distinct headers reach the driver;
+    more than ``max_headers`` raise."""
+    from voxelframe.operators.joins import broadcast_if_small
+    lines = _numbered(spark.read.text(path), "_line")
+    heads = lines.filter("_line = 0").select("_file_path", F.transform(F.split("value", ","), lambda c: F.trim(c)).alias("_names"))
+    heads = broadcast_if_small(heads)
+    orders = heads.select("_names").distinct().limit(max_headers + 1).collect()
+    if len(orders) > max_headers:
+        raise ValueError(f"more than {max_headers} different headers")
+    cols = list(dict.fromkeys(c for r in sorted(orders, key=lambda r: (-len(r[0]), r[0])) for c in r[0]))
+    parts = F.split("value", ",")
+    place = [F.get(parts, F.array_position("_names", c).cast("int") - 1).try_cast("double").alias(c) for c in cols]
+    file = paths.last_part(F.col("_file_path"))
+    return (lines.filter("_line > 0").join(heads, "_file_path")
+            .select(*place, "_file_path", (F.col("_line") - 1).alias(t), file.alias("file"),
+                    paths.int_part(file, "_", 1).alias("person")))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -219,13 +222,8 @@ def route_sink(df: DataFrame, target: str, out: str, key: str, t: str = "t", per
         raise ValueError(f"unknown target {target!r}")
 
 
-def random_frame(spark: SparkSession, n: int, cols: Sequence[str] = ("0", "1", "2"), seed: int = 0) -> DataFrame:
-    """``n`` rows of uniform [0, 1) doubles, one seeded stream per column."""
-    return spark.range(n).select(*[F.rand(seed + i).alias(c) for i, c in enumerate(cols)])
-
-
-def extend_struct(c: Column, **fields) -> Column:
-    """Add or replace fields of a struct column."""
-    for k, v in fields.items():
-        c = c.withField(k, v)
-    return c
+def random_columns(df: DataFrame, id_cols: Sequence[str], names: Sequence[str], seed: int = 0) -> DataFrame:
+    """Uniform [0, 1) columns, one seeded stream per column, drawn from each
+    row's identity: the same in every run and partitioning."""
+    ids = [F.col(c) for c in id_cols]
+    return df.select("*", *[(draw(seed + i, *ids) / F.lit(float(1 << DRAW_BITS))).alias(c) for i, c in enumerate(names)])
