@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import uuid
-from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +68,3 @@ def group_slices(batches, key: int = 0):
         held = t.slice(cut).combine_chunks()
     if held is not None and held.num_rows:
         yield held
-
-
-def flat(parts) -> list:
-    return list(chain.from_iterable(parts))
