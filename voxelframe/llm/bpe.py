@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from voxelframe.llm.words import BLOCK_CHARS, in_slices, map_blocks
 
 # words whose positions are indexed together: bounds the index in memory
-REPLAY_WORDS = 100_000
+REPLAY_WORDS = 50_000
 DOC_BATCH = 512
 MAX_RANKS_BYTES = 64 << 20
 
@@ -173,6 +173,11 @@ def _encode(block, words, parts, data, full: bool):
     counts = np.array([sum([size_of[p] for p in c]) for c in parts], np.int64)
     listed = [",".join([listed_of[p] for p in c]) for c in parts]
     decoded = [b"".join([decoded_of[p] for p in c]) for c in parts]
+    words.clear()
+    del listed_of, decoded_of, size_of
+    if not full:
+        parts.clear()
+        ids_of.clear()
     for at in range(0, len(block.ids), DOC_BATCH):
         first, second, total = [], [], []
         for numbers in block.numbered[at:at + DOC_BATCH]:

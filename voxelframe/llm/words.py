@@ -95,6 +95,7 @@ class Block:
         # letters, with or without the space, are one pre-token
         parts = [[number(c)] if c.isalpha() or c[0] == " " and c[1:].isalpha() else [number(w) for w in split(c)]
                  for c in self.chunks]
+        self.chunks = Numbering()           # no longer needed
         return list(found), parts
 
 
