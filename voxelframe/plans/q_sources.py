@@ -250,10 +250,10 @@ def activations(spark, sf_dir):
 
 
 @query("seeded_constants", f"""SELECT o_orderkey,
-  round_even({sql_draw(3, 'o_orderkey')} / CAST({1 << DRAW_BITS} AS DOUBLE) * 4.0 + -2.0, 2) AS c,
+  round_even({sql_draw(3, 'o_orderkey')} / CAST({1 << DRAW_BITS} AS DOUBLE) * 4.0 + -2.0, 2) + 0.0 AS c,
   {sql_draw(4, 'o_orderkey')} % 5 + 6 AS depth FROM orders""")
 def seeded_constants(spark, sf_dir):
     """A random constant in [-2, 2) and a random depth in 6..10 per row."""
     o = table(spark, sf_dir, "orders")
-    return o.select("o_orderkey", uniform_constant(3, F.col("o_orderkey")).alias("c"),
+    return o.select("o_orderkey", (uniform_constant(3, F.col("o_orderkey")) + F.lit(0.0)).alias("c"),
                     random_int(4, F.col("o_orderkey"), low=6, high=10).alias("depth"))

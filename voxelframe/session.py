@@ -133,18 +133,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute a (small, derived) table once and keep it on reliable
-    storage: persist, checkpoint into the shared checkpoint folder (the
-    write reads the persisted copy, so nothing is computed twice), then
-    release the executor memory.  A lost executor costs a re-read of the
-    checkpoint files, not a recomputation."""
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    d = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return d.checkpoint(eager=True)
-    finally:
-        d.unpersist()
+    """Compute a derived table once: written as Parquet below the shared
+    checkpoint folder and read back, so lineage ends there, later readers
+    take the columns they need, and a lost executor costs a re-read."""
+    import uuid
+    path = table_path(df.sparkSession, f"derived_{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_path(spark: SparkSession, name: str) -> str:
