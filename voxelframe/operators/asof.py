@@ -31,6 +31,9 @@ def _bucket(on: str, bucket: Callable[[Column], Column] | None) -> Column:
     return bucket(F.col(on)) if bucket is not None else F.lit(0)
 
 
+RANGES_PER_TASK = 4
+
+
 def range_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``_b``, the number of a sampled range of (key, time,
     side, row): Spark cuts the ranges evenly, so hot keys, bursts and equal
@@ -47,7 +50,8 @@ def range_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str)
                          F.xxhash64(row).alias("_tie"), row.alias(own), F.lit(None).cast(other_type).alias(other))
     both = tagged(left, 1, "_l", "_r", right.schema).unionByName(tagged(right, 0, "_r", "_l", left.schema))
     order = [*[f"_k{i}" for i in range(len(by) + 1)], "_side", "_tie"]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # several ranges per later task, so that hashing them evens out
+    parts = RANGES_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
     both = both.repartitionByRange(parts, *order).select("_side", "_l", "_r", F.spark_partition_id().alias("_b"))
     path = table_path(spark, f"asof_{uuid.uuid4().hex}")
     both.write.parquet(path)
