@@ -228,18 +228,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column, one row per
     column (the shape of a transposed pandas ``describe``).  One aggregate
-    pass for the moments and bounds, then the exact quartiles; the columns
-    are kept (memory, then disk) for these passes."""
-    from pyspark import StorageLevel
-    kept = nan_to_null(df.select(*cols), cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _describe(kept, cols, digits)
-    finally:
-        kept.unpersist()
-
-
-def _describe(df: DataFrame, cols: Sequence[str], digits: int) -> DataFrame:
+    pass for the moments and bounds, then the exact quartiles.  Each pass
+    scans just these columns (keeping them took longer than reading them
+    again, and would not fit for large tables)."""
     spark = df.sparkSession
+    df = nan_to_null(df.select(*cols), cols)
     base = df.agg(*[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"),
                              F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
                              F.max(c).cast("double").alias("max")).alias(f"s{i}")
