@@ -207,6 +207,24 @@ def test_gbt_stops_by_its_rule(spark):
     df.unpersist()
 
 
+def test_gbt_goes_on_while_held_out_rows_gain(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(size=(4000, 3)), columns=["a", "b", "c"])
+    pdf["y"] = pdf.a * pdf.b + np.sin(2 * pdf.c) + 0.3 * rng.normal(size=4000)     # gains of under 1 % a tree
+    pdf["noise"] = rng.normal(size=4000)
+    pdf["id"] = np.arange(4000)
+    df = spark.createDataFrame(pdf).repartition(2).persist()
+    train, test = df.filter("id < 3000"), df.filter("id >= 3000")
+    model, feats, va = trees.fit_region(train, ["a", "b", "c", "y"], "y", max_iter=90, id_cols=["id"])
+    assert model.getNumTrees > 60
+    got = trees.predict(model, va, test).select("y", "_pred").toPandas()
+    assert 1 - np.mean((got.y - got._pred) ** 2) / np.var(got.y) > 0.8
+    # nothing to learn: ended and cut back to the best count
+    model, feats, va = trees.fit_region(train, ["a", "b", "c", "noise"], "noise", max_iter=90, id_cols=["id"])
+    assert model.getNumTrees <= 10
+    df.unpersist()
+
+
 def test_gram_by_rules(spark):
     rng = np.random.default_rng(11)
     for dim in (4, 17):

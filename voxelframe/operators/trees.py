@@ -18,17 +18,37 @@ from voxelframe.tables import small_table
 GBT_DEFAULTS = {"maxDepth": 4, "stepSize": 0.08, "subsamplingRate": 0.95, "seed": 0}
 MAX_ITER = 500
 
-# boosting ends early once an iteration improves the error on held-out rows
-# by less than this share
-HELD_OUT, MIN_GAIN = 0.2, 0.01
+# boosting ends early once PATIENCE further trees have not lowered the best
+# error on held-out rows; trees are built FIRST, then GROWTH times as many
+HELD_OUT, PATIENCE, FIRST, GROWTH = 0.2, 30, 40, 4
+
+
+def _best_count(gbt: GBTRegressor, train: DataFrame, held: DataFrame, max_iter: int):
+    """The model of as many trees as have the least error on ``held``.
+
+    Spark's own validation stops at the first tree that gains too little, so
+    the errors of all trees built are read instead.  Trees are seeded: a
+    shorter fit has the first trees of a longer one."""
+    n = min(FIRST, max_iter)
+    while True:
+        model = gbt.copy({gbt.maxIter: n}).fit(train)
+        errors = model.evaluateEachIteration(held, "squared")
+        best = min(range(n), key=errors.__getitem__) + 1
+        if n == max_iter or n - best >= PATIENCE:
+            break
+        n = min(n * GROWTH, max_iter)
+    return model if best == n else gbt.copy({gbt.maxIter: best}).fit(train)
 
 
 def fit_region(df: DataFrame, cols: Sequence[str], target: str, max_iter: int = MAX_ITER,
-               id_cols: Sequence[str] = (), min_gain: float = MIN_GAIN, **kw):
+               id_cols: Sequence[str] = (), min_gain: float | None = None, **kw):
     """Fit one region from all the others; returns (model, feature names).
 
-    With ``id_cols`` a seeded share of the rows is held out and boosting ends
-    when their error stops falling; without, all ``max_iter`` trees are built."""
+    With ``id_cols`` a seeded share of the rows is held out and the model has
+    as many trees as give the least error on them; boosting ends once
+    ``PATIENCE`` further trees have not lowered it, or, with ``min_gain``, at
+    the first tree that lowers it by less than this share.  Without (or if no
+    row is held out), all ``max_iter`` trees are built."""
     feats = [c for c in cols if c != target]
     va = VectorAssembler(inputCols=feats, outputCol="_features")
     params = {**GBT_DEFAULTS, **kw}
@@ -36,8 +56,13 @@ def fit_region(df: DataFrame, cols: Sequence[str], target: str, max_iter: int =
                        maxIter=max_iter, **params)
     if id_cols:
         test = draw(params["seed"], *[F.col(c) for c in id_cols]) < int(HELD_OUT * (1 << DRAW_BITS))
-        df = df.withColumn("_held", test)
-        gbt = gbt.setParams(validationIndicatorCol="_held", validationTol=min_gain)
+        rows = va.transform(df.withColumn("_held", test))
+        if min_gain is not None:
+            model = gbt.setParams(validationIndicatorCol="_held", validationTol=min_gain).fit(rows)
+            return model, feats, va
+        train, held = rows.filter(~F.col("_held")), rows.filter("_held")
+        if not held.isEmpty() and not train.isEmpty():
+            return _best_count(gbt, train, held, max_iter), feats, va
     model = gbt.fit(va.transform(df))
     return model, feats, va
 
