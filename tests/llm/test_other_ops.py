@@ -66,6 +66,26 @@ def test_projection_links(spark, window):
         i: (count[i], want[i], want[i] == i) for i in want}
 
 
+def test_projection_links_in_a_cone(spark):
+    """Vectors of mean cosine 0.9 with a threshold that links only the planted
+    pairs, and a window that holds a sliver of them."""
+    prepare(spark)
+    rng = np.random.default_rng(5)
+    n, dims = 3000, 64
+    x = rng.normal(size=(n, dims))
+    x = np.sqrt(0.1 / dims) * x + np.eye(dims)[0] * np.sqrt(0.9)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    far = rng.normal(size=(500, dims))
+    far -= (far * x[:500]).sum(1)[:, None] * x[:500]
+    near = 0.9805 * x[:500] + np.sqrt(1 - 0.9805 ** 2) * far / np.linalg.norm(far, axis=1)[:, None]
+    rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(np.vstack([x, near]))]
+    link = (cosines(rows) >= 0.98) & ~np.eye(len(rows), dtype=bool)
+    assert link.sum() >= 900
+    got = {r["vec_id"]: r["n_links"] for r in projection.near_duplicates(
+        spark.createDataFrame(rows, VECTORS), 0.98, window=4).collect()}
+    assert got == {i: int(k) for i, k in enumerate(link.sum(1))}
+
+
 def test_projection_odd_tables(spark):
     df = spark.createDataFrame([(None, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [1.0], 1)], VECTORS)
     got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in projection.near_duplicates(df).collect()),

@@ -8,6 +8,12 @@ label.  A pass carries no vectors: neighbours are compared by the bits of all
 passes together, whose share of differing bits estimates their angle, and
 pairs that may reach the threshold are united over the passes.
 
+Where vectors lie close together, as in a cone, keys share long prefixes and a
+window covers only a sliver of them.  So every row measures in every pass how
+many bits its window takes: the prefix it shares with the row at the window's
+edge.  The rows that may have missed a partner over all passes form one more
+group per label and dimension.
+
 Every group found this way is then compared completely on its vectors, tile by
 tile.  Only these comparisons make links, so none is below the threshold, and
 bounded windows cut no partner inside a group.  Equal vectors are merged first.
@@ -46,6 +52,24 @@ def passes_for(n: int, threshold: float, window: int = WINDOW, miss: float = MIS
     return max(4, ceil(log(miss) / log(1 - min(same, 0.99))))
 
 
+def _miss(shared, threshold: float):
+    """Logarithms of the probabilities that a pass misses a partner at the
+    threshold, for rows that share ``shared`` bits with their window's edge
+    (-1: the window holds all rows)."""
+    import numpy as np
+    same = 1 - acos(min(1.0, threshold)) / pi
+    return np.log(np.maximum(1 - same ** (shared + 1.0), 1e-300))
+
+
+def _shared(x, y):
+    """Equal leading bits of keys of ``BITS`` bits."""
+    import numpy as np
+    differ = x ^ y
+    for shift in (1, 2, 4, 8, 16, 32):
+        differ |= differ >> np.uint64(shift)
+    return BITS - np.bitwise_count(differ).astype(np.int64)
+
+
 def bits_for(passes: int, threshold: float, sigmas: float = 5.0) -> int:
     """Differing bits up to which two vectors may reach the threshold: the
     expectation at the threshold and ``sigmas`` standard deviations."""
@@ -73,26 +97,36 @@ def _keys(batches, passes: int, kind: str):
             names=["node", "label", "dim", "keys"])
 
 
-def _window_pairs(batches, window: int, most: int):
-    """Blocks of ranked rows -> a forest of the neighbours within ``most`` bits."""
+def _window_pairs(batches, window: int, most: int, threshold: float):
+    """Blocks of ranked rows -> a forest of the neighbours within ``most`` bits,
+    and for each row its label's group and what its window may miss there."""
     import numpy as np
     import pyarrow as pa
     for t in group_slices(batches):
-        block, rank, node, part, home = (t.column(i).to_numpy() for i in range(5))
+        block, rank, node, part, home, turn, every = (t.column(i).to_numpy() for i in (0, 1, 2, 3, 4, 6, 7))
         if not len(block):
             continue
         keys = t.column(5).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(block), -1)
+        own = keys[np.arange(len(block)), turn]
+        shared = np.full(len(block), -1)
         left, right = [], []
         for step in range(1, window + 1):
             i = np.arange(max(0, len(block) - step))
             j = i + step
             i = i[(block[i] == block[j]) & (part[i] == part[j]) & (rank[j] - rank[i] <= window) & (home[i] | home[j])]
+            if step == window:
+                edge = _shared(own[i], own[i + step])
+                np.maximum.at(shared, i, edge)
+                np.maximum.at(shared, i + step, edge)
             i = i[np.bitwise_count(keys[i] ^ keys[i + step]).sum(1) <= most]
             left.append(i)
             right.append(i + step)
         low = _forest(np.concatenate(left), np.concatenate(right), len(block))
         at = np.flatnonzero(low != np.arange(len(block)))
-        yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[low[at]])], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[low[at]]), pa.nulls(len(at), pa.float64())],
+                                         names=["a", "b", "miss"])
+        yield pa.RecordBatch.from_arrays([pa.array(node[home]), pa.array(every[home]),
+                                          pa.array(_miss(shared[home], threshold))], names=["a", "b", "miss"])
 
 
 def _cosines(x, y):
@@ -161,7 +195,8 @@ def near_duplicates(table: DataFrame, threshold: float = 0.98, window: int = WIN
     order = keyed.select(F.posexplode("keys").alias("pass", "key"), "label", "dim", "node", "keys")
     order = (order.repartitionByRange(shuffle_parts(spark), "pass", "label", "dim", "key", "node")
              .sortWithinPartitions("pass", "label", "dim", "key", "node")
-             .select(F.xxhash64("pass", "label", "dim").alias("part"), "node", "keys",
+             .select(F.xxhash64("pass", "label", "dim").alias("part"), "node", "keys", "pass",
+                     F.xxhash64("label", "dim").alias("every"),
                      F.monotonically_increasing_id().alias("at")))
     order = staged(order, "order")
     pid = F.shiftright("at", 33)
@@ -171,11 +206,20 @@ def near_duplicates(table: DataFrame, threshold: float = 0.98, window: int = WIN
     ranked = order.join(F.broadcast(first), pid == F.col("pid")).withColumn(
         "rank", F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1))
     home = F.floor(F.col("rank") / BLOCK)
-    halo = F.when(F.pmod("rank", F.lit(BLOCK)) >= BLOCK - window, F.array(home, home + 1)).otherwise(F.array(home))
-    blocks = (ranked.select(F.explode(halo).alias("block"), "rank", "node", "part", home.alias("own"), "keys")
-              .select("block", "rank", "node", "part", (F.col("block") == F.col("own")).alias("home"), "keys"))
-    pairs = (blocks.repartition("block").sortWithinPartitions("block", "rank")
-             .mapInArrow(partial(_window_pairs, window=window, most=bits_for(passes, threshold)), "a bigint, b bigint"))
+    # every home row meets both edges of its window
+    at = F.pmod("rank", F.lit(BLOCK))
+    halo = F.filter(F.array(F.when(at < window, home - 1), home, F.when(at >= BLOCK - window, home + 1)),
+                    lambda b: b.isNotNull())
+    blocks = (ranked.select(F.explode(halo).alias("block"), "rank", "node", "part", home.alias("own"), "keys", "pass", "every")
+              .select("block", "rank", "node", "part", (F.col("block") == F.col("own")).alias("home"), "keys", "pass", "every"))
+    seen = staged(blocks.repartition("block").sortWithinPartitions("block", "rank")
+                  .mapInArrow(partial(_window_pairs, window=window, most=bits_for(passes, threshold), threshold=threshold),
+                              "a bigint, b bigint, miss double"), "window-pairs")
+    # rows that may have missed more than MISS meet at their label's name; a
+    # pair is missed only if both its rows are among them
+    unsure = seen.filter("miss is not null").groupBy("a", "b").agg(F.sum("miss").alias("miss")).filter(
+        F.col("miss") > log(MISS)).select("a", "b")
+    pairs = seen.filter("miss is null").select("a", "b").unionAll(unsure)
     group = staged(connected_components(pairs), "candidate-groups")
 
     # all pairs inside each candidate group, tile by tile
