@@ -252,6 +252,36 @@ def test_url_lists_against_brute_force(spark):
     assert not any(r["blocked"] for r in url_lists.filter_captures(cf, ev.limit(0)).collect())
 
 
+def test_url_lists_match_deep_entries_as_the_sql(spark):
+    import duckdb
+    prepare(spark)
+    deep_path = "other.net/" + "".join(f"d{i}/" for i in range(20))
+    deep_host = ".".join(f"l{i}" for i in range(20)) + ".example.org"
+    day = datetime(2020, 1, 1)
+    events = [(p, c, "add", day) for p, c in ((deep_path, "ads"), (deep_host, "spam"), ("other.net/d0/", "spam"),
+                                              ("localhost", "ads"))]
+    urls = ["http://" + deep_path + "x", "http://" + deep_path, "http://" + deep_path[:-4] + "x", "http://www." + deep_host + "/a/b",
+            "http://" + deep_host, "http://l19.example.org/", "http://" + deep_path + "more/and/more", "http://x.localhost/"]
+    con = duckdb.connect()
+    con.execute("create table host(page_id bigint, url varchar, host varchar, path varchar, fetched timestamp)")
+    con.execute("create table spans(pattern varchar, category varchar, since timestamp, until timestamp)")
+    sql = queries.URL_SQL.replace(queries._listed_sql(), "one AS (SELECT 1)")
+    for listed in (events, events[3:]):
+        con.execute("delete from host"), con.execute("delete from spans")
+        for i, u in enumerate(urls):
+            h, _, path = u.removeprefix("http://").partition("/")
+            con.execute("insert into host values (?, ?, ?, ?, ?)", [i, u, h, "/" + path if "/" in u[7:] else "", datetime(2020, 5, 1)])
+        for p, c, _, at in listed:
+            con.execute("insert into spans values (?, ?, ?, ?)", [p, c, at, datetime(9999, 12, 31)])
+        want = {r[0]: r[3:] for r in con.execute(sql).fetchall()}
+        got = url_lists.filter_captures(
+            spark.createDataFrame([(i, u, datetime(2020, 5, 1)) for i, u in enumerate(urls)], "page_id bigint, url string, fetched timestamp"),
+            spark.createDataFrame(listed, "pattern string, category string, action string, at timestamp")).collect()
+        assert {r["page_id"]: (r["n_hits"], r["categories"], r["blocked"]) for r in got} == want
+        if listed is events:
+            assert [want[i][0] for i in range(8)] == [2, 2, 1, 1, 1, 0, 2, 0]
+
+
 def test_pipeline_equals_its_stages_by_brute_force(spark, library):  # noqa: F811
     prepare(spark)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")

@@ -17,8 +17,6 @@ from pyspark.sql import Window as W
 
 FOREVER = "9999-12-31"
 PERIOD_DAYS = 32
-MAX_LABELS = 16
-MAX_SEGMENTS = 16
 
 
 def url_host(url: Column) -> Column:
@@ -33,19 +31,21 @@ def url_path(url: Column) -> Column:
     return F.when(path == "", F.lit("/")).otherwise(path)
 
 
-def url_patterns(url: Column) -> Column:
+def url_patterns(url: Column, labels_most: int, segments_most: int) -> Column:
     """The patterns an entry may use to match a URL: the host and each parent
     domain of two or more labels, and the host with each path prefix that
-    ends at a slash (at most ``MAX_LABELS`` labels and ``MAX_SEGMENTS``
-    segments deep; deeper entries cannot be listed)."""
+    ends at a slash.  Parents of more than ``labels_most`` labels and prefixes
+    of more than ``segments_most`` slashes are left out; ``pattern_depths``
+    says how deep a list goes."""
     host, path = url_host(url), url_path(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
     # from position i on: at least two labels, or the whole host
-    cut = F.sequence(F.greatest(F.lit(1), n - MAX_LABELS + 1), F.greatest(F.lit(1), n - 1))
+    cut = F.sequence(F.greatest(F.lit(1), n - (labels_most - 1)), F.greatest(F.lit(1), n - 1))
     parents = F.transform(cut, lambda i: F.array_join(F.slice(labels, i, n), "."))
     domains = F.array_distinct(F.concat(F.array(host), parents))
-    segments = F.slice(F.split(path, "/"), 1, MAX_SEGMENTS)
+    # the part after the last slash is no directory
+    segments = F.slice(F.split(path, "/"), 1, segments_most + 1)
     # 'a/b/c' -> 'a/', 'a/b/'
     depth = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(segments) - 1))
     prefixes = F.transform(depth, lambda i: F.concat(host, F.array_join(F.slice(segments, 1, i), "/"), F.lit("/")))
@@ -53,6 +53,15 @@ def url_patterns(url: Column) -> Column:
         F.array_distinct(F.concat(domains, prefixes)))
 
 
+def pattern_depths(events: DataFrame) -> tuple[int, int]:
+    """The most labels (2 at least) and the most slashes (1 at least) of a
+    pattern of the list: no deeper part of a URL can match."""
+    pattern = F.col("pattern")
+    most = events.agg(F.max(F.size(F.split(F.substring_index(pattern, "/", 1), r"\."))),
+                      F.max(F.length(pattern) - F.length(F.replace(pattern, F.lit("/"), F.lit(""))))).first()
+    return max(2, most[0] or 0), max(1, most[1] or 0)
+
+
 def intervals(events: DataFrame) -> DataFrame:
     """(pattern, category, action, at) -> (pattern, category, since, until).
 
@@ -89,7 +98,7 @@ def filter_captures(captures: DataFrame, events: DataFrame, id_col: str = "page_
     # copies of a capture are evaluated once
     asked = rows.filter("url is not null and fetched is not null").groupBy("url", "fetched").agg(F.lit(1).alias("one"))
     keyed = asked.select("url", "fetched", _period(F.col("fetched")).alias("period"),
-                         F.explode(url_patterns(F.col("url"))).alias("pattern"))
+                         F.explode(url_patterns(F.col("url"), *pattern_depths(events))).alias("pattern"))
     # a period is entered only up to the last fetch there is (one value)
     last = rows.agg(F.max(_period(F.col("fetched")))).first()[0] or 0
     start = _period(F.col("since"))
