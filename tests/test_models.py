@@ -194,6 +194,20 @@ def test_net_training_stops_by_its_rule(spark):
     d.unpersist()
 
 
+def test_net_goes_on_while_small_falls_add_up(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame(rng.normal(size=(1200, 2)), columns=["a", "b"])
+    pdf["y"] = pdf.a + 0.5 * pdf.b
+    pdf["split"] = "train"
+    d = spark.createDataFrame(pdf).repartition(1).persist()
+    _, hist = net.train(d, ["a", "b", "y"], {"y": net.init_net(rng, 2, (8, 6, 4))}, max_epochs=12, lr=0.0008,
+                        batch_rows=400, tol=0.02)
+    mse = [h[4] for h in hist]
+    print(mse)
+    assert len(mse) == 12 and all(0.98 < b / a < 1 for a, b in zip(mse, mse[1:]))
+    d.unpersist()
+
+
 def test_gbt_stops_by_its_rule(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame(rng.normal(size=(1500, 3)), columns=["a", "b", "c"])

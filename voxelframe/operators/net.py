@@ -231,7 +231,8 @@ def train(df: DataFrame, cols: Sequence[str], nets: dict, max_epochs: int, lr: f
     mse_train, mse_test)]) with R² computed with swapped arguments as the
     published training loop does; epoch e is measured before its updates.
     Stops after ``max_epochs``, or once no region's train error has fallen
-    by the share ``tol`` for ``patience`` epochs; of every region the nets
+    by the share ``tol`` within ``patience`` epochs, counted from its last fall
+    by that much, so slow steady falls add up; of every region the nets
     with the least train error are returned.  ``df`` should be cached by the caller."""
     cols = list(cols)
     hidden = {r: tuple(len(b) for _, b in layers[:-1]) for r, layers in nets.items()}
@@ -242,7 +243,7 @@ def train(df: DataFrame, cols: Sequence[str], nets: dict, max_epochs: int, lr: f
     data = df.select(*cols, split_col)
     # groups of the first level
     spread = max(1, int(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5))
-    history, best, stale, least = [], dict(nets), 0, {}
+    history, best, stale, least, mark = [], dict(nets), 0, {}, {}
     for epoch in range(max_epochs):
         sent = sc.broadcast((nets, moments))
 
@@ -265,7 +266,8 @@ def train(df: DataFrame, cols: Sequence[str], nets: dict, max_epochs: int, lr: f
                 vals[sp] = (float(r2), float(r["see"] / r["n"]))
             history.append((region, epoch, vals["train"][0], vals["test"][0], vals["train"][1], vals["test"][1]))
             errors[region] = vals["train"][1]
-        fell = [r for r, e in errors.items() if e is not None and (r not in least or e < least[r] * (1 - tol))]
+        fell = [r for r, e in errors.items() if e is not None and (r not in mark or e < mark[r] * (1 - tol))]
+        mark.update((r, errors[r]) for r in fell)
         for r, e in errors.items():
             if e is not None and e <= least.get(r, np.inf):
                 least[r], best[r] = e, nets[r]
