@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conftest import SF_SMALL
 from test_documents_ops import RANKS, components, library, odd_documents, ranks, simhash_brute  # noqa: F401
-from voxelframe.llm import chat, mih, mixing, projection, quality_mil, queries, url_lists
+from voxelframe.llm import chat, mih, mixing, projection, quality_mil, queries, token_count, url_lists
 from voxelframe.llm.common import prepare
 
 NAN = float("nan")
@@ -218,6 +218,14 @@ def test_windows_budget_history_and_mask(spark):
         chat.format_windows(df, RANKS, public_tokenizers.PATTERN, budget=100)
 
 
+def test_piece_counts_do_not_reach_the_cost():
+    """A state of as many pieces as the longest text has bytes."""
+    costs = token_count.Costs({b"a": 0, b"b": 1})
+    for piece, cost in token_count.unigram_costs({b"a": 0, b"b": 1}).items():
+        cost_sum, pieces = divmod(costs.state[piece] * 2 ** 31, 1 << token_count.PIECE_BITS)
+        assert (cost_sum, pieces) == (cost * 2 ** 31, 2 ** 31)
+
+
 def test_url_lists_against_brute_force(spark):
     prepare(spark)
     rng = random.Random(6)

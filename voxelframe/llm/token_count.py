@@ -30,8 +30,9 @@ def unigram_costs(ranks: dict[bytes, int]) -> dict[bytes, int]:
     return {p: round(COST_UNIT * (log(r + 1) + total)) for p, r in ranks.items()}
 
 
-# a state is one integer: cost in the high bits, pieces in the low ones
-PIECE_BITS = 24
+# a state is one integer: cost in the high bits, pieces in the low ones, which
+# hold the pieces of any text (under 2**31 bytes)
+PIECE_BITS = 40
 
 
 class Costs:
