@@ -10,17 +10,15 @@ of a merge.  A document's ids are put together from its words' ids.
 from __future__ import annotations
 
 import base64
-import hashlib
 from functools import partial
 from heapq import heappop, heappush
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxelframe.llm.words import BLOCK_CHARS, in_slices, map_blocks
+from voxelframe.llm.words import BLOCK_CHARS, ENCODED, assembled, in_slices, map_blocks
 
 # words whose positions are indexed together: bounds the index in memory
 REPLAY_WORDS = 50_000
-DOC_BATCH = 512
 MAX_RANKS_BYTES = 64 << 20
 
 
@@ -30,11 +28,16 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
 
 
 def load_ranks(spark: SparkSession, path: str):
-    """Broadcast of a rank file's content, of checked size."""
+    """Broadcast of a rank file's content, of checked size; a file without one
+    of the 256 single bytes is refused."""
     with open(path, "rb") as f:
         data = f.read(MAX_RANKS_BYTES + 1)
     if len(data) > MAX_RANKS_BYTES:
         raise ValueError(f"rank file over {MAX_RANKS_BYTES} bytes")
+    ranks = read_ranks(data)
+    missing = [c for c in range(256) if bytes([c]) not in ranks]
+    if missing:
+        raise ValueError(f"{path}: no rank for the single bytes {missing}")
     return spark.sparkContext.broadcast(data)
 
 
@@ -160,41 +163,11 @@ def _lower_first(queue, rank, token, after, before, merges, index) -> None:
 
 def _encode(block, words, parts, data, full: bool):
     """Results of a block's documents: digests, or ids and decoded bytes."""
-    import numpy as np
-    import pyarrow as pa
     vocabulary = vocabulary_of(data)
     ids_of: list[list[int]] = []
     for _, some in in_slices(words, REPLAY_WORDS):
         ids_of += replay([w.encode() for w in some], vocabulary)
-    token = vocabulary.token
-    listed_of = [",".join(map(str, ids)) for ids in ids_of]
-    decoded_of = [b"".join([token[i] for i in ids]) for ids in ids_of]
-    size_of = [len(ids) for ids in ids_of]
-    counts = np.array([sum([size_of[p] for p in c]) for c in parts], np.int64)
-    listed = [",".join([listed_of[p] for p in c]) for c in parts]
-    decoded = [b"".join([decoded_of[p] for p in c]) for c in parts]
-    words.clear()
-    del listed_of, decoded_of, size_of
-    if not full:
-        parts.clear()
-        ids_of.clear()
-    for at in range(0, len(block.ids), DOC_BATCH):
-        first, second, total = [], [], []
-        for numbers in block.numbered[at:at + DOC_BATCH]:
-            chosen = numbers.tolist()
-            total.append(int(counts[numbers].sum()))
-            whole = b"".join([decoded[c] for c in chosen])
-            if full:
-                first.append([i for c in chosen for p in parts[c] for i in ids_of[p]])
-                second.append(whole)
-            else:
-                first.append(hashlib.sha256(",".join([listed[c] for c in chosen]).encode()).hexdigest())
-                second.append(hashlib.sha256(whole).hexdigest())
-        kinds = [pa.list_(pa.int32()), pa.binary()] if full else [pa.string(), pa.string()]
-        names = ["ids", "decoded"] if full else ["ids_sha256", "decoded_sha256"]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(block.ids[at:at + DOC_BATCH], pa.int64()), pa.array(total, pa.int64()),
-             pa.array(first, kinds[0]), pa.array(second, kinds[1])], names=["doc_id", "n_tokens", *names])
+    yield from assembled(block, words, parts, ids_of, vocabulary.token, full)
 
 
 _LOADED: dict = {}
@@ -222,6 +195,5 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, full: bool = F
     the digests of no bytes; bytes that are no UTF-8 count as U+FFFD.  Null
     and repeated ids stay as they are.  Other columns are not read."""
     data = load_ranks(docs.sparkSession, ranks_path)
-    kinds = "ids array<int>, decoded binary" if full else "ids_sha256 string, decoded_sha256 string"
-    return map_blocks(docs, pattern, partial(_encode, data=data, full=full), f"doc_id bigint, n_tokens bigint, {kinds}",
-                      block_chars, id_col, text_col)
+    return map_blocks(docs, pattern, partial(_encode, data=data, full=full),
+                      f"doc_id bigint, n_tokens bigint, {ENCODED[full]}", block_chars, id_col, text_col)

@@ -6,12 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelframe.llm import bpe, chat, mih, mixing, projection, quality_mil, shard, simhash, token_count, url_lists
+from voxelframe.llm import (
+    align,
+    bisector,
+    bpe,
+    chat,
+    mih,
+    mixing,
+    projection,
+    quality_mil,
+    shard,
+    simhash,
+    speculate,
+    token_count,
+    url_lists,
+)
 from voxelframe.llm.common import prepare
 from voxelframe.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 SHARDS = 16
+CENTROIDS, CENTROID_DIMS, CENTROID_ROUNDS, CENTROID_SEED = 8, 64, 10, 3
 
 # which domain a source belongs to, and the target weights among siblings
 DOMAIN_SOURCES = {"web": range(0, 8), "news": range(8, 14), "books": range(14, 18)}
@@ -139,6 +156,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.PATTERN)
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return align.align(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES),
+                       public_tokenizers.PATTERN)
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return bisector.cluster_report(table(spark, sf_dir, "embeddings"), CENTROIDS, CENTROID_DIMS, CENTROID_ROUNDS,
+                                   CENTROID_SEED)
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return speculate.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
+                                   public_tokenizers.PATTERN)
+
+
 # ---- oracle SQL
 
 _MASK = 2 ** 64
@@ -262,6 +297,36 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
   e.vec_id = (SELECT min(b) FROM reach r WHERE r.a = e.vec_id) AS kept FROM embeddings e
 """
 
+
+
+def _centroid_sql() -> str:
+    k, dims = CENTROIDS, CENTROID_DIMS
+
+    def nearest(r):
+        # distance and number in one value, so that ties go to the smaller number
+        return f"""
+a{r} AS MATERIALIZED (SELECT rid, vec_id, v, (best % {k})::INT AS c, best // {k} AS d FROM (
+    SELECT rid, any_value(s.vec_id) AS vec_id, any_value(s.v) AS v, min({k} * list_sum(
+      [(x - c.v[i]) * (x - c.v[i]) FOR x, i IN s.v])::HUGEINT + c.c) AS best FROM sound s, c{r} c GROUP BY rid))"""
+    out = [f"""
+WITH sound AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id,
+    [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{CENTROID_SEED}:' || vec_id), v) - 1 AS c, v FROM (
+    SELECT * FROM sound ORDER BY sha256('{CENTROID_SEED}:' || vec_id), v LIMIT {k}))"""]
+    for r in range(CENTROID_ROUNDS):
+        out.append(nearest(r) + f""",
+m{r} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+    SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, range(1, {dims + 1}) p(i) GROUP BY c, i) GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT o.c, coalesce(m.v, o.v) AS v FROM c{r} o LEFT JOIN m{r} m USING (c))""")
+    last = CENTROID_ROUNDS
+    out.append(nearest(last) + f"""
+SELECT vec_id, a.c AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{last} a JOIN c{last} c ON a.c = c.c""")
+    return ",".join(out)
+
+
 QUERIES = {
     "op1_attention_quality": op1,
     "op2_multi_index_hashing": op2,
@@ -273,6 +338,9 @@ QUERIES = {
     "op8_hierarchical_mix": op8,
     "op9_projection_dedup": op9,
     "op10_trie_token_counts": op10,
+    "op11_fragment_alignment": op11,
+    "op12_bisector_clusters": op12,
+    "op13_speculative_bpe": op13,
 }
 
 
@@ -284,5 +352,5 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
     out = {"op5_jump_sharding": SHARD_SQL, "op7_url_list_asof": URL_SQL, "op8_hierarchical_mix": _mix_sql(),
-           "op9_projection_dedup": VECTOR_SQL}
+           "op9_projection_dedup": VECTOR_SQL, "op12_bisector_clusters": _centroid_sql()}
     return out | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

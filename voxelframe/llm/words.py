@@ -16,6 +16,7 @@ characters (or one text), so its tables are too, whatever the corpus.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable
 from functools import partial
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 BLOCK_CHARS = 32_000_000
 BLOCK_DOCS = 100_000
+DOC_BATCH = 512
 # Python's \s also holds these four, which are no white space to the pattern
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
@@ -80,46 +82,105 @@ class Block:
         self.chars, self.ids, self.numbered = 0, [], []
         self.chunks = Numbering()
 
-    def add(self, doc_id, text: str, split) -> None:
+    def add(self, doc_id, text: str, split, specials=None) -> None:
         import numpy as np
-        pieces = chunks(text, split)
+        if specials is None:
+            pieces = chunks(text, split)
+        else:               # every other part is a special token
+            pieces = [c for i, part in enumerate(specials.split(text))
+                      for c in ([part] if i % 2 else chunks(part, split))]
         numbers = np.fromiter(map(self.chunks.__getitem__, pieces), np.uint32, len(pieces))
         self.ids.append(doc_id)
         self.numbered.append(numbers)
         self.chars += len(text)
 
-    def words(self, split):
+    def words(self, split, specials=None):
         """The block's distinct pre-tokens, and per chunk their numbers."""
         found = Numbering()
         number = found.__getitem__
+        whole = specials.fullmatch if specials else (lambda c: None)
         # letters, with or without the space, are one pre-token
-        parts = [[number(c)] if c.isalpha() or c[0] == " " and c[1:].isalpha() else [number(w) for w in split(c)]
-                 for c in self.chunks]
+        parts = [[number(c)] if c.isalpha() or c[0] == " " and c[1:].isalpha() or whole(c)
+                 else [number(w) for w in split(c)] for c in self.chunks]
         self.chunks = Numbering()           # no longer needed
         return list(found), parts
 
 
-def _solve(batches, pattern: str, block_chars: int, solve):
+def _solve(batches, pattern: str, block_chars: int, solve, specials: tuple):
     import gc
-    gc.disable()            # millions of small lists, no cycles
     split = splitter(pattern)
-    block = Block()
-    for b in batches:
-        for doc_id, value in zip(b.column(0).to_pylist(), b.column(1)):
-            block.add(doc_id, text_of(value.as_py()), split)
-            if block.chars >= block_chars or len(block.ids) >= BLOCK_DOCS:
-                yield from solve(block, *block.words(split))
-                block = Block()
-    if block.ids:
-        yield from solve(block, *block.words(split))
+    specials = special_finder(specials)
+    was_on = gc.isenabled()
+    gc.disable()            # millions of small lists, no cycles
+    try:
+        block = Block()
+        for b in batches:
+            for doc_id, value in zip(b.column(0).to_pylist(), b.column(1)):
+                block.add(doc_id, text_of(value.as_py()), split, specials)
+                if block.chars >= block_chars or len(block.ids) >= BLOCK_DOCS:
+                    yield from solve(block, *block.words(split, specials))
+                    block = Block()
+        if block.ids:
+            yield from solve(block, *block.words(split, specials))
+    finally:
+        if was_on:          # the worker is used again by other queries
+            gc.enable()
+
+
+def special_finder(specials: tuple):
+    """A pattern that finds special tokens, the longest first; None without any."""
+    if not specials:
+        return None
+    return re.compile("(" + "|".join(map(re.escape, sorted(specials, key=len, reverse=True))) + ")")
 
 
 def map_blocks(docs: DataFrame, pattern: str, solve, schema: str, block_chars: int = BLOCK_CHARS,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", specials: tuple = ()) -> DataFrame:
     """``solve(block, words, parts)`` -> Arrow batches of ``schema``, for every
-    block of the documents; ``parts[c]`` are the word numbers of chunk c."""
+    block of the documents; ``parts[c]`` are the word numbers of chunk c.
+    ``specials`` found in a text are words of their own, and the text before
+    and after each is cut by itself."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(partial(_solve, pattern=pattern, block_chars=block_chars, solve=solve), schema)
+    return rows.mapInArrow(partial(_solve, pattern=pattern, block_chars=block_chars, solve=solve, specials=specials), schema)
+
+
+ENCODED = {True: "ids array<int>, decoded binary", False: "ids_sha256 string, decoded_sha256 string"}
+
+
+def assembled(block: Block, words: list, parts: list, ids_of: list[list[int]], token, full: bool):
+    """Arrow batches of a block's encoded documents, put together from the ids
+    of its words: ids and decoded bytes if ``full``, else their digests.
+    ``token[id]`` are a token's bytes.  The tables given are used up."""
+    import numpy as np
+    import pyarrow as pa
+    listed_of = [",".join(map(str, ids)) for ids in ids_of]
+    decoded_of = [b"".join([token[i] for i in ids]) for ids in ids_of]
+    size_of = [len(ids) for ids in ids_of]
+    counts = np.array([sum([size_of[p] for p in c]) for c in parts], np.int64)
+    listed = [",".join([listed_of[p] for p in c]) for c in parts]
+    decoded = [b"".join([decoded_of[p] for p in c]) for c in parts]
+    words.clear()
+    del listed_of, decoded_of, size_of
+    if not full:
+        parts.clear()
+        ids_of.clear()
+    for at in range(0, len(block.ids), DOC_BATCH):
+        first, second, total = [], [], []
+        for numbers in block.numbered[at:at + DOC_BATCH]:
+            chosen = numbers.tolist()
+            total.append(int(counts[numbers].sum()))
+            whole = b"".join([decoded[c] for c in chosen])
+            if full:
+                first.append([i for c in chosen for p in parts[c] for i in ids_of[p]])
+                second.append(whole)
+            else:
+                first.append(hashlib.sha256(",".join([listed[c] for c in chosen]).encode()).hexdigest())
+                second.append(hashlib.sha256(whole).hexdigest())
+        kinds = [pa.list_(pa.int32()), pa.binary()] if full else [pa.string(), pa.string()]
+        names = ["ids", "decoded"] if full else ["ids_sha256", "decoded_sha256"]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(block.ids[at:at + DOC_BATCH], pa.int64()), pa.array(total, pa.int64()),
+             pa.array(first, kinds[0]), pa.array(second, kinds[1])], names=["doc_id", "n_tokens", *names])
 
 
 def in_slices(words: list, size: int):
