@@ -31,13 +31,15 @@ from pyspark.sql import functions as F
 
 from voxelframe.llm import speculate
 from voxelframe.llm.common import shuffle_parts, staged
-from voxelframe.llm.words import BLOCK_CHARS, BLOCK_DOCS, Numbering, in_slices, splitter, text_of
+from voxelframe.llm.words import BLOCK_DOCS, DISTINCT_CHARS, Numbering, in_slices, splitter, text_of
 
 # texts of more bytes are cut into ranges of about so many characters
 LONG_BYTES = 1 << 16
 RANGE_CHARS = 1 << 15
 # fragments composed by one step of the tree
 FAN = 16
+# a block of short texts: tokens of both kinds and their groups are held at once
+BLOCK_CHARS = 16_000_000
 MAX_MODEL_BYTES = 64 << 20
 # characters tried as a wall: one that no piece holds keeps text and prefix apart
 WALLS = "\n\t\x01"
@@ -68,9 +70,10 @@ class Pieces:
                  if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i))]
         # characters that meet inside a piece
         self.met = {p[i:i + 2] for p in plain for i in range(len(p) - 1)}
-        # whether pieces hold a word's end together with white space
-        self.joins_words = any(m[0] != "▁" and m[1] == "▁" or m[0].isspace() or m[1].isspace()
-                               for m in self.met)
+        # white space that pieces hold together with other characters
+        joining = {c for m in self.met if m[0] != "▁" and m[1] == "▁" or m[0].isspace() or m[1].isspace()
+                   for c in m.replace("▁", " ") if c.isspace()}
+        self.joining = re.compile("[" + "".join(map(re.escape, joining)) + "]") if joining else None
         held = set("".join(plain))
         for wall in WALLS:
             start = self.model.encode(wall)
@@ -87,7 +90,7 @@ class Pieces:
     def border(self, text: str, at: int) -> int:
         """The first place from ``at`` on that no piece crosses."""
         met, n = self.met, len(text)
-        while at < n and (text[at - 1].replace(" ", "▁") + text[at].replace(" ", "▁")) in met:
+        while at < n and text[at - 1:at + 1].replace(" ", "▁") in met:
             at += 1
         return min(at, n)
 
@@ -114,7 +117,16 @@ def load_pieces(spark: SparkSession, path: str):
 
 def stretches(text: str, pieces: Pieces) -> list[str]:
     """Parts of ``text`` whose ends no token of either tokenizer crosses."""
-    return [text] if pieces.joins_words else _STRETCH.findall(text)
+    parts = _STRETCH.findall(text)
+    if pieces.joining is None or not pieces.joining.search(text):
+        return parts
+    joined = parts[:1]
+    for part in parts[1:]:
+        if (joined[-1][-1] + part[0]).replace(" ", "▁") in pieces.met:
+            joined[-1] += part
+        else:
+            joined.append(part)
+    return joined
 
 
 # ---- the fragment monoid
@@ -477,7 +489,7 @@ def _blocks(batches, pattern, data_a, data_b, block_chars):
             block.ids.append(doc_id)
             block.numbered.append(np.fromiter(map(block.found.__getitem__, found), np.uint32, len(found)))
             block.chars += len(text)
-            if block.chars >= block_chars or len(block.ids) >= BLOCK_DOCS:
+            if block.chars >= block_chars or block.found.chars >= DISTINCT_CHARS or len(block.ids) >= BLOCK_DOCS:
                 yield from _solve_block(block, number, split, table, pieces)
                 block, number = _Block(), number + 1
     if block.ids:

@@ -11,7 +11,8 @@ pre-token of a block and puts the documents together from the results.
 Blocks need no shuffle: a pre-token that several blocks share is worked on in
 each, which costs less than sending every block's dictionary through a
 corpus-wide one and back (figures in the README).  A block is bounded by its
-characters (or one text), so its tables are too, whatever the corpus.
+characters (or one text) and those of its distinct chunks, so its tables are
+too, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 
 BLOCK_CHARS = 32_000_000
 BLOCK_DOCS = 100_000
+# distinct chunks of a block, in characters: texts without spaces repeat few
+DISTINCT_CHARS = 4_000_000
 DOC_BATCH = 512
 # Python's \s also holds these four, which are no white space to the pattern
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -68,10 +71,14 @@ def chunks(text: str, split: Callable[[str], list[str]]) -> list[str]:
 
 
 class Numbering(dict):
-    """Numbers its keys from 0 in the order they are first asked for."""
+    """Numbers its texts from 0 in the order they are first asked for;
+    ``chars`` is the length of all of them together."""
+
+    chars = 0
 
     def __missing__(self, key):
         number = self[key] = len(self)
+        self.chars += len(key)
         return number
 
 
@@ -117,7 +124,7 @@ def _solve(batches, pattern: str, block_chars: int, solve, specials: tuple):
         for b in batches:
             for doc_id, value in zip(b.column(0).to_pylist(), b.column(1)):
                 block.add(doc_id, text_of(value.as_py()), split, specials)
-                if block.chars >= block_chars or len(block.ids) >= BLOCK_DOCS:
+                if block.chars >= block_chars or block.chunks.chars >= DISTINCT_CHARS or len(block.ids) >= BLOCK_DOCS:
                     yield from solve(block, *block.words(split, specials))
                     block = Block()
         if block.ids:
