@@ -24,7 +24,8 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 ODD = ["<|endoftext|>", "a <|endoftext|> b<|endoftext|><|endoftext|>\n", "x \n\n  y\t z 　 w\xa0\xa0v \x1c q",
        "do n't don't we'll 's's", "tabs\tand\r\nlines\n\n\n", " lead and trail  ", "你好，世界。これは文です" * 20, "naïve café \U0001f600\U0001f600!",
-       "a▁b", "<0x41> <s></s>", "zz" * 4000, "=" * 70 + "-" * 70, "foo  bar   baz", "1234567 89.5%", "\x00\x01"]
+       "a▁b", "<0x41> <s></s>", "zz" * 4000, "=" * 70 + "-" * 70, "foo  bar   baz", "1234567 89.5%", "\x00\x01",
+       "if (a) {\r\n  b();\r\r\rc\r\n}\r", "\n\n\nab\u2003\u2003cd \n\n ef\r\rgh"]
 
 
 @pytest.fixture(scope="module")

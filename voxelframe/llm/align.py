@@ -25,13 +25,14 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import partial
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelframe.llm import speculate
 from voxelframe.llm.common import shuffle_parts, staged
-from voxelframe.llm.words import BLOCK_DOCS, DISTINCT_CHARS, Numbering, in_slices, splitter, text_of
+from voxelframe.llm.words import BLOCK_DOCS, DISTINCT_CHARS, Numbering, in_slices, one_word, splitter, text_of, without_gc
 
 # texts of more bytes are cut into ranges of about so many characters
 LONG_BYTES = 1 << 16
@@ -48,9 +49,9 @@ SLICE = 50_000
 A_BITS = 32
 
 _SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
-# stretches whose ends no token crosses: white space is one pre-token up to a
-# last space, which joins the word after it
-_STRETCH = re.compile(rf"{_SPACE}* {_OTHER}+|{_SPACE}+|{_OTHER}+")
+# stretches whose ends no token crosses: white space before a word is one
+# pre-token up to its last character, which joins the word if it is a space
+_STRETCH = re.compile(rf"{_SPACE}* {_OTHER}+|{_SPACE}+(?!{_OTHER})|{_SPACE}|{_OTHER}+")
 # borders of A inside a text: before a space after a word, and after ASCII
 # letters that end in punctuation or a digit
 _A_BORDER = re.compile(rf"(?<={_OTHER})(?= )|(?<=[A-Za-z])(?=[!-@\[-`{{-~])")
@@ -120,10 +121,12 @@ def stretches(text: str, pieces: Pieces) -> list[str]:
     parts = _STRETCH.findall(text)
     if pieces.joining is None or not pieces.joining.search(text):
         return parts
-    joined = parts[:1]
+    joined, ends_open = parts[:1], False
     for part in parts[1:]:
-        if (joined[-1][-1] + part[0]).replace(" ", "▁") in pieces.met:
+        if ends_open or (joined[-1][-1] + part[0]).replace(" ", "▁") in pieces.met:
             joined[-1] += part
+            # white space is cut by what follows it
+            ends_open = part[-1].isspace()
         else:
             joined.append(part)
     return joined
@@ -388,13 +391,20 @@ class _Block:
         self.chars, self.ids, self.numbered, self.found = 0, [], [], Numbering()
 
 
+def _sizes(found: list[list[int]], flat: list[int], size_of) -> list[int]:
+    """Bytes of each list of tokens; ``flat`` are all of them in one list."""
+    import numpy as np
+    upto = np.concatenate([[0], np.cumsum(size_of[flat])]) if flat else np.zeros(1, np.int64)
+    return np.diff(upto[np.cumsum([0, *map(len, found)])]).tolist()
+
+
 def _aligned(parts: list[str], split, table, pieces):
     """Distinct stretches -> per stretch whether both tokenizers keep its
     bytes, A, B tokens and groups, the groups' text; per link the pair, and
     per stretch the number of links."""
     import numpy as np
     words = Numbering()
-    cuts = [[words[w] for w in split(s)] for s in parts]
+    cuts = [[words[s]] if one_word(s) else [words[w] for w in split(s)] for s in parts]
     ids_of: list[list[int]] = []
     listed = [w.encode() for w in words]
     for _, some in in_slices(listed, SLICE):
@@ -408,18 +418,26 @@ def _aligned(parts: list[str], split, table, pieces):
     size_a[list(token_a)] = [len(t) for t in token_a.values()]
     size_b = np.array([len(t) for t in token_b], np.int64)
     for at, some in in_slices(parts, SLICE):
-        a, b, kept = [], [], []
-        for c, (s, ids_b) in enumerate(zip(some, pieces.encode(some)), at):
-            ids_a = [i for w in cuts[c] for i in ids_of[w]]
-            raw = s.encode()
-            if b"".join([token_b[i] for i in ids_b]) == raw and b"".join([token_a[i] for i in ids_a]) == raw:
-                good[c], n_a[c], n_b[c] = True, len(ids_a), len(ids_b)
-                a += ids_a
-                b += ids_b
-                kept.append(c)
-        if not kept:
+        found_a = [[i for w in c for i in ids_of[w]] for c in cuts[at:at + len(some)]]
+        found_b = pieces.encode(some)
+        a, b = list(chain.from_iterable(found_a)), list(chain.from_iterable(found_b))
+        raw = [s.encode() for s in some]
+        whole = b"".join(raw)
+        if (b"".join([token_a[i] for i in a]) == whole == b"".join([token_b[i] for i in b])
+                and _sizes(found_a, a, size_a) == _sizes(found_b, b, size_b) == list(map(len, raw))):
+            kept = range(len(some))
+        else:               # some stretch is not kept as it is: look at each
+            kept = [c for c, r in enumerate(raw) if b"".join([token_a[i] for i in found_a[c]]) == r
+                    == b"".join([token_b[i] for i in found_b[c]])]
+            a = [i for c in kept for i in found_a[c]]
+            b = [i for c in kept for i in found_b[c]]
+        if not len(kept):
             continue
-        a, b, kept = np.array(a, np.int64), np.array(b, np.int64), np.array(kept)
+        kept = np.array(kept)
+        counts_a, counts_b = (np.array(list(map(len, f)), np.int64)[kept] for f in (found_a, found_b))
+        kept += at
+        good[kept], n_a[kept], n_b[kept] = True, counts_a, counts_b
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
         ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
         # the kept stretches laid end to end: each one's end is a common end
         ends, cut_a, cut_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
@@ -481,19 +499,20 @@ def _blocks(batches, pattern, data_a, data_b, block_chars):
     from pyspark import TaskContext
     table, pieces, split = speculate.table_of(data_a), pieces_of(data_b), splitter(pattern)
     number = TaskContext.get().partitionId() << 32
-    block = _Block()
-    for batch in batches:
-        for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text = text_of(value.as_py())
-            found = stretches(" " + text, pieces) if text else []
-            block.ids.append(doc_id)
-            block.numbered.append(np.fromiter(map(block.found.__getitem__, found), np.uint32, len(found)))
-            block.chars += len(text)
-            if block.chars >= block_chars or block.found.chars >= DISTINCT_CHARS or len(block.ids) >= BLOCK_DOCS:
-                yield from _solve_block(block, number, split, table, pieces)
-                block, number = _Block(), number + 1
-    if block.ids:
-        yield from _solve_block(block, number, split, table, pieces)
+    with without_gc():
+        block = _Block()
+        for batch in batches:
+            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text_of(value.as_py())
+                found = stretches(" " + text, pieces) if text else []
+                block.ids.append(doc_id)
+                block.numbered.append(np.fromiter(map(block.found.__getitem__, found), np.uint32, len(found)))
+                block.chars += len(text)
+                if block.chars >= block_chars or block.found.chars >= DISTINCT_CHARS or len(block.ids) >= BLOCK_DOCS:
+                    yield from _solve_block(block, number, split, table, pieces)
+                    block, number = _Block(), number + 1
+        if block.ids:
+            yield from _solve_block(block, number, split, table, pieces)
 
 
 OUT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"

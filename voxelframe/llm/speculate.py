@@ -71,14 +71,16 @@ class MergeTable:
         missing = [c for c in range(256) if bytes([c]) not in ids]
         if missing:
             raise ValueError(f"no token for the single bytes {missing}")
-        self.byte = np.array([ids[bytes([c])] for c in range(256)], np.int64)
+        self.byte_list = [ids[bytes([c])] for c in range(256)]
+        self.byte = np.array(self.byte_list, np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         vocab = model["vocab"]
-        # (left id, right id) -> (rank, id made)
-        self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
-        keys = np.array([a * self.size + b for a, b in self.merge], np.int64)
-        ranks = np.array([r for r, _ in self.merge.values()], np.int64)
-        made = np.array([i for _, i in self.merge.values()], np.int64)
+        # pair key (left id * size + right id) -> rank, and the id that a rank's merge makes
+        self.rank_of = {vocab[a] * self.size + vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [vocab[a + b] for a, b in pairs]
+        keys = np.array(list(self.rank_of), np.int64)
+        ranks = np.array(list(self.rank_of.values()), np.int64)
+        made = np.array(self.made, np.int64)[ranks]
         order = np.argsort(keys)
         self._keys, self._ranks = keys[order], ranks[order]
         # how a token comes about; single bytes are there from the start (rank -1)
@@ -178,32 +180,53 @@ class MergeTable:
             token[here[some]], size[here[some]] = ended[some], depth
 
 
+# words of at most so many bytes are merged by scanning all their pairs
+SCANNED_BYTES = 40
+
+
 def merge_exactly(word: bytes, table: MergeTable) -> list[int]:
     """Ids of one word: the lowest-ranked pair, of equal ones the leftmost, is
     merged until none is left."""
-    ids = [int(i) for i in table.byte[list(word)]]
+    byte, size, rank_of, made = table.byte_list, table.size, table.rank_of.get, table.made
+    ids = [byte[c] for c in word]
+    if len(ids) > SCANNED_BYTES:
+        return _merge_queued(ids, table)
+    ranks = [rank_of(a * size + b, NEVER) for a, b in zip(ids, ids[1:])]
+    while ranks:
+        rank = min(ranks)
+        if rank == NEVER:
+            break
+        i = ranks.index(rank)
+        token = ids[i] = made[rank]
+        del ids[i + 1], ranks[i]
+        if i:
+            ranks[i - 1] = rank_of(ids[i - 1] * size + token, NEVER)
+        if i < len(ranks):
+            ranks[i] = rank_of(token * size + ids[i + 1], NEVER)
+    return ids
+
+
+def _merge_queued(ids: list[int], table: MergeTable) -> list[int]:
+    """The same for long words, with the pairs in a queue."""
+    size, rank_of = table.size, table.rank_of.get
     after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-    merge = table.merge
-    queue = []
-    for i in range(len(ids) - 1):
-        known = merge.get((ids[i], ids[i + 1]))
-        if known:
-            queue.append((known[0], i, known[1]))
+    queue = [(rank_of(ids[i] * size + ids[i + 1], NEVER), i) for i in range(len(ids) - 1)]
     heapify(queue)
     while queue:
-        rank, i, made = heappop(queue)
+        rank, i = heappop(queue)
+        if rank == NEVER:
+            break
         j = after[i]
         # the pair may have changed since it was queued
-        if ids[i] < 0 or j < 0 or merge.get((ids[i], ids[j]), (None, None))[0] != rank:
+        if ids[i] < 0 or j < 0 or rank_of(ids[i] * size + ids[j], NEVER) != rank:
             continue
-        ids[i], ids[j] = made, -1
+        ids[i], ids[j] = table.made[rank], -1
         k = after[i] = after[j]
         if k >= 0:
             before[k] = i
         for p, q in ((before[i], i), (i, k)):
-            known = merge.get((ids[p], ids[q])) if p >= 0 and q >= 0 else None
-            if known:
-                heappush(queue, (known[0], p, known[1]))
+            if p >= 0 and q >= 0:
+                heappush(queue, (rank_of(ids[p] * size + ids[q], NEVER), p))
     return [i for i in ids if i >= 0]
 
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -82,6 +83,11 @@ class Numbering(dict):
         return number
 
 
+def one_word(text: str) -> bool:
+    """Letters, with or without a space before them, are one pre-token."""
+    return text.isalpha() or text[0] == " " and text[1:].isalpha()
+
+
 class Block:
     """Documents and the numbered chunks of their texts."""
 
@@ -106,20 +112,29 @@ class Block:
         found = Numbering()
         number = found.__getitem__
         whole = specials.fullmatch if specials else (lambda c: None)
-        # letters, with or without the space, are one pre-token
-        parts = [[number(c)] if c.isalpha() or c[0] == " " and c[1:].isalpha() or whole(c)
-                 else [number(w) for w in split(c)] for c in self.chunks]
+        parts = [[number(c)] if one_word(c) or whole(c) else [number(w) for w in split(c)] for c in self.chunks]
         self.chunks = Numbering()           # no longer needed
         return list(found), parts
 
 
-def _solve(batches, pattern: str, block_chars: int, solve, specials: tuple):
+@contextmanager
+def without_gc():
+    """No search for cycles while millions of small lists are made; afterwards
+    as before, as the worker is used again by other queries."""
     import gc
-    split = splitter(pattern)
-    specials = special_finder(specials)
     was_on = gc.isenabled()
-    gc.disable()            # millions of small lists, no cycles
+    gc.disable()
     try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()
+
+
+def _solve(batches, pattern: str, block_chars: int, solve, specials: tuple):
+    split = splitter(pattern)
+    specials = special_finder(specials)
+    with without_gc():
         block = Block()
         for b in batches:
             for doc_id, value in zip(b.column(0).to_pylist(), b.column(1)):
@@ -129,9 +144,6 @@ def _solve(batches, pattern: str, block_chars: int, solve, specials: tuple):
                     block = Block()
         if block.ids:
             yield from solve(block, *block.words(split, specials))
-    finally:
-        if was_on:          # the worker is used again by other queries
-            gc.enable()
 
 
 def special_finder(specials: tuple):
