@@ -47,6 +47,38 @@ def test_asof_cogroup(spark, sides, width):
     np.testing.assert_allclose(got.loc[m, "rv"].values, want.loc[m, "rv"].values)
 
 
+@pytest.mark.parametrize("bucket", [None, "auto", 3, 50])
+def test_asof_ties_and_null_times(spark, bucket):
+    """Equal times on the right give the last one by the tie columns, however
+    rows are bucketed; null times and keys match nothing on either side."""
+    rng = np.random.default_rng(6)
+
+    def some(n, **more):
+        t = rng.integers(0, 40, n).astype(object)
+        t[rng.random(n) < 0.1] = None
+        k = rng.integers(0, 3, n).astype(object)
+        k[rng.random(n) < 0.05] = None
+        return [tuple(r) for r in zip(k, t, *(v.tolist() for v in more.values()))]
+    left = some(150, lid=np.arange(150))
+    right = some(300, a=rng.integers(0, 4, 300), rid=np.arange(300))
+    want = {}
+    for k, t, lid in left:
+        fit = [r for r in right if None not in (k, t, r[0], r[1]) and r[0] == k and r[1] <= t]
+        want[lid] = max(fit, key=lambda r: (r[1], r[2], r[3]))[3] if fit else None
+    ldf = spark.createDataFrame(left, "k long, time long, lid long").repartition(4)
+    rdf = spark.createDataFrame(right, "k long, time long, a long, rid long").repartition(3)
+    cut = (lambda c: F.floor(c / bucket)) if isinstance(bucket, int) else bucket
+    got = asof_join(ldf, rdf, ["k"], "time", bucket=cut, tie_break=["a", "rid"])
+    assert {r["lid"]: r["rid"] for r in got.collect()} == want
+    merged = asof_cogroup(ldf, rdf, ["k"], "time", "k long, time long, lid long, a long, rid long", bucket=cut,
+                          key_buckets=3, tie_break=["a", "rid"])
+    rows = merged.collect()
+    assert {r["lid"]: r["rid"] for r in rows} == want and len(rows) == 150
+    # without tie columns the answer is still the same for every bucketing
+    plain = {r["lid"]: r["rid"] for r in asof_join(ldf, rdf, ["k"], "time", bucket=cut).collect()}
+    assert plain == {r["lid"]: r["rid"] for r in asof_join(ldf, rdf, ["k"], "time").collect()}
+
+
 def test_exact_quantiles(spark):
     rng = np.random.default_rng(4)
     n = 20000

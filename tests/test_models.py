@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from voxelframe.operators import formula, linear, net, smooth, trees
+from voxelframe.operators import formula, linear, metrics, net, smooth, trees
 from voxelframe.plans.extract import extract_regions
 
 
@@ -194,6 +194,49 @@ def test_net_training_stops_by_its_rule(spark):
     d.unpersist()
 
 
+def test_synchronous_training_is_one_sequence_of_updates(spark):
+    """Every number of tasks gives what a NumPy run over the same slices gives."""
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame(rng.normal(size=(1000, 3)), columns=["a", "b", "c"])
+    pdf["c"] += 0.7 * pdf.a
+    pdf["rid"] = rng.permutation(1000)
+    pdf["split"] = np.where(np.arange(1000) % 5 == 0, "test", "train")
+    cols, epochs, size = ["a", "b", "c"], 4, 150
+    nets = {c: net.init_net(np.random.default_rng(i), 2, (6, 5, 4)) for i, c in enumerate(cols)}
+    rows = pdf[pdf.split == "train"].sort_values("rid")[cols].to_numpy()
+    want = {}
+    for k, c in enumerate(cols):
+        p, m, v, step = net.flatten(nets[c]), 0.0, 0.0, 0
+        want[c] = []
+        for _ in range(epochs):                 # epoch e is measured before its updates
+            want[c].append(p)
+            for at in range(0, len(rows), size):
+                x, y = np.delete(rows[at:at + size], k, axis=1), rows[at:at + size, k]
+                layers = net.unflatten(p, 2, (6, 5, 4))
+                g = net.flatten(net.backward(layers, *net.forward(layers, x), y)) / len(y)
+                step += 1
+                m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+                p = p - 0.01 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    for parts, tasks in ((1, 1), (8, 4), (3, 3)):
+        d = spark.createDataFrame(pdf).repartition(parts)
+        found, hist = net.train_synchronous(d, cols, nets, ["rid"], epochs, batch_rows=size, tasks=tasks)
+        assert [h[1] for h in hist if h[0] == "a"] == [0, 1, 2, 3]
+        for k, c in enumerate(cols):
+            x, y = np.delete(rows, k, axis=1), rows[:, k]
+            mse = [np.mean((y - net.forward(net.unflatten(p, 2, (6, 5, 4)), x)[0][-1][:, 0]) ** 2) for p in want[c]]
+            assert [x[4] for x in hist if x[0] == c] == pytest.approx(mse, rel=1e-9)
+            np.testing.assert_allclose(net.flatten(found[c]), want[c][int(np.argmin(mse))], rtol=1e-7, atol=1e-10)
+
+
+def test_synchronous_training_odd_tables(spark):
+    nets = {"a": net.init_net(np.random.default_rng(0), 1, (2, 2))}
+    few = spark.createDataFrame([(1.0, 2.0, 1, "train"), (2.0, 1.0, 2, None)], "a double, b double, rid int, split string")
+    found, hist = net.train_synchronous(few, ["a", "b"], nets, ["rid"], 2, tasks=4)
+    assert len(hist) == 2 and hist[1][4] < hist[0][4] and hist[0][5] is not None
+    _, hist = net.train_synchronous(few.limit(0), ["a", "b"], nets, ["rid"], 2, tasks=4)
+    assert hist[0][2:] == (None, None, None, None)
+
+
 def test_net_goes_on_while_small_falls_add_up(spark):
     rng = np.random.default_rng(8)
     pdf = pd.DataFrame(rng.normal(size=(1200, 2)), columns=["a", "b"])
@@ -322,6 +365,44 @@ def test_volume_smoothing(spark):
         assert r["s"] == pytest.approx(num / den)
 
 
+def test_volume_smoothing_axis_by_axis(spark):
+    """Radius 3 with most voxels missing: neighbours reach each other over
+    places that hold none; a voxel without a value takes its neighbours'."""
+    rng = np.random.default_rng(15)
+    vol = np.where(rng.random((6, 7, 8)) < 0.3, rng.normal(size=(6, 7, 8)), np.nan)
+    empty = tuple(np.argwhere(np.isnan(vol))[3])
+    rows = [(7, *map(int, p), float(vol[p])) for p in np.ndindex(vol.shape) if not np.isnan(vol[p])]
+    rows += [(7, *map(int, empty), None), (8, 0, 0, 0, None), (8, 100, 0, 0, 2.5)]
+    line = smooth.gaussian_kernel(2.5, 3)
+    got = smooth.smooth_volume(spark.createDataFrame(rows, "scan int, x int, y int, z int, v double"), ["scan"], "v", line, "s")
+    found = {tuple(r)[:4]: r["s"] for r in got.collect()}
+    assert set(found) == {r[:4] for r in rows}
+    assert found[(8, 0, 0, 0)] is None and found[(8, 100, 0, 0)] == pytest.approx(2.5)
+    for (scan, *at), s in found.items():
+        if scan == 8:
+            continue
+        num = den = 0.0
+        for a, b, c, w in smooth.gaussian_kernel_3d(2.5, 3):
+            p = (at[0] + a, at[1] + b, at[2] + c)
+            if all(0 <= i < m for i, m in zip(p, vol.shape)) and not np.isnan(vol[p]):
+                num, den = num + w * vol[p], den + w
+        assert s == pytest.approx(num / den, rel=1e-9)
+
+
+def test_metrics_with_missing_values(spark):
+    rows = [(1.0, 1.5), (2.0, None), (4.0, 3.5), (None, 1.0), (9.0, 8.0), (None, None)]
+    both = np.array([r for r in rows if None not in r])
+    df = spark.createDataFrame(rows, "y double, p double")
+    r = metrics.regression_metrics(df, [], "y", "p").first()
+    sse = ((both[:, 0] - both[:, 1]) ** 2).sum()
+    assert (r["n"], r["mse"]) == (3, pytest.approx(sse / 3))
+    assert r["r2"] == pytest.approx(1 - sse / (both[:, 0].var() * 3))
+    assert metrics.regression_metrics(df, [], "y", "p", "prediction").first()["r2"] == pytest.approx(
+        1 - sse / (both[:, 1].var() * 3))
+    none = metrics.regression_metrics(df.filter("p is null"), [], "y", "p").first()
+    assert none["n"] == 0 and none["mse"] is None
+
+
 def test_gbt_importance(spark, wide):
     pdf, df = wide
     cols = [f"x{i}" for i in range(5)]

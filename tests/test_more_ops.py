@@ -220,6 +220,47 @@ def test_high_variance_confounds_on_the_time_side(spark):
         assert abs(got[f"c{k}"].to_numpy() @ u[:, k]) == pytest.approx(1.0, abs=1e-8)
 
 
+def scan_vectors(x, keep, n):
+    """NumPy's leading time vectors of the detrended series of the kept voxels."""
+    sel, tt = x[:, keep], np.arange(len(x)) - (len(x) - 1) / 2
+    sel = sel - sel.mean(0) - np.outer(tt, tt @ sel / (tt @ tt))
+    return np.linalg.svd(sel, full_matrices=False)[0][:, :n]
+
+
+def test_high_variance_confounds_by_the_size_of_each_scan(spark, monkeypatch):
+    """Scans small in time, small in voxels and large on both sides together;
+    the large ones in tiles, with noise, a dominant component, and low rank."""
+    from voxelframe.operators import subspace
+    monkeypatch.setattr(subspace, "TILE", 16)
+    rng = np.random.default_rng(5)
+    scans = {s: rng.normal(size=n) * rng.uniform(0.5, 3, n[1]) for s, n in
+             {"noise": (50, 90), "few times": (12, 90), "few voxels": (80, 9)}.items()}
+    scans["dominant"] = rng.normal(size=(60, 40)) + 1e5 * np.outer(rng.normal(size=60), rng.normal(size=40))
+    scans["low rank"] = rng.normal(size=(45, 2)) @ rng.normal(size=(2, 50))
+    pdf = pd.concat([pd.DataFrame({"scan_id": s, "voxel_id": np.tile(np.arange(x.shape[1]), len(x)),
+                                   "t": np.repeat(np.arange(len(x)), x.shape[1]), "value": x.ravel()}) for s, x in scans.items()])
+    got = high_variance_confounds(spark.createDataFrame(pdf), percentile=100.0, max_side=20, n_confounds=3).toPandas()
+    for s, x in scans.items():
+        want = scan_vectors(x, x.var(0) > x.var(0).min(), 3)
+        found = got[got.scan_id == s].sort_values("t")[["c0", "c1", "c2"]].to_numpy(float)
+        if s == "low rank":
+            assert np.isnan(found[:, 2]).all()
+            want, found = want[:, :2], found[:, :2]
+        np.testing.assert_allclose(np.abs(found), np.abs(want), atol=1e-7)
+
+
+def test_tiles_refuse_missing_cells(spark):
+    from voxelframe.operators import subspace
+    cells = spark.createDataFrame([(1, i, j, 1.0) for i in range(5) for j in range(4) if (i, j) != (3, 2)],
+                                  "s int, i long, j long, v double")
+    with pytest.raises(Exception, match="missing or repeated"):
+        subspace.tiles_of(cells, ["s"], "i", "j", "v", tile=4).collect()
+    edge = spark.createDataFrame([(1, i, j, 1.0) for i in range(5) for j in range(4) if not (i == 4 and j == 3)],
+                                 "s int, i long, j long, v double")
+    with pytest.raises(Exception, match="edge of a tile"):
+        subspace.tiles_of(edge, ["s"], "i", "j", "v", tile=4).collect()
+
+
 def test_tournament_select(spark):
     fit = spark.createDataFrame([(i, float((i * 7) % 11)) for i in range(50)], "formula_id long, fitness double")
     w = formula.tournament_select(fit, n_slots=200, k=5, seed=1).toPandas()

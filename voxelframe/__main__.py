@@ -1,7 +1,7 @@
 """Command line for the batch jobs (runs under spark-submit as well).
 
   python -m voxelframe extract --worklist W --voxels V --atlas A --atlas-name N --out O
-        [--confounds C] [--target hdd|base] [--no-standardize] [--detrend]
+        [--confounds C] [--target hdd|runs|base] [--run NAME] [--no-standardize] [--detrend]
         [--max-per-person K] [--no-skip-existing]
   python -m voxelframe models --regions R --labels L --out O [--method ols|lasso]
         [--alpha 0.001] [--split sequential|person|random] [--test-frac 0.3]
@@ -33,7 +33,8 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--atlas-name", default="harvard_oxford")
     e.add_argument("--out", required=True)
     e.add_argument("--confounds")
-    e.add_argument("--target", choices=["hdd", "base"], default="hdd")
+    e.add_argument("--target", choices=["hdd", "runs", "base"], default="hdd")
+    e.add_argument("--run", help="name of the run for --target runs")
     e.add_argument("--no-standardize", action="store_true")
     e.add_argument("--detrend", action="store_true")
     e.add_argument("--max-per-person", type=int)
@@ -68,7 +69,7 @@ def run(args: list[str], spark=None) -> None:
         s = run_extraction(spark, a.worklist, a.voxels, a.atlas, a.atlas_name, a.out, target=a.target,
                            confounds_path=a.confounds, skip_existing=not a.no_skip_existing,
                            standardize=not a.no_standardize, detrend=a.detrend,
-                           max_per_person=a.max_per_person)
+                           max_per_person=a.max_per_person, run=a.run)
         print(f"extracted {s.count()} scans")
         return
     regions = spark.read.parquet(a.regions)

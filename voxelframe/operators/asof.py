@@ -13,7 +13,11 @@ is cut into buckets:
    *earlier* bucket;
 3. result = in-bucket match, else the carried match.
 
-Exact for any bucket width; the width only decides how work is spread.
+Exact for any bucket width; the width only decides how work is spread.  Of
+right rows with equal key and time the one that is last by ``tie_break`` counts
+(columns in ascending order, nulls first), of equal ones the one with the
+largest hash of its row, so every bucketing gives the same answer.  Rows with a
+null time or key match nothing: such left rows stay, unmatched.
 A cogrouped pandas form over the same (key, bucket) groups is provided for
 the grouped-map API (``asof_cogroup``).
 """
@@ -34,11 +38,25 @@ def _bucket(on: str, bucket: Callable[[Column], Column] | None) -> Column:
 RANGES_PER_TASK = 4
 
 
+TIE = "_tie"
+
+
+def _with_tie(right: DataFrame, by: Sequence[str], on: str, tie_break: Sequence[str]) -> DataFrame:
+    """Right rows that can match, with ``TIE``: a struct that orders rows of
+    equal key and time."""
+    hashed = [f.name for f in right.schema.fields if "map<" not in f.dataType.simpleString()]
+    known = F.col(on).isNotNull()
+    for c in by:
+        known = known & F.col(c).isNotNull()
+    return right.filter(known).withColumn(
+        TIE, F.struct(*[F.col(c).alias(f"t{i}") for i, c in enumerate(tie_break)], F.xxhash64(*hashed).alias("hash")))
+
+
 def range_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``_b``, the number of a sampled range of (key, time,
     side, row): Spark cuts the ranges evenly, so hot keys, bursts and equal
-    times are spread, and a key's ranges ascend in time.  Both sides are
-    dealt out together and written once."""
+    times are spread, and a key's ranges ascend in time and ``TIE``.  Both sides
+    are dealt out together and written once."""
     import uuid
 
     from voxelframe.session import table_path
@@ -46,10 +64,13 @@ def range_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str)
 
     def tagged(df, side, own, other, other_type):
         row = F.struct(*[F.col(c) for c in df.columns])
+        tie = F.col(TIE) if side == 0 else F.lit(None).cast(right.schema[TIE].dataType)
+        hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
         return df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*by, on])], F.lit(side).alias("_side"),
-                         F.xxhash64(row).alias("_tie"), row.alias(own), F.lit(None).cast(other_type).alias(other))
+                         tie.alias("_order"), F.xxhash64(*hashed).alias("_row"), row.alias(own),
+                         F.lit(None).cast(other_type).alias(other))
     both = tagged(left, 1, "_l", "_r", right.schema).unionByName(tagged(right, 0, "_r", "_l", left.schema))
-    order = [*[f"_k{i}" for i in range(len(by) + 1)], "_side", "_tie"]
+    order = [*[f"_k{i}" for i in range(len(by) + 1)], "_side", "_order", "_row"]
     # several ranges per later task, so that hashing them evens out
     parts = RANGES_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
     both = both.repartitionByRange(parts, *order).select("_side", "_l", "_r", F.spark_partition_id().alias("_b"))
@@ -69,7 +90,7 @@ def _with_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
               bucket: Callable[[Column], Column] | None = None,
-              right_prefix: str = "") -> DataFrame:
+              right_prefix: str = "", tie_break: Sequence[str] = ()) -> DataFrame:
     """Left rows with the payload columns of the matched right row.
 
     ``bucket`` maps the time column to a bucket id that is monotone in time
@@ -77,6 +98,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
     time (``range_buckets``); None means one bucket per key.
     Right payload columns are renamed with ``right_prefix``; the right time
     is returned as ``right_prefix + on`` when a prefix is given.
+    ``tie_break`` names right columns that order right rows of equal time.
     """
     by = list(by)
     payload = [c for c in right.columns if c not in by and c != on]
@@ -88,20 +110,20 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
         raise ValueError(f"right columns {sorted(clash)} clash with left columns; set right_prefix")
 
     rstruct = F.struct(F.col(on).alias("_rt"), *[F.col(c).alias(out_names[c]) for c in payload])
-    L, R = _with_buckets(left, right, by, on, bucket)
+    L, R = _with_buckets(left, _with_tie(right, by, on, tie_break), by, on, bucket)
     L = L.withColumn("_side", F.lit(1))
-    R = R.withColumn("_side", F.lit(0)).select(*by, on, "_b", "_side", rstruct.alias("_r"))
+    R = R.withColumn("_side", F.lit(0)).select(*by, on, "_b", "_side", TIE, rstruct.alias("_r"))
 
     # (1) within bucket; right rows sort before left rows at equal time (<=)
     u = L.withColumn("_r", F.lit(None).cast(R.schema["_r"].dataType)).unionByName(
         R, allowMissingColumns=True)
-    w = (Window.partitionBy(*by, "_b").orderBy(F.col(on), F.col("_side"))
+    w = (Window.partitionBy(*by, "_b").orderBy(F.col(on), F.col("_side"), F.col(TIE))
                .rowsBetween(Window.unboundedPreceding, 0))
     inb = (u.repartition(*by, "_b").withColumn("_m", F.last("_r", ignorenulls=True).over(w))
-             .filter(F.col("_side") == 1).drop("_r", "_side"))
+             .filter(F.col("_side") == 1).drop("_r", "_side", TIE))
 
     # (2) last right row per (key, bucket), carried into later buckets
-    last_r = R.groupBy(*by, "_b").agg(F.max_by("_r", F.col(on)).alias("_r"))
+    last_r = R.groupBy(*by, "_b").agg(F.max_by("_r", F.struct(F.col(on), F.col(TIE))).alias("_r"))
     lkeys = L.select(*by, "_b").distinct().withColumn("_side", F.lit(0))
     ku = lkeys.withColumn("_r", F.lit(None).cast(R.schema["_r"].dataType)).unionByName(
         last_r.withColumn("_side", F.lit(1)))
@@ -111,7 +133,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
                .filter(F.col("_side") == 0).select(*by, "_b", "_c"))
 
     j = inb.join(carry, [*by, "_b"], "left")
-    m = F.coalesce(F.col("_m"), F.col("_c"))
+    m = F.when(F.col(on).isNotNull(), F.coalesce(F.col("_m"), F.col("_c")))
     sel = [F.col(c) for c in lcols]
     if rt_name:
         sel.append(m["_rt"].alias(rt_name))
@@ -121,7 +143,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
 
 def asof_cogroup(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
                  schema: str, bucket: Callable[[Column], Column] | None = None,
-                 key_buckets: int | None = None) -> DataFrame:
+                 key_buckets: int | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
     """Same semantics through ``cogroup().applyInPandas`` with
     ``pandas.merge_asof(by=...)``.
 
@@ -143,13 +165,15 @@ def asof_cogroup(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
     right = right.select(*[F.col(c).alias(c) for c in right.columns])
     # a sampled range is a group of its own
     hb = F.lit(0) if bucket == "auto" else F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(key_buckets))
-    L, R = _with_buckets(left, right, by, on, bucket)
+    L, R = _with_buckets(left, _with_tie(right, by, on, tie_break), by, on, bucket)
     L = L.withColumn("_hb", hb)
     R = R.withColumn("_hb", hb)
     payload = [c for c in right.columns if c not in by and c != on]
+    ties = [f"_t{i}" for i in range(len(tie_break) + 1)]
+    R = R.select("*", *[F.col(TIE)[f].alias(t) for f, t in zip(R.schema[TIE].dataType.names, ties)])
 
     # carried-in right row for each (key, bucket) that has left rows
-    last_r = R.groupBy(*by, "_b").agg(F.max_by(F.struct(on, *payload), F.col(on)).alias("_r"))
+    last_r = R.groupBy(*by, "_b").agg(F.max_by(F.struct(on, *payload, *ties), F.struct(F.col(on), F.col(TIE))).alias("_r"))
     lkeys = L.select(*by, "_b").distinct().withColumn("_side", F.lit(0))
     ku = lkeys.withColumn("_r", F.lit(None).cast(last_r.schema["_r"].dataType)).unionByName(
         last_r.withColumn("_side", F.lit(1)))
@@ -158,14 +182,18 @@ def asof_cogroup(left: DataFrame, right: DataFrame, by: Sequence[str], on: str,
     carried = (ku.withColumn("_c", F.last("_r", ignorenulls=True).over(wk))
                  .filter((F.col("_side") == 0) & F.col("_c").isNotNull())
                  .select(*by, "_b", "_c.*").withColumn("_hb", hb))
-    cols = [*by, "_b", "_hb", on, *payload]
+    cols = [*by, "_b", "_hb", on, *payload, *ties]
     R2 = R.select(*cols).unionByName(carried.select(*cols))
 
     def merge(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        lp = lp.drop(columns=["_b", "_hb"]).sort_values(on, kind="stable")
-        if rp.empty:
+        lp = lp.drop(columns=["_b", "_hb"])
+        timed = lp[lp[[on, *by]].notna().all(axis=1)].sort_values(on, kind="stable")
+        if rp.empty or timed.empty:
             return lp.assign(**{c: None for c in payload})
-        rp = rp.drop(columns=["_b", "_hb"]).sort_values(on, kind="stable")
-        return pd.merge_asof(lp, rp, on=on, by=by, direction="backward")
+        rp = rp.sort_values([on, *ties], kind="stable", na_position="first").drop(columns=["_b", "_hb", *ties])
+        # the key's type follows the left side, which may hold nulls
+        rp = rp.astype({c: timed[c].dtype for c in [on, *by]})
+        found = pd.merge_asof(timed, rp, on=on, by=by, direction="backward").set_index(timed.index)
+        return lp.join(found[payload])
 
     return L.groupBy("_hb", "_b").cogroup(R2.groupBy("_hb", "_b")).applyInPandas(merge, schema)

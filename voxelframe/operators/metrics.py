@@ -3,7 +3,8 @@
 R² = 1 - SSE / SST with SST = n * var_pop(y); a constant target gives 1
 when the fit is exact and 0 otherwise.  ``denominator='prediction'``
 reproduces metrics computed with the arguments swapped (SST taken from the
-predictions).
+predictions).  Every figure, the count included, is over the rows that have
+both values; without any, n is 0, R² is 0 and the errors are null.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ def _r2(sse: Column, sst: Column) -> Column:
 def metric_columns(y: str, p: str, denominator: str = "target", prefix: str = "") -> list[Column]:
     e = F.col(y) - F.col(p)
     sse = F.sum(e * e)
-    base = F.col(p) if denominator == "prediction" else F.col(y)
+    both = F.col(y).isNotNull() & F.col(p).isNotNull()
+    base = F.when(both, F.col(p) if denominator == "prediction" else F.col(y))
     sst = F.var_pop(base) * F.count(base)
-    return [F.count(F.lit(1)).alias(prefix + "n"),
+    return [F.count(base).alias(prefix + "n"),
             _r2(sse, sst).alias(prefix + "r2"),
             F.avg(e * e).alias(prefix + "mse"),
             F.avg(F.abs(e)).alias(prefix + "mae")]

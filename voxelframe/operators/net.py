@@ -11,11 +11,20 @@ Scoring: each Arrow batch is pushed through all nets at once and only
 per-target metric sums leave the task, relative to a row of the data so that
 no precision is lost on unscaled regions.
 
-Training: one Spark job per epoch.  Every partition takes its rows in slices
-of ``batch_rows`` and makes one Adam update per slice on its own copy of the
-nets; the copies (weights and moments) are then averaged by rows, in two levels of groups
-(no call receives more than the square root of the partitions).  Training
-stops when the error no longer falls.
+Training: one Spark job per epoch, in one of two forms.
+
+* ``train_synchronous``: the train rows in a total order are cut into slices of
+  ``batch_rows``; a barrier stage of a few tasks holds an even share of every
+  slice each, the tasks exchange their gradients slice by slice, and every
+  slice gives one Adam update.  The result is that of one machine working
+  through the same slices, however many tasks share them.
+* ``train``: every partition makes one Adam update per slice of its own rows on
+  its own copy of the nets; the copies (weights and moments) are averaged by
+  rows after the epoch, in two levels of groups (no call receives more than the
+  square root of the partitions).  Spreads over any number of tasks, but is not
+  one sequence of updates.
+
+Training stops when the error no longer falls.
 """
 
 from __future__ import annotations
@@ -223,6 +232,38 @@ def _add(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([out])
 
 
+def _fit(nets: dict, max_epochs: int, tol: float, patience: int, one_epoch):
+    """Epochs until the stop rule holds.  ``one_epoch(nets, moments)`` gives
+    ({(region, split): metric sums}, the nets and moments after its updates)."""
+    moments: dict = {}
+    history, best, stale, least, mark = [], dict(nets), 0, {}, {}
+    for epoch in range(max_epochs):
+        rows, after, moments = one_epoch(nets, moments)
+        errors = {}
+        for region in nets:
+            vals = {}
+            for sp in ("train", "test"):
+                r = rows.get((region, sp))
+                if r is None:
+                    vals[sp] = (None, None)
+                    continue
+                sst = r["spp"] - r["sp"] ** 2 / r["n"]
+                r2 = 1 - r["see"] / sst if sst > 0 else (1.0 if r["see"] == 0 else 0.0)
+                vals[sp] = (float(r2), float(r["see"] / r["n"]))
+            history.append((region, epoch, vals["train"][0], vals["test"][0], vals["train"][1], vals["test"][1]))
+            errors[region] = vals["train"][1]
+        fell = [r for r, e in errors.items() if e is not None and (r not in mark or e < mark[r] * (1 - tol))]
+        mark.update((r, errors[r]) for r in fell)
+        for r, e in errors.items():
+            if e is not None and e <= least.get(r, np.inf):
+                least[r], best[r] = e, nets[r]
+        stale = 0 if fell else stale + 1
+        if stale >= patience:
+            break
+        nets = after
+    return best, history
+
+
 def train(df: DataFrame, cols: Sequence[str], nets: dict, max_epochs: int, lr: float = LEARNING_RATE,
           split_col: str = "split", batch_rows: int = BATCH_ROWS, tol: float = 0.0, patience: int = 3):
     """Mini-batch Adam on the MSE of every region's net, data-parallel.
@@ -239,47 +280,144 @@ def train(df: DataFrame, cols: Sequence[str], nets: dict, max_epochs: int, lr: f
     sc = df.sparkSession.sparkContext
     shift = _shift(df, cols)
     schema = METRIC_SCHEMA + ", g array<double>, w double, k double"
-    moments: dict = {}
     data = df.select(*cols, split_col)
     # groups of the first level
     spread = max(1, int(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5))
-    history, best, stale, least, mark = [], dict(nets), 0, {}, {}
-    for epoch in range(max_epochs):
+
+    def one_epoch(nets, moments):
         sent = sc.broadcast((nets, moments))
 
-        def run(it, sent=sent):
+        def run(it):
             return _epoch(it, *sent.value, cols, split_col, shift, lr, batch_rows)
         parts = data.mapInPandas(run, schema)
         level = parts.groupBy("region", "split", F.pmod(F.spark_partition_id(), F.lit(spread))).applyInPandas(_add, schema)
         rows = {(r["region"], r["split"]): r for r in level.groupBy("region", "split").applyInPandas(_add, schema).collect()}
         sent.unpersist()
-        errors = {}
-        for region in nets:
-            vals = {}
-            for sp in ("train", "test"):
-                r = rows.get((region, sp))
-                if r is None:
-                    vals[sp] = (None, None)
-                    continue
-                sst = r["spp"] - r["sp"] ** 2 / r["n"]
-                r2 = 1 - r["see"] / sst if sst > 0 else (1.0 if r["see"] == 0 else 0.0)
-                vals[sp] = (float(r2), float(r["see"] / r["n"]))
-            history.append((region, epoch, vals["train"][0], vals["test"][0], vals["train"][1], vals["test"][1]))
-            errors[region] = vals["train"][1]
-        fell = [r for r, e in errors.items() if e is not None and (r not in mark or e < mark[r] * (1 - tol))]
-        mark.update((r, errors[r]) for r in fell)
-        for r, e in errors.items():
-            if e is not None and e <= least.get(r, np.inf):
-                least[r], best[r] = e, nets[r]
-        stale = 0 if fell else stale + 1
-        if stale >= patience:
-            break
-        after = {}
+        after, moved = {}, dict(moments)
         for r, layers in nets.items():
             row = rows.get((r, "train"))
             if row is not None and row["w"]:
                 p, m, v = np.split(np.asarray(row["g"]) / row["w"], 3)
-                layers, moments[r] = unflatten(p, len(cols) - 1, hidden[r]), ((m, v), int(row["k"]))
+                layers, moved[r] = unflatten(p, len(cols) - 1, hidden[r]), ((m, v), int(row["k"]))
             after[r] = layers
-        nets = after
-    return best, history
+        return rows, after, moved
+    return _fit(nets, max_epochs, tol, patience, one_epoch)
+
+
+# tasks that share a slice: each takes batch_rows / SYNC_TASKS rows of it, and
+# every task receives the gradients of all others once a slice
+SYNC_TASKS = 8
+
+
+def _slices(batches, cols):
+    """Rows sorted by slice -> (slice, rows) with the rows of each slice together."""
+    held, number = [], None
+    for pdf in batches:
+        for s, some in pdf.groupby("_slice", sort=True):
+            if s != number and held:
+                yield number, np.concatenate(held)
+                held = []
+            number = s
+            held.append(some[cols].to_numpy(dtype=np.float64))
+    if held:
+        yield number, np.concatenate(held)
+
+
+def _sync_epoch(batches, nets, moments, cols, shift, lr, n_slices):
+    """One barrier task's part of an epoch.  Rows of slice -1 are test rows and
+    come first.  Every task makes the same updates; the first returns them."""
+    import base64
+
+    from pyspark import BarrierTaskContext
+    context = BarrierTaskContext.get()
+    regions = [(k, r) for k, r in enumerate(cols) if r in nets]
+    adams = {r: _Adam(flatten(nets[r]), lr, *moments.get(r, ())) for _, r in regions}
+    hidden = {r: tuple(len(b) for _, b in nets[r][:-1]) for _, r in regions}
+    sums: dict = {}
+    rest = _slices(batches, cols)
+    number, rows = next(rest, (None, None))
+
+    def measure(rows, split):
+        for k, r in regions:
+            p = forward(nets[r], np.delete(rows, k, axis=1))[0][-1][:, 0]
+            sums[(r, split)] = sums.get((r, split), 0.0) + _metric_sums(rows[:, k], p, shift[k])
+    if number == -1:
+        measure(rows, "test")
+        number, rows = next(rest, (None, None))
+    for s in range(n_slices):
+        own = np.zeros((0, len(cols)))
+        if number == s:
+            own = rows
+            measure(own, "train")
+            number, rows = next(rest, (None, None))
+        parts = [np.array([float(len(own))])]
+        for k, r in regions:
+            x, y = np.delete(own, k, axis=1), own[:, k]
+            layers = unflatten(adams[r].p, len(cols) - 1, hidden[r])
+            parts.append(flatten(backward(layers, *forward(layers, x), y)))
+        told = context.allGather(base64.b64encode(np.concatenate(parts).tobytes()).decode())
+        total = sum(np.frombuffer(base64.b64decode(t)) for t in told)
+        at = 1
+        for _, r in regions:
+            size = len(adams[r].p)
+            adams[r].update(total[at:at + size] / total[0])
+            at += size
+    first = context.partitionId() == 0
+    out = [(r, s, *v, None, None) for (r, s), v in sums.items()]
+    out += [(r, "state", *[0.0] * len(METRICS), a.state().tolist(), float(a.step)) for r, a in adams.items() if first]
+    yield pd.DataFrame(out, columns=["region", "split", *METRICS, "g", "k"])
+
+
+def train_synchronous(df: DataFrame, cols: Sequence[str], nets: dict, order_by: Sequence[str], max_epochs: int,
+                      lr: float = LEARNING_RATE, split_col: str = "split", batch_rows: int = BATCH_ROWS,
+                      tol: float = 0.0, patience: int = 3, tasks: int | None = None):
+    """As ``train``, but as one sequence of updates: the train rows in the order
+    of ``order_by`` (a total order) are cut into slices of ``batch_rows`` rows
+    and each slice gives one Adam update of every net.
+
+    ``tasks`` barrier tasks (at most the cores there are; by default up to
+    ``SYNC_TASKS``) hold an even share of each slice and exchange gradients; a
+    lost task repeats the epoch.  Rows are numbered and dealt out once."""
+    from pyspark import StorageLevel
+
+    from voxelframe.operators.ordinal import add_time_ordinal
+    cols, order_by = list(cols), list(order_by)
+    sc = df.sparkSession.sparkContext
+    hidden = {r: tuple(len(b) for _, b in layers[:-1]) for r, layers in nets.items()}
+    tasks = min(tasks or SYNC_TASKS, sc.defaultParallelism)
+    shift = _shift(df, cols)
+    is_train = F.coalesce(F.col(split_col) == "train", F.lit(False))
+    numbered = add_time_ordinal(df.filter(is_train).select(*dict.fromkeys([*cols, *order_by])), [], order_by[0],
+                                order_by[1:], "_nth")
+    place = F.pmod(F.col("_nth"), F.lit(tasks))
+    train_rows = numbered.select(*cols, F.floor(F.col("_nth") / batch_rows).alias("_slice"), place.alias("_task"))
+    test_rows = df.filter(~is_train).select(*cols, F.lit(-1).cast("bigint").alias("_slice"),
+                                            F.pmod(F.xxhash64(*order_by), F.lit(tasks)).cast("bigint").alias("_task"))
+    data = (train_rows.unionAll(test_rows).repartitionByRange(tasks, "_task").sortWithinPartitions("_slice")
+            .select(*cols, "_slice").persist(StorageLevel.MEMORY_AND_DISK))
+    schema = METRIC_SCHEMA + ", g array<double>, k double"
+    try:
+        last = data.agg(F.max("_slice")).first()[0]
+        n_slices = 0 if last is None else last + 1
+
+        def one_epoch(nets, moments):
+            sent = sc.broadcast((nets, moments))
+
+            def run(it):
+                return _sync_epoch(it, *sent.value, cols, shift, lr, n_slices)
+            found = data.mapInPandas(run, schema, barrier=True).collect()
+            sent.unpersist()
+            rows: dict = {}
+            after, moved = dict(nets), {}
+            for r in found:
+                if r["split"] == "state":
+                    p, m, v = np.split(np.asarray(r["g"]), 3)
+                    after[r["region"]], moved[r["region"]] = unflatten(p, len(cols) - 1, hidden[r["region"]]), ((m, v), int(r["k"]))
+                    continue
+                total = rows.setdefault((r["region"], r["split"]), dict.fromkeys(METRICS, 0.0))
+                for m in METRICS:
+                    total[m] += r[m]
+            return rows, after, moved
+        return _fit(nets, max_epochs, tol, patience, one_epoch)
+    finally:
+        data.unpersist()

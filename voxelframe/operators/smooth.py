@@ -1,13 +1,16 @@
 """Neighbourhood (Gaussian) smoothing of voxel values.
 
-Two physical forms of the same operator:
+Physical forms of the same operator:
 
 * ``smooth_array``: all voxels of one time point sit in one array column;
   smoothing is a per-row higher-order-function expression -- no shuffle.
 * ``smooth_long``: long voxel rows; every row sends ``w * value`` to each
   neighbour within the kernel (fan-out = kernel size, bounded), and a
   grouped sum per target voxel divides by the summed weights of the
-  neighbours that exist (weights renormalised at the edges).
+  neighbours that exist (weights renormalised at the edges);
+* ``smooth_volume``: volumes; a kernel that is a product of one line of weights
+  per axis takes one pass per axis over numerator and weight, so a voxel is
+  sent to 3 (2r + 1) places instead of (2r + 1)^3.
 """
 
 from __future__ import annotations
@@ -78,8 +81,34 @@ def gaussian_kernel_3d(fwhm: float, radius: int) -> list[tuple[int, int, int, fl
     return [(a, b, c, u * v * w) for a, u in line for b, v in line for c, w in line]
 
 
+def _smooth_by_axis(df: DataFrame, keys: Sequence[str], axes: Sequence[str], value: str, line, name: str) -> DataFrame:
+    """One pass per axis along ``line`` (offset, weight): numerator and weight
+    are smoothed alike, so their quotient is that of the product kernel.
+    Places without a voxel carry sums between passes, as a voxel may reach
+    another only by way of them; the sums sent with offset zero in every pass
+    mark the places that hold a voxel."""
+    if sum(o == 0 for o, _ in line) != 1:
+        raise ValueError("the kernel must hold offset zero once")
+    there = F.col(value).isNotNull()
+    d = df.select(*keys, *axes, F.col(value).cast("double").alias("_num"), F.when(there, F.lit(1.0)).alias("_den"),
+                  F.lit(True).alias("_own"))
+    ks = F.array(*[F.struct(F.lit(int(o)).alias("o"), F.lit(float(w)).alias("w")) for o, w in line])
+    for axis in axes:
+        sent = d.select("*", F.explode(ks).alias("k"))
+        sent = sent.select(*keys, *[(F.col(a) - F.col("k.o")).alias(a) if a == axis else F.col(a) for a in axes],
+                           (F.col("_num") * F.col("k.w")).alias("_num"), (F.col("_den") * F.col("k.w")).alias("_den"),
+                           (F.col("_own") & (F.col("k.o") == 0)).alias("_own"))
+        d = sent.groupBy(*keys, *axes).agg(F.sum("_num").alias("_num"), F.sum("_den").alias("_den"), F.max("_own").alias("_own"))
+    return d.filter("_own").select(*keys, *axes, (F.col("_num") / F.col("_den")).alias(name))
+
+
 def smooth_volume(df: DataFrame, keys: Sequence[str], value: str, kernel, name: str,
                   axes: Sequence[str] = ("x", "y", "z")) -> DataFrame:
     """Neighbourhood smoothing of volumes: voxel rows (keys..., x, y, z,
-    value) with weights renormalised where neighbours are missing."""
+    value) with weights renormalised where neighbours are missing.  A kernel
+    of (offset, weight) rows stands for the product of that line along every
+    axis and takes a pass per axis; one of (dx, dy, dz, weight) rows may have
+    any shape and is sent out whole."""
+    if all(len(k) == 2 for k in kernel):
+        return _smooth_by_axis(df, list(keys), list(axes), value, kernel, name)
     return _smooth(df, keys, list(axes), value, kernel, name)

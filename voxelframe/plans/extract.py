@@ -58,10 +58,12 @@ def quarantine(stats: DataFrame, checks: dict) -> tuple[DataFrame, DataFrame]:
 
 
 def scan_status(work: DataFrame, regions: DataFrame, confounds: DataFrame | None = None,
-                key: str = "scan_id", t: str = "t") -> tuple[DataFrame, DataFrame]:
+                key: str = "scan_id", t: str = "t", outcome: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(good, quarantined): one row for every scan of the work list, with
     n_timepoints, n_gaps (time points without a confound row), status and
-    error.  A scan without voxel rows or with gaps is quarantined."""
+    error.  A scan without voxel rows or with gaps is quarantined, and one
+    whose row in ``outcome`` (key, error; see ``operators.guarded``) names an
+    error."""
     points = regions.groupBy(key).agg(F.count(F.lit(1)).alias("n_timepoints"))
     stats = work.join(points, key, "left").withColumn("n_timepoints", F.coalesce("n_timepoints", F.lit(0)))
     if confounds is None:
@@ -69,8 +71,13 @@ def scan_status(work: DataFrame, regions: DataFrame, confounds: DataFrame | None
     else:
         gaps = time_gaps(regions, confounds, [key, t]).withColumnRenamed("missing", "n_gaps")
         stats = stats.join(gaps, key, "left").withColumn("n_gaps", F.coalesce("n_gaps", F.lit(0)))
-    return quarantine(stats, {"no voxel rows": F.col("n_timepoints") == 0,
-                              "time points without confounds": F.col("n_gaps") > 0})
+    checks = {"no voxel rows": F.col("n_timepoints") == 0, "time points without confounds": F.col("n_gaps") > 0}
+    if outcome is None:
+        return quarantine(stats, checks)
+    stats = stats.join(outcome.select(key, F.col("error").alias("_raised")), key, "left")
+    good, bad = quarantine(stats, checks)
+    raised = good.filter("_raised is not null").withColumns({"status": F.lit("error"), "error": F.col("_raised")})
+    return good.filter("_raised is null").drop("_raised"), bad.unionByName(raised).drop("_raised")
 
 
 def _written(spark, out: str, target: str, atlas_name: str):
@@ -81,6 +88,9 @@ def _written(spark, out: str, target: str, atlas_name: str):
     if target == "base":
         rows = keyed.scan(spark, out, files.DATASET, atlas_name)
         return rows.select(F.expr(f"substring(row_key, {len(files.KEY_PREFIX) + 1})").alias("scan_id")).distinct()
+    if target == "runs":
+        from voxelframe.sources import committed
+        return committed.current(spark, out).select(F.col("scan").alias("scan_id"))
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(out)
     return listing.select("scan_id").distinct() if "scan_id" in listing.columns else None
 
@@ -88,16 +98,21 @@ def _written(spark, out: str, target: str, atlas_name: str):
 def run_extraction(spark, worklist_path: str, voxel_path: str, atlas_path: str, atlas_name: str,
                    out: str, target: str = "hdd", confounds_path: str | None = None,
                    skip_existing: bool = True, standardize: bool = True, detrend: bool = False,
-                   max_per_person: int | None = None) -> DataFrame:
+                   max_per_person: int | None = None, per_scan=None, run: str | None = None) -> DataFrame:
     """The extraction job end to end.
 
     work-list (path, person) -> scan ids from the paths -> optionally drop
     scans already written -> their voxel rows (semi join) -> atlas labels
     (unknown atlas fails first) -> region series (confounds optional) ->
-    sink ('hdd' per-scan CSV files, 'base' keyed table).  Returns a row for
-    every scan of the work list that was not skipped: scan_id, person,
-    n_timepoints, n_gaps, status, error.  Scans with an error are not
-    written; the others are.
+    sink ('hdd' per-scan CSV files, 'runs' the same, visible all together as
+    the run ``run``, 'base' keyed table).  ``per_scan`` is a function of one
+    scan's region rows (scan_id, t, x0.., in order of t) that returns rows of
+    the same columns, e.g. a cleaning step of the user's own; a scan for which
+    it raises is reported with the exception and the others go on.
+
+    Returns a row for every scan of the work list that was not skipped:
+    scan_id, person, n_timepoints, n_gaps, status, error.  Scans with an error
+    are not written; the others are.
     """
     from pyspark import StorageLevel
 
@@ -132,11 +147,16 @@ def run_extraction(spark, worklist_path: str, voxel_path: str, atlas_path: str,
     # checkpointed before the rows are released
     wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        good, bad = scan_status(work, wide, conf)
+        rows, outcome = wide, None
+        if per_scan is not None:
+            from voxelframe.operators.guarded import guarded_groups
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide.schema if f.name != "scan_id")
+            rows, outcome = guarded_groups(wide, ["scan_id"], per_scan, schema, order_by=["t"])
+        good, bad = scan_status(work, wide, conf, outcome=outcome)
         status = materialize(good.unionByName(bad))
         keep = status.filter(F.col("status") == "ok").select("scan_id", "person")
-        files.route_sink(wide.join(sized_broadcast(keep), "scan_id"), target, out, "scan_id", person="person",
-                         atlas=atlas_name)
+        files.route_sink(rows.join(sized_broadcast(keep), "scan_id"), target, out, "scan_id", person="person",
+                         atlas=atlas_name, run=run)
         return status
     finally:
         wide.unpersist()

@@ -302,13 +302,10 @@ NET_RULE = {"max_epochs": 10_000, "tol": 0.02, "patience": 3}
 
 @query("net_train")
 def net_train(spark, sf_dir):
-    """Every region's net trained in slices until its error stops falling;
-    the metric history per epoch."""
-    d = region_matrix(spark, sf_dir).select(*REGION_COLS, "split").persist()
-    try:
-        _, hist = net.train(d, REGION_COLS, _init_nets(0), **NET_RULE)
-    finally:
-        d.unpersist()
+    """Every region's net trained slice by slice, one update for each slice of
+    all train rows, until its error stops falling; the metric history per epoch."""
+    d = region_matrix(spark, sf_dir).select(*REGION_COLS, "split", *ROW)
+    _, hist = net.train_synchronous(d, REGION_COLS, _init_nets(0), ROW, **NET_RULE)
     return small_table(spark,
         hist, "region string, epoch int, r2_train double, r2_test double, mse_train double, mse_test double")
 
@@ -472,12 +469,9 @@ def cross_cohort_nets(spark, sf_dir):
     """Nets trained on one cohort, saved to the weights table,
     loaded back by (cohort, region), scored on the other cohort; R² with
     swapped arguments to 4 digits and the regions flagged below 0."""
-    d = region_matrix(spark, sf_dir, with_cohort=True).select(*REGION_COLS, "split", "cohort")
-    men = d.filter(F.col("cohort") == "men").persist()
-    try:
-        nets, _ = net.train(men, REGION_COLS, _init_nets(0), **NET_RULE)
-    finally:
-        men.unpersist()
+    d = region_matrix(spark, sf_dir, with_cohort=True).select(*REGION_COLS, *ROW, "split", "cohort")
+    men = d.filter(F.col("cohort") == "men")
+    nets, _ = net.train_synchronous(men, REGION_COLS, _init_nets(0), ROW, **NET_RULE)
     path = table_path(spark, f"net_weights_{uuid.uuid4().hex}")
     net.weights_table(spark, nets, "men").write.mode("overwrite").parquet(path)
     loaded = net.nets_from_table(spark.read.parquet(path), "men")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from voxelframe.functions.json_cells import from_cells
@@ -12,13 +13,14 @@ from voxelframe.functions.numeric import DRAW_BITS, r6, random_int, softplus, sq
 from voxelframe.functions.regions import to_long
 from voxelframe.operators import formula
 from voxelframe.operators.aggregates import atlas_labels, region_means
-from voxelframe.operators.joins import first_n_per_key
+from voxelframe.operators.guarded import guarded_rows
+from voxelframe.operators.joins import broadcast_if_small, first_n_per_key
 from voxelframe.plans.extract import scan_status
 from voxelframe.plans.q_stats import _FIT_SQL, FORMULAS
 from voxelframe.plans.registry import query
 from voxelframe.plans.stand_ins import ATLAS, DATASET, REGION_COLS, ROW_KEY_PREFIX, SERIES_SQL, series
 from voxelframe.session import table_path
-from voxelframe.sources import files, keyed, voxel
+from voxelframe.sources import committed, files, keyed, voxel
 from voxelframe.tables import small_table, table
 
 
@@ -50,6 +52,22 @@ def file_count(spark, sf_dir):
     return small_table(spark, [(files.count_files(spark, out + "/*/*.csv"),)], "n_files bigint")
 
 
+@query("committed_runs", f"""SELECT CAST(user_id AS VARCHAR) AS scan, t, CASE WHEN user_id % 3 = 0 THEN value + 1 ELSE value END AS value,
+  CASE WHEN user_id % 3 = 0 THEN 'second' ELSE 'first' END AS run FROM ({SERIES_SQL})""")
+def committed_runs(spark, sf_dir):
+    """Per-scan files written as runs that are visible whole: a first run, the
+    same run again with other values (nothing is written twice), and a second
+    one that replaces every third scan."""
+    s = series(spark, sf_dir, cols=("event_id", "ts", "user_id", "value")).select("user_id", "t", "value")
+    out = _scratch(spark, "runs")
+    more = s.withColumn("value", F.col("value") + 1)
+    files.route_sink(s, "runs", out, "user_id", run="first")
+    files.route_sink(more, "runs", out, "user_id", run="first")
+    files.route_sink(more.filter(F.col("user_id") % 3 == 0), "runs", out, "user_id", run="second")
+    rows = committed.read_runs(spark, out, "value double")
+    return rows.join(committed.current(spark, out).select("scan", "run"), "scan").select("scan", "t", "value", "run")
+
+
 @query("csv_any_order", f"SELECT user_id, t, value FROM ({SERIES_SQL})")
 def csv_any_order(spark, sf_dir):
     """Region CSVs whose headers list their columns in two orders."""
@@ -220,6 +238,43 @@ def extraction_status(spark, sf_dir):
     return good.unionByName(bad).select("user_id", "person", "n_timepoints", "n_gaps", "status", "error")
 
 
+_DAY = "date_diff('day', DATE '1970-01-01', CAST(ts AS DATE))"
+
+
+@query("guarded_fits", f"""WITH s AS (SELECT user_id, event_type, count(*) AS n, count(*) FILTER (WHERE event_id % 97 = 0) AS lost,
+  min({_DAY}) AS first_day FROM events GROUP BY 1, 2),
+m AS (SELECT user_id, event_type, s.n, s.lost, sum(x)::DOUBLE AS sx, sum(x * x)::DOUBLE AS sxx, sum(y) AS sy, sum(x * y) AS sxy
+  FROM (SELECT user_id, event_type, value AS y, ({_DAY} - first_day)::DOUBLE AS x FROM events JOIN s USING (user_id, event_type))
+  JOIN s USING (user_id, event_type) GROUP BY ALL),
+d AS (SELECT *, n * sxx - sx * sx AS det FROM m)
+SELECT user_id, event_type, CASE WHEN lost > 0 OR det = 0 THEN 'error' ELSE 'ok' END AS status,
+  CASE WHEN lost > 0 THEN 'ValueError: ' || lost || ' values are missing' WHEN det = 0 THEN 'LinAlgError: Singular matrix' END AS error,
+  CASE WHEN lost = 0 AND det <> 0 THEN {sql_r6("(n * sxy - sx * sy) / det", 4)} END AS slope,
+  CASE WHEN lost = 0 AND det <> 0 THEN {sql_r6("(sxx * sy - sx * sxy) / det", 4)} END AS intercept FROM d""")
+def guarded_fits(spark, sf_dir):
+    """A line through the values of every (user, event type), from sums added
+    up natively; scans with missing values or a single day raise inside their
+    fit and appear as error rows, all others are fitted."""
+    ev = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.datediff(F.to_date("ts"), F.lit("1970-01-01")).alias("day"), "value",
+        (F.col("event_id") % 97 == 0).cast("int").alias("lost"))
+    keys = ["user_id", "event_type"]
+    first = broadcast_if_small(ev.groupBy(*keys).agg(F.min("day").alias("first_day")))
+    x = (F.col("day") - F.col("first_day")).cast("double")
+    sums = ev.join(first, keys).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("lost").alias("lost"), F.sum(x).alias("sx"), F.sum(x * x).alias("sxx"),
+        F.sum("value").alias("sy"), F.sum(x * F.col("value")).alias("sxy"))
+
+    def line(r):
+        if r["lost"]:
+            raise ValueError(f"{r['lost']} values are missing")
+        b = np.linalg.solve([[r["n"], r["sx"]], [r["sx"], r["sxx"]]], [r["sy"], r["sxy"]])
+        return {"intercept": float(b[0]), "slope": float(b[1])}
+    fits, status = guarded_rows(sums, keys, line, "intercept double, slope double")
+    return status.join(fits, keys, "left").select(*keys, "status", "error", r6(F.col("slope"), 4).alias("slope"),
+                                                  r6(F.col("intercept"), 4).alias("intercept"))
+
+
 # ------------------------------------------------------------- rows and functions
 @query("positional_zip", """SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (
   PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r FROM orders) WHERE r <= 2""")

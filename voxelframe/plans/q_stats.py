@@ -73,6 +73,26 @@ def regr_metrics_swapped(spark, sf_dir):
     return m.select("region", "n", r6(F.col("r2")).alias("r2"))
 
 
+def _metrics_sql(keys, y, p):
+    """All metrics over the rows that have both values."""
+    return (f"{keys}, count(*) AS n, {sql_r6(_r2_sql(y, p, y))} AS r2, {sql_r6(_r2_sql(y, p, p))} AS r2_swapped, "
+            f"{sql_r6(f'avg(({y} - {p}) * ({y} - {p}))')} AS mse, {sql_r6(f'avg(abs({y} - {p}))')} AS mae")
+
+
+@query("regr_metrics_gaps", f"""WITH d AS ({_PRED_SQL}),
+g AS (SELECT region, CASE WHEN l_orderkey % 7 <> 0 THEN y END AS y, CASE WHEN l_orderkey % 5 <> 0 THEN p END AS p FROM d)
+SELECT {_metrics_sql("region", "y", "p")} FROM g WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY region""")
+def regr_metrics_gaps(spark, sf_dir):
+    """Metrics where some truths and some predictions are missing: every
+    figure is over the rows that have both."""
+    d = predictions(spark, sf_dir)
+    d = d.select("region", F.when(F.col("l_orderkey") % 7 != 0, F.col("y")).alias("y"),
+                 F.when(F.col("l_orderkey") % 5 != 0, F.col("p")).alias("p"))
+    swapped = metrics.metric_columns("y", "p", denominator="prediction")[1].alias("r2_swapped")
+    m = d.groupBy("region").agg(*metrics.metric_columns("y", "p"), swapped)
+    return m.select("region", "n", *[r6(F.col(c)).alias(c) for c in ("r2", "r2_swapped", "mse", "mae")])
+
+
 @query("score_matrix", f"""WITH d AS (SELECT *, CASE WHEN l_shipdate < TIMESTAMP '{TRAIN_BEFORE}' THEN 'train' ELSE 'test' END AS split FROM ({_PRED_SQL}))
 SELECT region,
   round_even({_r2_sql("CASE WHEN split = 'train' THEN y END", 'p', "CASE WHEN split = 'train' THEN y END")}, 2) AS r2_train,
@@ -316,6 +336,7 @@ def neighbour_smooth_long(spark, sf_dir):
     return sm.select("vec_id", "pos", r6(F.col("s")).alias("s"))
 
 
+KERNEL_LINE = smooth.gaussian_kernel(fwhm=2.0, radius=1)
 KERNEL_3D = smooth.gaussian_kernel_3d(fwhm=2.0, radius=1)
 _CUBE = "SELECT vec_id, label, pos % 4 AS x, pos // 4 % 4 AS y, pos // 16 AS z, v FROM e WHERE (pos + vec_id) % 9 <> 0"
 
@@ -327,12 +348,12 @@ SELECT a.vec_id, CAST(a.x AS INTEGER) AS x, CAST(a.y AS INTEGER) AS y, CAST(a.z
 FROM c a JOIN k ON true JOIN c b ON b.vec_id = a.vec_id AND b.x = a.x + dx AND b.y = a.y + dy AND b.z = a.z + dz GROUP BY ALL""")
 def volume_smooth(spark, sf_dir):
     """Each vector as a 4 x 4 x 4 volume with some voxels missing, smoothed
-    with a 3 x 3 x 3 kernel."""
+    with a 3 x 3 x 3 kernel, one axis after the other."""
     p = F.col("pos")
     vox = _emb_long(spark, sf_dir).filter((p + F.col("vec_id")) % 9 != 0).select(
         "vec_id", (p % 4).alias("x"), F.floor(p / 4).cast("int") % 4, F.floor(p / 16).cast("int").alias("z"), "v")
     vox = vox.toDF("vec_id", "x", "y", "z", "v")
-    out = smooth.smooth_volume(vox, ["vec_id"], "v", KERNEL_3D, "s")
+    out = smooth.smooth_volume(vox, ["vec_id"], "v", KERNEL_LINE, "s")
     return out.select("vec_id", "x", "y", "z", r6(F.col("s")).alias("s"))
 
 

@@ -10,7 +10,7 @@ from voxelframe.functions import json_cells, paths
 from voxelframe.functions.numeric import r6, sql_r6
 from voxelframe.functions.regions import first_missing, pairwise_products
 from voxelframe.operators.aggregates import distinct_sorted_int, region_means
-from voxelframe.operators.asof import asof_join
+from voxelframe.operators.asof import asof_cogroup, asof_join
 from voxelframe.operators.joins import expand_worklist, label_lookup, route, skip_done
 from voxelframe.operators.ordinal import add_ordinal, numeric_split, prefix_sum
 from voxelframe.plans.registry import query
@@ -290,6 +290,46 @@ def asof_last_event(spark, sf_dir):
     return asof_join(left, right, ["user_id"], "ts", bucket="auto", right_prefix="click_")
 
 
+_ASOF_TIES_SQL = """
+WITH l AS (SELECT event_id, user_id, CASE WHEN event_id % 11 <> 0 THEN date_trunc('day', ts) END AS day FROM events
+    WHERE event_type = 'purchase'),
+r AS (SELECT user_id, day, last(event_id ORDER BY value, event_id) AS view_id, last(value ORDER BY value, event_id) AS value
+  FROM (SELECT event_id, user_id % 7 AS user_id, value, CASE WHEN event_id % 13 <> 0 THEN date_trunc('day', ts) END AS day
+        FROM events WHERE event_type = 'view') WHERE day IS NOT NULL GROUP BY user_id, day)
+SELECT l.event_id, l.user_id % 7 AS user_id, l.day, r.day AS view_day, r.view_id AS view_event_id, r.value AS view_value
+FROM l ASOF LEFT JOIN r ON l.user_id % 7 = r.user_id AND l.day >= r.day"""
+
+
+def _tied_sides(spark, sf_dir):
+    """Users in seven groups and times in whole days, some unknown, so that
+    many right rows share a group and a time."""
+    ev = table(spark, sf_dir, "events")
+
+    def side(kind, every):
+        day = F.when(F.col("event_id") % every != 0, F.date_trunc("day", "ts").cast("timestamp_ntz"))
+        return ev.filter(F.col("event_type") == kind).select("event_id", (F.col("user_id") % 7).alias("user_id"),
+                                                             day.alias("day"), "value")
+    return side("purchase", 11).drop("value"), side("view", 13)
+
+
+@query("asof_ties", _ASOF_TIES_SQL)
+def asof_ties(spark, sf_dir):
+    """Latest view at or before each purchase where many views share a time:
+    of those the one with the largest value, then id."""
+    left, right = _tied_sides(spark, sf_dir)
+    return asof_join(left, right, ["user_id"], "day", bucket="auto", right_prefix="view_", tie_break=["value", "event_id"])
+
+
+@query("asof_ties_cogroup", _ASOF_TIES_SQL)
+def asof_ties_cogroup(spark, sf_dir):
+    """The same through the cogrouped form."""
+    left, right = _tied_sides(spark, sf_dir)
+    right = right.select("user_id", "day", F.col("event_id").alias("view_event_id"), F.col("value").alias("view_value"),
+                         F.col("day").alias("view_day"))
+    schema = ("event_id long, user_id long, day timestamp_ntz, view_event_id long, view_value double, view_day timestamp_ntz")
+    return asof_cogroup(left, right, ["user_id"], "day", schema, bucket="auto", tie_break=["view_value", "view_event_id"])
+
+
 # ------------------------------------------------------------- positions, names
 @query("row_by_position", """
 WITH c AS (SELECT c_name, row_number() OVER (ORDER BY c_nationkey, c_custkey) - 1 AS pos FROM customer)

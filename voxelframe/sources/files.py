@@ -197,8 +197,9 @@ ATLAS = "harvard_oxford"
 
 
 def route_sink(df: DataFrame, target: str, out: str, key: str, t: str = "t", person: str | None = None,
-               dataset: str = DATASET, atlas: str = ATLAS, version: int | None = None) -> None:
-    """Write regions to files (``hdd``) or to the keyed table (``base``).
+               dataset: str = DATASET, atlas: str = ATLAS, version: int | None = None, run: str | None = None) -> None:
+    """Write regions to files (``hdd``), to files that become visible all
+    together as the run ``run`` (``runs``), or to the keyed table (``base``).
 
     The keyed row of a scan has the key prefix plus the scan's name, the
     number in column ``person`` (default: the number the scan's name starts
@@ -207,6 +208,11 @@ def route_sink(df: DataFrame, target: str, out: str, key: str, t: str = "t", per
     the same key."""
     if target == "hdd":
         write_per_scan(df.drop(person) if person else df, out, key, t)
+    elif target == "runs":
+        from voxelframe.sources import committed
+        if run is None:
+            raise ValueError("a committed write needs the name of its run")
+        committed.write_run(df.drop(person) if person else df, out, run, key, t)
     elif target == "base":
         import time
         from voxelframe.functions.json_cells import to_cells
