@@ -413,6 +413,45 @@ def test_gbt_importance(spark, wide):
     assert "_pred" in pred.columns
 
 
+def test_split_counts_equal_a_walk_over_the_trees(spark, wide, tmp_path):
+    import re
+    _, df = wide
+    cols = [f"x{i}" for i in range(5)]
+    model, feats, _ = trees.fit_region(df, cols, "x4", max_iter=8)
+    trees.save_model(model, str(tmp_path / "m"))
+    walked = re.findall(r"If \(feature (\d+) <= ([^)]+)\)", model.toDebugString)
+    want = pd.Series([feats[int(f)] for f, _ in walked]).value_counts()
+    rows = trees.split_counts(spark, str(tmp_path / "m"), feats, "x4").collect()
+    assert {r["feature"]: r["splits"] for r in rows} == want.to_dict()
+    assert [r["splits"] for r in rows] == sorted(want, reverse=True)
+    nodes = trees.node_table(spark, str(tmp_path / "m"))
+    assert sorted(nodes.filter("feature is not null").toPandas()["threshold"]) == sorted(float(t) for _, t in walked)
+    assert nodes.filter("feature is null").count() == model.toDebugString.count("Predict:")
+    assert nodes.filter("node = 0").agg(F.min("rows")).first()[0] > 0
+
+
+def test_fits_side_by_side_give_the_same_models(spark, wide):
+    _, df = wide
+    cols = [f"x{i}" for i in range(5)]
+    d = df.withColumn("split", F.when(F.col("rid") % 4 == 0, "test").otherwise("train"))
+    runs = [[sorted(map(tuple, x.collect())) for x in trees.fit_all_regions(d, cols, max_iter=4, split_col="split", at_once=n)]
+            for n in (1, 3)]
+    assert runs[0] == runs[1] and len(runs[0][1]) == 10
+    # work inherits the caller's properties, keeps its order, and its first error comes through
+    sc = spark.sparkContext
+    sc.setLocalProperty("whose", "caller")
+
+    def work(i):
+        if i == 7:
+            raise KeyError(i)
+        return i, sc.getLocalProperty("whose"), sc.getLocalProperty("spark.scheduler.pool")
+    assert trees.side_by_side(spark, work, range(6), 3) == [(i, "caller", f"side_{i % 3}") for i in range(6)]
+    assert sc.getLocalProperty("spark.scheduler.pool") is None
+    with pytest.raises(KeyError):
+        trees.side_by_side(spark, work, [1, 7, 2], 2)
+    sc.setLocalProperty("whose", None)
+
+
 def test_smoothing_forms_agree(spark):
     rng = np.random.default_rng(8)
     vecs = rng.normal(size=(20, 12))

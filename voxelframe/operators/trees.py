@@ -23,12 +23,11 @@ MAX_ITER = 500
 HELD_OUT, PATIENCE, FIRST, GROWTH = 0.2, 30, 40, 4
 
 
-def _best_count(gbt: GBTRegressor, train: DataFrame, held: DataFrame, max_iter: int):
-    """The model of as many trees as have the least error on ``held``.
+def _best_count(gbt: GBTRegressor, train: DataFrame, held: DataFrame, max_iter: int) -> int:
+    """How many trees have the least error on ``held``.
 
     Spark's own validation stops at the first tree that gains too little, so
-    the errors of all trees built are read instead.  Trees are seeded: a
-    shorter fit has the first trees of a longer one."""
+    the errors of all trees built are read instead."""
     n = min(FIRST, max_iter)
     while True:
         model = gbt.copy({gbt.maxIter: n}).fit(train)
@@ -37,18 +36,19 @@ def _best_count(gbt: GBTRegressor, train: DataFrame, held: DataFrame, max_iter:
         if n == max_iter or n - best >= PATIENCE:
             break
         n = min(n * GROWTH, max_iter)
-    return model if best == n else gbt.copy({gbt.maxIter: best}).fit(train)
+    return best
 
 
 def fit_region(df: DataFrame, cols: Sequence[str], target: str, max_iter: int = MAX_ITER,
                id_cols: Sequence[str] = (), min_gain: float | None = None, **kw):
     """Fit one region from all the others; returns (model, feature names).
 
-    With ``id_cols`` a seeded share of the rows is held out and the model has
-    as many trees as give the least error on them; boosting ends once
-    ``PATIENCE`` further trees have not lowered it, or, with ``min_gain``, at
-    the first tree that lowers it by less than this share.  Without (or if no
-    row is held out), all ``max_iter`` trees are built."""
+    With ``id_cols`` a seeded share of the rows is held out to choose the
+    number of trees, the one with the least error on them (the search ends
+    once ``PATIENCE`` further trees have not lowered it); that many trees are
+    then fitted on all rows.  With ``min_gain`` boosting ends at the first tree
+    that lowers the held-out error by less than this share.  Without
+    ``id_cols`` (or if no row is held out), all ``max_iter`` trees are built."""
     feats = [c for c in cols if c != target]
     va = VectorAssembler(inputCols=feats, outputCol="_features")
     params = {**GBT_DEFAULTS, **kw}
@@ -62,7 +62,7 @@ def fit_region(df: DataFrame, cols: Sequence[str], target: str, max_iter: int =
             return model, feats, va
         train, held = rows.filter(~F.col("_held")), rows.filter("_held")
         if not held.isEmpty() and not train.isEmpty():
-            return _best_count(gbt, train, held, max_iter), feats, va
+            return gbt.copy({gbt.maxIter: _best_count(gbt, train, held, max_iter)}).fit(rows), feats, va
     model = gbt.fit(va.transform(df))
     return model, feats, va
 
@@ -89,12 +89,62 @@ def load_model(path: str):
     return GBTRegressionModel.load(path)
 
 
+def node_table(spark: SparkSession, path: str) -> DataFrame:
+    """The nodes of a saved model: (tree, node, feature, threshold, gain,
+    rows); feature (an index) and threshold are null in leaves."""
+    n = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    return n.select(F.col("treeID").alias("tree"), F.col("id").alias("node"),
+                    F.when(inner, F.col("split.featureIndex")).alias("feature"),
+                    F.when(inner & (F.col("split.numCategories") < 0),
+                           F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"),
+                    F.when(inner, F.col("gain")).alias("gain"), F.col("rawCount").alias("rows"))
+
+
+def split_counts(spark: SparkSession, path: str, feats: Sequence[str], region: str, top: int = 50) -> DataFrame:
+    """(region, feature, splits, gain, rows) of a saved model: how often each
+    feature is split on, and the gain and rows of those splits added up; the
+    ``top`` most frequent, features without a split not at all."""
+    names = F.array(*[F.lit(f) for f in feats])
+    counts = node_table(spark, path).filter("feature is not null").groupBy("feature").agg(
+        F.count(F.lit(1)).alias("splits"), F.sum("gain").alias("gain"), F.sum("rows").alias("rows"))
+    return (counts.select(F.lit(region).alias("region"), F.get(names, F.col("feature")).alias("feature"), "splits", "gain", "rows")
+                  .orderBy(F.desc("splits"), "feature").limit(top))
+
+
+def side_by_side(spark: SparkSession, work, items: Sequence, at_once: int) -> list:
+    """``work(item)`` for every item in threads of one Spark application, up to
+    ``at_once`` together; results in order.  Each thread inherits the caller's
+    job group and local properties and has a scheduler pool of its own, so with
+    the FAIR scheduler (``session.DEFAULT_CONF``) the jobs share the cores
+    evenly.  The first error is raised after the running ones have ended."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    sc = spark.sparkContext
+
+    def one(place, item):
+        sc.setLocalProperty("spark.scheduler.pool", f"side_{place % at_once}")
+        return work(item)
+    if at_once <= 1 or len(items) <= 1:
+        return [work(i) for i in items]
+    with ThreadPoolExecutor(at_once) as threads:
+        # each submission wraps anew: the properties are those of this thread
+        running = [threads.submit(inheritable_thread_target(one), k, i) for k, i in enumerate(items)]
+        return [r.result() for r in running]
+
+
+# region fits that run together
+FITS_AT_ONCE = 4
+
+
 def fit_all_regions(df: DataFrame, cols: Sequence[str], max_iter: int = MAX_ITER, split_col: str | None = None,
-                    id_cols: Sequence[str] = (), **kw):
+                    id_cols: Sequence[str] = (), at_once: int = FITS_AT_ONCE, **kw):
     """Boosted trees for every region from all the others.
 
-    The input is cached once and read by every fit (tree training itself is
-    iterative inside Spark ML).  Returns (importance rows, score rows
+    The input is cached once and read by every fit; ``at_once`` regions are
+    fitted side by side (the models do not depend on it), as one tree level of
+    one region rarely fills a cluster.  Returns (importance rows, score rows
     (region, split, n, r2, mae)) as DataFrames.
     """
     from pyspark import StorageLevel
@@ -103,15 +153,17 @@ def fit_all_regions(df: DataFrame, cols: Sequence[str], max_iter: int = MAX_ITER
     spark = df.sparkSession
     keep = list(dict.fromkeys([*cols, *([split_col] if split_col else []), *id_cols]))
     d = df.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    imps, scores = [], []
+
+    def one(target):
+        train = d.filter(F.col(split_col) == "train") if split_col else d
+        model, feats, va = fit_region(train, cols, target, max_iter=max_iter, id_cols=id_cols, **kw)
+        m = regression_metrics(predict(model, va, d), [split_col] if split_col else [], target, "_pred").collect()
+        return ([(target, f, float(v)) for f, v in zip(feats, model.featureImportances.toArray())],
+                [(target, r[split_col] if split_col else "all", int(r["n"]), r["r2"], r["mae"]) for r in m])
     try:
-        for target in cols:
-            train = d.filter(F.col(split_col) == "train") if split_col else d
-            model, feats, va = fit_region(train, cols, target, max_iter=max_iter, id_cols=id_cols, **kw)
-            imps += [(target, f, float(v)) for f, v in zip(feats, model.featureImportances.toArray())]
-            pred = predict(model, va, d)
-            m = regression_metrics(pred, [split_col] if split_col else [], target, "_pred").collect()
-            scores += [(target, r[split_col] if split_col else "all", int(r["n"]), r["r2"], r["mae"]) for r in m]
+        d.count()               # cached before the fits start together
+        done = side_by_side(spark, one, list(cols), at_once)
+        imps, scores = ([r for part in parts for r in part] for parts in zip(*done)) if done else ([], [])
     finally:
         d.unpersist()
     return (small_table(spark, imps, "region string, feature string, importance double"),

@@ -247,6 +247,23 @@ def gbt_region(spark, sf_dir):
     return trees.importance_table(spark, model, feats, "l_extendedprice", top=50)
 
 
+SPLIT_TREES = 40
+
+
+@query("gbt_split_counts")
+def gbt_split_counts(spark, sf_dir):
+    """How often each feature is split on by the trees of one region, counted
+    over the nodes of the saved model."""
+    li = table(spark, sf_dir, "lineitem").select(*REGION_COLS).persist()
+    try:
+        fitted, feats, _ = trees.fit_region(li, REGION_COLS, "l_extendedprice", max_iter=SPLIT_TREES)
+    finally:
+        li.unpersist()
+    path = table_path(spark, f"trees_{uuid.uuid4().hex}")
+    trees.save_model(fitted, path)
+    return trees.split_counts(spark, path, feats, "l_extendedprice").select("region", "feature", "splits", "rows")
+
+
 def _init_nets(seed: int = 0, hidden=net.HIDDEN):
     rng = np.random.default_rng(seed)
     return {c: net.init_net(rng, len(REGION_COLS) - 1, hidden) for c in REGION_COLS}
@@ -310,47 +327,6 @@ def net_train(spark, sf_dir):
         hist, "region string, epoch int, r2_train double, r2_test double, mse_train double, mse_test double")
 
 
-@query("gp_search")
-def gp_search(spark, sf_dir):
-    """Symbolic search for l_tax from the other regions (small population
-    and generation count; parameters as in the reference otherwise)."""
-    d = region_matrix(spark, sf_dir).filter(F.col("split") == "train")
-    feats = [c for c in REGION_COLS if c != "l_tax"]
-    best, mse, hist = formula.symbolic_search(
-        d, "l_tax", feats, population=40, generations=3, tournament=5, init_depth=(2, 4),
-        const_range=(-1.0, 1.0), parsimony=0.0005, max_samples=0.9, seed=0,
-        id_cols=["l_orderkey", "l_linenumber"])
-    # the found program scored on train and test rows (one aggregate)
-    from voxelframe.functions.numeric import register_sql_functions
-    register_sql_functions(spark)
-    full = region_matrix(spark, sf_dir).withColumn("_p", F.expr(formula.render(best)))
-    sc = {r["split"]: r for r in metrics.regression_metrics(full, ["split"], "l_tax", "_p").collect()}
-    return small_table(spark,
-        [("l_tax", formula.render(best), float(mse), int(formula.length(best)), len(hist),
-          sc["train"]["r2"], sc["test"]["r2"], sc["train"]["mae"], sc["test"]["mae"])],
-        "region string, program string, mse double, length int, generations int, "
-        "r2_train double, r2_test double, mae_train double, mae_test double")
-
-
-RANDOM_FORMULAS, MIN_DEPTH, MAX_DEPTH = 50, 2, 4
-_LEAVES = [c for c in REGION_COLS if c != "l_tax"]
-
-
-def _eight_digits(v):
-    """Errors span many magnitudes: compare nine significant digits."""
-    return None if v is None or not np.isfinite(v) else float(f"{v:.8e}")
-
-
-def _random_formula_sql():
-    parts = []
-    for i in range(RANDOM_FORMULAS):
-        _, t = formula.seeded_tree(i, MIN_DEPTH, MAX_DEPTH, 0, _LEAVES)
-        e = f"({formula.render(t, 'duckdb')} - l_tax)"
-        parts.append(f"SELECT CAST({i} AS BIGINT) AS formula_id, '{formula.render(t)}' AS expr, "
-                     f"CAST({formula.length(t)} AS INTEGER) AS length, CAST(printf('%.8e', avg({e} * {e})) AS DOUBLE) AS mse FROM lineitem")
-    return " UNION ALL ".join(parts)
-
-
 @query("random_formula_fitness", _random_formula_sql())
 def random_formula_fitness(spark, sf_dir):
     """Random complete trees (constants in [-2, 2], 2 decimals, and region

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # the reference trains on 8096-row slices; keep Arrow batches that size
     "spark.sql.execution.arrow.maxRecordsPerBatch": "8096",
+    # jobs started from several threads (fits side by side) share the cores
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # remove checkpoint files once the DataFrame that owns them is gone
