@@ -336,6 +336,25 @@ def test_values_at_ranks(spark):
         assert got[("x", r)] == srt[r]
 
 
+def test_values_at_ranks_when_the_sketch_is_off(spark):
+    """Grid values far from a rank, infinite values, one value for all rows,
+    and ranges of more values than the driver takes."""
+    from voxelframe.operators.aggregates import values_at_ranks
+    x = np.concatenate([np.arange(3000) / 7, [-np.inf, np.inf, np.inf]])
+    df = spark.createDataFrame(pd.DataFrame({"x": np.random.default_rng(1).permutation(x), "one": 2.5})).repartition(5)
+    srt, n = np.sort(x), len(x)
+    for shift in (-900, 0, 900):
+        cuts = [float(srt[min(n - 1, max(0, int(g / 1000 * n) + shift))]) for g in range(1001)]
+        for most in (5, 20_000):
+            got = values_at_ranks(df, {"x": [0, 1, 2, 700, 1500, 2999, n - 2, n - 1]}, max_candidates=most,
+                                  grids={"x": (n, -np.inf, np.inf, cuts)})
+            assert got == {("x", r): srt[r] for _, r in got}
+    assert values_at_ranks(df, {"one": [0, 1500, n - 1], "x": [1]}) == {
+        ("one", 0): 2.5, ("one", 1500): 2.5, ("one", n - 1): 2.5, ("x", 1): 0.0}
+    with pytest.raises(ValueError):
+        values_at_ranks(df, {"x": [n]})
+
+
 def test_command_line_jobs(spark, tmp_path):
     from voxelframe.__main__ import run
     rng = np.random.default_rng(17)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelframe.operators.joins import sized_broadcast
@@ -93,124 +93,152 @@ def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- quantiles
-def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 4096, max_candidates: int = 20_000,
-                    max_iter: int = 64, bounds: dict | None = None) -> dict:
+# probabilities whose approximate values cut a column into ranges
+GRID = 1000
+
+
+def _grid_column(c: str, accuracy: int) -> Column:
+    return F.percentile_approx(F.col(c).cast("double"), [g / GRID for g in range(GRID + 1)], accuracy)
+
+
+def _grids(df: DataFrame, cols: Sequence[str], accuracy: int, *more: Column):
+    """One pass: per column (count, min, max, values at the grid), and ``more``."""
+    row = df.agg(*[F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"),
+                            _grid_column(c, accuracy).alias("cuts")).alias(f"g{i}") for i, c in enumerate(cols)], *more).first()
+    return {c: tuple(row[f"g{i}"]) for i, c in enumerate(cols)}, row
+
+
+def values_at_ranks(df: DataFrame, wanted: dict, bins: int = 10_000, max_candidates: int = 20_000,
+                    grids: dict | None = None) -> dict:
     """Exact values at 0-based ranks of numeric columns, nulls/NaN skipped.
 
     ``wanted`` is {column: [rank, ...]}; returns {(column, rank): value}.
-    No column is ever gathered in one place: each round is one distributed
-    job that histograms, per target rank, the values still in question
-    (count, min and max per bin); the bin holding the rank becomes the new
-    interval.  Once an interval holds few values they are fetched (one job
-    for all such targets; targets that share an interval share its values,
-    and all intervals together hold at most ``max_candidates``) and the rank
-    is read off.  Values are compared as doubles: integers beyond 2^53
-    raise, and so does a rank not found after ``max_iter`` rounds.
-    ``bounds`` {column: (count, min, max)} skips the first pass.
-    """
+    Three passes over the data, no column is ever sorted or gathered whole:
+
+    1. count, bounds, and approximate values at a grid of probabilities
+       (a mergeable sketch with a rank error of 1 / ``bins``);
+    2. how many values lie below and at the two grid values around each rank;
+       a rank that falls on one of them is found;
+    3. the distinct values of the ranges that hold the other ranks, with their
+       counts (summed before they are shuffled, so ties cost one row).
+
+    Up to ``max_candidates`` distinct values are then read off on the driver;
+    more are dealt out by range, and each rank is picked from the one partition
+    that holds it.  Values are compared as doubles: integers beyond 2^53
+    raise.  ``grids`` {column: (count, min, max, cuts)} skips the first pass."""
     cols = list(wanted)
-    per_interval = max(64, max_candidates // max(1, sum(map(len, wanted.values()))))
-    df = nan_to_null(df, cols)
-    if bounds is None:
-        st = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-                    *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-                    *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-        bounds = {c: (st[f"n{i}"], st[f"lo{i}"], st[f"hi{i}"]) for i, c in enumerate(cols)}
-    state = {}
-    for i, c in enumerate(cols):
-        n, lo, hi = bounds[c]
+    df = nan_to_null(df.select(*cols), cols)
+    if grids is None:
+        grids, _ = _grids(df, cols, bins)
+    found, spans = {}, {}                   # spans: (column, lo, hi) -> ranks
+    for c in cols:
+        n, lo, hi, cuts = grids[c]
         for r in wanted[c]:
             if not n or r < 0 or r >= n:
                 raise ValueError(f"rank {r} outside 0..{n - 1} for {c}")
             if df.schema[c].dataType.typeName() == "long" and max(abs(lo), abs(hi)) > 1 << 53:
                 raise ValueError(f"{c} holds integers that a double cannot tell apart")
-            state[(i, r)] = {"lo": float(lo), "hi": float(hi), "below": 0, "count": n, "value": None}
-
-    def in_interval(i, lo, hi):
-        x = F.col(cols[i]).cast("double")
-        return x, (x >= F.lit(lo)) & (x <= F.lit(hi))
-
-    for _ in range(max_iter):
-        for s_ in state.values():
-            if s_["value"] is None and s_["lo"] == s_["hi"]:
-                s_["value"] = s_["lo"]
-        open_t = [(k, s_) for k, s_ in state.items() if s_["value"] is None]
-        if not open_t:
-            break
-        small = [(k, s_) for k, s_ in open_t if s_["count"] <= per_interval]
-        big = [(k, s_) for k, s_ in open_t if s_["count"] > per_interval]
-        if small:
-            spans = {}
-            for (i, r), s_ in small:
-                spans.setdefault((i, s_["lo"], s_["hi"]), len(spans))
-            entries = []
-            for (i, lo, hi), sid in spans.items():
-                x, cond = in_interval(i, lo, hi)
-                entries.append(F.when(cond, F.struct(F.lit(sid).alias("sid"), x.alias("x"))))
-            got = {}
-            arr = F.filter(F.array(*entries), lambda e: e.isNotNull())
-            for row in df.select(F.explode(arr).alias("e")).select("e.sid", "e.x").orderBy("x").collect():
-                got.setdefault(row["sid"], []).append(row["x"])
-            for (i, r), s_ in small:
-                s_["value"] = got[spans[(i, s_["lo"], s_["hi"])]][r - s_["below"]]
-        if big:
-            # targets sharing a column and an interval share one histogram
-            ivs = {}
-            for (i, r), s_ in big:
-                ivs.setdefault((i, s_["lo"], s_["hi"]), len(ivs))
-            entries = []
-            for (i, lo, hi), iid in ivs.items():
-                x, cond = in_interval(i, lo, hi)
-                b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1))
-                entries.append(F.when(cond, F.struct(F.lit(iid).alias("iid"), b.cast("int").alias("bin"),
-                                                     x.alias("x"))))
-            arr = F.filter(F.array(*entries), lambda e: e.isNotNull())
-            h = (df.select(F.explode(arr).alias("e"))
-                   .groupBy("e.iid", "e.bin")
-                   .agg(F.count(F.lit(1)).alias("c"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
-                   .collect())
-            per = {}
-            for row in h:
-                per.setdefault(row["iid"], []).append((row["bin"], row["c"], row["mn"], row["mx"]))
-            for (i, r), s_ in big:
-                acc = s_["below"]
-                for b, c, mn, mx in sorted(per.get(ivs[(i, s_["lo"], s_["hi"])], [])):
-                    if r < acc + c:
-                        s_.update(lo=mn, hi=mx, below=acc, count=c)
-                        break
-                    acc += c
-    if any(s_["value"] is None for s_ in state.values()):
-        raise RuntimeError(f"ranks not found after {max_iter} rounds")
-    return {(cols[i], r): s_["value"] for (i, r), s_ in state.items()}
+            g = int(r / n * GRID)
+            spans.setdefault((c, float(cuts[max(0, g - 1)]), float(cuts[min(GRID, g + 2)])), []).append(r)
+    if not spans:
+        return {}
+    counts = []
+    for k, (c, lo, hi) in enumerate(spans):
+        x = F.col(c).cast("double")
+        counts += [F.count(F.when(cond, 1)).alias(f"{name}{k}") for name, cond in
+                   (("a", x < lo), ("b", x <= lo), ("c", x < hi), ("d", x <= hi))]
+    row = df.agg(*counts).first()
+    # open intervals still in question: (column, above, below; None: no bound) -> {rank: place inside}
+    inside: dict = {}
+    for k, ((c, lo, hi), ranks) in enumerate(spans.items()):
+        below_lo, upto_lo, below_hi, upto_hi = (row[f"{x}{k}"] for x in "abcd")
+        for r in ranks:
+            if below_lo <= r < upto_lo:
+                found[(c, r)] = lo
+            elif below_hi <= r < upto_hi:
+                found[(c, r)] = hi
+            elif r < below_lo:              # the sketch was off
+                inside.setdefault((c, None, lo), {})[r] = r
+            elif r < below_hi:
+                inside.setdefault((c, lo, hi), {})[r] = r - upto_lo
+            else:
+                inside.setdefault((c, hi, None), {})[r] = r - upto_hi
+    if inside:
+        entries = []
+        for k, (c, lo, hi) in enumerate(inside):
+            x = F.col(c).cast("double")
+            within = x < hi if lo is None else x > lo if hi is None else (x > lo) & (x < hi)
+            entries.append(F.when(within, F.struct(F.lit(k).alias("k"), x.alias("x"))))
+        values = (df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+                    .groupBy("e.k", "e.x").agg(F.count(F.lit(1)).alias("n")))
+        places = [(k, r, at) for k, ranks in enumerate(inside.values()) for r, at in ranks.items()]
+        names = list(inside)
+        for (k, r), v in _pick(values, places, max_candidates).items():
+            found[(names[k][0], r)] = v
+    return found
+
+
+def _pick(values: DataFrame, places: list, max_candidates: int) -> dict:
+    """{(k, r): x} for ``places`` (k, r, at): the ``at``-th of the values x of
+    interval k, each counted n times."""
+    import bisect
+
+    from voxelframe.session import materialize
+    from voxelframe.tables import small_table
+    values = materialize(values)
+    few = values.limit(max_candidates + 1).collect()
+    if len(few) <= max_candidates:
+        out = {}
+        for k in {k for k, _, _ in places}:
+            xs = sorted((r["x"], r["n"]) for r in few if r["k"] == k)
+            upto, total = [], 0
+            for _, n in xs:
+                total += n
+                upto.append(total)
+            for _, r, at in (p for p in places if p[0] == k):
+                out[(k, r)] = xs[bisect.bisect_right(upto, at)][0]
+        return out
+    spark = values.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(values.repartitionByRange(parts, "k", "x").select("*", F.spark_partition_id().alias("part")))
+    sums = {(r["k"], r["part"]): r["n"] for r in dealt.groupBy("k", "part").agg(F.sum("n").alias("n")).collect()}
+    wanted = []
+    for k, r, at in places:
+        for part in sorted(p for j, p in sums if j == k):
+            if at < sums[(k, part)]:
+                wanted.append((k, r, part, at))
+                break
+            at -= sums[(k, part)]
+    asked = F.broadcast(small_table(spark, wanted, "k int, r bigint, part int, at bigint"))
+    # the partitions that hold a rank, and in them running counts by value
+    w = Window.partitionBy("k", "part").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    held = dealt.join(asked.select("k", "part").distinct(), ["k", "part"], "left_semi").withColumn("upto", F.sum("n").over(w))
+    hit = held.join(asked, ["k", "part"]).filter((F.col("at") < F.col("upto")) & (F.col("at") >= F.col("upto") - F.col("n")))
+    return {(r["k"], r["r"]): r["x"] for r in hit.select("k", "r", "x").collect()}
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    bins: int = 4096, max_candidates: int = 20_000, max_iter: int = 64,
-                    bounds: dict | None = None) -> dict:
+                    bins: int = 10_000, max_candidates: int = 20_000, grids: dict | None = None) -> dict:
     """Exact linear-interpolation quantiles of each column (NumPy's default):
     the values at ranks floor(p (n-1)) and the next one, interpolated.
     Returns ``{col: [q for q in probs]}`` (None for an all-null column)."""
     cols = list(cols)
-    df = nan_to_null(df, cols)
-    if bounds is None:
-        st = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-                    *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-                    *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-        bounds = {c: (st[f"n{i}"], st[f"lo{i}"], st[f"hi{i}"]) for i, c in enumerate(cols)}
+    df = nan_to_null(df.select(*cols), cols)
+    if grids is None:
+        grids, _ = _grids(df, cols, bins)
     wanted = {}
     for c in cols:
-        n = bounds[c][0]
+        n = grids[c][0]
         if n:
             ks = set()
             for p in probs:
                 k = int(p * (n - 1))
                 ks |= {k, min(k + 1, n - 1)}
             wanted[c] = sorted(ks)
-    vals = values_at_ranks(df, wanted, bins, max_candidates, max_iter,
-                           {c: bounds[c] for c in wanted}) if wanted else {}
+    vals = values_at_ranks(df, wanted, bins, max_candidates, {c: grids[c] for c in wanted}) if wanted else {}
     out = {}
     for c in cols:
-        n = bounds[c][0]
+        n = grids[c][0]
         res = []
         for p in probs:
             if not n:
@@ -227,23 +255,19 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column, one row per
-    column (the shape of a transposed pandas ``describe``).  One aggregate
-    pass for the moments and bounds, then the exact quartiles.  Each pass
-    scans just these columns (keeping them took longer than reading them
-    again, and would not fit for large tables)."""
+    column (the shape of a transposed pandas ``describe``), in three passes
+    over just these columns: moments, bounds and grid, then two for the exact
+    quartiles (``values_at_ranks``)."""
     spark = df.sparkSession
     df = nan_to_null(df.select(*cols), cols)
-    base = df.agg(*[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"),
-                             F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                             F.max(c).cast("double").alias("max")).alias(f"s{i}")
-                    for i, c in enumerate(cols)]).first()
-    stats = {c: base[f"s{i}"] for i, c in enumerate(cols)}
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75],
-                        bounds={c: (s["count"], s["min"], s["max"]) for c, s in stats.items()})
+    grids, base = _grids(df, cols, 10_000, *[F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")).alias(f"s{i}")
+                                             for i, c in enumerate(cols)])
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], grids=grids)
     rows = []
-    for c in cols:
-        s = stats[c]
-        rows.append((c, int(s["count"]), s["mean"], s["std"], s["min"], *q[c], s["max"]))
+    for i, c in enumerate(cols):
+        n, lo, hi, _ = grids[c]
+        rows.append((c, int(n), base[f"s{i}"]["mean"], base[f"s{i}"]["std"], None if lo is None else float(lo), *q[c],
+                     None if hi is None else float(hi)))
     out = small_table(spark, rows, "column string, count bigint, mean double, std double, min double, "
                                       "q25 double, q50 double, q75 double, max double")
     r = lambda c: F.round(F.col(c), digits) + F.lit(0.0)
