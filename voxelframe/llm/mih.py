@@ -10,8 +10,19 @@ substring radius retrieves every code within r.  Codes within r are reranked
 by the cosine of the original vectors.  A query that finds fewer than ``k``
 rows is asked again with the full radius, which retrieves every row.
 
-Rows and queries are dealt into blocks; a task holds the index of one block of
-rows and one block of queries and returns the best ``k`` of each query.
+Two layouts give the same rows; which one is used depends on the share of rows
+that probing would touch, measured on the sample:
+
+* index: every row is entered under its ``TABLES`` keys (table, substring), a
+  query is sent to the substrings it probes, and an equi-join finds the pairs.
+  A pair is kept at the first table that finds it, if its codes are within the
+  radius, and only then gets its vectors.
+* blocks: where vectors have so little structure that a radius that finds the
+  neighbours covers much of the code space, probing finds most rows anyway;
+  rows and queries are then dealt into blocks, and a task holds the index of
+  one block of rows and one block of queries.
+
+Vectors of different lengths are tables of their own.
 """
 
 from __future__ import annotations
@@ -37,6 +48,11 @@ SAMPLE_QUERIES = 512
 COVER = 0.99
 MAX_BLOCK = 16384
 QUERY_BLOCK = 2048
+# the index is used if probing touches at most this share of the rows, with at
+# most so many substrings a table
+MAX_SHARE = 0.05
+MAX_PROBES = 700
+MAX_LENGTHS = 1000
 
 
 def fit_codes(x, bits: int = BITS, rounds: int = 20):
@@ -146,40 +162,121 @@ def _pairs(rows: DataFrame, queries: DataFrame, n: int, n_queries: int, projecti
                         "query_id bigint, vec_id bigint, score double"))
 
 
+def probes(near: int) -> list[int]:
+    """The 16-bit masks of at most ``near`` bits."""
+    return [m for m in range(1 << 16) if m.bit_count() <= near]
+
+
+def probed_share(x, projection, radius: int) -> float:
+    """Share of the sample's rows that a query of it finds in some table."""
+    import numpy as np
+    c = codes(x, projection)
+    some = c[:SAMPLE_QUERIES]
+    hit = np.zeros((len(some), len(c)), bool)
+    for t in range(TABLES):
+        hit |= np.bitwise_count(c[None, :, t] ^ some[:, t, None]) <= radius // TABLES
+    return float(hit.mean())
+
+
+def _coded(batches, projection, kind):
+    """Rows (.., vec) with their code as two 64-bit numbers, table 0 lowest."""
+    import numpy as np
+    import pyarrow as pa
+    for b in batches:
+        if not b.num_rows:
+            continue
+        c = codes(unit(matrix(b.column(b.num_columns - 1), kind)), projection).astype(np.uint64)
+        half = [sum(c[:, h + t] << np.uint64(16 * t) for t in range(4)).view(np.int64) for h in (0, 4)]
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], *map(pa.array, half)], names=[*b.schema.names[:-1], "c0", "c1"])
+
+
+def _substring(t: int, side: str = ""):
+    return F.shiftrightunsigned(F.col(f"{side}c{t // 4}"), 16 * (t % 4)).bitwiseAND(F.lit(0xFFFF))
+
+
+def _cosines(batches, kind):
+    import numpy as np
+    import pyarrow as pa
+    for b in batches:
+        if b.num_rows:
+            x, y = (unit(matrix(b.column(i), kind)) for i in (2, 3))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.clip((x * y).sum(1), -1, 1))],
+                                             names=["query_id", "vec_id", "score"])
+
+
+def _indexed(rows: DataFrame, queries: DataFrame, projection, radius: int, kind) -> DataFrame:
+    """All (query, row) within the radius and their cosines, by the index.
+    ``rows`` have a number ``rid`` of their own."""
+    coded = staged(rows.select("rid", "vec_id", "vec").mapInArrow(
+        partial(_coded, projection=projection, kind=kind), "rid bigint, vec_id bigint, c0 bigint, c1 bigint"), "codes")
+    asked = staged(queries.select("vec_id", "vec").mapInArrow(
+        partial(_coded, projection=projection, kind=kind), "vec_id bigint, c0 bigint, c1 bigint"), "query-codes")
+    near = radius // TABLES
+    keys = F.array(*[F.struct(F.lit(t).alias("t"), _substring(t).alias("s")) for t in range(TABLES)])
+    entered = coded.select("rid", F.col("vec_id").alias("row_id"), F.col("c0").alias("r_c0"), F.col("c1").alias("r_c1"),
+                           F.explode(keys).alias("k")).select("rid", "row_id", "r_c0", "r_c1", "k.t", "k.s")
+    masks = F.array(*[F.lit(m) for m in probes(near)])
+    sent = asked.select("vec_id", "c0", "c1", F.explode(keys).alias("k")).select(
+        F.col("vec_id").alias("query_id"), F.col("c0").alias("q_c0"), F.col("c1").alias("q_c1"), F.col("k.t").alias("t"),
+        F.explode(F.transform(masks, lambda m: F.col("k.s").bitwiseXOR(m.cast("bigint")))).alias("s"))
+    met = sent.join(entered, ["t", "s"]).filter("query_id <> row_id")
+    met = met.withColumns({"c0": F.col("q_c0").bitwiseXOR(F.col("r_c0")), "c1": F.col("q_c1").bitwiseXOR(F.col("r_c1"))})
+    # at the first table that finds the pair
+    earlier = F.lit(False)
+    for t in range(TABLES - 1):
+        earlier = earlier | ((F.col("t") > t) & (F.bit_count(_substring(t)) <= near))
+    pairs = met.filter(~earlier & (F.bit_count("c0") + F.bit_count("c1") <= radius)).select("query_id", "rid", "row_id")
+    full = (pairs.join(rows.select("rid", F.col("vec").alias("row_vec")), "rid")
+            .join(queries.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query_vec")), "query_id"))
+    return full.select("query_id", F.col("row_id").alias("vec_id"), "query_vec", "row_vec").mapInArrow(
+        partial(_cosines, kind=kind), "query_id bigint, vec_id bigint, score double")
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     nearest = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
 
 
 def nearest(table: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
-            vector_col: str = "embedding") -> DataFrame:
+            vector_col: str = "embedding", max_share: float = MAX_SHARE) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found of every
     row for which the Column ``is_query`` holds; score is the cosine.
 
-    Candidates are all rows with another id; ties go to the smaller id.
-    Vectors that are null, empty, zero or hold null or non-finite components,
-    rows with a null id, and vectors of another length than the most common
-    one take no part.  Of rows with equal id and vector one counts; a query id
-    with several vectors is asked with the smallest by bytes.  With fewer than
-    ``k`` candidates all are returned.  Other columns are not read."""
+    Candidates are all rows with another id and as many components; ties go to
+    the smaller id.  Vectors that are null, empty, zero or hold null or
+    non-finite components and rows with a null id take no part.  Of rows with
+    equal id and vector one counts; a query id with several vectors of a length
+    is asked with the smallest by bytes, one with vectors of several lengths
+    has the best ``k`` rows of all.  With fewer than ``k`` candidates all are
+    returned.  More than ``MAX_LENGTHS`` different lengths raise.  Other columns
+    are not read."""
     kind = component_type(table, vector_col)
     size = 4 if kind == "<f4" else 8
     flag = table.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).alias("embedding"),
                         F.coalesce(is_query, F.lit(False)).alias("asks")).filter("vec_id is not null")
     rows = flatten(flag, "embedding", {"vec_id": "bigint", "asks": "boolean"})
     rows = staged(rows.withColumn("dim", (F.length("vec") / size).cast("int")), "vectors")
-    common = rows.groupBy("dim").count().orderBy(F.desc("count"), F.desc("dim")).first()
-    empty = table.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    if common is None:
-        return empty
-    dim = common["dim"]
-    rows = rows.filter(F.col("dim") == dim).groupBy("vec_id", "vec").agg(F.max("asks").alias("asks"))
-    rows = staged(rows, "distinct-vectors")
+    lengths = rows.groupBy("dim").agg(F.max("asks").alias("asks")).limit(MAX_LENGTHS + 1).collect()
+    if len(lengths) > MAX_LENGTHS:
+        raise ValueError(f"vectors of more than {MAX_LENGTHS} lengths")
+    found = None
+    for dim in sorted(r["dim"] for r in lengths if r["asks"]):
+        own = rows.filter(F.col("dim") == dim).groupBy("vec_id", "vec").agg(F.max("asks").alias("asks"))
+        some = _nearest_of_length(staged(own.withColumn("rid", F.monotonically_increasing_id()), "distinct-vectors"),
+                                  dim, k, kind, max_share)
+        found = some if found is None else found.unionByName(some)
+    if found is None:
+        return table.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    if sum(bool(r["asks"]) for r in lengths) > 1:
+        found = _best(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _nearest_of_length(rows: DataFrame, dim: int, k: int, kind: str, max_share: float) -> DataFrame:
+    """The same for rows (rid, vec_id, vec, asks) of one length."""
     queries = rows.filter("asks").groupBy("vec_id").agg(F.min("vec").alias("vec"))
     n, n_ids, n_queries = rows.agg(F.count("*"), F.countDistinct("vec_id"),
                                    F.countDistinct(F.when(F.col("asks"), F.col("vec_id")))).first()
-    if not n_queries:
-        return empty
     # the learning sample: the rows with the smallest hashes
     few = min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * dim) + 2)
     sample = rows.select("vec_id", "vec").orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id", "vec").limit(few)
@@ -187,14 +284,16 @@ def nearest(table: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
     x = unit(np.stack([np.frombuffer(r["vec"], kind) for r in sample.collect()]).astype(np.float64))
     projection = fit_codes(x)
     radius = fit_radius(x, projection, k)
-    rows = rows.select("vec_id", "vec")
-    found = _best(_pairs(rows, queries, n, n_queries, projection, radius, k, kind), k)
+    if len(probes(radius // TABLES)) <= MAX_PROBES and probed_share(x, projection, radius) <= max_share:
+        found = _best(_indexed(rows, queries, projection, radius, kind), k)
+    else:
+        found = _best(_pairs(rows.select("vec_id", "vec"), queries, n, n_queries, projection, radius, k, kind), k)
     found = staged(found, "neighbours")
     got = found.groupBy("query_id").count().filter(F.col("count") >= min(k, n_ids - 1))
     short = staged(queries.join(got, queries.vec_id == got.query_id, "left_anti"), "short-queries")
     n_short = short.count()
     if n_short:
-        again = _best(_pairs(rows, short, n, n_short, projection, BITS, k, kind), k)
+        again = _best(_pairs(rows.select("vec_id", "vec"), short, n, n_short, projection, BITS, k, kind), k)
         found = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(
             *found.columns).unionByName(again)
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return found.select("query_id", "rank", "vec_id", "score")
