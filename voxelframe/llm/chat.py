@@ -1,12 +1,16 @@
 """Chat formatting in budgeted windows.
 
 Prefix sums of turn tokens place every turn on its conversation's token line.
+A turn's tokens are those of its formatted form: marks, role and escaped text.
 The line is cut into cells of ``span`` tokens; a window holds the turns that
 lie in one cell, and a turn that crosses a cell border has a window of its
-own, so every window keeps to the budget unless a single turn does not fit
-one.  A window starts with the conversation's system turn and the turns of the
-last ``history`` tokens before it.  These are repeated and never learned:
-the loss mask covers the texts of the window's own assistant turns alone.
+own.  A window starts with the conversation's system turn and the turns of the
+last ``history`` tokens before it.  The system turn comes first out of the
+budget, history gets at most half of what it leaves, the cell the rest, and a
+turn with a window of its own leaves history what then remains: every window
+keeps to the budget unless the system turn and one turn alone do not fit it.
+Repeated turns are never learned: the loss mask covers the texts of the
+window's own assistant turns alone.
 
 A turn's cell follows from its prefix sum, and a cell needs rows of the cell
 before at most, so a long conversation is formatted by many tasks.
@@ -26,8 +30,6 @@ from voxelframe.llm.common import group_slices, shuffle_parts, staged
 
 BUDGET = 1024
 HISTORY = 256
-# tokens allowed for the marks of one turn
-MARKS = 8
 MIN_SPAN = 256
 SYSTEM, LEARNED = "system", "assistant"
 
@@ -85,10 +87,11 @@ def _measure(batches, data, pattern: str):
     conv, start, place = None, 0, 0
     for b in batches:
         counts, starts, places = [], [], []
-        for c, text in zip(b.column(0).to_pylist(), b.column(3).to_pylist()):
+        for c, role, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
             if c != conv or not places and conv is None:
                 conv, start, place = c, 0, 0
-            n = len(encode(text)) + MARKS
+            # turns put together have no more tokens: only marks meet there
+            n = len(encode(render([(role, text)], 0)[0]))
             counts.append(n)
             starts.append(start)
             places.append(place)
@@ -100,7 +103,7 @@ def _measure(batches, data, pattern: str):
             names=[*b.schema.names, "part", "n_tokens", "start", "place"])
 
 
-def _format(batches, history: int):
+def _format(batches, budget: int):
     import pyarrow as pa
     for t in group_slices(batches):
         cells: dict = {}
@@ -115,7 +118,9 @@ def _format(batches, history: int):
             groups = [(g, rs) for g, rs in groups if rs] or ([(0, [])] if system and cell == 0 else [])
             for place, (g, rs) in enumerate(groups):
                 opening = cell == 0 and place == 0
-                past = [r for r in turns if rs and r["place"] < rs[0]["place"] and r["start"] >= rs[0]["start"] - history]
+                taken = sum(r["n_tokens"] for r in (*system, *rs))
+                reach = min(rs[0]["reach"], budget - taken) if rs else 0
+                past = [r for r in turns if rs and r["place"] < rs[0]["place"] and r["start"] >= rs[0]["start"] - reach]
                 window = [*system, *past, *rs]
                 context = len(past) + (0 if opening else len(system))
                 if opening and system:
@@ -133,8 +138,10 @@ def format_windows(conversations: DataFrame, ranks_path: str, pattern: str, budg
     """(conv_id, window, formatted, context_turns, loss_start, loss_size,
     n_tokens, over_budget), one row per window, windows in order of number.
 
-    Turns are ordered by turn, role, text (null turns first); repeated rows are
-    turns of their own.  Null texts and roles count as empty, rows with a null
+    Turns are ordered by turn, role and a hash of the text (null turns first);
+    repeated rows are turns of their own.  ``n_tokens`` are the window's tokens
+    turn by turn; its text as a whole has no more.  ``over_budget`` says that
+    the system turn and a single turn are more than the budget.  Null texts and roles count as empty, rows with a null
     conv_id form one conversation.  The first turn is kept in every window if
     its role is system; the first ``context_turns`` turns of a window are
     repeated ones.  Loss offsets are code points of ``formatted``.  Columns
@@ -163,24 +170,27 @@ def format_windows(conversations: DataFrame, ranks_path: str, pattern: str, budg
         (F.col("place") + F.col("rows_before")).alias("place"))
     lead = (F.col("place") == 0) & (F.col("role") == SYSTEM)
     system = line.filter(lead).select("conv", F.col("n_tokens").alias("system_tokens"))
-    span = F.greatest(F.lit(MIN_SPAN), F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0)))
+    left = F.greatest(F.lit(budget) - F.coalesce("system_tokens", F.lit(0)), F.lit(0))
+    reach = F.least(F.lit(history), F.floor(left / 2))
+    span = F.greatest(left - F.col("reach"), F.lit(1))
     begin = F.col("start") - F.coalesce("system_tokens", F.lit(0))
-    turns = (line.filter(~lead).join(system, "conv", "left").withColumn("span", span).withColumn("start", begin)
+    turns = (line.filter(~lead).join(system, "conv", "left").withColumn("reach", reach.cast("bigint"))
+             .withColumn("span", span).withColumn("start", begin)
              .withColumn("home", F.floor(F.col("start") / F.col("span")))
              .withColumn("crosses", F.floor((F.col("start") + F.col("n_tokens") - 1) / F.col("span")) > F.col("home")))
     # the next cell repeats a turn that starts within its history
-    follows = (F.col("home") + 1) * F.col("span") - F.col("start") <= history
+    follows = (F.col("home") + 1) * F.col("span") - F.col("start") <= F.col("reach")
     cells = F.when(follows, F.array(F.col("home"), F.col("home") + 1)).otherwise(F.array("home"))
-    columns = ["conv", "cell", "kind", "home", "crosses", "role", "text", "n_tokens", "start", "place"]
+    columns = ["conv", "cell", "kind", "home", "crosses", "role", "text", "n_tokens", "start", "place", "reach"]
     turns = turns.withColumn("cell", F.explode(cells)).withColumn("kind", F.lit(1)).select(*columns)
     used = turns.filter("cell = home").select("conv", "cell").distinct().unionAll(
         line.filter(lead).select("conv", F.lit(0).cast("bigint"))).distinct()
     leads = line.filter(lead).join(used, "conv").select(
         "conv", "cell", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("home"), F.lit(False).alias("crosses"),
-        "role", "text", "n_tokens", "start", "place").select(*columns)
+        "role", "text", "n_tokens", "start", "place", F.lit(0).cast("bigint").alias("reach")).select(*columns)
     both = turns.unionByName(leads).select(F.xxhash64("conv", "cell").alias("cell_key"), *columns)
     windows = (both.repartition("cell_key").sortWithinPartitions("cell_key")
-               .mapInArrow(partial(_format, history=history), "conv string, window bigint, formatted string, context_turns int, "
+               .mapInArrow(partial(_format, budget=budget), "conv string, window bigint, formatted string, context_turns int, "
                            "loss_start array<bigint>, loss_size array<bigint>, n_tokens bigint"))
     return windows.select(F.expr("cast(nullif(conv, 'none') as bigint)").alias("conv_id"), "window", "formatted",
                           "context_turns", "loss_start", "loss_size", "n_tokens",
