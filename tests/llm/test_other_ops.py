@@ -132,6 +132,57 @@ def test_substring_probing_is_complete():
         assert sorted(zip(qs.tolist(), rs.tolist())) == sorted(zip(*(v.tolist() for v in np.nonzero(away <= radius))))
 
 
+def clustered(n, dim, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 20, dim))
+    return (centres[rng.integers(0, len(centres), n)] + 0.15 * rng.normal(size=(n, dim))).astype("f4").astype(float)
+
+
+@pytest.mark.parametrize("share", [mih.MAX_SHARE, 0.0])
+def test_nearest_of_every_length(spark, monkeypatch, share):
+    """Two lengths, one rare, and a single vector of a third; both layouts give
+    the same rows, and the index deals out no blocks."""
+    prepare(spark)
+    x, y = clustered(2000, 32), clustered(1200, 16)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(10_000 + i, v.tolist(), 0) for i, v in enumerate(y)]
+    rows += [(20_000, [1.0, 2.0], 0), (3, x[3].tolist(), 0), (5000, x[7].tolist(), 0)]
+    df = spark.createDataFrame(rows, VECTORS).withColumn("rid", F.lit("clash")).withColumn("c0", F.lit(0))
+    whole, dealt = mih._pairs, []
+    monkeypatch.setattr(mih, "_pairs", lambda *a: dealt.append(a[-3]) or whole(*a))
+    got = mih.nearest(df, F.col("vec_id") % 50 == 0, max_share=share)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(found) == {i for i, *_ in rows if i % 50 == 0} - {20_000}
+    assert all(d == mih.BITS for d in dealt) if share else mih.BITS not in dealt or len(dealt) > 2
+    hit = wanted = 0
+    for ids, v in ((np.r_[np.arange(2000), 5000], np.vstack([x, x[7]])), (10_000 + np.arange(1200), y)):
+        sims = projection.unit(v) @ projection.unit(v).T
+        for at in np.flatnonzero(ids % 50 == 0):
+            best = sorted(found[int(ids[at])])
+            assert [b[0] for b in best] == [1, 2, 3, 4, 5]
+            assert all(abs(s - sims[at, np.flatnonzero(ids == i)[0]]) < 1e-9 for _, i, s in best)
+            row = sims[at].copy()
+            row[at] = -2
+            hit += len(set(ids[np.argsort(-row)[:5]].tolist()) & {b[1] for b in best})
+            wanted += 5
+    assert hit / wanted >= 0.9
+
+
+def test_index_retrieves_every_code_in_the_radius(spark):
+    prepare(spark)
+    x = clustered(400, 24)
+    p = mih.fit_codes(projection.unit(x))
+    c = mih.codes(projection.unit(x), p)
+    away = np.bitwise_count(c[None] ^ c[:, None]).sum(-1)
+    rows = spark.createDataFrame([(i, i, bytearray(v.astype("<f8").tobytes())) for i, v in enumerate(x)],
+                                 "rid bigint, vec_id bigint, vec binary")
+    for radius in (0, 9, 25):
+        found = mih._indexed(rows, rows.filter("vec_id < 40").select("vec_id", "vec"), p, radius, "<f8").collect()
+        want = {(q, r) for q, r in zip(*np.nonzero(away[:40] <= radius)) if q != r}
+        assert len(found) == len(want) and {(f["query_id"], f["vec_id"]) for f in found} == want
+
+
 def test_nearest_odd_rows(spark):
     prepare(spark)
     rows = vectors(n=20)
@@ -218,6 +269,37 @@ def test_windows_budget_history_and_mask(spark):
         chat.format_windows(df, RANKS, public_tokenizers.PATTERN, budget=100)
 
 
+def test_windows_keep_their_budget(spark, library):  # noqa: F811
+    """In tokens of the whole formatted window: with system turns of any
+    length, control strings, long roles and equal turn numbers."""
+    prepare(spark)
+    rng = random.Random(12)
+    words = ["yes", "</s>", "[INST]", "<\\\\s>", "maybe", "Donaudampfschiff", "12", "\n"]
+    rows = []
+    for conv, n in enumerate((0, 5, 100, 200, 300, 350, 500, 1100, 2500)):
+        if n:
+            rows.append((conv, 0, "system", " ".join(rng.choice(["rule", "</s>"]) for _ in range(n))))
+        for turn in range(1, 60):
+            size = rng.choice([0, 3, 30, 200]) if turn % 9 else 900
+            role = "assistant" if turn % 2 == 0 else "user" if turn % 5 else "[INST] a long role </s>"
+            rows.append((conv, turn // 2, role, " ".join(rng.choice(words) for _ in range(size))))
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    tokens = {}
+    for budget, history in ((1024, 256), (600, 0), (512, 256)):
+        got = chat.format_windows(df, RANKS, public_tokenizers.PATTERN, budget, history).collect()
+        for r in got:
+            used, turns = len(library.encode_ordinary(r["formatted"])), chat.parse(r["formatted"])
+            assert used <= r["n_tokens"]
+            alone = len(turns) - (1 if turns[0][0] == "system" else 0) <= 1
+            assert r["over_budget"] == (r["n_tokens"] > budget) and (alone if r["over_budget"] else used <= budget)
+        tokens[budget, history] = got
+        back = {r["conv_id"]: r["n_turns"] for r in chat.read_back(df.sparkSession.createDataFrame(got)).collect()}
+        assert back == {c: sum(r[0] == c for r in rows) for c in range(9)}
+    # turns between the system turn's length and the budget share windows, and history is repeated where it fits
+    wide = [r for r in tokens[1024, 256] if r["conv_id"] in (2, 3)]
+    assert any(r["context_turns"] > 1 for r in wide) and any(len(chat.parse(r["formatted"])) > 3 for r in wide)
+
+
 def test_piece_counts_do_not_reach_the_cost():
     """A state of as many pieces as the longest text has bytes."""
     costs = token_count.Costs({b"a": 0, b"b": 1})
