@@ -1,17 +1,16 @@
 """SimHash near-duplicates by pivot distance tables.
 
-A fingerprint's pivot table row holds its Hamming distances to many reference
-fingerprints.  Two kinds of references are used:
-
-* the zero fingerprint and the 64 one-bit fingerprints.  The distance to a
-  one-bit reference minus the distance to zero is +1 or -1, so equal
-  coordinates on a group of these references mean equal bits there.  Pairs
-  with at most ``d`` differing bits agree on all coordinates of at least
-  ``m - d`` of ``m`` disjoint groups; each choice of ``m - d`` groups is one
-  table of blocks, and every linked pair shares a block in some table;
-* ``N_PIVOTS`` seeded random references.  By the triangle inequality a pair
-  whose coordinates differ by more than ``d`` anywhere is discarded, and only
-  the survivors' fingerprints are compared bit by bit.
+A fingerprint's pivot table row holds its Hamming distances to ``N_PIVOTS``
+seeded random reference fingerprints.  By the triangle inequality a pair of
+which a coordinate differs by more than ``d`` is discarded, and only the
+survivors' fingerprints are compared bit by bit.
+
+Pivots alone do not bound the pairs: distances to a random reference lie
+within 32 +- 4, so 16 pivots still leave one of 83,000 unrelated pairs
+(measured), and every pair would have to be looked at to find it.  So the pairs that meet at all come from blocks: of ``m`` disjoint groups
+of bits, a pair with at most ``d`` differing bits agrees on at least ``m - d``;
+each choice of ``m - d`` groups is one table of blocks, and every linked pair
+shares a block in some table.
 
 Equal fingerprints are merged first, so groups of copies cost one row.  A
 block over ``PIECE`` fingerprints is dealt out as pairs of pieces; a task
@@ -182,15 +181,19 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
     chosen = F.col("doc_id").eqNullSafe(F.col("component_id"))
     ids = staged(rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(chosen).alias("kept")), "ids")
     key = F.col(id_col).cast("bigint")
+    # names of the look-up columns that no column of the documents has
+    free = "look_up"
+    while any(c.lower() == free for c in docs.columns):
+        free += "_"
     # ids that stay as they are need no look-up: the others are few, or are shuffled
-    out = ids.filter("doc_id is not null and (n > 1 or not kept)").select(F.col("doc_id").alias("out_id"))
-    clean = docs.filter(key.isNotNull()).join(sized_broadcast(out), key == F.col("out_id"), "left_anti")
-    odd = ids.filter("n > 1 or doc_id is null").select(F.col("doc_id").alias("odd_id"))
+    out = ids.filter("doc_id is not null and (n > 1 or not kept)").select(F.col("doc_id").alias(free))
+    clean = docs.filter(key.isNotNull()).join(sized_broadcast(out), key == F.col(free), "left_anti")
+    odd = ids.filter("n > 1 or doc_id is null").select(F.col("doc_id").alias(free))
     if odd.isEmpty():
         return clean
     # repeated or missing ids: rows are told apart by fingerprint, and one of
     # each is chosen by partially aggregated minima
-    again = docs.join(sized_broadcast(odd), key.eqNullSafe(F.col("odd_id")), "left_semi")
+    again = docs.join(sized_broadcast(odd), key.eqNullSafe(F.col(free)), "left_semi")
     tagged = again.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), key.alias("row_id"),
                           _fp_udf(shingle)(F.col(text_col).cast("binary")).alias("fp"))
     first = F.min_by("row", F.struct("fp", F.col("row")[text_col])).alias("row")
