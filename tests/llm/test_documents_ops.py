@@ -142,6 +142,33 @@ def test_near_duplicates_odd_rows(spark):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.drop_near_duplicates(empty).count() == 0
 
 
+def test_hubs_of_many_edges(spark, monkeypatch):
+    """A star, stars that share leaves, and a clique: the minima of hubs are
+    broadcast, with the same components."""
+    from voxelframe.llm import graph
+    prepare(spark)
+    rng = random.Random(8)
+    pairs = [(500, i) for i in range(1000, 1400)] + [(i, 2000) for i in range(1300, 1500)] + [(3000 + i, 3000 + j)
+             for i in range(40) for j in range(i)] + [(rng.randrange(4000, 4300), rng.randrange(4000, 4300)) for _ in range(150)]
+    want = components({n for p in pairs for n in p}, pairs)
+    hubs = []
+    whole = graph._hub_edges
+    monkeypatch.setattr(graph, "_hub_edges", lambda n, parts: hubs.append(whole(n, parts)) or hubs[-1])
+    got = connected_components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
+    assert {r["node"]: r["component"] for r in got} == {n: c for n, c in want.items() if any(n in p and p[0] != p[1] for p in pairs)}
+    assert hubs[0] < 400                # so the star's centre was one
+
+
+def test_dropping_keeps_columns_of_any_name(spark):
+    prepare(spark)
+    docs = odd_documents(spark).filter("doc_id is null or doc_id <> 4").withColumn("out_id", F.lit(1)).withColumn("odd_id", F.col("doc_id"))
+    docs = docs.withColumn("look_up", F.lit("x")).withColumn("LOOK_UP_", F.lit(2)).withColumn("row", F.lit(3)).withColumn("fp", F.lit(4))
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    plain = simhash.drop_near_duplicates(docs.select("doc_id", "text"))
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(r["doc_id"] or -1 for r in plain.collect())
+
+
 def test_replay_equals_library(vocabulary, library, texts):
     split = words.splitter(public_tokenizers.PATTERN)
     for t in list(texts.values())[:60] + ["a\x1cb \x85 c d  e", "\U00018da7\U00018da7a's 12½", "x" * 5000, "͸a�"]:

@@ -86,6 +86,46 @@ def test_projection_links_in_a_cone(spark):
     assert got == {i: int(k) for i, k in enumerate(link.sum(1))}
 
 
+@pytest.mark.parametrize("cosine", [0.5, 0.9])
+def test_projection_keeps_to_windows_in_a_cone(spark, monkeypatch, cosine):
+    """Close directions: the planted pairs are all found, and hardly a row is
+    compared with its whole label."""
+    prepare(spark)
+    rng, n, dims = np.random.default_rng(6), 4000, 64
+    x = np.sqrt((1 - cosine) / dims) * rng.normal(size=(n, dims)) + np.eye(dims)[0] * np.sqrt(cosine)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    far = rng.normal(size=(2000, dims))
+    far -= (far * x[:2000]).sum(1)[:, None] * x[:2000]
+    near = 0.9805 * x[:2000] + np.sqrt(1 - 0.9805 ** 2) * far / np.linalg.norm(far, axis=1)[:, None]
+    rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(np.vstack([x, near]))]
+    compared, whole = [], projection._candidates
+    monkeypatch.setattr(projection, "_candidates", lambda *a: compared.append(whole(*a)) or compared[0])
+    got = {r["vec_id"]: r["n_links"] for r in projection.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()}
+    link = (cosines(rows) >= 0.98) & ~np.eye(len(rows), dtype=bool)
+    assert link.sum() >= 3900 and got == {i: int(k) for i, k in enumerate(link.sum(1))}
+    assert compared[0][1].count() < len(rows) / 10
+
+
+def test_projection_angles_bound_every_partner():
+    rng = np.random.default_rng(2)
+    u = projection.unit(rng.normal(size=(4000, 5)))
+    mean = np.array([0.7, 0.2, 0, 0, 0.1])
+    away = rng.normal(size=u.shape) * rng.uniform(0, 0.2, (4000, 1))
+    v = projection.unit(u + away)
+    linked = (u * v).sum(1) >= 0.98
+    x, y = u - mean, v - mean
+    norm = np.linalg.norm(x, axis=1)
+    angle = np.arccos(np.clip((x * y).sum(1) / norm / np.linalg.norm(y, axis=1), -1, 1))
+    assert linked.sum() > 1000 and (angle <= projection._angles(norm, 0.98) + 1e-9)[linked].all()
+
+
+def test_projection_names_may_clash(spark, monkeypatch):
+    prepare(spark)
+    df = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1), (3, [0.0, 1.0], 1)], VECTORS)
+    seen = {tuple(r) for s in (0, 1) for r in projection.near_duplicates(df, name_seed=s).collect()}
+    assert seen == {(1, 0, 1, True), (2, 1, 2, True), (3, 1, 2, False)}
+
+
 def test_projection_odd_tables(spark):
     df = spark.createDataFrame([(None, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [1.0], 1)], VECTORS)
     got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in projection.near_duplicates(df).collect()),
