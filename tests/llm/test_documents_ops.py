@@ -351,6 +351,85 @@ def test_quality_held_out_accuracy(spark):
     assert len(got) > 500 and right > 0.97 and sum(kept) / len(kept) > 0.98
 
 
+def plain_vector(word):
+    """A word's description by loops over its characters."""
+    import zlib
+    marks = ["9" if c.isdigit() else ("X" if c.isupper() else "x") if c.isalpha() else c for c in word]
+    shape = ""
+    for i, m in enumerate(marks):
+        if i and m == marks[i - 1]:
+            continue
+        run = i + 1 < len(marks) and marks[i + 1] == m
+        shape += m + ("+" if run and m not in "Xx" else "")
+    v = np.zeros(quality_mil.WIDTH)
+    v[zlib.crc32(shape.encode("utf-8", "replace")) % quality_mil.SHAPES] = 1
+    n, upper = len(marks), marks.count("X")
+    letters = upper + marks.count("x")
+    stats = [n / 10, letters / n, upper / n, marks.count("9") / n, (n - letters) / n, letters == 0, n > 20, upper == letters > 1]
+    v[quality_mil.SHAPES:quality_mil.SHAPES + quality_mil.STATS] = [min(float(s), 10) for s in stats]
+    padded = f" {word.lower()} "
+    for a, b in zip(padded, padded[1:]):
+        pair = (ord(a) * 2654435761 + ord(b) * 2246822519) % 2 ** 64 >> 15
+        v[quality_mil.SHAPES + quality_mil.STATS + pair % quality_mil.PAIRS] += 1 / (len(padded) - 1)
+    return v
+
+
+def plain_score(model, text):
+    """A document's score by loops over its passages."""
+    words = text.split()
+    passages = [words[i:i + quality_mil.PASSAGE] for i in range(0, len(words), quality_mil.PASSAGE)] or [[]]
+    codes, energies = [], []
+    for p in passages:
+        x = sum(map(plain_vector, p)) / len(p) if p else np.zeros(quality_mil.WIDTH)
+        h = np.tanh((x - model["mean"]) / model["scale"] @ model["W"] + model["b"])
+        codes.append(h)
+        energies.append((np.tanh(h @ model["V"]) / (1 + np.exp(-(h @ model["U"])))) @ model["w"])
+    weights = np.exp(np.array(energies) - max(energies))
+    z = sum(w * h for w, h in zip(weights / weights.sum(), codes))
+    return 1 / (1 + np.exp(-(z @ model["beta"] + model["c"])))
+
+
+def test_quality_scores_equal_plain_loops(spark, texts):
+    prepare(spark)
+    docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality_mil.fit(docs, labels)
+    long = "İstanbul " + "x" * 1500 + "\U00010400\U00010428 ab--" + "!" * 40 + " ABC 12 a\u0301 ß \x1c"
+    some = [*list(texts.values())[:60], "", " \n", long, "one"]
+    got = quality_mil.Scorer(model)(some)
+    assert np.allclose(got, [plain_score(model, t) for t in some], atol=2e-5)
+    again = quality_mil.Scorer(model)
+    assert [float(again([t])[0]) for t in some] == got.tolist()         # whoever shares the call
+
+
+def test_quality_reads_letters(spark):
+    """Prose keeps its place, the same text with random letters loses it."""
+    prepare(spark)
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality_mil.fit(docs, labels)
+    held = docs.join(labels.filter("quality = 1"), "doc_id").filter(quality_mil.held_out(F.col("doc_id"))).orderBy("doc_id")
+    prose = [r["text"] for r in held.limit(300).collect()]
+    scorer = quality_mil.Scorer(model)
+    before, after = scorer(prose), scorer([quality_mil.scrambled(t, 10 ** 6 + i) for i, t in enumerate(prose)])
+    assert (after < before).mean() > 0.99 and (before >= 0.7).mean() > 0.98 and (after < 0.7).mean() > 0.95
+
+
+def test_quality_places_go_to_documents_that_are_there(spark, monkeypatch):
+    prepare(spark)
+    docs = spark.createDataFrame([(i, f"text {i} " * (1 if i % 2 else 9000)) for i in range(40)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 4 // 2) for i in range(4000)], "doc_id bigint, quality int")
+
+    def count(batches):         # in place of the model, what it would learn from
+        import pickle
+        import pyarrow as pa
+        ids = {i for b in batches for i in b.column(0).to_pylist()}
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(ids)])], names=["model"])
+    monkeypatch.setattr(quality_mil, "_train_sample", count)
+    found = quality_mil.fit(docs, labels, max_docs=10)
+    held = {r["doc_id"] for r in docs.filter(quality_mil.held_out(F.col("doc_id"))).collect()}
+    assert len(found) == 10 and all(i % 2 and i < 40 and i not in held for i in found)
+
+
 def test_quality_attention_gradient():
     rng = np.random.default_rng(0)
     x, starts, y = rng.normal(size=(9, quality_mil.WIDTH)), np.array([0, 4, 5]), np.array([1.0, 0.0, 1.0])

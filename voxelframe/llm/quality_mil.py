@@ -1,10 +1,13 @@
 """Document quality by attention-based multiple-instance learning.
 
 A document is a bag of passages of ``PASSAGE`` words.  A passage is described
-by the shares of its hashed word shapes and a few character statistics, and
-encoded by a learned layer; gated attention weights the passages of a bag, and
-the weighted sum of their codes gives the document's score.  Labels exist for
-documents only: encoder, attention and score are learned together from them.
+by the shares of its hashed word shapes, the shares of its hashed pairs of
+neighbouring letters and a few character statistics, and encoded by a learned
+layer; gated attention weights the passages of a bag, and the weighted sum of
+their codes gives the document's score.  Labels exist for documents only:
+encoder, attention and score are learned together from them.  So that letters
+count, not only their classes, some of the learned documents of label 1 are
+learned a second time, as label 0, with their letters replaced at random.
 
 Fitting uses a bounded sample of labelled documents in one task; scoring runs
 over whole texts, every passage of every document.
@@ -24,15 +27,21 @@ from voxelframe.llm.common import crc_text
 PASSAGE = 64
 SHAPES = 56
 STATS = 8
-WIDTH = SHAPES + STATS
+PAIRS = 64
+WIDTH = SHAPES + STATS + PAIRS
 CODE, GATE = 24, 12
 # bounds of the learning sample: documents, and bytes of each
 MAX_DOCS = 4000
 MAX_BYTES = 32_000
 EPOCHS, BAGS, RATE, DECAY = 12, 32, 0.01, 1e-4
 SEED = 5
-CACHE = 200_000
+CACHE = 400_000
+# words described at once
+SLICE = 20_000
 THRESHOLD = 0.7
+# one of so many learned documents of label 1, of at least so many words, is
+# learned with its letters replaced too
+SCRAMBLED, SCRAMBLED_WORDS = 4, 8
 
 _RUNS = re.compile(r"(.)\1+")
 
@@ -50,20 +59,50 @@ class _Marks(dict):
 _MARKS = _Marks()
 
 
-def word_vector(marks: str):
-    """Counts that add up over a passage, from a word's character classes: one
-    hashed word shape, and lengths."""
+def word_vectors(words: list[str]):
+    """A row a word of counts that add up over a passage: its hashed shape (the
+    character classes, runs collapsed), lengths and shares of classes, and the
+    shares of its hashed letter pairs, word ends included."""
     import numpy as np
-    v = np.zeros(WIDTH, np.float32)
-    n = len(marks)
-    shape = _RUNS.sub(r"\1+", marks[:1000]).replace("X+", "X").replace("x+", "x")[:12]
-    v[zlib.crc32(shape.encode("utf-8", "replace")) % SHAPES] = 1
-    upper = marks.count("X")
-    letters = upper + marks.count("x")
-    stats = (n / 10, letters / n, upper / n, marks.count("9") / n, (n - letters) / n,
-             float(letters == 0), float(n > 20), float(upper == letters > 1))
-    v[SHAPES:] = np.minimum(stats, 10)
-    return v
+    out = np.zeros((len(words), WIDTH))
+    line = " ".join(words)
+    marks = line.translate(_MARKS)
+    shapes = _RUNS.sub(r"\1+", marks).replace("X+", "X").replace("x+", "x").split(" ")
+    bucket = {s: zlib.crc32(s.encode("utf-8", "replace")) % SHAPES for s in set(shapes)}
+    out[np.arange(len(words)), [bucket[s] for s in shapes]] = 1
+
+    def points(text):
+        return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    n = np.fromiter(map(len, words), np.int64, len(words))
+    starts = np.concatenate([[0], np.cumsum(n + 1)[:-1]])
+    m = np.append(points(marks), ord(" "))          # every word ends in a space
+
+    def count(mark):
+        return np.add.reduceat((m == ord(mark)).astype(np.int64), starts)
+    upper = count("X")
+    letters = upper + count("x")
+    stats = (n / 10, letters / n, upper / n, count("9") / n, (n - letters) / n, letters == 0, n > 20,
+             (upper == letters) & (letters > 1))
+    out[:, SHAPES:SHAPES + STATS] = np.minimum(np.stack(stats, 1), 10)
+    # lower case may change a word's length, so words are told apart by their spaces
+    c = points(f" {line.lower()} ").astype(np.uint64)
+    # odd multipliers spread neighbouring code points over the buckets
+    pair = (c[:-1] * np.uint64(2654435761) + c[1:] * np.uint64(2246822519)) >> np.uint64(15)
+    space = c == ord(" ")
+    owner = np.cumsum(space[:-1]) - 1
+    # the pair that starts at a space begins a word, the one that ends at a space ends it
+    counts = np.bincount(owner * PAIRS + (pair % np.uint64(PAIRS)).astype(np.int64), minlength=len(words) * PAIRS)
+    counts = counts.reshape(len(words), PAIRS)
+    out[:, SHAPES + STATS:] = counts / counts.sum(1, keepdims=True)
+    return out
+
+
+def scrambled(text: str, seed: int) -> str:
+    """The text with every letter replaced by a random one of its case."""
+    import random
+    rng = random.Random(seed)
+    return "".join([(chr(rng.randrange(65, 91)) if c.isupper() else chr(rng.randrange(97, 123))) if c.isalpha() else c
+                    for c in text])
 
 
 class Passages:
@@ -77,32 +116,37 @@ class Passages:
         self.of: dict[str, int] = {}
         self.table = np.zeros((1024, self.width), np.float32)
 
-    def _number(self, marks: str) -> int:
+    def learn(self, words: list[str]) -> None:
+        """Enter words that are not in the table."""
         import numpy as np
-        at = self.of.get(marks)
-        if at is None:
-            at = self.of[marks] = len(self.of)
-            if at >= len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            v = word_vector(marks)
-            self.table[at] = v if self.projection is None else v @ self.projection
-        return at
-
-    def of_text(self, text: str):
-        """Matrix of a text's passages; a text without words has one of zeros."""
+        new = [w for w in dict.fromkeys(words) if w not in self.of]
+        if not new:
+            return
+        at = len(self.of)
+        while at + len(new) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        for k in range(0, len(new), SLICE):
+            v = word_vectors(new[k:k + SLICE])
+            self.table[at + k:at + k + len(v)] = v if self.projection is None else v @ self.projection
+        self.of.update(zip(new, range(at, at + len(new))))
+
+    def of_texts(self, texts: list[str]) -> list:
+        """Per text the matrix of its passages; one of zeros without words."""
         import numpy as np
-        words = text.translate(_MARKS).split()
-        if not words:
-            return np.zeros((1, self.width), np.float32)
         if len(self.of) > CACHE:
             self.__init__(self.projection)
-        get = self.of.get
-        numbers = [get(w, -1) for w in words]
-        if -1 in numbers:
-            numbers = [self._number(w) if n < 0 else n for n, w in zip(numbers, words)]
-        starts = np.arange(0, len(words), PASSAGE)
-        sums = np.add.reduceat(self.table[numbers], starts, axis=0)
-        return sums / np.diff(starts, append=len(words))[:, None].astype(np.float32)
+        split = [t.split() for t in texts]
+        self.learn([w for words in split for w in words])
+        out = []
+        for words in split:
+            if not words:
+                out.append(np.zeros((1, self.width), np.float32))
+                continue
+            numbers = np.fromiter(map(self.of.__getitem__, words), np.int64, len(words))
+            starts = np.arange(0, len(words), PASSAGE)
+            sums = np.add.reduceat(self.table[numbers], starts, axis=0)
+            out.append(sums / np.diff(starts, append=len(words))[:, None].astype(np.float32))
+        return out
 
 
 def _attend(model, h, starts):
@@ -177,14 +221,14 @@ class Scorer:
         import numpy as np
         linear = model["W"] / model["scale"][:, None]
         self.shift = model["b"] - model["mean"] @ linear
-        self.passages = Passages(linear.astype(np.float32))
+        self.passages = Passages(linear)
         self.model = model
 
     def __call__(self, texts: list[str]):
         import numpy as np
         out = [np.zeros(0)]
         for at in range(0, len(texts), 64):
-            bags = [self.passages.of_text(t) for t in texts[at:at + 64]]
+            bags = self.passages.of_texts(texts[at:at + 64])
             starts = np.cumsum([0, *map(len, bags[:-1])])
             h = np.tanh(np.concatenate(bags) + self.shift)
             out.append(_attend(self.model, h, starts)[-1])
@@ -197,9 +241,16 @@ def _encode_sample(batches):
     import pyarrow as pa
     passages = Passages()
     for b in batches:
-        bags = [passages.of_text((t.as_py() or b"").decode("utf-8", "replace")) for t in b.column(2)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x.astype(np.float32).tobytes() for x in bags])],
-                                         names=["doc_id", "label", "bag"])
+        rows = []
+        for i, label, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            text = (value.as_py() or b"").decode("utf-8", "replace")
+            rows.append((i, label, passages.of_texts([text])[0]))
+            if label == 1 and zlib.crc32(str(i).encode()) >> 2 & 0xFFFF < (1 << 16) // SCRAMBLED and len(text.split()) >= SCRAMBLED_WORDS:
+                rows.append((i, 0, passages.of_texts([scrambled(text, i)])[0]))
+        ids, labels, bags = zip(*rows) if rows else ([], [], [])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in bags], pa.binary())],
+            names=["doc_id", "label", "bag"])
 
 
 def _train_sample(batches):
@@ -229,13 +280,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_bytes:
     of repeated ids the smallest text is learned.  Returns the model, the only
     label there is as a number, or None without any usable label."""
     import pickle
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    texts = rows.filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes)
     known = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
              .groupBy(F.col(id_col).cast("bigint").alias("doc_id"))
              .agg(F.min(label_col).alias("label"), F.max(label_col).alias("other")).filter("label = other"))
-    chosen = (known.select("doc_id", F.col("label").cast("int").alias("label"))
+    # places go to documents that are there and not too long
+    chosen = (known.select("doc_id", F.col("label").cast("int").alias("label")).join(texts.select("doc_id"), "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(max_docs))
-    texts = (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-             .filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes))
     # at most max_docs rows are sent
     sample = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
               .agg(F.min(F.coalesce("text", F.lit(b""))).alias("text")))
