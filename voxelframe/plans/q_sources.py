@@ -20,7 +20,7 @@ from voxelframe.plans.q_stats import _FIT_SQL, FORMULAS
 from voxelframe.plans.registry import query
 from voxelframe.plans.stand_ins import ATLAS, DATASET, REGION_COLS, ROW_KEY_PREFIX, SERIES_SQL, series
 from voxelframe.session import table_path
-from voxelframe.sources import committed, files, keyed, voxel
+from voxelframe.sources import committed, compacted, files, keyed, scan_files, voxel
 from voxelframe.tables import small_table, table
 
 
@@ -83,6 +83,20 @@ def csv_any_order(spark, sf_dir):
     return back.filter(F.col("position") == F.col("t")).select(user.alias("user_id"), "t", "value")
 
 
+@query("region_file_source", f"""WITH s AS ({SERIES_SQL})
+SELECT CAST(user_id AS VARCHAR) AS scan, t, value, 'ok' AS status, NULL AS error FROM s WHERE user_id % 10 <> 0
+UNION ALL SELECT DISTINCT CAST(user_id AS VARCHAR), NULL, NULL, 'error',
+  'ValueError: could not convert string to float: ' || chr(39) || 'lost' || chr(39) FROM s WHERE user_id % 10 = 0""")
+def region_file_source(spark, sf_dir):
+    """Per-scan CSVs read by the data source that plans by file; every tenth
+    scan's file is damaged and is one row that says so."""
+    s = series(spark, sf_dir, cols=("event_id", "ts", "user_id", "value"))
+    out = _scratch(spark, "region_files")
+    value = F.when(F.col("user_id") % 10 == 0, F.lit("lost")).otherwise(F.col("value").cast("string"))
+    files.write_per_scan(s.select("user_id", "t", value.alias("value")), out, "user_id")
+    return scan_files.read_region_files(spark, out + "/*/*.csv", "value double", scan="folder")
+
+
 @query("random_columns", "SELECT c_custkey, " + ", ".join(
     f"{sql_draw(7 + i, 'c_custkey')} / CAST({1 << DRAW_BITS} AS DOUBLE) AS r{i}" for i in range(3)) + " FROM customer")
 def random_columns(spark, sf_dir):
@@ -136,6 +150,50 @@ def zip_members(spark, sf_dir):
                         F.split("archive", "/")[0].cast("bigint").alias("o_orderkey"))
 
 
+@query("archive_member_source", """WITH l AS (SELECT o_custkey, o_orderkey % 2 + 1 AS rest, l_orderkey, l_linenumber
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT o_custkey AS person, rest, l_orderkey || '/' || l_linenumber AS member, CAST(l_linenumber AS BIGINT) AS size, 'ok' AS status,
+  NULL AS error FROM l WHERE o_custkey % 10 <> 0
+UNION ALL SELECT DISTINCT o_custkey, rest, NULL, NULL, 'error', 'BadZipFile: File is not a zip file' FROM l WHERE o_custkey % 10 = 0""")
+def archive_member_source(spark, sf_dir):
+    """Archives of every person's two rest sessions with a member per line,
+    written by tasks and listed by the data source that plans by archive;
+    every tenth person's are damaged."""
+    import io
+    import os
+    import warnings
+    import zipfile
+
+    import pandas as pd
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 2 + 1).alias("rest"))
+    lines = table(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    name = F.concat(F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string"))
+    packs = lines.groupBy("o_custkey", "rest").agg(F.collect_list(F.struct(name.alias("name"), "l_linenumber")).alias("m"))
+    out = _scratch(spark, "archives")
+    folder = out[len("file:"):] if out.startswith("file:") else out
+
+    def write(batches):
+        os.makedirs(folder, exist_ok=True)
+        for pdf in batches:
+            for person, rest, members in zip(pdf["o_custkey"], pdf["rest"], pdf["m"]):
+                buf = io.BytesIO()
+                with warnings.catch_warnings(), zipfile.ZipFile(buf, "w") as z:
+                    warnings.simplefilter("ignore")
+                    for m in members:
+                        z.writestr(m["name"], b"x" * int(m["l_linenumber"]))
+                path = os.path.join(folder, ARCHIVE_NAME % (person, rest))
+                draft = f"{path}.{uuid.uuid4().hex}"
+                with open(draft, "wb") as f:
+                    f.write(buf.getvalue() if person % 10 else b"no archive")
+                os.replace(draft, path)         # a repeated task writes the same again
+            yield pd.DataFrame({"n": [len(pdf)]})
+    packs.mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
+    found = scan_files.read_archive_members(spark, out + "/*.zip")
+    base = F.element_at(F.split("archive", "/"), -1)
+    return found.select(F.regexp_extract(base, "^([0-9]+)_", 1).cast("bigint").alias("person"),
+                        F.regexp_extract(base, "REST([0-9])", 1).cast("bigint").alias("rest"), "member", "size", "status", "error")
+
+
 @query("atlas_regions", f"""WITH a AS (SELECT p_partkey, p_size % 6 AS label FROM part WHERE p_brand = 'Brand#1' AND p_size % 6 <> 0),
 r AS (SELECT l_suppkey, label, avg(l_quantity) AS v FROM lineitem JOIN a ON l_partkey = p_partkey GROUP BY 1, 2)
 SELECT l_suppkey, {", ".join(f"{sql_r6(f'max(v) FILTER (WHERE label = {i})')} AS x{i - 1}" for i in range(1, 6))}
@@ -185,6 +243,59 @@ def keyed_table(spark, sf_dir):
     return keyed.flatten(view)
 
 
+THIRD_PUT = 2_000_000_000
+_COMPACTED_SQL = f"""WITH puts AS (
+  SELECT {_KEY} AS row_key, o_custkey, o_orderpriority AS roi, o_orderkey AS version FROM orders
+  UNION ALL SELECT {_KEY}, o_custkey, o_orderstatus, o_orderkey + {SECOND_PUT} FROM orders WHERE o_orderstatus = 'F'),
+gone AS (SELECT '{ROW_KEY_PREFIX}' || c_custkey AS row_key, {TOMBSTONE} AS version FROM customer WHERE c_acctbal < 0
+  UNION ALL SELECT '{ROW_KEY_PREFIX}' || c_custkey, {THIRD_PUT} FROM customer WHERE c_custkey % 11 = 0),
+late AS (SELECT {_KEY} AS row_key, o_custkey, 'late' AS roi, o_orderkey + CASE WHEN o_custkey % 2 = 0 THEN {THIRD_PUT} ELSE 1 END AS version
+  FROM orders WHERE o_custkey % 7 = 0),
+every AS (SELECT * FROM puts UNION ALL SELECT * FROM late),
+newest AS (SELECT row_key, arg_max(o_custkey, version) AS person, arg_max(roi, version) AS roi, max(version) AS version FROM every GROUP BY 1),
+dead AS (SELECT row_key, max(version) AS dv FROM gone GROUP BY 1),
+seen AS (SELECT newest.row_key, CAST(person AS VARCHAR) AS person, '{DATASET}' AS dataset, '{ATLAS}' AS atlas, roi, version
+  FROM newest LEFT JOIN dead USING (row_key) WHERE dv IS NULL OR version > dv)"""
+
+
+def _compacted(spark, sf_dir):
+    """A keyed table put twice and deleted from, compacted, and opened with
+    later puts (some of an older version) and tombstones."""
+    path, dead, out = _scratch(spark, "keyed"), _scratch(spark, "tombstones"), _scratch(spark, "compacted")
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    key = F.concat(F.lit(ROW_KEY_PREFIX), F.col("o_custkey").cast("string"))
+    gone = F.concat(F.lit(ROW_KEY_PREFIX), F.col("c_custkey").cast("string")).alias("row_key")
+
+    def rows(df, roi, version):
+        return keyed.make_rows(df, key, F.col("o_custkey"), F.lit(DATASET), F.lit(ATLAS), roi, version)
+    keyed.put(rows(o, F.col("o_orderpriority"), F.col("o_orderkey")), path)
+    keyed.put(rows(o.filter(F.col("o_orderstatus") == "F"), F.col("o_orderstatus"), F.col("o_orderkey") + SECOND_PUT), path)
+    keyed.delete(spark, c.filter(F.col("c_acctbal") < 0).select(gone), F.lit(TOMBSTONE), dead)
+    compacted.compact(keyed.scan(spark, path), spark.read.schema(keyed.TOMBSTONE_SCHEMA).parquet(dead), out, "first")
+    late = rows(o.filter(F.col("o_custkey") % 7 == 0), F.lit("late"),
+                F.col("o_orderkey") + F.when(F.col("o_custkey") % 2 == 0, F.lit(THIRD_PUT)).otherwise(F.lit(1)))
+    buried = c.filter(F.col("c_custkey") % 11 == 0).select(gone, F.lit(THIRD_PUT).cast("bigint").alias("version"))
+    return compacted.Compacted(spark, out, "first", late, buried)
+
+
+@query("keyed_compacted", _COMPACTED_SQL + " SELECT * FROM seen")
+def keyed_compacted(spark, sf_dir):
+    """The read view of a compacted table with what was written since."""
+    return keyed.flatten(_compacted(spark, sf_dir).latest())
+
+
+@query("keyed_compacted_lookups", _COMPACTED_SQL + """ SELECT 'get' AS kind, * FROM seen WHERE row_key = 'HCP_42'
+UNION ALL SELECT 'multi', * FROM seen WHERE row_key IN ('HCP_1', 'HCP_7', 'HCP_14', 'HCP_22', 'HCP_none')
+UNION ALL SELECT 'prefix', * FROM seen WHERE starts_with(row_key, 'HCP_12')""")
+def keyed_compacted_lookups(spark, sf_dir):
+    """Point get, multi-get and prefix scan that read the ranges which hold them."""
+    t = _compacted(spark, sf_dir)
+    found = {"get": t.get("HCP_42"), "multi": t.multi_get(["HCP_1", "HCP_7", "HCP_14", "HCP_22", "HCP_none"]),
+             "prefix": t.prefix_scan("HCP_12")}
+    parts = [keyed.flatten(df).select(F.lit(kind).alias("kind"), "*") for kind, df in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("keyed_sink", f"""SELECT 'HCP_' || CAST(user_id AS VARCHAR) AS row_key, CAST(user_id + 100000 AS VARCHAR) AS person,
   '{ATLAS}' AS atlas, t, value FROM ({SERIES_SQL})""")
 def keyed_sink(spark, sf_dir):
