@@ -116,13 +116,16 @@ def centred_gram(df: DataFrame, vec: str, dim: int, shift: np.ndarray) -> tuple[
 # up to this many columns a grouped Gram is a native aggregate; wider
 # matrices are summed from per-batch BLAS products in Arrow batches
 NATIVE_GRAM_MAX_DIM = 16
+# merged cells of all groups that reach the driver
+MAX_GRAM_BYTES = 64 << 20
 
 
 def gram_by(df: DataFrame, key: str, cols: Sequence[str], max_groups: int = 10_000) -> dict:
     """{key value: (n, uncentred d x d cross products of ``cols``)} for every
     group in one pass, over the complete rows: a row with a null in any of
     ``cols`` is left out of ``n`` and of every product, whatever the width.
-    More than ``max_groups`` groups raise.
+    More than ``max_groups`` groups, or groups of more than ``MAX_GRAM_BYTES``
+    together, raise.
 
     Up to ``NATIVE_GRAM_MAX_DIM`` columns the products are sums in one native
     aggregate; wider, each partition adds ``X.T @ X`` per group and only the
@@ -155,9 +158,11 @@ def gram_by(df: DataFrame, key: str, cols: Sequence[str], max_groups: int = 10_0
         # d(d+1)/2 merged cells per group
         sums = by_cell.groupBy("k").agg(F.max("n").alias("n"), F.transform(
             F.array_sort(F.collect_list(F.struct("cell", "s"))), lambda c: c["s"]).alias("s"))
-    rows = sums.limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise ValueError(f"more than {max_groups} groups for a grouped Gram")
+    # the driver takes a bounded number of groups and of bytes
+    most = min(max_groups, max(1, MAX_GRAM_BYTES // (8 * cells)))
+    rows = sums.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} groups of {cells} cells for a grouped Gram")
     out = {}
     for r in rows:
         g = np.zeros((dim, dim))

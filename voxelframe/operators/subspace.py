@@ -20,6 +20,7 @@ all wanted vectors, over the distance to the next singular value, are below
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 from functools import partial
 from typing import Sequence
 
@@ -41,6 +42,25 @@ MAX_ROUNDS = 60
 SUM_FAN = 64
 
 
+# rows of tiles or blocks that are read, or sent to Python, at once
+BATCH = 16
+_BATCHED = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@contextmanager
+def _few_at_once(spark):
+    """A row here holds megabytes: batches of the default number of rows would
+    not fit a task."""
+    before = {k: spark.conf.get(k) for k in _BATCHED}
+    for k in _BATCHED:
+        spark.conf.set(k, str(BATCH))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def _kinds(df: DataFrame, keys: Sequence[str]) -> str:
     return "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
 
@@ -183,8 +203,12 @@ def leading_vectors(tiles: DataFrame, keys: Sequence[str], n_vectors: int, tol:
     bytes) and the squares of the singular values; beyond a matrix's rank the
     squares are zero.  Raises if the residuals have not fallen to ``tol``
     after ``MAX_ROUNDS`` rounds."""
-    keys = list(keys)
     tiles = materialize(tiles)
+    with _few_at_once(tiles.sparkSession):
+        return materialize(_leading(tiles, list(keys), n_vectors, tol))
+
+
+def _leading(tiles: DataFrame, keys: list, n_vectors: int, tol: float) -> DataFrame:
     columns = tiles.filter("bi = 0").groupBy(*keys).agg(F.sum("cols").alias("n"))
     least = columns.agg(F.min("n")).first()[0]
     kinds = _kinds(tiles, keys)

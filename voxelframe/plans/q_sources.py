@@ -317,7 +317,10 @@ def stored_formulas(spark, sf_dir):
     half = len(FORMULAS) // 2
     for part in (list(FORMULAS)[:half], list(FORMULAS)[half:]):
         formula.save_formulas(formula.formula_rows(spark, {i: FORMULAS[i] for i in part}), path)
-    stored = spark.read.schema(formula.FORMULA_SCHEMA).parquet(path).collect()       # as many as were saved
+    # formulas go into the plan as text: as many as were saved, and no more
+    stored = spark.read.schema(formula.FORMULA_SCHEMA).parquet(path).limit(len(FORMULAS) + 1).collect()
+    if len(stored) > len(FORMULAS):
+        raise ValueError("more formulas than were saved")
     formula.register_sql_functions(spark)
     row = table(spark, sf_dir, "lineitem").agg(*[
         F.avg((F.expr(r["expr"]) - F.col(r["region"])) ** 2).alias(str(r["formula_id"])) for r in stored])

@@ -215,7 +215,11 @@ FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.pos < b.pos GROUP BY a.pos, b.pos
 def embedding_corr(spark, sf_dir):
     """Covariance / correlation of all 64 dimensions from one shifted Gram pass."""
     emb = table(spark, sf_dir, "embeddings").select("embedding")
-    first = np.asarray(emb.first()["embedding"], dtype=np.float64)   # dimension and shift
+    emb = emb.filter(F.col("embedding").isNotNull())
+    some = emb.first()
+    if some is None:
+        return spark.createDataFrame([], "i int, j int, cov double, corr double")
+    first = np.asarray(some["embedding"], dtype=np.float64)   # dimension and shift
     dim = len(first)
     n, _, m2 = linear.centred_gram(emb, "embedding", dim, shift=first)
     cov, corr = linear.covariance_from_gram(n, m2)
