@@ -21,7 +21,7 @@ from voxelframe.llm import (
     token_count,
     url_lists,
 )
-from voxelframe.llm.common import prepare
+from voxelframe.llm.common import prepare, staged
 from voxelframe.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -136,7 +136,7 @@ def list_events(pages: DataFrame) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_lists.filter_captures(captures(pages), list_events(pages))
+    return url_lists.filter_captures(captures(pages), staged(list_events(pages), "list-events"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
