@@ -235,7 +235,7 @@ def test_high_variance_confounds_by_the_size_of_each_scan(spark, monkeypatch):
     rng = np.random.default_rng(5)
     scans = {s: rng.normal(size=n) * rng.uniform(0.5, 3, n[1]) for s, n in
              {"noise": (50, 90), "few times": (12, 90), "few voxels": (80, 9)}.items()}
-    scans["dominant"] = rng.normal(size=(60, 40)) + 1e5 * np.outer(rng.normal(size=60), rng.normal(size=40))
+    scans["dominant"] = rng.normal(size=(60, 40)) + 300 * np.outer(rng.normal(size=60), rng.normal(size=40))
     scans["low rank"] = rng.normal(size=(45, 2)) @ rng.normal(size=(2, 50))
     pdf = pd.concat([pd.DataFrame({"scan_id": s, "voxel_id": np.tile(np.arange(x.shape[1]), len(x)),
                                    "t": np.repeat(np.arange(len(x)), x.shape[1]), "value": x.ravel()}) for s, x in scans.items()])

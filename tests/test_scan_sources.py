@@ -92,16 +92,15 @@ def test_compacted_reads_equal_the_plain_ones(spark, tmp_path, versions):
              (compacted.Compacted(spark, str(tmp_path), "g1", since), base.unionByName(since), graves),
              (compacted.Compacted(spark, str(tmp_path), "g1", since, graves_since), base.unionByName(since), graves.unionByName(graves_since)),
              (compacted.Compacted(spark, str(tmp_path), "g1", None, graves_since), base, graves.unionByName(graves_since))]
-    for opened, rows, tombstones in cases:
-        want = keyed.latest(rows, tombstones).persist()
-        assert seen(opened.latest()) == seen(want)
-        for k in (keys[5], "k0", "kä", "none", "\U0001f600"):
-            assert seen(opened.get(k)) == seen(keyed.get(want, k))
-        for p in ("k01", "k0", "k", "", "kä", "l", "z", "k\U0001f600"):
-            assert seen(opened.prefix_scan(p)) == seen(keyed.prefix_scan(want, p))
+    for n, (opened, rows, tombstones) in enumerate(cases):
+        want = seen(keyed.latest(rows, tombstones))
+        assert seen(opened.latest()) == want
         some = [*keys[::9], "none"]
-        assert seen(opened.multi_get(some)) == seen(keyed.multi_get(want, some))
-        want.unpersist()
+        assert seen(opened.multi_get(some)) == [r for r in want if r[0] in some]
+        for k in (keys[5], "kä", "none")[:3 if n == 2 else 1]:
+            assert seen(opened.get(k)) == [r for r in want if r[0] == k]
+        for p in ("k01", "", "z", "k0", "k\U0001f600", "l")[:6 if n == 2 else 1]:
+            assert seen(opened.prefix_scan(p)) == [r for r in want if r[0].startswith(p)]
 
 
 def test_compacted_plans(spark, tmp_path, versions):

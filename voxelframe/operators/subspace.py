@@ -14,7 +14,8 @@ per matrix, so that the largest singular value does not drown the others.
 A Rayleigh-Ritz step (matrices of q x q, one per key, in a grouped task) then
 gives singular values, vectors and residuals.  It ends when the residuals of
 all wanted vectors, over the distance to the next singular value, are below
-``tol``.
+``tol``.  As with Gram matrices, the squares of singular values are resolved to
+1e-15 of the largest: vectors of values below 1e-5 of the largest lose digits.
 """
 
 from __future__ import annotations
@@ -153,12 +154,14 @@ def _ritz(pdf: pd.DataFrame, keys: list, q: int, n: int) -> pd.DataFrame:
     values = np.zeros(q)
     values[:len(lam)] = np.maximum(lam, 0)
     bound = values[len(lam) - 1] if len(lam) == q else 0.0
-    degree = 1
+    degree, rate = 1, 50.0
     if bound > 0:
-        x = 2 * values[0] / bound - 1
-        degree = int(min(MAX_DEGREE, max(1, math.log(2 * MAX_GROWTH) / math.acosh(max(x, 1 + 1e-12)))))
+        x, last = (max(2 * values[i] / bound - 1, 1 + 1e-12) for i in (0, n - 1))
+        degree = int(min(MAX_DEGREE, max(1, math.log(2 * MAX_GROWTH) / math.acosh(x))))
+        # by how much the polynomial lifts the last wanted vector over the unwanted ones
+        rate = max(0.0, degree * math.acosh(last) - math.log(2))
     return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, "rotation": [rotation.tobytes()], "lam": [values.tolist()],
-                         "bound": [float(bound)], "degree": [degree]})
+                         "bound": [float(bound)], "degree": [degree], "rate": [rate]})
 
 
 def _inner(pdf_iter, keys, q):
@@ -180,7 +183,8 @@ def _rotate(pdf_iter, keys, q, n):
             nxt = y if bound <= 0 else (2 / bound) * y - v
             out.append((v.tobytes(), nxt.tobytes(), away.tolist()))
         pdf["before"], pdf["v"], pdf["away"] = map(list, zip(*out)) if out else ([], [], [])
-        yield pdf[[*keys, "b", "before", "v", "away", "lam", "bound", "degree"]]
+        pdf["next"] = pdf["gain"] + pdf["rate"]
+        yield pdf[[*keys, "b", "before", "v", "away", "lam", "bound", "degree", "gain", "next"]]
 
 
 def _step(pdf_iter, keys, q, k):
@@ -194,7 +198,7 @@ def _step(pdf_iter, keys, q, k):
             term = 2 * ((2 / bound) * _block(y, q) - _block(v, q)) - _block(before, q)
             nxt.append((v, term.tobytes()))
         pdf["before"], pdf["v"] = map(list, zip(*nxt)) if nxt else ([], [])
-        yield pdf[[*keys, "b", "before", "v", "bound", "degree"]]
+        yield pdf[[*keys, "b", "before", "v", "bound", "degree", "gain"]]
 
 
 def leading_vectors(tiles: DataFrame, keys: Sequence[str], n_vectors: int, tol: float = 1e-8) -> DataFrame:
@@ -218,38 +222,43 @@ def _leading(tiles: DataFrame, keys: list, n_vectors: int, tol: float) -> DataFr
     n = min(n_vectors, q)
     wide = bool(tiles.agg((F.max("bi") >= SUM_FAN) | (F.max("bj") >= SUM_FAN)).first()[0])
     state = materialize(tiles.filter("bi = 0").select(*keys, "bj", "cols").mapInPandas(
-        partial(_start, keys=keys, q=q), kinds + "bj bigint, v binary").withColumnRenamed("bj", "b"))
+        partial(_start, keys=keys, q=q), kinds + "bj bigint, v binary").withColumnRenamed("bj", "b").withColumn("gain", F.lit(0.0)))
 
     def applied(blocks):
         z = _product(tiles, blocks, keys, q, False, wide).withColumnRenamed("z", "v")
         y = _product(tiles, z, keys, q, True, wide).withColumnRenamed("z", "y")
         return blocks.join(y, [*keys, "b"])
     for _ in range(MAX_ROUNDS):
-        state = materialize(applied(state.select(*keys, "b", "v")))
+        state = materialize(applied(state.select(*keys, "b", "v", "gain")))
         inner = state.mapInPandas(partial(_inner, keys=keys, q=q), kinds + "c binary, t binary")
         ritz = materialize(inner.groupBy(*keys).applyInPandas(
-            _grouped(_ritz, keys=keys, q=q, n=n), kinds + "rotation binary, lam array<double>, bound double, degree int"))
+            _grouped(_ritz, keys=keys, q=q, n=n), kinds + "rotation binary, lam array<double>, bound double, degree int, rate double"))
         state = materialize(state.join(ritz, keys).mapInPandas(
             partial(_rotate, keys=keys, q=q, n=n),
-            kinds + "b bigint, before binary, v binary, away array<double>, lam array<double>, bound double, degree int"))
-        # residual over the distance to the nearest other value; at rounding level no vector gets better
+            kinds + "b bigint, before binary, v binary, away array<double>, lam array<double>, bound double, degree int, "
+            "gain double, next double"))
+        # residual over the distance to the nearest other value.  Rounding leaves a part of the largest value in
+        # every residual, along the largest vector, where it does no harm; so at that level the lift since the
+        # start, by which the unwanted part has shrunk, tells
         away = state.groupBy(*keys).agg(*[F.sqrt(F.sum(F.col("away")[i])).alias(f"e{i}") for i in range(n)],
-                                        F.first("lam").alias("lam"))
+                                        F.first("lam").alias("lam"), F.first("gain").alias("gain"))
         top = F.col("lam")[0]
         errors = []
         for i in range(n):
             own = F.col("lam")[i]
             gaps = [F.abs(own - F.col("lam")[j]) for j in (i - 1, i + 1) if 0 <= j < q]
             gap = F.least(*gaps) if len(gaps) > 1 else gaps[0] if gaps else own
-            settled = (F.col(f"e{i}") <= top * 1e-13) | (own <= top * 1e-12)
+            shrunk = F.col("gain") >= math.log(1 / tol) + 5
+            settled = ((F.col(f"e{i}") <= top * 1e-13) & shrunk) | (own <= top * 1e-12)
             errors.append(F.when(settled, 0.0).otherwise(F.col(f"e{i}") / F.greatest(gap, top * 1e-12)))
         worst, degree = away.agg(F.max(F.greatest(*errors) if n > 1 else errors[0])).first()[0], state.agg(F.max("degree")).first()[0]
         if worst <= tol:
             break
+        state = state.withColumn("gain", F.col("next"))
         for k in range(1, degree):
-            y = applied(state.select(*keys, "b", "before", "v", "bound", "degree"))
+            y = applied(state.select(*keys, "b", "before", "v", "bound", "degree", "gain"))
             state = materialize(y.mapInPandas(partial(_step, keys=keys, q=q, k=k),
-                                              kinds + "b bigint, before binary, v binary, bound double, degree int"))
+                                              kinds + "b bigint, before binary, v binary, bound double, degree int, gain double"))
     else:
         raise RuntimeError(f"singular vectors did not settle: error {worst}")
 
