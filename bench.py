@@ -22,7 +22,7 @@ HEADLINE = [
     "json_roundtrip", "describe_table", "regr_metrics", "score_matrix", "scale_features",
     "embedding_corr", "neighbour_smooth", "neighbour_smooth_long", "formula_fitness",
     "udf_grouped_map", "udf_cogroup_asof", "linear_fanout", "name_counter", "missing_region",
-    "cohort_region_scores",
+    "cohort_region_scores", "gbt_region", "net_train", "gbt_score_matrix",
 ]
 
 
