@@ -44,7 +44,7 @@ SUM_FAN = 64
 
 
 # rows of tiles or blocks that are read, or sent to Python, at once
-BATCH = 16
+BATCH = 4
 _BATCHED = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
