@@ -306,7 +306,52 @@ def train(df: DataFrame, cols: Sequence[str], nets: dict, max_epochs: int, lr: f
 
 # tasks that share a slice: each takes batch_rows / SYNC_TASKS rows of it, and
 # every task receives the gradients of all others once a slice
-SYNC_TASKS = 8
+SYNC_TASKS = 12
+
+
+# longest wait for another task's vector, in seconds
+PEER_SECONDS = 1800
+
+
+class _Exchange:
+    """Sums of the tasks' vectors, one a slice.  With a mounted folder a vector
+    is a file there, put into place whole, and the tasks read each other's as
+    they appear: a barrier call takes a second, however little it carries.  A
+    task that has all vectors of a slice knows that all are done with the
+    slice before and removes its own file of that."""
+
+    def __init__(self, context, folder: str | None):
+        import uuid
+        self.context, self.folder, self.mine = context, folder, None
+        self.names = context.allGather(uuid.uuid4().hex) if folder else []        # of this attempt
+
+    def total(self, s: int, vector: np.ndarray) -> np.ndarray:
+        import base64
+        import os
+        if self.folder is None:
+            told = self.context.allGather(base64.b64encode(vector.tobytes()).decode())
+            return sum(np.frombuffer(base64.b64decode(t)) for t in told)
+        place = self.context.partitionId()
+        paths = [os.path.join(self.folder, f"{name}-{s}") for name in self.names]
+        vector.tofile(paths[place] + ".draft")
+        os.replace(paths[place] + ".draft", paths[place])
+        found = sum(vector if i == place else self._read(p) for i, p in enumerate(paths))
+        if self.mine:
+            os.remove(self.mine)
+        self.mine = paths[place]
+        return found
+
+    @staticmethod
+    def _read(path: str) -> np.ndarray:
+        import time
+        end = time.monotonic() + PEER_SECONDS
+        while True:
+            try:
+                return np.fromfile(path)
+            except FileNotFoundError:
+                if time.monotonic() > end:
+                    raise
+                time.sleep(0.0005)
 
 
 def _slices(batches, cols):
@@ -323,13 +368,12 @@ def _slices(batches, cols):
         yield number, np.concatenate(held)
 
 
-def _sync_epoch(batches, nets, moments, cols, shift, lr, n_slices):
+def _sync_epoch(batches, nets, moments, cols, shift, lr, n_slices, folder=None):
     """One barrier task's part of an epoch.  Rows of slice -1 are test rows and
     come first.  Every task makes the same updates; the first returns them."""
-    import base64
-
     from pyspark import BarrierTaskContext
     context = BarrierTaskContext.get()
+    exchange = _Exchange(context, folder)
     regions = [(k, r) for k, r in enumerate(cols) if r in nets]
     adams = {r: _Adam(flatten(nets[r]), lr, *moments.get(r, ())) for _, r in regions}
     hidden = {r: tuple(len(b) for _, b in nets[r][:-1]) for _, r in regions}
@@ -355,8 +399,7 @@ def _sync_epoch(batches, nets, moments, cols, shift, lr, n_slices):
             x, y = np.delete(own, k, axis=1), own[:, k]
             layers = unflatten(adams[r].p, len(cols) - 1, hidden[r])
             parts.append(flatten(backward(layers, *forward(layers, x), y)))
-        told = context.allGather(base64.b64encode(np.concatenate(parts).tobytes()).decode())
-        total = sum(np.frombuffer(base64.b64decode(t)) for t in told)
+        total = exchange.total(s, np.concatenate(parts))
         at = 1
         for _, r in regions:
             size = len(adams[r].p)
@@ -376,16 +419,25 @@ def train_synchronous(df: DataFrame, cols: Sequence[str], nets: dict, order_by:
     and each slice gives one Adam update of every net.
 
     ``tasks`` barrier tasks (at most the cores there are; by default up to
-    ``SYNC_TASKS``) hold an even share of each slice and exchange gradients; a
+    ``SYNC_TASKS``) hold an even share of each slice and exchange gradients,
+    through files below the shared checkpoint folder if that is mounted; a
     lost task repeats the epoch.  Rows are numbered and dealt out once."""
+    import os
+    import shutil
+    import uuid
+
     from pyspark import StorageLevel
 
     from voxelframe.operators.ordinal import add_time_ordinal
+    from voxelframe.session import mounted_folder, table_path
     cols, order_by = list(cols), list(order_by)
     sc = df.sparkSession.sparkContext
     hidden = {r: tuple(len(b) for _, b in layers[:-1]) for r, layers in nets.items()}
     tasks = min(tasks or SYNC_TASKS, sc.defaultParallelism)
     shift = _shift(df, cols)
+    shared = mounted_folder(df.sparkSession, table_path(df.sparkSession, f"gradients_{uuid.uuid4().hex}"))
+    if shared:
+        os.makedirs(shared)
     is_train = F.coalesce(F.col(split_col) == "train", F.lit(False))
     numbered = add_time_ordinal(df.filter(is_train).select(*dict.fromkeys([*cols, *order_by])), [], order_by[0],
                                 order_by[1:], "_nth")
@@ -404,7 +456,7 @@ def train_synchronous(df: DataFrame, cols: Sequence[str], nets: dict, order_by:
             sent = sc.broadcast((nets, moments))
 
             def run(it):
-                return _sync_epoch(it, *sent.value, cols, shift, lr, n_slices)
+                return _sync_epoch(it, *sent.value, cols, shift, lr, n_slices, shared)
             found = data.mapInPandas(run, schema, barrier=True).collect()
             sent.unpersist()
             rows: dict = {}
@@ -421,3 +473,5 @@ def train_synchronous(df: DataFrame, cols: Sequence[str], nets: dict, order_by:
         return _fit(nets, max_epochs, tol, patience, one_epoch)
     finally:
         data.unpersist()
+        if shared:
+            shutil.rmtree(shared, ignore_errors=True)

@@ -151,3 +151,10 @@ def table_path(spark: SparkSession, name: str) -> str:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return path
+
+
+def mounted_folder(spark: SparkSession, path: str) -> str | None:
+    """The path as tasks can open it, None on a remote store."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(where).toUri().getPath() if store.getUri().getScheme() == "file" else None
