@@ -30,6 +30,7 @@ def _scratch(spark, name: str) -> str:
 
 # ------------------------------------------------------------- files
 ARCHIVE_NAME = "%d_3T_rfMRI_REST%d_fixextended.zip"
+ARCHIVE_PERSONS = 256           # persons whose archives share a folder
 
 
 @query("worklist_csv", """SELECT '/data/' || c_custkey || '_3T_rfMRI_REST' || (c_nationkey % 2 + 1) || '_fixextended.zip' AS path,
@@ -112,14 +113,37 @@ SELECT o_custkey AS person, 'REST' || rest AS rest, o_custkey || '/MNINonLinear/
   o_orderkey FROM l WHERE o_orderkey % 10 <> 0 AND dir <> 'XX'"""
 
 
-@query("zip_members", _MEMBER_SQL)
-def zip_members(spark, sf_dir):
-    """An archive per order with a member per line (every tenth archive is
-    damaged); members that are the person's own runs are listed."""
+def zip_bytes(names, sizes) -> bytes:
+    """A zip archive of stored members ``x`` times their size, laid out as
+    ``zipfile`` writes it; it took most of the time for small members."""
     import io
+    import struct
     import warnings
     import zipfile
+    import zlib
+    if len(names) >= 1 << 16 or sum(sizes) + sum(len(n) for n in names) * 8 >= 1 << 30:
+        buf = io.BytesIO()
+        with warnings.catch_warnings(), zipfile.ZipFile(buf, "w") as z:
+            warnings.simplefilter("ignore")        # repeated lines are repeated members
+            for name, size in zip(names, sizes):
+                z.writestr(name, b"x" * int(size))
+        return buf.getvalue()
+    out, listed, at = [], [], 0
+    for name, size in zip(names, sizes):
+        data, name = b"x" * int(size), name.encode()
+        # version 2.0, names in UTF-8, stored, 1980-01-01
+        head = struct.pack("<HHHHHLLLHH", 20, 0x800, 0, 0, 33, zlib.crc32(data), len(data), len(data), len(name), 0)
+        listed.append(b"PK\x01\x02\x14\x03" + head + struct.pack("<HHHLL", 0, 0, 0, 0o600 << 16, at) + name)
+        out.append(b"PK\x03\x04" + head + name + data)
+        at += len(out[-1])
+    size = sum(map(len, listed))
+    return b"".join([*out, *listed, struct.pack("<4sHHHHLLH", b"PK\x05\x06", 0, 0, len(names), len(names), size, at, 0)])
+
 
+@query("zip_members", _MEMBER_SQL)
+def zip_members(spark, sf_dir):
+    """An archive per order with a member per line (every tenth archive is
+    damaged); members that are the person's own runs are listed."""
     import pandas as pd
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 2 + 1).alias("rest"))
     turn = F.element_at(F.array(*[F.lit(d) for d in ("LR", "RL", "XX")]), F.col("l_linenumber") % 3 + 1)
@@ -130,18 +154,13 @@ def zip_members(spark, sf_dir):
              .groupBy("o_orderkey", "o_custkey", "rest").agg(F.collect_list(F.struct(
                  F.concat(run, F.lit("/"), F.col("l_linenumber").cast("string")).alias("name"), "l_linenumber")).alias("m"))
              .select("o_orderkey", F.concat(F.col("o_orderkey").cast("string"), F.lit("/"),
-                                            F.format_string(ARCHIVE_NAME, "o_custkey", "rest")).alias("path"), "m"))
+                                            F.format_string(ARCHIVE_NAME, "o_custkey", "rest")).alias("path"),
+                     F.col("m.name").alias("names"), F.col("m.l_linenumber").alias("sizes")))
 
     def pack(batches):
         for pdf in batches:
-            blobs = []
-            for key, members in zip(pdf["o_orderkey"], pdf["m"]):
-                buf = io.BytesIO()
-                with warnings.catch_warnings(), zipfile.ZipFile(buf, "w") as z:
-                    warnings.simplefilter("ignore")        # repeated lines are repeated members
-                    for m in members:
-                        z.writestr(m["name"], b"x" * int(m["l_linenumber"]))
-                blobs.append(buf.getvalue() if key % 10 else b"no archive")
+            blobs = [zip_bytes(names, sizes) if key % 10 else b"no archive"
+                     for key, names, sizes in zip(pdf["o_orderkey"], pdf["names"], pdf["sizes"])]
             yield pd.DataFrame({"path": pdf["path"], "content": blobs})
     out = _scratch(spark, "archives")
     packs.mapInPandas(pack, "path string, content binary").write.parquet(out)
@@ -159,36 +178,34 @@ def archive_member_source(spark, sf_dir):
     """Archives of every person's two rest sessions with a member per line,
     written by tasks and listed by the data source that plans by archive;
     every tenth person's are damaged."""
-    import io
     import os
-    import warnings
-    import zipfile
 
     import pandas as pd
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 2 + 1).alias("rest"))
     lines = table(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     name = F.concat(F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string"))
     packs = lines.groupBy("o_custkey", "rest").agg(F.collect_list(F.struct(name.alias("name"), "l_linenumber")).alias("m"))
+    packs = packs.select("o_custkey", "rest", F.col("m.name").alias("names"), F.col("m.l_linenumber").alias("sizes"))
     out = _scratch(spark, "archives")
     folder = out[len("file:"):] if out.startswith("file:") else out
 
     def write(batches):
         os.makedirs(folder, exist_ok=True)
+        made = set()
         for pdf in batches:
-            for person, rest, members in zip(pdf["o_custkey"], pdf["rest"], pdf["m"]):
-                buf = io.BytesIO()
-                with warnings.catch_warnings(), zipfile.ZipFile(buf, "w") as z:
-                    warnings.simplefilter("ignore")
-                    for m in members:
-                        z.writestr(m["name"], b"x" * int(m["l_linenumber"]))
-                path = os.path.join(folder, ARCHIVE_NAME % (person, rest))
+            for person, rest, names, sizes in zip(pdf["o_custkey"], pdf["rest"], pdf["names"], pdf["sizes"]):
+                some = os.path.join(folder, f"{person // ARCHIVE_PERSONS}")
+                if some not in made:
+                    os.makedirs(some, exist_ok=True)
+                    made.add(some)
+                path = os.path.join(some, ARCHIVE_NAME % (person, rest))
                 draft = f"{path}.{uuid.uuid4().hex}"
                 with open(draft, "wb") as f:
-                    f.write(buf.getvalue() if person % 10 else b"no archive")
+                    f.write(zip_bytes(names, sizes) if person % 10 else b"no archive")
                 os.replace(draft, path)         # a repeated task writes the same again
             yield pd.DataFrame({"n": [len(pdf)]})
     packs.mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
-    found = scan_files.read_archive_members(spark, out + "/*.zip")
+    found = scan_files.read_archive_members(spark, out + "/*/*.zip")
     base = F.element_at(F.split("archive", "/"), -1)
     return found.select(F.regexp_extract(base, "^([0-9]+)_", 1).cast("bigint").alias("person"),
                         F.regexp_extract(base, "REST([0-9])", 1).cast("bigint").alias("rest"), "member", "size", "status", "error")

@@ -27,6 +27,8 @@ from pyspark.sql.types import StructType
 
 REGIONS, MEMBERS = "region_files", "archive_members"
 PARTITION_BYTES = 64 << 20
+OPEN_BYTES = 64 << 10           # opening a small file costs as much as reading these
+TASKS_PER_CORE, BATCH_ROWS = 4, 8096
 MEMBER_SCHEMA = "archive string, member string, size bigint, status string, error string"
 
 
@@ -42,11 +44,14 @@ def _mounted(pattern: str) -> str:
     return "/" + pattern.lstrip("/") if pattern.startswith("//") else pattern
 
 
-def packed(pattern: str, partition_bytes: int, cost=os.path.getsize) -> list[Files]:
-    """Files of a pattern in order, as many to a partition as fit."""
+def packed(pattern: str, partition_bytes: int, cost=os.path.getsize, cores: int = 0) -> list[Files]:
+    """Files of a pattern in order, as many to a partition as fit; with
+    ``cores``, at most their even share of all files' cost."""
+    found = [(p, cost(p)) for p in sorted(f for f in glob.glob(_mounted(pattern), recursive=True) if os.path.isfile(f))]
+    if cores:
+        partition_bytes = min(partition_bytes, -(-sum(n for _, n in found) // cores))
     parts, size = [], 0
-    for p in sorted(f for f in glob.glob(_mounted(pattern), recursive=True) if os.path.isfile(f)):
-        n = cost(p)
+    for p, n in found:
         if not parts or size + n > partition_bytes:
             parts.append(Files([]))
             size = 0
@@ -58,12 +63,15 @@ def packed(pattern: str, partition_bytes: int, cost=os.path.getsize) -> list[Fil
 class RegionReader(DataSourceReader):
     def __init__(self, options, schema: StructType):
         self.pattern, self.bytes = options["path"], int(options.get("partition_bytes", PARTITION_BYTES))
+        self.cores = int(options.get("cores", 0))
         self.by_folder = options.get("scan", "file") == "folder"
         self.columns = [f.name for f in schema.fields if f.name not in ("scan", "t", "status", "error")]
         self.order = [f.name for f in schema.fields]
 
     def partitions(self):
-        return packed(self.pattern, self.bytes)
+        if not self.cores:
+            return packed(self.pattern, self.bytes)
+        return packed(self.pattern, self.bytes, lambda p: os.path.getsize(p) + OPEN_BYTES, self.cores)
 
     def read(self, partition):
         for path in partition.paths:
@@ -102,22 +110,53 @@ class RegionFiles(DataSource):
         return RegionReader(self.options, schema)
 
 
+class Folders(InputPartition):
+    def __init__(self, paths: list[str], name: str):
+        self.paths, self.name = paths, name
+
+
 class MemberReader(DataSourceReader):
     def __init__(self, options):
-        self.pattern, self.most = options["path"], int(options.get("partition_files", 64))
+        self.pattern, self.most = options["path"], int(options.get("partition_files", 0))
+        self.cores = int(options.get("cores", 1))
 
     def partitions(self):
         # an archive's directory is read, whatever its size
-        return packed(self.pattern, self.most, cost=lambda p: 1)
+        if self.most:
+            return packed(self.pattern, self.most, cost=lambda p: 1)
+        folder, name = os.path.split(_mounted(self.pattern))
+        if "**" in folder or name == "**" or not glob.has_magic(folder):
+            return packed(self.pattern, 1 << 62, cost=lambda p: 1, cores=TASKS_PER_CORE * self.cores)
+        # many folders: only they are listed here, and the tasks list what they hold
+        folders = sorted(f for f in glob.glob(folder) if os.path.isdir(f))
+        each = max(1, -(-len(folders) // (TASKS_PER_CORE * self.cores)))
+        return [Folders(folders[i:i + each], name) for i in range(0, len(folders), each)] or [Files([])]
 
     def read(self, partition):
-        for path in partition.paths:
+        paths = partition.paths
+        if isinstance(partition, Folders):
+            paths = (p for f in paths for p in sorted(glob.glob(os.path.join(glob.escape(f), partition.name))) if os.path.isfile(p))
+        found = ([], [], [], [], [])
+        for path in paths:
             try:
                 with zipfile.ZipFile(path) as z:
-                    rows = [(path, i.filename, int(i.file_size), "ok", None) for i in z.infolist()]
+                    infos = z.infolist()
+                n = len(infos)
+                rows = ([path] * n, [i.filename for i in infos], [i.file_size for i in infos], ["ok"] * n, [None] * n)
             except Exception as e:  # noqa: BLE001 - a damaged archive is a row
-                rows = [(path, None, None, "error", f"{type(e).__name__}: {e}")]
-            yield from rows
+                rows = ([path], [None], [None], ["error"], [f"{type(e).__name__}: {e}"])
+            for column, values in zip(found, rows):
+                column.extend(values)
+            if len(found[0]) >= BATCH_ROWS:
+                yield _member_batch(found)
+                found = ([], [], [], [], [])
+        yield _member_batch(found)
+
+
+def _member_batch(columns):
+    import pyarrow as pa
+    types = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=["archive", "member", "size", "status", "error"])
 
 
 class ArchiveMembers(DataSource):
@@ -132,15 +171,23 @@ class ArchiveMembers(DataSource):
         return MemberReader(self.options)
 
 
-def read_region_files(spark: SparkSession, pattern: str, columns: str, partition_bytes: int = PARTITION_BYTES,
+def read_region_files(spark: SparkSession, pattern: str, columns: str, partition_bytes: int | None = None,
                       scan: str = "file") -> DataFrame:
-    """(scan, t, ``columns``, status, error) of the CSVs that match a glob."""
+    """(scan, t, ``columns``, status, error) of the CSVs that match a glob.
+    Without ``partition_bytes`` every core has work, however small the files."""
     spark.dataSource.register(RegionFiles)
-    return (spark.read.format(REGIONS).schema(f"scan string, t bigint, {columns}, status string, error string")
-            .option("partition_bytes", partition_bytes).option("scan", scan).load(pattern))
-
-
-def read_archive_members(spark: SparkSession, pattern: str, partition_files: int = 64) -> DataFrame:
-    """(archive, member, size, status, error) of the zip files that match a glob."""
+    r = spark.read.format(REGIONS).schema(f"scan string, t bigint, {columns}, status string, error string")
+    if partition_bytes is None:
+        r = r.option("cores", spark.sparkContext.defaultParallelism)
+    else:
+        r = r.option("partition_bytes", partition_bytes)
+    return r.option("scan", scan).load(pattern)
+
+
+def read_archive_members(spark: SparkSession, pattern: str, partition_files: int | None = None) -> DataFrame:
+    """(archive, member, size, status, error) of the zip files that match a
+    glob.  Without ``partition_files`` there are a few partitions a core, of
+    whole folders if the pattern names many."""
     spark.dataSource.register(ArchiveMembers)
-    return spark.read.format(MEMBERS).option("partition_files", partition_files).load(pattern)
+    r = spark.read.format(MEMBERS).option("cores", spark.sparkContext.defaultParallelism)
+    return (r if partition_files is None else r.option("partition_files", partition_files)).load(pattern)
