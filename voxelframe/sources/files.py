@@ -132,15 +132,19 @@ def archive_members(archives: DataFrame) -> DataFrame:
 
     def members(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            rows = []
+            found = ([], [], [], [], [])
             contents = pdf["content"] if "content" in pdf else [None] * len(pdf)
             for p, content in zip(pdf["path"], contents):
                 try:
                     with open_zip(p, content) as z:
-                        rows += [(p, i.filename, int(i.file_size), "ok", None) for i in z.infolist()]
+                        infos = z.infolist()
+                    n = len(infos)
+                    rows = ([p] * n, [i.filename for i in infos], [i.file_size for i in infos], ["ok"] * n, [None] * n)
                 except Exception as e:  # noqa: BLE001 - reported per archive
-                    rows.append((p, None, None, "error", f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["archive", "member", "size", "status", "error"])
+                    rows = ([p], [None], [None], ["error"], [f"{type(e).__name__}: {e}"])
+                for column, values in zip(found, rows):
+                    column.extend(values)
+            yield pd.DataFrame(dict(zip(["archive", "member", "size", "status", "error"], found)))
 
     return archives.mapInPandas(members, "archive string, member string, size long, status string, error string")
 
