@@ -4,6 +4,9 @@ provenance, file counts, archive member listings, per-scan writers."""
 from __future__ import annotations
 
 import io
+import os
+import shutil
+import uuid
 import zipfile
 from typing import Iterator, Sequence
 
@@ -98,7 +101,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def count_files(spark: SparkSession, pattern: str) -> int:
-    """Number of files matching a glob; only the path column is read."""
+    """Number of files matching a glob; only the path column is read.
+
+    Spark resolves a glob folder by folder on the driver.  Here the folder
+    above the first wildcard is listed, which tasks do, and the parts of each
+    path are matched by filters."""
+    jvm = spark.sparkContext._jvm
+    parts = pattern.split("/")
+    at = next((i for i, p in enumerate(parts) if any(c in p for c in "*?[{\\")), len(parts))
+    base = "/".join(parts[:at])
+    if base and at < len(parts) and not any(c in pattern for c in "{\\") and path_exists(spark, base):
+        top = jvm.org.apache.hadoop.fs.Path(base)
+        top = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(top).toString()
+        names = F.split(F.substring("path", len(top) + 2, 1 << 30), "/")
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select("path")
+        for i, p in enumerate(p for p in parts[at:] if p):
+            rule = jvm.org.apache.hadoop.fs.GlobPattern(p).compiled().pattern()
+            found = found.filter(F.get(names, F.lit(i)).rlike(f"^(?s:{rule})$"))
+        n = found.count()
+        if n:
+            return n
     return spark.read.format("binaryFile").load(pattern).select("path").count()
 
 
@@ -182,7 +204,15 @@ def write_per_scan(df: DataFrame, out: str, key: str, t: str = "t", fmt: str = "
     output keeps ``t`` (its rows have no order of their own) and is spread
     over blocks of ``PARQUET_BLOCK`` time points, so a long scan has several
     writers.
+
+    On a mounted store the tasks write the CSV files themselves (lines as
+    Spark's writer has them) and put them into place once all are written:
+    Spark's committer moves scan after scan on the driver.
     """
+    from voxelframe.session import mounted_folder
+    mounted = mounted_folder(df.sparkSession, out)
+    if fmt == "csv" and mode in ("overwrite", "append") and mounted:
+        return _write_files(df, mounted, key, t, replace=mode == "overwrite")
     if fmt == "csv":
         d = df.repartition(key).sortWithinPartitions(key, t).drop(t)
     else:
@@ -194,6 +224,81 @@ def write_per_scan(df: DataFrame, out: str, key: str, t: str = "t", fmt: str = "
         w.parquet(out)
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"      # Spark's folder of a null or empty key
+
+
+def _folder(key: str, value: str) -> str:
+    """``key=value`` escaped as Spark escapes its partition folders."""
+    def clean(s):
+        return "".join(f"%{ord(c):02X}" if c < " " or c in "\"#%'*/:=?\\{[]^\x7f" else c for c in s)
+    return f"{clean(key)}={clean(value)}"
+
+
+def _write_files(df: DataFrame, out: str, key: str, t: str, replace: bool) -> None:
+    """A CSV file per scan, written by the task that holds the scan's rows as a
+    draft; then tasks move the drafts into the scans' folders, in place of what
+    is there (``replace``) or beside it."""
+    from voxelframe.session import materialize
+    spark = df.sparkSession
+    cols = [c for c in df.columns if c not in (key, t)]
+    run = uuid.uuid4().hex
+    drafts, name = os.path.join(out, f".drafts-{run}"), f"part-{run}.csv"
+    # the names as Spark's writer quotes them
+    head = spark.range(1).select(F.to_csv(F.struct(*[F.lit(c).alias(f"c{i}") for i, c in enumerate(cols)]))).first()[0]
+    scan = F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), F.lit(NO_VALUE))
+    line = F.to_csv(F.struct(*[F.col(c) for c in cols]))
+    if len(cols) == 1:          # an empty line is no string to to_csv: a second column is written and cut off
+        line = F.expr("substring(_two, 1, length(_two) - 2)")
+        df = df.withColumn("_two", F.to_csv(F.struct(F.col(cols[0]), F.lit(0).alias("_0"))))
+    rows = (df.select(scan.alias("_scan"), F.col(key).alias("_key"), F.col(t).alias("_t"), line.alias("_line"))
+              .repartition("_scan").sortWithinPartitions("_scan", "_key", "_t").select("_scan", "_line"))
+
+    def write(batches):
+        own = os.path.join(drafts, uuid.uuid4().hex)        # of this attempt
+        os.makedirs(own)
+        last, n, f = None, 0, None
+        try:
+            for pdf in batches:
+                scans, lines, listed = pdf["_scan"].to_list(), pdf["_line"].to_list(), []
+                starts = [i for i, s in enumerate(scans) if i == 0 or s != scans[i - 1]]
+                for a, b in zip(starts, [*starts[1:], len(scans)]):
+                    if f is None or scans[a] != last:
+                        if f is not None:
+                            f.close()
+                        last, n = scans[a], n + 1
+                        f = open(os.path.join(own, f"{n}.csv"), "w", newline="", encoding="utf-8")
+                        f.write(head + "\n")
+                        listed.append((_folder(key, last), os.path.join(own, f"{n}.csv")))
+                    # a lone null is an empty line, which Spark leaves out
+                    f.write("".join(line + "\n" for line in lines[a:b] if line))
+                yield pd.DataFrame(listed, columns=["folder", "draft"])
+        finally:
+            if f is not None:
+                f.close()
+
+    def place(batches):
+        for pdf in batches:
+            for folder, draft in zip(pdf["folder"], pdf["draft"]):
+                to = os.path.join(out, folder)
+                os.makedirs(to, exist_ok=True)
+                try:
+                    os.replace(draft, os.path.join(to, name))
+                except FileNotFoundError:
+                    if not os.path.exists(os.path.join(to, name)):      # else moved by an earlier attempt
+                        raise
+                for other in os.listdir(to) if replace else ():
+                    if other != name:
+                        path = os.path.join(to, other)
+                        shutil.rmtree(path) if os.path.isdir(path) else os.remove(path)
+            yield pd.DataFrame({"n": [len(pdf)]})
+    os.makedirs(drafts)
+    try:
+        written = materialize(rows.mapInPandas(write, "folder string, draft string"))
+        written.mapInPandas(place, "n bigint").agg(F.sum("n")).collect()
+    finally:
+        shutil.rmtree(drafts, ignore_errors=True)
+
+
 # fixed values of the keyed sink
 KEY_PREFIX = "HCP_"
 DATASET = "HCP"
