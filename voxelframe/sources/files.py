@@ -76,10 +76,12 @@ def read_region_csvs_any_order(spark: SparkSession, path: str, max_headers: int
 
     Every line is matched to its file's header by a join, and each region is
     taken from the place the header gives it, so a file with header ``x1,x0``
-    is never bound by position.  Only the distinct headers reach the driver;
-    more than ``max_headers`` raise."""
+    is never bound by position.  The numbered lines are written once, so the
+    files are opened once.  Only the distinct headers reach the driver; more
+    than ``max_headers`` raise."""
     from voxelframe.operators.joins import broadcast_if_small
-    lines = _numbered(spark.read.text(path), "_line")
+    from voxelframe.session import materialize
+    lines = materialize(_numbered(spark.read.text(path), "_line"))
     heads = lines.filter("_line = 0").select("_file_path", F.transform(F.split("value", ","), lambda c: F.trim(c)).alias("_names"))
     heads = broadcast_if_small(heads)
     orders = heads.select("_names").distinct().limit(max_headers + 1).collect()
