@@ -52,21 +52,30 @@ def read_region_csvs(spark: SparkSession, path, schema: str | None = None,
               .withColumn("person", paths.int_part(paths.last_part(F.col("_file_path")), "_", 1)))
 
 
+SMALL_FILE = 64 << 10
+
+
 def _numbered(df: DataFrame, t: str) -> DataFrame:
     """Rows read from files with ``_file_path`` and their position ``t`` in
     the file.  A block's rows lie in one scan partition, in file order: they
     are numbered there and shifted by the rows of the file's earlier blocks,
     so one large file is numbered by many tasks."""
-    df = (df.withColumn("_file_path", F.col("_metadata.file_path"))
-            .withColumn("_blk", F.col("_metadata.file_block_start"))
-            .withColumn("_mid", F.monotonically_increasing_id()))
+    path, blk = F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_block_start").alias("_blk")
     w = Window.partitionBy("_file_path", "_blk").orderBy("_mid")
     ahead = Window.partitionBy("_file_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    before = (df.groupBy("_file_path", "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    # a file up to this size is one block and needs no counts: the listing
+    # leaves it out, so small files are opened once (should the settings be
+    # lowered before the rows are read, a block without a count raises)
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    whole = min(conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes(), SMALL_FILE)
+    blocks = df.filter(F.col("_metadata.file_size") > whole).select(path, blk)
+    before = (blocks.groupBy("_file_path", "_blk").agg(F.count(F.lit(1)).alias("_n"))
                 .select("_file_path", "_blk", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")))
-    return (df.repartition("_file_path", "_blk").withColumn("_k", F.row_number().over(w) - 1)
-              .join(before, ["_file_path", "_blk"])
-              .withColumn(t, (F.col("_before") + F.col("_k")).cast("bigint"))
+    first = F.when(F.col("_blk") == 0, F.lit(0)).otherwise(F.raise_error(F.lit("a file was cut after its reading was planned")).cast("bigint"))
+    rows = df.select("*", path, blk, F.monotonically_increasing_id().alias("_mid"))
+    return (rows.repartition("_file_path", "_blk").withColumn("_k", F.row_number().over(w) - 1)
+              .join(before, ["_file_path", "_blk"], "left")
+              .withColumn(t, (F.coalesce("_before", first) + F.col("_k")).cast("bigint"))
               .drop("_blk", "_mid", "_k", "_before"))
 
 
