@@ -282,6 +282,52 @@ def test_gbt_goes_on_while_held_out_rows_gain(spark):
     df.unpersist()
 
 
+def test_gbt_is_fitted_on_cells_of_bins_as_on_rows(spark, tmp_path, monkeypatch):
+    from pyspark.ml import Estimator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"a": rng.integers(0, 8, 30000), "b": rng.integers(-3, 4, 30000) / 2, "c": rng.normal(size=30000)})
+    pdf["y"] = pdf.a * pdf.b + np.sin(2 * pdf.c) + 0.3 * rng.normal(size=30000)
+    df = spark.createDataFrame(pdf).repartition(3).persist()
+    df.count()
+    feats = ["a", "b", "c"]
+    rows = VectorAssembler(inputCols=feats, outputCol="_features").transform(df)
+    want = GBTRegressor(featuresCol="_features", labelCol="y", predictionCol="_pred", maxIter=12, **trees.GBT_DEFAULTS).fit(rows)
+    plain, sizes = Estimator.fit, []
+
+    def counted(self, dataset, params=None):
+        sizes.append(dataset.count())
+        return plain(self, dataset, params)
+    monkeypatch.setattr(Estimator, "fit", counted)
+    monkeypatch.setattr(trees, "CELLS_FROM", 0, raising=False)
+    got, _, va = trees.fit_region(df, [*feats, "y"], "y", max_iter=12)
+    monkeypatch.setattr(Estimator, "fit", plain)
+    assert max(sizes) <= 8 * 7 * 32                 # 30,000 before
+    nodes = []
+    for name, model in (("got", got), ("want", want)):
+        trees.save_model(model, str(tmp_path / name))
+        nodes.append(trees.node_table(spark, str(tmp_path / name)).toPandas().sort_values(["tree", "node"]).reset_index(drop=True))
+    assert len(nodes[0]) > 200
+    same = ["tree", "node", "feature", "threshold", "rows"]
+    pd.testing.assert_frame_equal(nodes[0][same], nodes[1][same], check_exact=True)
+    np.testing.assert_allclose(nodes[0].gain.dropna(), nodes[1].gain.dropna(), rtol=1e-6)
+    np.testing.assert_allclose(trees.predict(got, va, df).toPandas()._pred, trees.predict(want, va, df).toPandas()._pred, rtol=1e-9, atol=1e-9)
+    # errors on other rows: those of the rows less the scatter inside cells
+    train, held = df.filter("c < 1"), df.filter("c >= 1")
+    boosting = trees.CellBoosting(train, feats, "y", **trees.GBT_DEFAULTS)
+    boosting.grow(3)                                # goes on from there
+    errors = boosting.errors(boosting.held_cells(held), 12)
+    whole = GBTRegressor(featuresCol="_features", labelCol="y", maxIter=12, **trees.GBT_DEFAULTS).fit(
+        rows.filter("c < 1")).evaluateEachIteration(rows.filter("c >= 1"), "squared")
+    np.testing.assert_allclose(np.diff(errors), np.diff(whole), rtol=1e-6, atol=1e-9)
+    for bad in (None, float("nan")):
+        for c in ("a", "y"):
+            with pytest.raises(Exception, match="null"):
+                trees.fit_region(df.withColumn(c, F.when(F.col("c") < 2, F.col(c).cast("double")).otherwise(F.lit(bad))), [*feats, "y"], "y", max_iter=1)
+    df.unpersist()
+
+
 def test_gram_by_rules(spark):
     rng = np.random.default_rng(11)
     for dim in (4, 17):
