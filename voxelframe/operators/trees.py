@@ -32,7 +32,7 @@ CELL_PARAMS = {"maxDepth", "stepSize", "subsamplingRate", "seed", "maxBins"}
 CELL_BINS = 256
 # from that many rows on; below, passes over the rows take less than the wait
 # for a fit per tree.  Both ways build the same trees
-CELLS_FROM = 300000
+CELLS_FROM = 1000000
 # trees whose row draws are added up in one pass over the rows
 DRAWS_AT_ONCE = 10
 # rows the candidate thresholds are chosen from, as in Spark's trees
