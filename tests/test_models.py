@@ -237,6 +237,51 @@ def test_synchronous_training_odd_tables(spark):
     assert hist[0][2:] == (None, None, None, None)
 
 
+def test_training_memory_does_not_grow_with_the_rows(monkeypatch):
+    import tracemalloc
+
+    from pyspark import BarrierTaskContext
+
+    class Alone:
+        def allGather(self, told):
+            return [told]
+
+        def partitionId(self):
+            return 0
+    monkeypatch.setattr(BarrierTaskContext, "get", classmethod(lambda cls: Alone()))
+    rng, cols = np.random.default_rng(6), ["a", "b", "c"]
+    rows = rng.normal(size=(31 * 8096, 3))
+    nets = {"c": net.init_net(rng, 2)}
+
+    def batches():
+        for i in range(31):                       # thirty of test rows, then four slices in one
+            pdf = pd.DataFrame(rows[i * 8096:(i + 1) * 8096], columns=cols)
+            yield pdf.assign(_slice=-1 if i < 30 else np.arange(8096) // 2024)
+    tracemalloc.start()
+    found = pd.concat(net._sync_epoch(batches(), nets, {}, cols, np.zeros(3), 0.01, 4))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20                        # 676 MiB before, about 3 KB a test row
+    p, y = net.forward(nets["c"], rows[:30 * 8096, :2])[0][-1][:, 0], rows[:30 * 8096, 2]
+    test = found[found.split == "test"].iloc[0]
+    assert (test.n, test.see, test.spp) == pytest.approx((len(y), np.sum((y - p) ** 2), np.sum(p ** 2)), rel=1e-9)
+    assert found[found.split == "train"].n.sum() == 8096 and found[found.split == "state"].k.iloc[0] == 4
+
+
+def test_every_training_task_holds_one_share(spark, monkeypatch):
+    d = spark.range(24000).selectExpr("id", "rand(1) as a", "rand(2) as b", "'train' as split")
+    plain, held = type(d).persist, []
+
+    def seen(self, *args):
+        held.append(sorted(r["count"] for r in self.groupBy(F.spark_partition_id()).count().collect()))
+        return plain(self, *args)
+    monkeypatch.setattr(type(d), "persist", seen)
+    nets = {"a": net.init_net(np.random.default_rng(0), 1, (2, 2))}
+    for tasks in (2, 3, 4):                       # a task with two shares before
+        net.train_synchronous(d, ["a", "b"], nets, ["id"], 1, tasks=tasks)
+    assert held == [[24000 // n] * n for n in (2, 3, 4)]
+
+
 def test_net_goes_on_while_small_falls_add_up(spark):
     rng = np.random.default_rng(8)
     pdf = pd.DataFrame(rng.normal(size=(1200, 2)), columns=["a", "b"])

@@ -40,6 +40,9 @@ from pyspark.sql import functions as F
 HIDDEN = (100, 50, 25)
 LEARNING_RATE = 1e-2
 BATCH_ROWS = 8096
+# rows pushed through a net at once: their activations (about 3 KB a row) stay
+# in the cache, and memory does not grow with the rows of a batch or slice
+BLOCK_ROWS = 256
 WEIGHTS_SCHEMA = "cohort string, region string, layer int, rows int, cols int, w array<double>, b array<double>"
 
 
@@ -88,6 +91,23 @@ def flatten(layers) -> np.ndarray:
     return np.concatenate([np.concatenate([w.ravel(), b.ravel()]) for w, b in layers])
 
 
+def predict(layers, x) -> np.ndarray:
+    """Outputs of a net, block by block of rows."""
+    out = np.empty(len(x))
+    for at in range(0, len(x), BLOCK_ROWS):
+        out[at:at + BLOCK_ROWS] = forward(layers, x[at:at + BLOCK_ROWS])[0][-1][:, 0]
+    return out
+
+
+def gradient(layers, x, y) -> np.ndarray:
+    """``backward`` of all rows as one vector, summed block by block."""
+    total = np.zeros(sum(w.size + b.size for w, b in layers))
+    for at in range(0, len(x), BLOCK_ROWS):
+        some = x[at:at + BLOCK_ROWS]
+        total += flatten(backward(layers, *forward(layers, some), y[at:at + BLOCK_ROWS]))
+    return total
+
+
 def unflatten(vec: np.ndarray, d_in: int, hidden: Sequence[int] = HIDDEN):
     sizes = (d_in, *hidden, 1)
     out, k = [], 0
@@ -164,7 +184,7 @@ def score(df: DataFrame, cols: Sequence[str], nets: dict, split_col: str | None
             for k, region in enumerate(cols):
                 if region not in bc.value or not len(pdf):
                     continue
-                p = forward(bc.value[region], np.delete(x_all, k, axis=1))[0][-1][:, 0]
+                p = predict(bc.value[region], np.delete(x_all, k, axis=1))
                 for s in np.unique(splits):
                     m = splits == s
                     acc[(region, s)] = acc.get((region, s), 0.0) + _metric_sums(x_all[m, k], p[m], shift[k])
@@ -207,7 +227,7 @@ def _epoch(batches, nets, moments, cols, split_col, shift, lr, batch_rows):
             if region not in nets or not len(pdf):
                 continue
             x, y = np.delete(x_all, k, axis=1), x_all[:, k]
-            p = forward(nets[region], x)[0][-1][:, 0]
+            p = predict(nets[region], x)
             for s, m in (("train", train), ("test", ~train)):
                 if m.any():
                     sums[(region, s)] = sums.get((region, s), 0.0) + _metric_sums(y[m], p[m], shift[k])
@@ -218,7 +238,7 @@ def _epoch(batches, nets, moments, cols, split_col, shift, lr, batch_rows):
             for at in range(0, len(xt), batch_rows):
                 some, want = xt[at:at + batch_rows], yt[at:at + batch_rows]
                 layers = unflatten(adam.p, len(cols) - 1, hidden[region])
-                adam.update(flatten(backward(layers, *forward(layers, some), want)) / len(some))
+                adam.update(gradient(layers, some, want) / len(some))
     out = [(r, s, *v, (copies[r].state() * rows).tolist() if s == "train" and rows else None, float(rows),
             float(copies[r].step)) for (r, s), v in sums.items()]
     yield pd.DataFrame(out, columns=["region", "split", *METRICS, "g", "w", "k"])
@@ -355,11 +375,12 @@ class _Exchange:
 
 
 def _slices(batches, cols):
-    """Rows sorted by slice -> (slice, rows) with the rows of each slice together."""
+    """Rows sorted by slice -> (slice, rows) with the rows of each slice together;
+    rows of slice -1, any number of them, come batch by batch."""
     held, number = [], None
     for pdf in batches:
         for s, some in pdf.groupby("_slice", sort=True):
-            if s != number and held:
+            if held and (s != number or s == -1):
                 yield number, np.concatenate(held)
                 held = []
             number = s
@@ -383,9 +404,9 @@ def _sync_epoch(batches, nets, moments, cols, shift, lr, n_slices, folder=None):
 
     def measure(rows, split):
         for k, r in regions:
-            p = forward(nets[r], np.delete(rows, k, axis=1))[0][-1][:, 0]
+            p = predict(nets[r], np.delete(rows, k, axis=1))
             sums[(r, split)] = sums.get((r, split), 0.0) + _metric_sums(rows[:, k], p, shift[k])
-    if number == -1:
+    while number == -1:
         measure(rows, "test")
         number, rows = next(rest, (None, None))
     for s in range(n_slices):
@@ -398,7 +419,7 @@ def _sync_epoch(batches, nets, moments, cols, shift, lr, n_slices, folder=None):
         for k, r in regions:
             x, y = np.delete(own, k, axis=1), own[:, k]
             layers = unflatten(adams[r].p, len(cols) - 1, hidden[r])
-            parts.append(flatten(backward(layers, *forward(layers, x), y)))
+            parts.append(gradient(layers, x, y))
         total = exchange.total(s, np.concatenate(parts))
         at = 1
         for _, r in regions:
@@ -445,7 +466,8 @@ def train_synchronous(df: DataFrame, cols: Sequence[str], nets: dict, order_by:
     train_rows = numbered.select(*cols, F.floor(F.col("_nth") / batch_rows).alias("_slice"), place.alias("_task"))
     test_rows = df.filter(~is_train).select(*cols, F.lit(-1).cast("bigint").alias("_slice"),
                                             F.pmod(F.xxhash64(*order_by), F.lit(tasks)).cast("bigint").alias("_task"))
-    data = (train_rows.unionAll(test_rows).repartitionByRange(tasks, "_task").sortWithinPartitions("_slice")
+    # a range partitioning would give one task two shares: its bounds are sampled
+    data = (train_rows.unionAll(test_rows).repartitionById(tasks, F.col("_task").cast("int")).sortWithinPartitions("_slice")
             .select(*cols, "_slice").persist(StorageLevel.MEMORY_AND_DISK))
     schema = METRIC_SCHEMA + ", g array<double>, k double"
     try:
