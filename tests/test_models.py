@@ -282,6 +282,30 @@ def test_every_training_task_holds_one_share(spark, monkeypatch):
     assert held == [[24000 // n] * n for n in (2, 3, 4)]
 
 
+def test_cohort_nets_train_on_even_shares(spark, tmp_path, monkeypatch):
+    from voxelframe.plans import q_models
+    rng, n = np.random.default_rng(9), 4000
+    lines = pd.DataFrame({"l_orderkey": np.arange(n) // 4, "l_linenumber": np.arange(n) % 4, "l_quantity": rng.normal(size=n),
+                          "l_extendedprice": rng.normal(size=n), "l_discount": rng.normal(size=n), "l_tax": rng.normal(size=n),
+                          "l_shipdate": pd.Timestamp("1998-01-01")})
+    orders = pd.DataFrame({"o_orderkey": np.arange(1000), "o_custkey": np.arange(1000) % 2})
+    people = pd.DataFrame({"c_custkey": [0, 1], "c_mktsegment": ["BUILDING", "MACHINERY"]})
+    lines["l_shipdate"] = lines["l_shipdate"].astype("datetime64[us]")
+    for name, rows in (("lineitem", lines), ("orders", orders), ("customer", people)):
+        rows.to_parquet(tmp_path / f"{name}.parquet")
+    monkeypatch.setattr(q_models, "NET_RULE", {"max_epochs": 1})
+    plain, held = type(spark.range(1)).persist, []
+
+    def seen(self, *args):
+        if "_slice" in self.columns:
+            held.append(sorted(r["count"] for r in self.groupBy(F.spark_partition_id()).count().collect()))
+        return plain(self, *args)
+    monkeypatch.setattr(type(spark.range(1)), "persist", seen)
+    found = q_models.cross_cohort_nets(spark, str(tmp_path)).collect()
+    assert held == [[500] * 4]                    # two thousand men's rows; a task with two shares before
+    assert {(r["region"], r["n"]) for r in found} == {(c, 2000) for c in q_models.REGION_COLS}
+
+
 def test_net_goes_on_while_small_falls_add_up(spark):
     rng = np.random.default_rng(8)
     pdf = pd.DataFrame(rng.normal(size=(1200, 2)), columns=["a", "b"])
